@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The analysed pipeline lands a finished loan file and processes it in batch;
+it has no watermark, stateful or late-data operator, so nothing lives here.
+Staging (``lendlens.plans.staging.stage_loans``) is row-wise and would run
+unchanged on a ``readStream`` source if files ever arrive incrementally.
+"""
