@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from lendlens import oracle_sql as O
 from lendlens.functions.numeric import round_half_away
-from lendlens.plans import loss, segments, vintage
+from lendlens.operators.metrics import score_metrics
+from lendlens.plans import cutoff, loss, policy, prep, segments, vintage
 from lendlens.plans.book import book
 from lendlens.plans.staging import staging_sanity
 
@@ -196,6 +197,117 @@ def q_segment_expected_loss(spark, sf_dir):
     return loss.segment_expected_loss(segments.segment_risk(f), loss.grade_loss(f))
 
 
+# ---------------------------------------------------------------- exports
+FACT_COLUMNS = ("loan_id", "is_default", "loan_amnt", "term_months", "int_rate", "grade", "sub_grade",
+                "purpose", "home_ownership", "annual_inc", "dti", "fico", "income_decile", "fico_quintile",
+                "loan_to_income", "vintage_quarter", "issue_date", "addr_state")
+
+
+@register("fact_loans", f"SELECT {', '.join(FACT_COLUMNS)} FROM features", {"loan_to_income": 6},
+          dates=("vintage_quarter", "issue_date"))
+def q_fact_loans(spark, sf_dir):
+    return _feat(spark, sf_dir).select(*FACT_COLUMNS)
+
+
+# ---------------------------------------------------------------- policy / split / prep
+@register("policy_declines", """
+SELECT COUNT(*) AS n_loans, CAST(SUM(CASE WHEN declined THEN 1 ELSE 0 END) AS BIGINT) AS n_declined,
+  AVG(CASE WHEN declined THEN 1.0 ELSE 0.0 END) AS decline_share,
+  AVG(CASE WHEN declined THEN is_default END) AS default_rate_declined
+FROM pol""", {"decline_share": 9, "default_rate_declined": 9}, extra_ctes=O.MODEL_CTES)
+def q_policy_declines(spark, sf_dir):
+    return policy.policy_summary(_feat(spark, sf_dir))
+
+
+@register("oot_cutoff_date", """
+SELECT cutoff_days, CAST(DATE '1970-01-01' + CAST(floor(cutoff_days) AS INTEGER) AS DATE) AS cutoff_date
+FROM cut""", {"cutoff_days": 6}, extra_ctes=O.MODEL_CTES, dates=("cutoff_date",))
+def q_oot_cutoff_date(spark, sf_dir):
+    return policy.oot_cutoff(policy.passing(_feat(spark, sf_dir)))
+
+
+@register("oot_split_counts", """
+SELECT 'train' AS split, COUNT(*) AS n_loans, AVG(is_default) AS default_rate,
+  MIN(issue_date) AS min_issue_date, MAX(issue_date) AS max_issue_date FROM train
+UNION ALL
+SELECT 'test', COUNT(*), AVG(is_default), MIN(issue_date), MAX(issue_date) FROM test""",
+          {"default_rate": 9}, extra_ctes=O.MODEL_CTES, dates=("min_issue_date", "max_issue_date"))
+def q_oot_split_counts(spark, sf_dir):
+    p = policy.passing(_feat(spark, sf_dir))
+    _, _, cut = policy.oot_split(p)
+    return policy.split_counts(p, cut)
+
+
+@register("impute_medians", O.medians_sql(policy.NUMERIC), {"median": 6}, extra_ctes=O.MODEL_CTES)
+def q_impute_medians(spark, sf_dir):
+    train, _, _ = policy.oot_split(policy.passing(_feat(spark, sf_dir)))
+    return prep.long_table(spark, {"median": prep.medians(train)}, policy.NUMERIC)
+
+
+_prep_ctes, _prep_sql = O.prep_stats_sql(policy.NUMERIC)
+
+
+@register("scale_stats", _prep_sql, {"median": 6, "mean": 4, "std": 4}, extra_ctes=O.MODEL_CTES + _prep_ctes)
+def q_scale_stats(spark, sf_dir):
+    train, _, _ = policy.oot_split(policy.passing(_feat(spark, sf_dir)))
+    return prep.prep_stats_frame(train)
+
+
+# ---------------------------------------------------------------- scores and cutoffs
+@register("score_metrics", """
+SELECT 'score' AS model, (SELECT COUNT(*) FROM s0) AS n, a.auc, 2 * a.auc - 1 AS gini,
+  (SELECT AVG((pd_hat - is_default) * (pd_hat - is_default)) FROM s0) AS brier
+FROM (SELECT SUM(pos * (below + 0.5 * neg)) / (SUM(pos) * SUM(neg)) AS auc FROM sg) a""",
+          {"auc": 9, "gini": 9, "brier": 9},
+          extra_ctes=O.SCORE_CTES + [
+              ("s0", "SELECT pd_hat, is_default FROM sc WHERE pd_hat IS NOT NULL"),
+              ("sg0", "SELECT pd_hat, CAST(SUM(is_default) AS DOUBLE) AS pos, "
+                      "CAST(COUNT(*) - SUM(is_default) AS DOUBLE) AS neg FROM s0 GROUP BY pd_hat"),
+              ("sg", "SELECT pos, neg, COALESCE(SUM(neg) OVER (ORDER BY pd_hat ROWS BETWEEN UNBOUNDED "
+                     "PRECEDING AND 1 PRECEDING), 0) AS below FROM sg0")])
+def q_score_metrics(spark, sf_dir):
+    return score_metrics(cutoff.deterministic_scores(_feat(spark, sf_dir)), "pd_hat", "is_default")
+
+
+_CUT_ROUND = {"approval_rate": 9, "default_rate": 9, "disbursed_share": 9, "loss_per_100cr_inr": 9}
+
+
+def _cutoff_table(spark, sf_dir):
+    f = _feat(spark, sf_dir)
+    return cutoff.cutoff_table(cutoff.deterministic_scores(f), loss.grade_loss(f))
+
+
+@register("cutoff_table", "SELECT * FROM ctab", _CUT_ROUND, extra_ctes=O.SCORE_CTES)
+def q_cutoff_table(spark, sf_dir):
+    return _cutoff_table(spark, sf_dir)
+
+
+@register("cutoff_marginal", """
+SELECT pd_cutoff, LAG(pd_cutoff, 5) OVER w AS from_cutoff,
+  (approval_rate - LAG(approval_rate, 5) OVER w) * 100 AS d_approval_pp,
+  (default_rate - LAG(default_rate, 5) OVER w) * 100 AS d_default_pp,
+  loss_per_100cr_inr - LAG(loss_per_100cr_inr, 5) OVER w AS d_loss_per_100
+FROM ctab WINDOW w AS (ORDER BY pd_cutoff DESC)""",
+          {"d_approval_pp": 7, "d_default_pp": 7, "d_loss_per_100": 7}, extra_ctes=O.SCORE_CTES)
+def q_cutoff_marginal(spark, sf_dir):
+    return cutoff.cutoff_marginal(_cutoff_table(spark, sf_dir))
+
+
+@register("cutoff_at_25", "SELECT * FROM ctab WHERE abs(pd_cutoff - 0.25) < 1e-9", _CUT_ROUND,
+          extra_ctes=O.SCORE_CTES)
+def q_cutoff_at_25(spark, sf_dir):
+    return cutoff.cutoff_lookup(_cutoff_table(spark, sf_dir), 0.25)
+
+
+@register("book_baseline", """
+SELECT COUNT(*) AS n, AVG(is_default) AS default_rate,
+  SUM(CASE WHEN is_default = 1 THEN loan_amnt * lgd ELSE 0 END) / SUM(loan_amnt) * 100 AS loss_per_100cr_inr
+FROM scf""", {"default_rate": 9, "loss_per_100cr_inr": 9}, extra_ctes=O.SCORE_CTES)
+def q_book_baseline(spark, sf_dir):
+    f = _feat(spark, sf_dir)
+    return cutoff.book_baseline(cutoff.deterministic_scores(f), loss.grade_loss(f))
+
+
 def queries() -> dict[str, Builder]:
     return {name: q.run for name, q in REGISTRY.items()}
 

@@ -62,6 +62,6 @@ def ratio(num, den) -> Column:
 
 
 def nan_to_null(c) -> Column:
-    """Treat NaN as missing, as pandas comparisons and medians do."""
-    c = _c(c)
+    """Treat NaN as missing, as pandas comparisons and medians do (double result)."""
+    c = _c(c).cast("double")
     return F.when(~F.isnan(c), c)

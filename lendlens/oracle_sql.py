@@ -128,3 +128,50 @@ def with_ctes(select: str, extra: list[tuple[str, str]] = (), rounding: dict | N
     repl = ", ".join((f"CAST({c} AS VARCHAR)" if d == "text" else round_half_away_sql(c, d)) + f" AS {c}"
                      for c, d in rounding.items())
     return sel + f"SELECT * REPLACE ({repl}) FROM __q"
+
+
+_DAYS = "date_diff('day', DATE '1970-01-01', issue_date)"
+
+MODEL_CTES = [
+    ("pol", """SELECT *, (COALESCE(dti > 60, false) OR COALESCE(fico < 640, false)
+        OR COALESCE(revol_util > 120, false)
+        OR COALESCE(annual_inc < 200000.0 / 83.0
+                    AND (CASE WHEN annual_inc = 0 THEN loan_amnt > 0 ELSE loan_amnt / annual_inc > 0.8 END),
+                    false)) AS declined
+      FROM features"""),
+    ("passing", "SELECT * FROM pol WHERE NOT declined"),
+    ("cut", f"SELECT quantile_cont({_DAYS}, 0.8) AS cutoff_days FROM passing"),
+    ("train", f"SELECT * FROM passing WHERE {_DAYS} <= (SELECT cutoff_days FROM cut)"),
+    ("test", f"SELECT * FROM passing WHERE {_DAYS} > (SELECT cutoff_days FROM cut)"),
+]
+
+
+def _nn(c: str) -> str:
+    return f"CASE WHEN isnan(CAST({c} AS DOUBLE)) THEN NULL ELSE CAST({c} AS DOUBLE) END"
+
+
+def medians_sql(cols: list[str]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, median({_nn(c)}) AS median FROM train" for c in cols)
+
+
+def prep_stats_sql(cols: list[str]) -> tuple[list, str]:
+    med = ", ".join(f"median({_nn(c)}) AS {c}" for c in cols)
+    parts = [f"SELECT '{c}' AS feature, any_value(m.{c}) AS median, AVG(COALESCE({_nn('t.' + c)}, m.{c})) AS mean, "
+             f"stddev_pop(COALESCE({_nn('t.' + c)}, m.{c})) AS std FROM train t, med m" for c in cols]
+    return [("med", f"SELECT {med} FROM train")], "\nUNION ALL\n".join(parts)
+
+
+SCORE_CTES = [
+    ("sc", "SELECT loan_amnt, int_rate, grade, purpose, is_default, revol_util / 200.0 AS pd_hat FROM features"),
+    ("scl", """SELECT s.*, g.lgd AS lgd0 FROM sc s LEFT JOIN grades g ON s.grade IS NOT DISTINCT FROM g.grade"""),
+    ("scf", "SELECT *, COALESCE(lgd0, (SELECT AVG(lgd0) FROM scl)) AS lgd FROM scl"),
+    ("grid", """SELECT i, CAST(0.05 AS DOUBLE) + i * ((CAST(0.05 AS DOUBLE) + CAST(0.01 AS DOUBLE))
+                   - CAST(0.05 AS DOUBLE)) AS cutoff, CAST(i + 5 AS DOUBLE) / 100.0 AS label
+                FROM range(56) t(i)"""),
+    ("ctab", """SELECT any_value(label) AS pd_cutoff,
+        COUNT(*) / (SELECT COUNT(*) FROM scf) AS approval_rate,
+        AVG(is_default) AS default_rate,
+        SUM(loan_amnt) / (SELECT SUM(loan_amnt) FROM scf) AS disbursed_share,
+        SUM(CASE WHEN is_default = 1 THEN loan_amnt * lgd ELSE 0 END) / SUM(loan_amnt) * 100 AS loss_per_100cr_inr
+      FROM grid JOIN scf ON scf.pd_hat < grid.cutoff GROUP BY i"""),
+]
