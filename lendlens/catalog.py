@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lendlens import oracle_sql as O
 from lendlens.functions.numeric import round_half_away
 from lendlens.operators.metrics import score_metrics
-from lendlens.plans import cutoff, loss, policy, prep, segments, vintage
+from lendlens.plans import cutoff, loss, policy, prep, reports, segments, vintage
 from lendlens.plans.book import book
 from lendlens.plans.staging import staging_sanity
 
@@ -308,6 +308,127 @@ def q_book_baseline(spark, sf_dir):
     return cutoff.book_baseline(cutoff.deterministic_scores(f), loss.grade_loss(f))
 
 
+# ---------------------------------------------------------------- reports
+@register("grade_overview", """
+SELECT grade, COUNT(*) AS n_loans, AVG(is_default) * 100 AS default_pct, AVG(int_rate) AS avg_rate_pct,
+  AVG(fico) AS avg_fico, AVG(dti) AS avg_dti, SUM(loan_amnt) / 1e9 AS disbursed_bn_usd
+FROM features GROUP BY grade""",
+          {"default_pct": 9, "avg_rate_pct": 8, "avg_fico": 9, "avg_dti": 8, "disbursed_bn_usd": 6})
+def q_grade_overview(spark, sf_dir):
+    return reports.grade_overview(_feat(spark, sf_dir))
+
+
+@register("verification_profile", """
+SELECT verification_status, COUNT(*) AS n, AVG(is_default) * 100 AS default_pct,
+  AVG(annual_inc) AS avg_income, AVG(dti) AS avg_dti, AVG(int_rate) AS avg_rate
+FROM features GROUP BY 1""", {"default_pct": 9, "avg_income": 4, "avg_dti": 8, "avg_rate": 8})
+def q_verification_profile(spark, sf_dir):
+    return reports.verification_profile(_feat(spark, sf_dir))
+
+
+_HEAT = """SELECT grade, income_decile, SUM(n_loans * default_rate) / SUM(n_loans) AS default_rate,
+  SUM(defaulted_amount) / SUM(disbursed) AS bad_share FROM seg GROUP BY grade, income_decile"""
+
+
+@register("heatmap_long", _HEAT, {"default_rate": 9, "bad_share": 9})
+def q_heatmap_long(spark, sf_dir):
+    return reports.heatmap_long(segments.segment_risk(_feat(spark, sf_dir)))
+
+
+@register("heatmap_pivot", "SELECT grade, " + ", ".join(
+    f"MAX(CASE WHEN income_decile = {i} THEN default_rate END) AS d{i}" for i in range(1, 11))
+          + " FROM heat GROUP BY grade", {f"d{i}": 9 for i in range(1, 11)}, extra_ctes=[("heat", _HEAT)])
+def q_heatmap_pivot(spark, sf_dir):
+    return reports.heatmap_pivot(segments.segment_risk(_feat(spark, sf_dir)))
+
+
+_KPI = """SELECT SUM(loan_amnt) AS disbursed, SUM(loan_amnt) * 83 / 10000000 AS disbursed_cr,
+  COUNT(*) AS n_loans, SUM(is_default) / COUNT(*) AS default_rate,
+  SUM(CASE WHEN is_default = 1 THEN loan_amnt - actual_total_pymnt - actual_recoveries ELSE 0 END)
+    / SUM(loan_amnt) AS loss_rate, AVG(fico) AS avg_fico FROM features"""
+_KPI_ROUND = {"disbursed": 2, "disbursed_cr": 4, "default_rate": 9, "loss_rate": 9, "avg_fico": 9}
+_SLICE = dict(term_months=36, grades=("A", "B", "C"), purposes=("debt_consolidation",), vintage_year=1998)
+
+
+@register("portfolio_kpis", _KPI, _KPI_ROUND)
+def q_portfolio_kpis(spark, sf_dir):
+    return reports.portfolio_kpis(_feat(spark, sf_dir))
+
+
+@register("portfolio_kpis_sliced", _KPI + """ WHERE term_months = 36 AND grade IN ('A', 'B', 'C')
+  AND purpose IN ('debt_consolidation') AND year(issue_date) = 1998""", _KPI_ROUND)
+def q_portfolio_kpis_sliced(spark, sf_dir):
+    return reports.portfolio_kpis(_feat(spark, sf_dir), **_SLICE)
+
+
+@register("default_by_grade", "SELECT grade, COUNT(*) AS n_loans, SUM(is_default) / COUNT(*) AS default_rate "
+          "FROM features GROUP BY grade", {"default_rate": 9})
+def q_default_by_grade(spark, sf_dir):
+    return reports.default_by(_feat(spark, sf_dir), "grade")
+
+
+@register("default_by_year", "SELECT CAST(year(issue_date) AS INTEGER) AS yr, COUNT(*) AS n_loans, "
+          "SUM(is_default) / COUNT(*) AS default_rate FROM features GROUP BY 1", {"default_rate": 9})
+def q_default_by_year(spark, sf_dir):
+    return reports.default_by_year(_feat(spark, sf_dir))
+
+
+@register("disbursed_by_purpose", "SELECT purpose, SUM(loan_amnt) AS disbursed, COUNT(*) AS n_loans "
+          "FROM features GROUP BY purpose", {"disbursed": 2})
+def q_disbursed_by_purpose(spark, sf_dir):
+    return reports.disbursed_by_purpose(_feat(spark, sf_dir))
+
+
+@register("default_lift", """
+SELECT grade, COUNT(*) AS n_loans, SUM(is_default) / COUNT(*) AS default_rate,
+  (SUM(is_default) / COUNT(*)) / (SELECT AVG(is_default) FROM features) AS lift
+FROM features WHERE term_months = 36 GROUP BY grade""", {"default_rate": 9, "lift": 9})
+def q_default_lift(spark, sf_dir):
+    return reports.default_lift(_feat(spark, sf_dir), "grade", term_months=36)
+
+
+@register("bad_share", "SELECT grade, SUM(loan_amnt) FILTER (WHERE is_default = 1) / SUM(loan_amnt) AS bad_share "
+          "FROM features GROUP BY grade", {"bad_share": 9})
+def q_bad_share(spark, sf_dir):
+    return reports.bad_share(_feat(spark, sf_dir))
+
+
+@register("worst_pocket", """SELECT * FROM seg WHERE grade IN ('D', 'E', 'F', 'G')
+  AND purpose = 'debt_consolidation' AND income_decile <= 5""", {**_SEG_ROUND, "lift_vs_book": 9})
+def q_worst_pocket(spark, sf_dir):
+    return reports.worst_pocket(segments.segment_risk(_feat(spark, sf_dir)), ("D", "E", "F", "G"),
+                                "debt_consolidation", 5)
+
+
+def _density_sql(col: str) -> str:
+    return f"""
+WITH st AS (SELECT is_default AS cls, COUNT(*) AS n, stddev_samp({col}) * pow(COUNT(*), -0.2) AS h,
+              MIN({col}) AS lo, MAX({col}) AS hi FROM features WHERE {col} IS NOT NULL GROUP BY is_default),
+gr AS (SELECT cls, k, (lo - 3 * h) + k * (((hi + 3 * h) - (lo - 3 * h)) / 199.0) AS x, h, n
+       FROM st, range(200) t(k)),
+dv AS (SELECT is_default AS cls, {col} AS v, COUNT(*) AS c FROM features WHERE {col} IS NOT NULL GROUP BY 1, 2)
+SELECT gr.cls AS is_default, gr.k AS grid_index, any_value(gr.x) AS x,
+  SUM(dv.c * exp(-0.5 * ((gr.x - dv.v) / gr.h) * ((gr.x - dv.v) / gr.h)))
+    / (any_value(gr.n) * any_value(gr.h) * sqrt(2 * pi())) AS density
+FROM gr JOIN dv USING (cls) GROUP BY gr.cls, gr.k"""
+
+
+for _col, _name in (("int_rate", "density_rate"), ("fico", "density_fico"), ("dti", "density_dti")):
+    def _mk(col):
+        def build(spark, sf_dir):
+            return reports.class_density(_feat(spark, sf_dir), col)
+        return build
+    register(_name, None)(_mk(_col))
+    REGISTRY[_name].sql = O.with_ctes("SELECT * FROM dens", [("dens", _density_sql(_col).replace(
+        "WITH st AS", "SELECT * FROM (WITH st AS") + ")")], {"x": 6, "density": 9})
+    REGISTRY[_name].rounding = {"x": 6, "density": 9}
+
+
+@register("sample_loans", None)
+def q_sample_loans(spark, sf_dir):
+    return reports.sample_loans(_feat(spark, sf_dir))
+
+
 def queries() -> dict[str, Builder]:
     return {name: q.run for name, q in REGISTRY.items()}
 
