@@ -24,6 +24,15 @@ class Book:
         self.raw = raw
         self.loans = materialize(stage_loans(raw), "loans")
         self.features = materialize(loan_features(self.loans), "loan_features")
+        self.cache: dict = {}
+
+    def models(self, gbt_iter: int = 400, **kw):
+        """Trained models and test scores for these settings (fitted once)."""
+        from lendlens.plans.model import train_and_score
+        key = ("models", gbt_iter, tuple(sorted(kw.items())))
+        if key not in self.cache:
+            self.cache[key] = train_and_score(self.features, gbt_iter=gbt_iter, **kw)
+        return self.cache[key]
 
 
 def book(spark: SparkSession, sf_dir: str) -> Book:
