@@ -33,7 +33,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendlens.operators.joins import join_small
+from lendlens.operators.joins import join_small, pin_small
 
 # Rows sampled at most to place sub-bucket boundaries of hot keys.
 HOT_SAMPLE_ROWS = 200_000
@@ -142,77 +142,149 @@ def _ntile_sql(r: str, n: str, k: int) -> F.Column:
                   f"ELSE {m} + ({r} - 1 - {c}) div greatest({q}, 1) + 1 END AS BIGINT)")
 
 
-def _offsets(df: DataFrame, spec: RankSpec, i: int, bcol: str, scol: str, limit: int) -> DataFrame:
-    """Per (partition keys, bucket, piece): rows before it, rows before its key, partition size."""
+def _offsets(df: DataFrame, spec: RankSpec, i: int, bcol: str, scol: str) -> DataFrame:
+    """Per (partition keys, bucket, piece): rows before it, rows before its key,
+    partition size and, when every row of the piece gets the same answer,
+    that answer (``__const``)."""
     grp = list(spec.parts) + [bcol, scol]
     counts = df.groupBy(*grp).agg(F.count(F.lit(1)).alias("_cnt"))
     wpart = Window.partitionBy(*spec.parts)
     wcum = wpart.orderBy(bcol, scol).rowsBetween(Window.unboundedPreceding, -1)
     whole = wpart.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     wkey = Window.partitionBy(*(list(spec.parts) + [bcol]))
-    return (counts
-            .withColumn(f"__off{i}", F.coalesce(F.sum("_cnt").over(wcum), F.lit(0)).cast("bigint"))
-            .withColumn(f"__npart{i}", F.sum("_cnt").over(whole).cast("bigint"))
-            .withColumn(f"__kbase{i}", F.min(f"__off{i}").over(wkey))
-            .drop("_cnt"))
+    off = (counts
+           .withColumn(f"__off{i}", F.coalesce(F.sum("_cnt").over(wcum), F.lit(0)).cast("bigint"))
+           .withColumn(f"__npart{i}", F.sum("_cnt").over(whole).cast("bigint"))
+           .withColumn(f"__kbase{i}", F.min(f"__off{i}").over(wkey))
+           .withColumn("__first", F.col(f"__off{i}") + 1)
+           .withColumn("__last", F.col(f"__off{i}") + F.col("_cnt")))
+    if spec.kind == "ntile":
+        first, last = _ntile_sql("__first", f"__npart{i}", spec.tiles), _ntile_sql("__last", f"__npart{i}", spec.tiles)
+        const = F.when(first == last, first)
+    elif spec.kind == "row_number":
+        const = F.when(F.col("_cnt") == 1, F.col("__first"))
+    else:
+        const = F.lit(None).cast("bigint")
+    return off.withColumn(f"__const{i}", const.cast("bigint")).drop("_cnt", "__first", "__last")
+
+
+def _rank_by_value(df: DataFrame, spec: RankSpec, limit: int) -> DataFrame | None:
+    """PERCENT_RANK from counts per (partition keys, key value), if that table is small.
+
+    Ties share a rank, so the rank of a row depends only on its key: rows
+    with a smaller key in the partition, plus one.  The count table is built
+    by partial aggregation and pinned after a size check; None when larger.
+    """
+    k = F.col(spec.key).cast("double")
+    counts = df.groupBy(*spec.parts, k.alias("__v")).agg(F.count(F.lit(1)).alias("_cnt"))
+    pinned = pin_small(counts, limit)
+    if pinned is None:
+        return None
+    wpart = Window.partitionBy(*spec.parts)
+    below = F.coalesce(F.sum("_cnt").over(
+        wpart.orderBy(F.col("__v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    n = F.sum("_cnt").over(wpart.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    pr = F.when(n > 1, below.cast("double") / (n - 1).cast("double")).otherwise(F.lit(0.0))
+    return pinned.select(*spec.parts, "__v", pr.alias(spec.name))
 
 
 def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | None = None,
               small_limit: int = 200_000) -> DataFrame:
     """Append the ranking columns in ``specs`` to ``df``.
 
-    Before the final plan ``df`` is scanned once for quantiles of every key,
-    once per spec for counts (and once more per spec with hot values, on a
-    sample), each time reading only key, tie-break and partition columns:
-    pass a materialised table.  The final plan is one window shuffle per spec,
-    partitioned by (partition keys, bucket, piece), plus broadcast lookups.
+    * PERCENT_RANK: from the (partition, value) count table when it holds at
+      most ``small_limit`` rows (rates, ratios with few decimals), joined back
+      by broadcast: no shuffle of the rows.  Otherwise bucketed as below.
+    * NTILE / ROW_NUMBER: rows are range-bucketed on literal boundaries; a
+      bucket that lies inside one tile gets its tile from the pinned offset
+      table, and only rows of the buckets that straddle a tile edge (at most
+      k - 1 per partition) are shuffled and numbered by a window.
+
+    Before the final plan ``df`` is scanned for quantiles, counts and (with
+    hot keys) a bounded sample, each pass reading only key, tie-break and
+    partition columns: pass a materialised table.  The final plan scans it
+    twice (constant and numbered rows) and unions the two.
     """
     if not specs:
         return df
     spark = df.sparkSession
     B = buckets or default_buckets(spark)
-    probs = [i / B for i in range(1, B)]
-    acc = max(10_000, 20 * B)
-
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, s in enumerate(specs):
-        k = F.col(s.key).cast("double")
-        valid = F.when(~F.isnan(k), k)
-        aggs += [F.percentile_approx(valid, probs, acc).alias(f"_q{i}"),
-                 F.count(valid).alias(f"_v{i}"),
-                 F.count(F.when(F.isnan(k), 1)).alias(f"_nan{i}")]
-    stats = df.agg(*aggs).first().asDict()
-    n = stats["_n"]
-
-    plans = []
-    for i, s in enumerate(specs):
-        splits, nb, hot, target = _bucket_plan(stats, i, B, n)
-        bcol, scol = f"__b{i}", f"__s{i}"
-        narrow = _bucket_col(df.select(*s.parts, s.key, tie), s.key, splits, nb, bcol)
-        bounds = _sub_bounds(narrow, bcol, tie, hot, target)
-        narrow = narrow.withColumn(scol, _sub_col(bcol, tie, bounds))
-        plans.append((splits, nb, hot, bounds, _offsets(narrow, s, i, bcol, scol, small_limit)))
+
+    by_value, bucketed = {}, []
+    for s in specs:
+        t = _rank_by_value(df, s, small_limit) if s.kind == "percent_rank" else None
+        if t is not None:
+            by_value[s.name] = t
+        else:
+            bucketed.append(s)
+
+    plans = {}
+    if bucketed:
+        probs = [i / B for i in range(1, B)]
+        acc = max(10_000, 20 * B)
+        aggs = [F.count(F.lit(1)).alias("_n")]
+        for i, s in enumerate(bucketed):
+            k = F.col(s.key).cast("double")
+            valid = F.when(~F.isnan(k), k)
+            aggs += [F.percentile_approx(valid, probs, acc).alias(f"_q{i}"),
+                     F.count(valid).alias(f"_v{i}"),
+                     F.count(F.when(F.isnan(k), 1)).alias(f"_nan{i}")]
+        stats = df.agg(*aggs).first().asDict()
+        for i, s in enumerate(bucketed):
+            splits, nb, hot, target = _bucket_plan(stats, i, B, stats["_n"])
+            bcol, scol = f"__b{i}", f"__s{i}"
+            narrow = _bucket_col(df.select(*s.parts, s.key, tie), s.key, splits, nb, bcol)
+            bounds = _sub_bounds(narrow, bcol, tie, hot, target)
+            narrow = narrow.withColumn(scol, _sub_col(bcol, tie, bounds))
+            offs = pin_small(_offsets(narrow, s, i, bcol, scol), small_limit)
+            if offs is None:
+                raise ValueError(f"{s.name}: more than {small_limit} (partition, bucket) cells; "
+                                 "use fewer buckets or a coarser partition")
+            plans[i] = (splits, nb, hot, bounds, offs)
 
     out = df
-    for i, (s, (splits, nb, hot, bounds, offs)) in enumerate(zip(specs, plans)):
+    helpers = []
+    for i, s in enumerate(bucketed):
+        splits, nb, hot, bounds, offs = plans[i]
         bcol, scol = f"__b{i}", f"__s{i}"
         out = _bucket_col(out, s.key, splits, nb, bcol).withColumn(scol, _sub_col(bcol, tie, bounds))
-        grp = list(s.parts) + [bcol, scol]
-        out = join_small(out, offs, grp, limit=small_limit)
-        wloc = Window.partitionBy(*grp)
-        key_order = F.col(s.key).cast("double").asc_nulls_last()
-        off, npart = F.col(f"__off{i}"), F.col(f"__npart{i}")
-        if s.kind in ("ntile", "row_number"):
-            pos = off + F.row_number().over(wloc.orderBy(key_order, F.col(tie).asc_nulls_last()))
-            out = out.withColumn(f"__r{i}", pos.cast("bigint"))
+        out = join_small(out, offs, list(s.parts) + [bcol, scol], limit=small_limit)
+        helpers += [bcol, scol, f"__off{i}", f"__npart{i}", f"__kbase{i}", f"__const{i}"]
+
+    positional = [(i, s) for i, s in enumerate(bucketed) if s.kind != "percent_rank"]
+    if positional:
+        need = F.lit(False)
+        for i, _ in positional:
+            need = need | F.col(f"__const{i}").isNull()
+        fixed = out.filter(~need).withColumns({s.name: F.col(f"__const{i}") for i, s in positional})
+        moving = out.filter(need)
+        for i, s in positional:
+            grp = list(s.parts) + [f"__b{i}", f"__s{i}"]
+            w = Window.partitionBy(*grp).orderBy(F.col(s.key).cast("double").asc_nulls_last(),
+                                                 F.col(tie).asc_nulls_last())
+            moving = moving.withColumn(f"__r{i}", (F.col(f"__off{i}") + F.row_number().over(w)).cast("bigint"))
             val = F.col(f"__r{i}") if s.kind == "row_number" else _ntile_sql(f"__r{i}", f"__npart{i}", s.tiles)
-        elif s.kind == "percent_rank":
-            hot_b = F.col(bcol).isin(list(hot)) if hot else F.lit(False)
-            base = F.when(hot_b, F.col(f"__kbase{i}")).otherwise(off)
-            rank = base + F.rank().over(wloc.orderBy(key_order))
-            val = F.when(npart > 1, (rank - 1).cast("double") / (npart - 1).cast("double")).otherwise(F.lit(0.0))
-        else:
-            raise ValueError(f"unknown rank kind {s.kind}")
-        out = (out.withColumn(s.name, val)
-               .drop(bcol, scol, f"__off{i}", f"__npart{i}", f"__kbase{i}", f"__r{i}"))
-    return out
+            moving = moving.withColumn(s.name, F.coalesce(F.col(f"__const{i}"), val)).drop(f"__r{i}")
+        out = fixed.unionByName(moving)
+
+    for i, s in enumerate(bucketed):
+        if s.kind != "percent_rank":
+            continue
+        _, _, hot, _, _ = plans[i]
+        grp = list(s.parts) + [f"__b{i}", f"__s{i}"]
+        hot_b = F.col(f"__b{i}").isin(list(hot)) if hot else F.lit(False)
+        base = F.when(hot_b, F.col(f"__kbase{i}")).otherwise(F.col(f"__off{i}"))
+        rank = base + F.rank().over(Window.partitionBy(*grp).orderBy(F.col(s.key).cast("double").asc_nulls_last()))
+        npart = F.col(f"__npart{i}")
+        out = out.withColumn(s.name, F.when(npart > 1, (rank - 1).cast("double") / (npart - 1).cast("double"))
+                             .otherwise(F.lit(0.0)))
+
+    for name, t in by_value.items():
+        s = next(x for x in specs if x.name == name)
+        kcol = f"__k_{name}"
+        out = join_small(out.withColumn(kcol, F.col(s.key).cast("double")),
+                         t.withColumnRenamed("__v", kcol), list(s.parts) + [kcol], how="left",
+                         limit=small_limit).drop(kcol)
+
+    out = out.drop(*helpers)
+    return out.select(*df.columns, *[s.name for s in specs])

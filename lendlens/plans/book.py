@@ -21,8 +21,10 @@ class Book:
 
     def __init__(self, spark: SparkSession, raw: DataFrame):
         self.spark = spark
-        self.raw = raw
-        self.loans = materialize(stage_loans(raw), "loans")
+        # Land the raw text once (as the analysed pipeline lands its file),
+        # so staging reads plain columns and later scans split and prune.
+        self.raw = materialize(raw, "loans_raw")
+        self.loans = materialize(stage_loans(self.raw), "loans")
         self.features = materialize(loan_features(self.loans), "loan_features")
         self.cache: dict = {}
 

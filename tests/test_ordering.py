@@ -78,3 +78,16 @@ def test_hot_key_is_split(spark):
     bucketed = o._bucket_col(df, "x", splits, nb, "__b")
     bounds = o._sub_bounds(bucketed, "__b", "loan_id", hot, target)
     assert len(bounds[b50]) >= 4
+
+
+def test_percent_rank_bucketed_fallback(spark):
+    """With a distinct-key table over the limit, percent_rank uses bucketed windows."""
+    df = _data(spark, n=3000, seed=9)
+    ours = add_ranks(df, [RankSpec("pr", "x", "percent_rank", parts=("grade",)),
+                          RankSpec("t", "x", "ntile", tiles=4)], tie="loan_id", buckets=16, small_limit=1000)
+    key = F.col("x").asc_nulls_last()
+    native = df.select("loan_id", "grade", "x",
+                       F.percent_rank().over(W.partitionBy("grade").orderBy(key)).alias("pr"),
+                       F.ntile(4).over(W.orderBy(key, F.col("loan_id"))).cast("bigint").alias("t"))
+    norm = lambda rows: sorted(tuple(repr(v) for v in r) for r in rows)
+    assert norm(ours.collect()) == norm(native.collect())
