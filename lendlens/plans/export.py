@@ -55,3 +55,33 @@ def export_star(out_dir: str, features: DataFrame, seg_risk: DataFrame, curves:
     write_small_csv(grades, paths["grade_loss_csv"])
     write_small_csv(seg_el, paths["segment_expected_loss_csv"])
     return paths
+
+
+def save_table(df: DataFrame, name: str, database: str | None = None) -> str:
+    """Create-or-replace a catalog table (``database.name``) from a query."""
+    spark = df.sparkSession
+    full = f"{database}.{name}" if database else name
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    df.write.mode("overwrite").format("parquet").saveAsTable(full)
+    return full
+
+
+def write_scores(scores: DataFrame, path: str) -> None:
+    """Scored test set as Parquet."""
+    scores.write.mode("overwrite").parquet(path)
+
+
+def read_scores(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def write_cutoff_csv(table: DataFrame, path: str) -> None:
+    """The cutoff table (tens of rows) as one CSV file with header."""
+    write_small_csv(table.orderBy("pd_cutoff"), path)
+
+
+def read_cutoff_csv(spark, path: str) -> DataFrame:
+    schema = ("pd_cutoff double, approval_rate double, default_rate double, disbursed_share double, "
+              "loss_per_100cr_inr double")
+    return spark.read.option("header", True).schema(schema).csv(path)

@@ -8,15 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.functions.cleaning import nan_to_null
+from lendlens.operators.quantile import exact_quantiles
 from lendlens.plans.policy import NUMERIC
 
 MISSING_LEVEL = "__missing__"
 
 
 def medians(train: DataFrame, cols: list[str] = NUMERIC) -> dict[str, float]:
-    """M3: exact (interpolated) median per column, NaN treated as missing; one pass."""
-    row = train.agg(*[F.median(nan_to_null(c)).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    """M3: exact (interpolated) median per column, NaN treated as missing.
+
+    Bracketed order statistics (``exact_quantiles``): every pass is one
+    aggregate over all columns, and no task holds a column's distinct values.
+    """
+    return exact_quantiles(train, list(cols), 0.5)
 
 
 def long_table(spark, stats: dict[str, dict[str, float]], cols: list[str]) -> DataFrame:

@@ -12,7 +12,8 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from lendlens.session import get_spark
-    s = get_spark("local[4]", 8)
+    s = get_spark("local[4]", 8, extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lendlens-wh-")})
     yield s
     s.stop()
