@@ -1,10 +1,9 @@
 """Registry of named queries: Spark builder + DuckDB oracle text + compare rounding.
 
 Each builder takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
-fixture book of ``sf_dir``.  Output doubles are rounded identically on both
-sides (half away from zero on the binary value): money to 2 places,
-aggregate ratios to 9, row-level derived values to 6, because sums of
-doubles depend on addition order.
+fixture book of ``sf_dir``.  Output doubles are snapped to a grid identically on both
+sides (``gate_snap``): money to 2 places, aggregate ratios to 9, row-level
+derived values to 6, because sums of doubles depend on addition order.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens import oracle_sql as O
-from lendlens.functions.numeric import round_half_away
+from lendlens.functions.numeric import gate_snap
 from lendlens.operators.metrics import score_metrics
 from lendlens.plans import cutoff, export, loss, policy, prep, reports, segments, vintage
 from lendlens.plans.book import book
@@ -38,7 +37,7 @@ class Query:
         df = self.build(spark, sf_dir)
         out = {}
         for c, d in self.rounding.items():
-            out[c] = F.col(c).cast("string") if d == TEXT else round_half_away(c, d)
+            out[c] = F.col(c).cast("string") if d == TEXT else gate_snap(c, d)
         return df.withColumns(out) if out else df
 
 

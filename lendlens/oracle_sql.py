@@ -8,7 +8,7 @@ Tie-breaks: NTILE orders by the key then ``loan_id``; NULLs sort last.
 
 from __future__ import annotations
 
-from lendlens.functions.numeric import round_half_away_sql
+from lendlens.functions.numeric import gate_snap_sql, round_half_away_sql
 from lendlens.sources.fixture import raw_view_sql
 
 _DOUBLES = ("open_acc", "pub_rec", "revol_bal", "total_acc", "mort_acc", "delinq_2yrs",
@@ -125,7 +125,7 @@ def with_ctes(select: str, extra: list[tuple[str, str]] = (), rounding: dict | N
     if not rounding:
         return f"WITH {body}\n{select}"
     sel = f"WITH {body},\n__q AS ({select})\n"
-    repl = ", ".join((f"CAST({c} AS VARCHAR)" if d == "text" else round_half_away_sql(c, d)) + f" AS {c}"
+    repl = ", ".join((f"CAST({c} AS VARCHAR)" if d == "text" else gate_snap_sql(c, d)) + f" AS {c}"
                      for c, d in rounding.items())
     return sel + f"SELECT * REPLACE ({repl}) FROM __q"
 
