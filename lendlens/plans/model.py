@@ -122,8 +122,12 @@ def train_and_score(features: DataFrame, gbt_iter: int = 400, folds: int = 3, se
         fit_rows, cal_rows = tr.filter(fold != k), tr.filter(fold == k)
         gbt_model, r = _fit_gbt(fit_rows, gbt_iter, seed, early_stopping)
         rounds.append(r)
-        cal = gbt_model.transform(cal_rows).select(_p1().alias("s"), "y")
-        iso = IsotonicRegression(featuresCol="s", labelCol="y", predictionCol="p", isotonic=True).fit(cal)
+        # isotonic fit on (score, weight, mean label): the pooling sorts
+        # distinct scores, not rows
+        cal = (gbt_model.transform(cal_rows).select(_p1().alias("s"), "y")
+               .groupBy("s").agg(F.count(F.lit(1)).cast("double").alias("w"), F.avg("y").alias("y")))
+        iso = IsotonicRegression(featuresCol="s", labelCol="y", weightCol="w", predictionCol="p",
+                                 isotonic=True).fit(cal)
         raw = gbt_model.transform(scored).withColumn("s", _p1()).drop("rawPrediction", "probability",
                                                                            "prediction")
         scored = iso.transform(raw).withColumnRenamed("p", f"p_gbt{k}").drop("s")

@@ -34,3 +34,13 @@ def test_export_star(spark, tmp_path):
     csv = [p for p in os.listdir(paths["grade_loss_csv"]) if p.endswith(".csv")]
     assert len(csv) == 1
     assert spark.read.option("header", True).csv(paths["grade_loss_csv"]).count() == g.count()
+
+
+def test_sample_is_top_n_by_hash(spark):
+    from lendlens.plans.reports import sample_loans
+    f = book(spark, SF001).features
+    n = 500
+    got = [r["loan_id"] for r in sample_loans(f, n=n).collect()]
+    ref = [r["loan_id"] for r in f.select("loan_id", F.xxhash64("loan_id", F.lit(42)).alias("k"))
+           .orderBy("k", "loan_id").limit(n).collect()]
+    assert got == ref
