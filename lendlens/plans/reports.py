@@ -74,7 +74,12 @@ def sliced(features: DataFrame, term_months: int | None = None, grades=None, pur
     if purposes:
         df = df.filter(F.col("purpose").isin(list(purposes)))
     if vintage_year is not None:
-        df = df.filter(F.year("issue_date") == vintage_year)
+        # a date range (not year(...)) is pushed into the scan; the same range on
+        # the quarter column prunes partitions of a quarter-partitioned fact
+        lo, hi = F.lit(f"{vintage_year}-01-01").cast("date"), F.lit(f"{vintage_year + 1}-01-01").cast("date")
+        df = df.filter((F.col("issue_date") >= lo) & (F.col("issue_date") < hi))
+        if "vintage_quarter" in df.columns:
+            df = df.filter((F.col("vintage_quarter") >= lo) & (F.col("vintage_quarter") < hi))
     return df
 
 
