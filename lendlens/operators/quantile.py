@@ -33,7 +33,7 @@ def _in(v: F.Column, lo, hi) -> F.Column:
     return cond & v.isNotNull()
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, collect_limit: int = 20_000,
+def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, collect_limit: int = 2_000,
                     accuracy: int = 10_000, max_rounds: int = 12) -> dict[str, float | None]:
     vals = {c: nan_to_null(c) for c in cols}
     st = {c: {"lo": None, "hi": None, "below": 0, "cnt": None} for c in cols}
@@ -109,15 +109,18 @@ def _finish(df, vals, st, ready, result, limit) -> list:
     """Fetch (value, count) pairs inside each ready bracket and read the answer.
 
     Returns the columns whose bracket still held too many values."""
-    parts = [df.select(F.lit(c).alias("col"), vals[c].alias("v"))
-             .filter(_in(F.col("v"), st[c]["lo"], st[c]["hi"])) for c in ready]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    from pyspark.sql import Window
-    rk = F.row_number().over(Window.partitionBy("col").orderBy("v"))
-    rows = (u.groupBy("col", "v").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("rk", rk).filter(F.col("rk") <= limit + 1).collect())
+    # one scan: each row emits only its in-bracket (column, value) pairs
+    arr = F.array(*[F.when(_in(vals[c], st[c]["lo"], st[c]["hi"]),
+                           F.struct(F.lit(c).alias("col"), vals[c].alias("v"))) for c in ready])
+    pairs_df = (df.select(F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("p"))
+                .select("p.col", "p.v").groupBy("col", "v").agg(F.count(F.lit(1)).alias("n")))
+    cap = limit * len(ready) + 1
+    rows = pairs_df.limit(cap).collect()
+    if len(rows) >= cap:
+        # truncated: fetch with a cap per column instead
+        from pyspark.sql import Window
+        rk = F.row_number().over(Window.partitionBy("col").orderBy("v"))
+        rows = pairs_df.withColumn("rk", rk).filter(F.col("rk") <= limit + 1).collect()
     per: dict[str, list] = {}
     overflow = []
     for r in rows:
