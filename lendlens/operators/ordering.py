@@ -38,6 +38,8 @@ from lendlens.operators.joins import join_small, pin_small
 # Rows sampled at most to place sub-bucket boundaries of hot keys.
 HOT_SAMPLE_ROWS = 200_000
 MAX_SUB_BUCKETS = 4096
+# Fewer buckets than this many rows each are not worth their bookkeeping.
+MIN_BUCKET_ROWS = 2_000
 
 
 @dataclass(frozen=True)
@@ -56,12 +58,19 @@ class RankSpec:
 
 def default_buckets(spark) -> int:
     sp = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(8192, 4 * sp))
+    return max(256, min(8192, 8 * sp))
 
 
 def _bucket_plan(stats, spec_idx: int, buckets: int, n: int):
-    """Literal splits and hot buckets for one key from the first pass."""
-    q = stats[f"_q{spec_idx}"] or []
+    """Literal splits and hot buckets for one key from the first pass.
+
+    The pass computed ``buckets - 1`` quantiles; small inputs use every j-th
+    of them so that buckets keep about ``MIN_BUCKET_ROWS`` rows.
+    """
+    q_all = stats[f"_q{spec_idx}"] or []
+    eff = min(buckets, max(16, n // MIN_BUCKET_ROWS))
+    q = [q_all[(j * buckets) // eff - 1] for j in range(1, eff)] if q_all and eff < buckets else q_all
+    buckets = eff
     n_valid = stats[f"_v{spec_idx}"]
     n_nan = stats[f"_nan{spec_idx}"]
     n_null = n - n_valid - n_nan
