@@ -33,15 +33,20 @@ def _in(v: F.Column, lo, hi) -> F.Column:
     return cond & v.isNotNull()
 
 
+def _accuracy(rows: int, collect_limit: int) -> int:
+    """Sketch accuracy that brackets ``rows`` down to about ``collect_limit`` rows."""
+    return int(min(100_000, max(1_000, 8 * rows / max(1, collect_limit))))
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, collect_limit: int = 2_000,
-                    accuracy: int = 10_000, max_rounds: int = 12) -> dict[str, float | None]:
+                    accuracy: int = 1_000, max_rounds: int = 12) -> dict[str, float | None]:
     vals = {c: nan_to_null(c) for c in cols}
     st = {c: {"lo": None, "hi": None, "below": 0, "cnt": None} for c in cols}
-    # pass 1: sizes, distinct estimate and a first bracket for every column
+    # pass 1: sizes and a first (coarse, cheap) bracket for every column
     d0 = 2.0 / accuracy
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.count(vals[c]).alias(f"n{i}"), F.approx_count_distinct(vals[c]).alias(f"d{i}"),
+        aggs += [F.count(vals[c]).alias(f"n{i}"),
                  F.percentile_approx(vals[c], [max(0.0, q - d0), min(1.0, q + d0)], accuracy).alias(f"q{i}")]
     row = df.agg(*aggs).first()
     result: dict[str, float | None] = {}
@@ -54,10 +59,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, collect_limi
         pos = q * (n - 1)
         k0 = int(math.floor(pos))
         st[c].update(n=n, k0=k0, k1=min(k0 + 1, n - 1), frac=pos - k0, cnt=n, acc=accuracy)
-        if row[f"d{i}"] <= collect_limit // 2:
-            ready.append(c)
-        else:
-            proposed[c] = tuple(row[f"q{i}"])
+        proposed[c] = tuple(row[f"q{i}"])
 
     check, narrow = proposed, []
     for _ in range(max_rounds):
@@ -69,16 +71,21 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, collect_limi
                 s, v = st[c], vals[c]
                 base = _in(v, s["lo"], s["hi"])
                 aggs += [F.count(F.when(base & (v < F.lit(lo)), 1)).alias(f"b{i}"),
-                         F.count(F.when(base & _in(v, lo, hi), 1)).alias(f"c{i}"),
-                         F.approx_count_distinct(F.when(base & _in(v, lo, hi), v)).alias(f"d{i}")]
+                         F.count(F.when(base & _in(v, lo, hi), 1)).alias(f"c{i}")]
             row = df.agg(*aggs).first()
             for i, c in enumerate(check):
                 s = st[c]
                 below, cnt = s["below"] + row[f"b{i}"], row[f"c{i}"]
                 lo, hi = check[c]
                 if below <= s["k0"] and s["k1"] < below + cnt:
-                    s.update(lo=lo, hi=hi, below=below, cnt=cnt)
-                    (ready if row[f"d{i}"] <= collect_limit // 2 else narrow).append(c)
+                    stuck = (lo, hi) == (s["lo"], s["hi"])
+                    s.update(lo=lo, hi=hi, below=below, cnt=cnt, acc=_accuracy(cnt, collect_limit))
+                    if lo == hi:                      # one value holds both order statistics
+                        result[c] = lo
+                    elif cnt <= collect_limit or stuck:
+                        ready.append(c)               # few rows, or a few heavy values
+                    else:
+                        narrow.append(c)
                 else:
                     s["acc"] *= 10          # the approximate bracket missed: refine harder
                     narrow.append(c)
@@ -109,10 +116,14 @@ def _finish(df, vals, st, ready, result, limit) -> list:
     """Fetch (value, count) pairs inside each ready bracket and read the answer.
 
     Returns the columns whose bracket still held too many values."""
-    # one scan: each row emits only its in-bracket (column, value) pairs
-    arr = F.array(*[F.when(_in(vals[c], st[c]["lo"], st[c]["hi"]),
-                           F.struct(F.lit(c).alias("col"), vals[c].alias("v"))) for c in ready])
-    pairs_df = (df.select(F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("p"))
+    # one scan: rows inside some bracket emit their in-bracket (column, value) pairs
+    inside = [_in(vals[c], st[c]["lo"], st[c]["hi"]) for c in ready]
+    any_in = inside[0]
+    for cond in inside[1:]:
+        any_in = any_in | cond
+    arr = F.array(*[F.when(cond, F.struct(F.lit(c).alias("col"), vals[c].alias("v")))
+                    for c, cond in zip(ready, inside)])
+    pairs_df = (df.filter(any_in).select(F.explode(arr).alias("p")).filter(F.col("p").isNotNull())
                 .select("p.col", "p.v").groupBy("col", "v").agg(F.count(F.lit(1)).alias("n")))
     cap = limit * len(ready) + 1
     rows = pairs_df.limit(cap).collect()
