@@ -41,3 +41,27 @@ def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
     cond = reduce(lambda a, b: a & b, conds)
     out = big.join(renamed, cond, how)
     return out.drop(*[f"__r_{k}" for k in keys])
+
+
+def pinned_grouping_sets(df: DataFrame, sets: list[list[str]], aggs: list, limit: int = BROADCAST_ROW_LIMIT):
+    """Several small group-bys of ``df`` in one scan (GROUPING SETS), pinned.
+
+    Returns one DataFrame per grouping set (its key columns plus the
+    aggregates), or None when the combined result exceeds ``limit`` rows.
+    """
+    cols = []
+    for s in sets:
+        for c in s:
+            if c not in cols:
+                cols.append(c)
+    grouped = df.groupingSets(sets, *cols).agg(*aggs, F.grouping_id().alias("__gid"))
+    pinned = pin_small(grouped, limit)
+    if pinned is None:
+        return None
+    names = [c for c in grouped.columns if c not in cols and c != "__gid"]
+    m = len(cols)
+    out = []
+    for s in sets:
+        gid = sum(1 << (m - 1 - j) for j, c in enumerate(cols) if c not in s)
+        out.append(pinned.filter(F.col("__gid") == gid).select(*s, *names))
+    return out

@@ -33,7 +33,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendlens.operators.joins import join_small, pin_small
+from lendlens.operators.joins import join_small, pin_small, pinned_grouping_sets
 
 # Rows sampled at most to place sub-bucket boundaries of hot keys.
 HOT_SAMPLE_ROWS = 200_000
@@ -108,24 +108,35 @@ def _bucket_col(df: DataFrame, key: str, splits, nb: int, out: str) -> DataFrame
             .drop(tmp, f"{out}__raw"))
 
 
-def _sub_bounds(df: DataFrame, bcol: str, tie: str, hot: dict, target: int, seed: int = 17) -> dict:
-    """Tie-break boundaries splitting each hot bucket into bounded pieces."""
-    if not hot:
+def _sub_bounds(df: DataFrame, tie: str, hot_by_spec: dict, seed: int = 17) -> dict:
+    """Tie-break boundaries splitting hot buckets into bounded pieces.
+
+    ``hot_by_spec``: bucket column -> ({bucket: estimated rows}, target rows).
+    One bounded sample of the rows of any hot bucket serves every spec.
+    """
+    hot_by_spec = {b: h for b, h in hot_by_spec.items() if h[0]}
+    if not hot_by_spec:
         return {}
-    total = sum(hot.values())
+    total = sum(sum(h.values()) for h, _ in hot_by_spec.values())
     frac = min(1.0, HOT_SAMPLE_ROWS / max(1.0, total))
-    rows = (df.filter(F.col(bcol).isin(list(hot)) & F.col(tie).isNotNull())
-            .select(bcol, tie).sample(False, frac, seed).collect())
-    per = {}
-    for r in rows:
-        per.setdefault(r[0], []).append(r[1])
+    cond = F.lit(False)
+    for bcol, (hot, _) in hot_by_spec.items():
+        cond = cond | F.col(bcol).isin(list(hot))
+    rows = (df.filter(cond & F.col(tie).isNotNull()).select(*hot_by_spec, tie)
+            .sample(False, frac, seed).collect())
     bounds = {}
-    for b, est in hot.items():
-        ties = sorted(set(per.get(b, [])))
-        want = min(MAX_SUB_BUCKETS, max(2, math.ceil(est / target)), max(1, len(ties)))
-        cut = sorted({ties[(j * len(ties)) // want] for j in range(1, want)}) if want > 1 else []
-        if cut:
-            bounds[b] = cut
+    for bcol, (hot, target) in hot_by_spec.items():
+        per = {}
+        for r in rows:
+            if r[bcol] in hot:
+                per.setdefault(r[bcol], []).append(r[tie])
+        bounds[bcol] = {}
+        for b, est in hot.items():
+            ties = sorted(set(per.get(b, [])))
+            want = min(MAX_SUB_BUCKETS, max(2, math.ceil(est / target)), max(1, len(ties)))
+            cut = sorted({ties[(j * len(ties)) // want] for j in range(1, want)}) if want > 1 else []
+            if cut:
+                bounds[bcol][b] = cut
     return bounds
 
 
@@ -151,12 +162,10 @@ def _ntile_sql(r: str, n: str, k: int) -> F.Column:
                   f"ELSE {m} + ({r} - 1 - {c}) div greatest({q}, 1) + 1 END AS BIGINT)")
 
 
-def _offsets(df: DataFrame, spec: RankSpec, i: int, bcol: str, scol: str) -> DataFrame:
-    """Per (partition keys, bucket, piece): rows before it, rows before its key,
-    partition size and, when every row of the piece gets the same answer,
-    that answer (``__const``)."""
-    grp = list(spec.parts) + [bcol, scol]
-    counts = df.groupBy(*grp).agg(F.count(F.lit(1)).alias("_cnt"))
+def _offsets(counts: DataFrame, spec: RankSpec, i: int, bcol: str, scol: str) -> DataFrame:
+    """Per (partition keys, bucket, piece) with its row count ``_cnt``: rows
+    before it, rows before its key, partition size and, when every row of
+    the piece gets the same answer, that answer (``__const``)."""
     wpart = Window.partitionBy(*spec.parts)
     wcum = wpart.orderBy(bcol, scol).rowsBetween(Window.unboundedPreceding, -1)
     whole = wpart.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -177,18 +186,12 @@ def _offsets(df: DataFrame, spec: RankSpec, i: int, bcol: str, scol: str) -> Dat
     return off.withColumn(f"__const{i}", const.cast("bigint")).drop("_cnt", "__first", "__last")
 
 
-def _rank_by_value(df: DataFrame, spec: RankSpec, limit: int) -> DataFrame | None:
-    """PERCENT_RANK from counts per (partition keys, key value), if that table is small.
+def _rank_by_value(pinned: DataFrame, spec: RankSpec) -> DataFrame:
+    """PERCENT_RANK from pinned counts per (partition keys, key value ``__v``).
 
     Ties share a rank, so the rank of a row depends only on its key: rows
-    with a smaller key in the partition, plus one.  The count table is built
-    by partial aggregation and pinned after a size check; None when larger.
+    with a smaller key in the partition, plus one.
     """
-    k = F.col(spec.key).cast("double")
-    counts = df.groupBy(*spec.parts, k.alias("__v")).agg(F.count(F.lit(1)).alias("_cnt"))
-    pinned = pin_small(counts, limit)
-    if pinned is None:
-        return None
     wpart = Window.partitionBy(*spec.parts)
     below = F.coalesce(F.sum("_cnt").over(
         wpart.orderBy(F.col("__v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -220,12 +223,21 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
     B = buckets or default_buckets(spark)
 
     by_value, bucketed = {}, []
-    for s in specs:
-        t = _rank_by_value(df, s, small_limit) if s.kind == "percent_rank" else None
-        if t is not None:
-            by_value[s.name] = t
-        else:
-            bucketed.append(s)
+    prs = [x for x in specs if x.kind == "percent_rank"]
+    if prs:
+        # counts per (partition, key value) of every PERCENT_RANK spec in one scan
+        narrow = df.select(*{p for x in prs for p in x.parts},
+                           *[F.col(x.key).cast("double").alias(f"__v_{x.name}") for x in prs])
+        tables = pinned_grouping_sets(narrow, [list(x.parts) + [f"__v_{x.name}"] for x in prs],
+                                      [F.count(F.lit(1)).alias("_cnt")], small_limit)
+        if tables is None and len(prs) > 1:      # too big together: try one by one
+            tables = [None if t is None else t[0] for t in
+                      (pinned_grouping_sets(narrow, [list(x.parts) + [f"__v_{x.name}"]],
+                                            [F.count(F.lit(1)).alias("_cnt")], small_limit) for x in prs)]
+        for x, t in zip(prs, tables or [None] * len(prs)):
+            if t is not None:
+                by_value[x.name] = _rank_by_value(t.withColumnRenamed(f"__v_{x.name}", "__v"), x)
+    bucketed = [x for x in specs if x.name not in by_value]
 
     plans = {}
     if bucketed:
@@ -239,17 +251,27 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
                      F.count(valid).alias(f"_v{i}"),
                      F.count(F.when(F.isnan(k), 1)).alias(f"_nan{i}")]
         stats = df.agg(*aggs).first().asDict()
+        narrow = df.select(*{p for x in bucketed for p in x.parts}, *{x.key for x in bucketed}, tie)
+        hot_by_spec = {}
         for i, s in enumerate(bucketed):
             splits, nb, hot, target = _bucket_plan(stats, i, B, stats["_n"])
-            bcol, scol = f"__b{i}", f"__s{i}"
-            narrow = _bucket_col(df.select(*s.parts, s.key, tie), s.key, splits, nb, bcol)
-            bounds = _sub_bounds(narrow, bcol, tie, hot, target)
-            narrow = narrow.withColumn(scol, _sub_col(bcol, tie, bounds))
-            offs = pin_small(_offsets(narrow, s, i, bcol, scol), small_limit)
-            if offs is None:
-                raise ValueError(f"{s.name}: more than {small_limit} (partition, bucket) cells; "
-                                 "use fewer buckets or a coarser partition")
-            plans[i] = (splits, nb, hot, bounds, offs)
+            narrow = _bucket_col(narrow, s.key, splits, nb, f"__b{i}")
+            plans[i] = [splits, nb, hot]
+            hot_by_spec[f"__b{i}"] = (hot, target)
+        bounds = _sub_bounds(narrow, tie, hot_by_spec)
+        for i, s in enumerate(bucketed):
+            b = bounds.get(f"__b{i}", {})
+            narrow = narrow.withColumn(f"__s{i}", _sub_col(f"__b{i}", tie, b))
+            plans[i].append(b)
+        # counts per (partition, bucket, piece) of every spec in one scan
+        sets = [list(s.parts) + [f"__b{i}", f"__s{i}"] for i, s in enumerate(bucketed)]
+        counts = pinned_grouping_sets(narrow, sets, [F.count(F.lit(1)).alias("_cnt")], small_limit)
+        if counts is None:
+            raise ValueError(f"more than {small_limit} (partition, bucket) cells; "
+                             "use fewer buckets or a coarser partition")
+        for i, s in enumerate(bucketed):
+            offs = pin_small(_offsets(counts[i], s, i, f"__b{i}", f"__s{i}"), small_limit)
+            plans[i] = tuple(plans[i]) + (offs,)
 
     out = df
     helpers = []

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.functions.cleaning import ratio
-from lendlens.operators.joins import join_small
+from lendlens.operators.joins import join_small, pinned_grouping_sets
 from lendlens.operators.ordering import RankSpec, add_ranks
 from lendlens.plans.staging import LOANS_COLUMNS
 
@@ -36,11 +36,18 @@ def with_ratios(loans: DataFrame) -> DataFrame:
 def cohort_deviation(df: DataFrame) -> DataFrame:
     """dti minus its grade x term mean; rate minus its sub-grade mean.
 
-    The means are small group-by results joined back by broadcast (after a
-    size check) instead of an unordered window over a few huge partitions.
+    Both means come from one scan (GROUPING SETS with partial aggregation),
+    are pinned after a size check and joined back by broadcast, instead of
+    unordered windows over a few huge partitions.  Too many cohorts: plain
+    group-bys and shuffle joins.
     """
-    gt = df.groupBy("grade", "term_months").agg(F.avg("dti").alias("__avg_dti"))
-    sg = df.groupBy("sub_grade").agg(F.avg("int_rate").alias("__avg_rate"))
+    sets = pinned_grouping_sets(df, [["grade", "term_months"], ["sub_grade"]],
+                                [F.avg("dti").alias("__avg_dti"), F.avg("int_rate").alias("__avg_rate")])
+    if sets is None:
+        gt = df.groupBy("grade", "term_months").agg(F.avg("dti").alias("__avg_dti"))
+        sg = df.groupBy("sub_grade").agg(F.avg("int_rate").alias("__avg_rate"))
+    else:
+        gt, sg = sets[0].drop("__avg_rate"), sets[1].drop("__avg_dti")
     out = join_small(df, gt, ["grade", "term_months"], how="left")
     out = join_small(out, sg, ["sub_grade"], how="left")
     return (out.withColumn("dti_vs_cohort", F.col("dti") - F.col("__avg_dti"))

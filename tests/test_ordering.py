@@ -76,7 +76,7 @@ def test_hot_key_is_split(spark):
     b50 = splits.index(50.0)
     assert b50 in hot
     bucketed = o._bucket_col(df, "x", splits, nb, "__b")
-    bounds = o._sub_bounds(bucketed, "__b", "loan_id", hot, target)
+    bounds = o._sub_bounds(bucketed, "loan_id", {"__b": (hot, target)})["__b"]
     assert len(bounds[b50]) >= 4
 
 
