@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # Spark's string->double cast also accepts a Java float/double suffix
 # ("1d", "2.5F"); SQL engines reject it.  Such text must stay NULL.
 _JAVA_SUFFIX = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]\s*$"
+# SQL engines read a single underscore between digits as a digit separator
+# ("1_000" -> 1000); Spark's cast does not.
+_DIGIT_SEPARATOR = r"(?<=\d)_(?=\d)"
 
 
 def _c(c) -> Column:
@@ -24,6 +27,7 @@ def try_double(c) -> Column:
     so plain numbers pay one byte search, not a regex match.
     """
     c = _c(c)
+    c = F.when(c.contains("_"), F.regexp_replace(c, _DIGIT_SEPARATOR, "")).otherwise(c)
     maybe_suffix = c.contains("d") | c.contains("D") | c.contains("f") | c.contains("F")
     num = c.try_cast("double")
     return F.when(maybe_suffix, F.when(~c.rlike(_JAVA_SUFFIX), num)).otherwise(num)
@@ -48,9 +52,11 @@ def emp_length_years(c) -> Column:
 
 
 def month_year_date(c, strict: bool = True) -> Column:
-    """``Dec-2015`` -> 2015-12-01.  Strict mode raises on unparsable text."""
-    c = _c(c)
-    return F.to_date(c, "MMM-yyyy") if strict else F.try_to_date(c, "MMM-yyyy")
+    """``Dec-2015`` -> 2015-12-01; outer spaces ignored, month name in any case,
+    a short year read as written (``Dec-15`` -> year 15), as SQL ``strptime``
+    with ``%b-%Y`` does.  Strict mode raises on unparsable text."""
+    c = F.trim(_c(c))
+    return F.to_date(c, "MMM-y") if strict else F.try_to_date(c, "MMM-y")
 
 
 def calendar_months(start, end) -> Column:

@@ -97,7 +97,7 @@ def staging_rejects(raw: DataFrame) -> DataFrame:
         F.sum(F.when(kept_status & try_double("loan_amnt").isNull(), 1).otherwise(0)).cast("bigint").alias("bad_amount"),
         F.sum(F.when(kept_status & try_double("annual_inc").isNull(), 1).otherwise(0)).cast("bigint").alias("bad_income"),
         F.sum(F.when(kept_status & c("issue_d").isNull(), 1).otherwise(0)).cast("bigint").alias("no_issue_month"),
-        F.sum(F.when(completed_filter() & F.try_to_date(c("issue_d"), "MMM-yyyy").isNull(), 1)
+        F.sum(F.when(completed_filter() & month_year_date("issue_d", strict=False).isNull(), 1)
               .otherwise(0)).cast("bigint").alias("unparsable_issue_month"),
         F.sum(F.when(completed_filter(), 1).otherwise(0)).cast("bigint").alias("kept"),
     )

@@ -41,6 +41,7 @@ ROWS = [
     row(17, last=""),                              # empty last payment -> NULL
     row(18, grade=None, status="Charged Off"),
     row(19, amnt="2.5e3", inc="inf"),
+    row(20, amnt="1_000", issue=" Dec-2015 ", last="dec-16"),   # digit separator; spaces; short year
 ]
 
 
@@ -52,7 +53,7 @@ def staged(spark):
 
 def test_kept_rows_and_columns(staged, spark):
     rows, raw = staged
-    assert set(rows) == {f"L{i:02d}" for i in (1, 2, 3, 4, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19)}
+    assert set(rows) == {f"L{i:02d}" for i in (1, 2, 3, 4, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20)}
     assert tuple(stage_loans(raw).columns) == LOANS_COLUMNS
 
 
@@ -73,6 +74,13 @@ def test_casts(staged):
     assert math.isnan(rows["L16"]["dti"])
 
 
+def test_sql_style_text(staged):
+    rows, _ = staged
+    assert rows["L20"]["loan_amnt"] == 1000.0
+    assert rows["L20"]["issue_date"] == dt.date(2015, 12, 1)
+    assert rows["L20"]["last_pymnt_date"] == dt.date(16, 12, 1)
+
+
 def test_emp_length(staged):
     rows, _ = staged
     assert rows["L01"]["emp_length_yrs"] == 5
@@ -99,7 +107,7 @@ def test_rejects(staged):
     assert r["open_or_unknown_status"] == 1
     assert r["bad_amount"] == 2
     assert r["bad_income"] == 1
-    assert r["kept"] == 15
+    assert r["kept"] == 16
 
 
 def test_strict_dates_raise(spark):
