@@ -178,6 +178,16 @@ def q_vintage_by_year(spark, sf_dir):
     return vintage.vintage_by_year(vintage.vintage_curves(_feat(spark, sf_dir)))
 
 
+@register("vintage_by_year_window", """
+SELECT yr, mob, AVG(cum_default_rate) AS cum_dr
+FROM (SELECT CAST(year(vintage_quarter) AS INTEGER) AS yr, * FROM curves)
+WHERE yr BETWEEN 1996 AND 2000 AND mob <= 48
+GROUP BY yr, mob
+""", {"cum_dr": 9})
+def q_vintage_by_year_window(spark, sf_dir):
+    return vintage.vintage_by_year(vintage.vintage_curves(_feat(spark, sf_dir)), 1996, 2000)
+
+
 @register("vintage_mob36", """
 SELECT yr, AVG(cum_default_rate) AS cum_dr
 FROM (SELECT CAST(year(vintage_quarter) AS INTEGER) AS yr, * FROM curves) WHERE mob = 36

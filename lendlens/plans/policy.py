@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.functions.cleaning import nan_to_null
+from lendlens.operators.quantile import exact_quantiles
 from lendlens.plans.staging import OUTCOME_COLUMNS
 
 # Model inputs (22 numeric, 5 categorical), target, split date.
@@ -66,20 +67,23 @@ def passing(df: DataFrame) -> DataFrame:
     return df.filter(~declined())
 
 
-def oot_cutoff(df: DataFrame, q: float = 0.8) -> DataFrame:
-    """Exact linear-interpolated quantile of the issue date, in days since 1970.
+def oot_cutoff_days(df: DataFrame, q: float = 0.8) -> float | None:
+    """Exact linear-interpolated quantile of the issue date, in days since 1970
+    (bracketed order statistics: no task holds all distinct dates)."""
+    days = df.select(F.unix_date(SPLIT_DATE).cast("double").alias("__days"))
+    return exact_quantiles(days, ["__days"], q)["__days"]
 
-    ``percentile`` keeps counts per distinct value; issue dates are months,
-    so the state is a few hundred entries whatever the row count.
-    """
-    days = F.unix_date(SPLIT_DATE)
-    return df.agg(F.percentile(days, q).alias("cutoff_days")).withColumn(
+
+def oot_cutoff(df: DataFrame, q: float = 0.8) -> DataFrame:
+    """The cutoff as a one-row table: days since 1970 and the calendar date."""
+    cut = oot_cutoff_days(df, q)
+    return df.sparkSession.createDataFrame([(cut,)], "cutoff_days double").withColumn(
         "cutoff_date", F.date_from_unix_date(F.floor("cutoff_days").cast("int")))
 
 
 def oot_split(df: DataFrame, q: float = 0.8) -> tuple[DataFrame, DataFrame, float]:
     """Train = issued on or before the cutoff, test = after.  Returns (train, test, cutoff_days)."""
-    cut = oot_cutoff(df, q).first()["cutoff_days"]
+    cut = oot_cutoff_days(df, q)
     days = F.unix_date(SPLIT_DATE)
     return df.filter(days <= F.lit(cut)), df.filter(days > F.lit(cut)), cut
 
