@@ -123,7 +123,7 @@ def _sub_bounds(df: DataFrame, tie: str, hot_by_spec: dict, seed: int = 17) -> d
     for bcol, (hot, _) in hot_by_spec.items():
         cond = cond | F.col(bcol).isin(list(hot))
     rows = (df.filter(cond & F.col(tie).isNotNull()).select(*hot_by_spec, tie)
-            .sample(False, frac, seed).collect())
+            .sample(False, frac, seed).limit(2 * HOT_SAMPLE_ROWS).collect())
     bounds = {}
     for bcol, (hot, target) in hot_by_spec.items():
         per = {}

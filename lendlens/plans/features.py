@@ -33,19 +33,21 @@ def with_ratios(loans: DataFrame) -> DataFrame:
     })
 
 
-def cohort_deviation(df: DataFrame) -> DataFrame:
+def cohort_deviation(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """dti minus its grade x term mean; rate minus its sub-grade mean.
 
     Both means come from one scan (GROUPING SETS with partial aggregation),
     are pinned after a size check and joined back by broadcast, instead of
     unordered windows over a few huge partitions.  Too many cohorts: plain
-    group-bys and shuffle joins.
+    group-bys and shuffle joins.  ``source`` (default ``df``) is the table the
+    means are computed on, e.g. the stored loans under a derived plan.
     """
-    sets = pinned_grouping_sets(df, [["grade", "term_months"], ["sub_grade"]],
+    src = source if source is not None else df
+    sets = pinned_grouping_sets(src, [["grade", "term_months"], ["sub_grade"]],
                                 [F.avg("dti").alias("__avg_dti"), F.avg("int_rate").alias("__avg_rate")])
     if sets is None:
-        gt = df.groupBy("grade", "term_months").agg(F.avg("dti").alias("__avg_dti"))
-        sg = df.groupBy("sub_grade").agg(F.avg("int_rate").alias("__avg_rate"))
+        gt = src.groupBy("grade", "term_months").agg(F.avg("dti").alias("__avg_dti"))
+        sg = src.groupBy("sub_grade").agg(F.avg("int_rate").alias("__avg_rate"))
     else:
         gt, sg = sets[0].drop("__avg_rate"), sets[1].drop("__avg_dti")
     out = join_small(df, gt, ["grade", "term_months"], how="left")
@@ -63,4 +65,4 @@ def loan_features(loans: DataFrame, buckets: int | None = None) -> DataFrame:
     """
     base = with_ratios(loans)
     ranked = add_ranks(base, RANKS, tie="loan_id", buckets=buckets)
-    return cohort_deviation(ranked).select(*FEATURE_COLUMNS)
+    return cohort_deviation(ranked, source=loans).select(*FEATURE_COLUMNS)
