@@ -25,14 +25,15 @@ def pin_small(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame |
 
 
 def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
-               null_safe: bool = True, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+               null_safe: bool = True, limit: int = BROADCAST_ROW_LIMIT, pinned: bool = False) -> DataFrame:
     """Join ``big`` to an aggregate ``small`` on ``keys``.
 
     Broadcasts when the small side is within ``limit`` rows (checked), else
     falls back to a shuffle join.  ``null_safe`` matches NULL keys to NULL
     keys (``<=>``), like pandas merges and grouped lookups expect.
+    ``pinned=True``: ``small`` is already a pinned table (size proven).
     """
-    pinned = pin_small(small, limit)
+    pinned = small if pinned else pin_small(small, limit)
     right = F.broadcast(pinned) if pinned is not None else small
     renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c)
                              for c in right.columns])

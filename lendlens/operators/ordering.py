@@ -38,6 +38,7 @@ from lendlens.operators.joins import join_small, pin_small, pinned_grouping_sets
 # Rows sampled at most to place sub-bucket boundaries of hot keys.
 HOT_SAMPLE_ROWS = 200_000
 MAX_SUB_BUCKETS = 4096
+SAMPLES_PER_PIECE = 32
 # Fewer buckets than this many rows each are not worth their bookkeeping.
 MIN_BUCKET_ROWS = 2_000
 
@@ -118,7 +119,9 @@ def _sub_bounds(df: DataFrame, tie: str, hot_by_spec: dict, seed: int = 17) -> d
     if not hot_by_spec:
         return {}
     total = sum(sum(h.values()) for h, _ in hot_by_spec.values())
-    frac = min(1.0, HOT_SAMPLE_ROWS / max(1.0, total))
+    pieces = sum(math.ceil(est / target) for h, target in hot_by_spec.values() for est in h.values())
+    # about SAMPLES_PER_PIECE keys per wanted piece place the cuts well enough
+    frac = min(1.0, min(HOT_SAMPLE_ROWS, max(1_000, SAMPLES_PER_PIECE * pieces)) / max(1.0, total))
     cond = F.lit(False)
     for bcol, (hot, _) in hot_by_spec.items():
         cond = cond | F.col(bcol).isin(list(hot))
@@ -279,7 +282,7 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
         splits, nb, hot, bounds, offs = plans[i]
         bcol, scol = f"__b{i}", f"__s{i}"
         out = _bucket_col(out, s.key, splits, nb, bcol).withColumn(scol, _sub_col(bcol, tie, bounds))
-        out = join_small(out, offs, list(s.parts) + [bcol, scol], limit=small_limit)
+        out = join_small(out, offs, list(s.parts) + [bcol, scol], limit=small_limit, pinned=True)
         helpers += [bcol, scol, f"__off{i}", f"__npart{i}", f"__kbase{i}", f"__const{i}"]
 
     positional = [(i, s) for i, s in enumerate(bucketed) if s.kind != "percent_rank"]
@@ -315,7 +318,7 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
         kcol = f"__k_{name}"
         out = join_small(out.withColumn(kcol, F.col(s.key).cast("double")),
                          t.withColumnRenamed("__v", kcol), list(s.parts) + [kcol], how="left",
-                         limit=small_limit).drop(kcol)
+                         limit=small_limit, pinned=True).drop(kcol)
 
     out = out.drop(*helpers)
     return out.select(*df.columns, *[s.name for s in specs])

@@ -50,8 +50,8 @@ def cohort_deviation(df: DataFrame, source: DataFrame | None = None) -> DataFram
         sg = src.groupBy("sub_grade").agg(F.avg("int_rate").alias("__avg_rate"))
     else:
         gt, sg = sets[0].drop("__avg_rate"), sets[1].drop("__avg_dti")
-    out = join_small(df, gt, ["grade", "term_months"], how="left")
-    out = join_small(out, sg, ["sub_grade"], how="left")
+    out = join_small(df, gt, ["grade", "term_months"], how="left", pinned=sets is not None)
+    out = join_small(out, sg, ["sub_grade"], how="left", pinned=sets is not None)
     return (out.withColumn("dti_vs_cohort", F.col("dti") - F.col("__avg_dti"))
             .withColumn("rate_vs_subgrade", F.col("int_rate") - F.col("__avg_rate"))
             .drop("__avg_dti", "__avg_rate"))
