@@ -33,3 +33,15 @@ def test_save_table(spark, tmp_path):
     df = spark.range(5).withColumnRenamed("id", "x")
     name = export.save_table(df, "t_save_check")
     assert spark.table(name).count() == 5
+
+
+def test_cli_main(spark, tmp_path, capsys):
+    src = str(tmp_path / "raw_csv")
+    raw_loans(spark, SF001).coalesce(1).write.option("header", True).option("compression", "gzip").csv(src)
+    out = str(tmp_path / "cli_out")
+    jobs.main(["--raw", src, "--out", out, "--gbt-iter", "2", "--partitions", "4"])
+    printed = capsys.readouterr().out
+    assert "done in" in printed
+    for p in ("loans", "loan_features", "processed/fact_loans.parquet", "reports/test_scores.parquet",
+              "reports/cutoff_table.csv", "reports/model_metrics.csv"):
+        assert os.path.exists(os.path.join(out, p)), p
