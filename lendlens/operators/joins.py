@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 # Largest small side pinned as a literal relation and broadcast.
 BROADCAST_ROW_LIMIT = 200_000
+# Larger lookup tables up to this many rows are written to the shared folder,
+# counted there and still broadcast (a few tens of MB for narrow rows).
+STORED_ROW_LIMIT = 5_000_000
 
 
 def pin_small(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame | None:
@@ -44,11 +47,25 @@ def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-def pinned_grouping_sets(df: DataFrame, sets: list[list[str]], aggs: list, limit: int = BROADCAST_ROW_LIMIT):
+def pin_or_store(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
+                 stored_limit: int = STORED_ROW_LIMIT) -> DataFrame | None:
+    """``pin_small``, else a written copy under the shared folder if it has at
+    most ``stored_limit`` rows (counted on the written files), else None."""
+    pinned = pin_small(df, limit)
+    if pinned is not None or stored_limit <= limit:
+        return pinned
+    from lendlens.session import materialize
+    stored = materialize(df, "lookup")
+    return stored if stored.count() <= stored_limit else None
+
+
+def pinned_grouping_sets(df: DataFrame, sets: list[list[str]], aggs: list, limit: int = BROADCAST_ROW_LIMIT,
+                         stored_limit: int = 0):
     """Several small group-bys of ``df`` in one scan (GROUPING SETS), pinned.
 
     Returns one DataFrame per grouping set (its key columns plus the
-    aggregates), or None when the combined result exceeds ``limit`` rows.
+    aggregates), or None when the combined result exceeds ``limit`` rows
+    (``stored_limit`` rows when a stored copy is allowed, see ``pin_or_store``).
     """
     cols = []
     for s in sets:
@@ -56,7 +73,7 @@ def pinned_grouping_sets(df: DataFrame, sets: list[list[str]], aggs: list, limit
             if c not in cols:
                 cols.append(c)
     grouped = df.groupingSets(sets, *cols).agg(*aggs, F.grouping_id().alias("__gid"))
-    pinned = pin_small(grouped, limit)
+    pinned = pin_or_store(grouped, limit, stored_limit)
     if pinned is None:
         return None
     names = [c for c in grouped.columns if c not in cols and c != "__gid"]

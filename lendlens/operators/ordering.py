@@ -33,7 +33,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendlens.operators.joins import join_small, pin_small, pinned_grouping_sets
+from lendlens.operators.joins import STORED_ROW_LIMIT, join_small, pin_small, pinned_grouping_sets
 
 # Rows sampled at most to place sub-bucket boundaries of hot keys.
 HOT_SAMPLE_ROWS = 200_000
@@ -204,12 +204,13 @@ def _rank_by_value(pinned: DataFrame, spec: RankSpec) -> DataFrame:
 
 
 def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | None = None,
-              small_limit: int = 200_000) -> DataFrame:
+              small_limit: int = 200_000, stored_limit: int = STORED_ROW_LIMIT) -> DataFrame:
     """Append the ranking columns in ``specs`` to ``df``.
 
     * PERCENT_RANK: from the (partition, value) count table when it holds at
-      most ``small_limit`` rows (rates, ratios with few decimals), joined back
-      by broadcast: no shuffle of the rows.  Otherwise bucketed as below.
+      most ``small_limit`` rows (pinned) or ``stored_limit`` rows (written
+      and counted), joined back by broadcast: no shuffle of the rows.
+      Otherwise bucketed as below.
     * NTILE / ROW_NUMBER: rows are range-bucketed on literal boundaries; a
       bucket that lies inside one tile gets its tile from the pinned offset
       table, and only rows of the buckets that straddle a tile edge (at most
@@ -231,12 +232,13 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
         # counts per (partition, key value) of every PERCENT_RANK spec in one scan
         narrow = df.select(*{p for x in prs for p in x.parts},
                            *[F.col(x.key).cast("double").alias(f"__v_{x.name}") for x in prs])
-        tables = pinned_grouping_sets(narrow, [list(x.parts) + [f"__v_{x.name}"] for x in prs],
-                                      [F.count(F.lit(1)).alias("_cnt")], small_limit)
-        if tables is None and len(prs) > 1:      # too big together: try one by one
+        cnt = [F.count(F.lit(1)).alias("_cnt")]
+        tables = pinned_grouping_sets(narrow, [list(x.parts) + [f"__v_{x.name}"] for x in prs], cnt, small_limit)
+        if tables is None:
+            # too big to pin together: one by one, each pinned or stored (size checked)
             tables = [None if t is None else t[0] for t in
-                      (pinned_grouping_sets(narrow, [list(x.parts) + [f"__v_{x.name}"]],
-                                            [F.count(F.lit(1)).alias("_cnt")], small_limit) for x in prs)]
+                      (pinned_grouping_sets(narrow, [list(x.parts) + [f"__v_{x.name}"]], cnt, small_limit,
+                                            stored_limit) for x in prs)]
         for x, t in zip(prs, tables or [None] * len(prs)):
             if t is not None:
                 by_value[x.name] = _rank_by_value(t.withColumnRenamed(f"__v_{x.name}", "__v"), x)

@@ -84,10 +84,25 @@ def test_percent_rank_bucketed_fallback(spark):
     """With a distinct-key table over the limit, percent_rank uses bucketed windows."""
     df = _data(spark, n=3000, seed=9)
     ours = add_ranks(df, [RankSpec("pr", "x", "percent_rank", parts=("grade",)),
-                          RankSpec("t", "x", "ntile", tiles=4)], tie="loan_id", buckets=16, small_limit=1000)
+                          RankSpec("t", "x", "ntile", tiles=4)], tie="loan_id", buckets=16, small_limit=1000,
+                     stored_limit=0)
     key = F.col("x").asc_nulls_last()
     native = df.select("loan_id", "grade", "x",
                        F.percent_rank().over(W.partitionBy("grade").orderBy(key)).alias("pr"),
                        F.ntile(4).over(W.orderBy(key, F.col("loan_id"))).cast("bigint").alias("t"))
     norm = lambda rows: sorted(tuple(repr(v) for v in r) for r in rows)
     assert norm(ours.collect()) == norm(native.collect())
+
+
+def test_percent_rank_stored_lookup(spark):
+    """A count table over the local pin limit is stored, counted and broadcast."""
+    df = _data(spark, n=3000, seed=13)
+    ours = add_ranks(df, [RankSpec("pr", "x", "percent_rank", parts=("grade",))], tie="loan_id",
+                     small_limit=100, stored_limit=100_000)
+    native = df.select("loan_id", "grade", "x",
+                       F.percent_rank().over(W.partitionBy("grade").orderBy(F.col("x").asc_nulls_last())).alias("pr"))
+    norm = lambda rows: sorted(tuple(repr(v) for v in r) for r in rows)
+    assert norm(ours.collect()) == norm(native.collect())
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    # the count table is read back from the stored Parquet copy and broadcast
+    assert "ReadSchema: struct<grade:string,__v_pr:double" in plan and "BroadcastHashJoin" in plan
