@@ -44,3 +44,32 @@ def test_auc_rank_sum(spark):
     neg = [s for s, y in rows if y == 0]
     brute = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
     assert exact_auc(df, "s", "y") == pytest.approx(brute, abs=1e-12)
+
+
+def test_cutoff_table_fills_missing_lgd(spark):
+    """Grades without an LGD (and a NULL grade) take the mean LGD over the joined rows."""
+    from lendlens.plans.cutoff import cutoff_table
+    rnd = random.Random(5)
+    grades_rows = [("A", 0.3), ("B", 0.5), (None, 0.7)]
+    lgd = dict(grades_rows)
+    rows = [(rnd.uniform(100, 1000), rnd.choice(["A", "B", "C", None]), rnd.randint(0, 1), rnd.random() * 0.7)
+            for _ in range(400)]
+    scores = spark.createDataFrame(rows, "loan_amnt double, grade string, is_default int, pd_hat double")
+    grades = spark.createDataFrame(grades_rows, "grade string, lgd double")
+    got = {round(r["pd_cutoff"], 2): r for r in cutoff_table(scores, grades).collect()}
+    known = [lgd[g] for _, g, _, _ in rows if g in lgd]
+    fill = sum(known) / len(known)
+    cuts, labels = cutoff_grid()
+    total_amt = sum(r[0] for r in rows)
+    for c, lab in zip(cuts, labels):
+        ok = [r for r in rows if r[3] < c]
+        if not ok:
+            assert lab not in got
+            continue
+        amt = sum(r[0] for r in ok)
+        el = sum(r[0] * lgd.get(r[1], fill) for r in ok if r[2] == 1)
+        g = got[lab]
+        assert g["approval_rate"] == pytest.approx(len(ok) / len(rows), rel=1e-12)
+        assert g["default_rate"] == pytest.approx(sum(r[2] for r in ok) / len(ok), rel=1e-12)
+        assert g["disbursed_share"] == pytest.approx(amt / total_amt, rel=1e-12)
+        assert g["loss_per_100cr_inr"] == pytest.approx(el / amt * 100, rel=1e-9)
