@@ -45,3 +45,12 @@ def test_cli_main(spark, tmp_path, capsys):
     for p in ("loans", "loan_features", "processed/fact_loans.parquet", "reports/test_scores.parquet",
               "reports/cutoff_table.csv", "reports/model_metrics.csv"):
         assert os.path.exists(os.path.join(out, p)), p
+
+
+def test_csv_empty_fields_are_null(spark, tmp_path):
+    p = tmp_path / "t.csv"
+    p.write_text('id,loan_amnt,last_pymnt_d\n1,,Jan-2015\n2,"",""\n3,"1,000",x\n')
+    rows = {r["id"]: r for r in read_raw_csv(spark, str(p)).collect()}
+    assert rows["1"]["loan_amnt"] is None and rows["2"]["loan_amnt"] is None
+    assert rows["2"]["last_pymnt_d"] is None
+    assert rows["3"]["loan_amnt"] == "1,000"
