@@ -14,6 +14,22 @@ BROADCAST_ROW_LIMIT = 200_000
 STORED_ROW_LIMIT = 5_000_000
 
 
+def local_table(spark, rows: list, schema) -> DataFrame:
+    """A literal relation (``LocalRelation``) from driver-side rows.
+
+    Built through an Arrow table, so it lives in the JVM plan: broadcasting
+    it needs no Python worker, and NaN stays distinct from NULL.
+    """
+    try:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+        tbl = pa.Table.from_pylist([r.asDict() if hasattr(r, "asDict") else dict(zip(schema.names, r))
+                                    for r in rows], schema=to_arrow_schema(schema))
+        return spark.createDataFrame(tbl)
+    except Exception:                                   # no Arrow support for a type: plain rows
+        return spark.createDataFrame(rows, schema)
+
+
 def pin_small(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame | None:
     """Return ``small`` as a local relation if it has at most ``limit`` rows.
 
@@ -24,7 +40,7 @@ def pin_small(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame |
     rows = small.limit(limit + 1).collect()
     if len(rows) > limit:
         return None
-    return small.sparkSession.createDataFrame(rows, small.schema)
+    return local_table(small.sparkSession, rows, small.schema)
 
 
 def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",

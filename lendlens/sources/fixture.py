@@ -68,5 +68,15 @@ def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw (all-text) loan file as a DataFrame over the driver tables."""
-    return spark.sql(raw_view_sql("spark"), **read_tables(spark, sf_dir))
+    """The raw (all-text) loan file as a DataFrame over the driver tables.
+
+    The other tables are broadcast into the ``lineitem`` scan, so the view has
+    ``lineitem``'s splits.  A file with fewer row groups than the session has
+    cores (the small driver files hold one) is spread round-robin first;
+    a large input keeps its own splits and gets no extra shuffle.
+    """
+    tables = read_tables(spark, sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    if tables["lineitem"].rdd.getNumPartitions() < cores:
+        tables["lineitem"] = tables["lineitem"].repartition(cores)
+    return spark.sql(raw_view_sql("spark"), **tables)
