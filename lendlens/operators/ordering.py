@@ -280,40 +280,58 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
 
     out = df
     helpers = []
-    for i, s in enumerate(bucketed):
-        splits, nb, hot, bounds, offs = plans[i]
-        bcol, scol = f"__b{i}", f"__s{i}"
-        out = _bucket_col(out, s.key, splits, nb, bcol).withColumn(scol, _sub_col(bcol, tie, bounds))
-        out = join_small(out, offs, list(s.parts) + [bcol, scol], limit=small_limit, pinned=True)
-        helpers += [bcol, scol, f"__off{i}", f"__npart{i}", f"__kbase{i}", f"__const{i}"]
+    for i, s in enumerate(bucketed):                 # bucket index: binary search, every row
+        splits, nb, _, _, _ = plans[i]
+        out = _bucket_col(out, s.key, splits, nb, f"__b{i}")
+        helpers.append(f"__b{i}")
+
+    def with_pieces(frame, i, s):
+        """Piece index (hot buckets split on the tie-break) and the piece lookup."""
+        _, _, _, bounds, offs = plans[i]
+        frame = frame.withColumn(f"__s{i}", _sub_col(f"__b{i}", tie, bounds))
+        return join_small(frame, offs, list(s.parts) + [f"__b{i}", f"__s{i}"], limit=small_limit, pinned=True)
+
+    def piece_cols(i):
+        return [f"__s{i}", f"__off{i}", f"__npart{i}", f"__kbase{i}", f"__const{i}"]
 
     positional = [(i, s) for i, s in enumerate(bucketed) if s.kind != "percent_rank"]
     if positional:
+        # A bucket whose pieces all share one answer is constant as a whole: its
+        # rows need neither a piece index nor a window.
         need = F.lit(False)
-        for i, _ in positional:
-            need = need | F.col(f"__const{i}").isNull()
-        fixed = out.filter(~need).withColumns({s.name: F.col(f"__const{i}") for i, s in positional})
+        for i, s in positional:
+            c = f"__const{i}"
+            whole = plans[i][4].groupBy(*s.parts, f"__b{i}").agg(
+                F.when((F.min(c) == F.max(c)) & (F.count(c) == F.count(F.lit(1))), F.min(c)).alias(f"__bconst{i}"))
+            out = join_small(out, pin_small(whole, small_limit), list(s.parts) + [f"__b{i}"],
+                             limit=small_limit, pinned=True)
+            helpers.append(f"__bconst{i}")
+            need = need | F.col(f"__bconst{i}").isNull()
+        fixed = out.filter(~need).withColumns({s.name: F.col(f"__bconst{i}") for i, s in positional})
         moving = out.filter(need)
         for i, s in positional:
+            moving = with_pieces(moving, i, s)
             grp = list(s.parts) + [f"__b{i}", f"__s{i}"]
             w = Window.partitionBy(*grp).orderBy(F.col(s.key).cast("double").asc_nulls_last(),
                                                  F.col(tie).asc_nulls_last())
             moving = moving.withColumn(f"__r{i}", (F.col(f"__off{i}") + F.row_number().over(w)).cast("bigint"))
             val = F.col(f"__r{i}") if s.kind == "row_number" else _ntile_sql(f"__r{i}", f"__npart{i}", s.tiles)
-            moving = moving.withColumn(s.name, F.coalesce(F.col(f"__const{i}"), val)).drop(f"__r{i}")
+            moving = (moving.withColumn(s.name, F.coalesce(F.col(f"__bconst{i}"), F.col(f"__const{i}"), val))
+                      .drop(f"__r{i}", *piece_cols(i)))
         out = fixed.unionByName(moving)
 
     for i, s in enumerate(bucketed):
         if s.kind != "percent_rank":
             continue
         _, _, hot, _, _ = plans[i]
+        out = with_pieces(out, i, s)
         grp = list(s.parts) + [f"__b{i}", f"__s{i}"]
         hot_b = F.col(f"__b{i}").isin(list(hot)) if hot else F.lit(False)
         base = F.when(hot_b, F.col(f"__kbase{i}")).otherwise(F.col(f"__off{i}"))
         rank = base + F.rank().over(Window.partitionBy(*grp).orderBy(F.col(s.key).cast("double").asc_nulls_last()))
         npart = F.col(f"__npart{i}")
         out = out.withColumn(s.name, F.when(npart > 1, (rank - 1).cast("double") / (npart - 1).cast("double"))
-                             .otherwise(F.lit(0.0)))
+                             .otherwise(F.lit(0.0))).drop(*piece_cols(i))
 
     for name, t in by_value.items():
         s = next(x for x in specs if x.name == name)
