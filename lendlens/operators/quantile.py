@@ -42,12 +42,17 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, collect_limi
                     accuracy: int = 1_000, max_rounds: int = 12) -> dict[str, float | None]:
     vals = {c: nan_to_null(c) for c in cols}
     st = {c: {"lo": None, "hi": None, "below": 0, "cnt": None} for c in cols}
-    # pass 1: sizes and a first (coarse, cheap) bracket for every column
+    # pass 1: sizes and a first (coarse, cheap) bracket for every column; with
+    # one or two columns a distinct estimate is cheap and lets a low-cardinality
+    # column (dates, codes) skip straight to the fetch
     d0 = 2.0 / accuracy
+    with_distinct = len(cols) <= 2
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(vals[c]).alias(f"n{i}"),
                  F.percentile_approx(vals[c], [max(0.0, q - d0), min(1.0, q + d0)], accuracy).alias(f"q{i}")]
+        if with_distinct:
+            aggs.append(F.approx_count_distinct(vals[c]).alias(f"d{i}"))
     row = df.agg(*aggs).first()
     result: dict[str, float | None] = {}
     ready, proposed = [], {}
@@ -59,7 +64,10 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, collect_limi
         pos = q * (n - 1)
         k0 = int(math.floor(pos))
         st[c].update(n=n, k0=k0, k1=min(k0 + 1, n - 1), frac=pos - k0, cnt=n, acc=accuracy)
-        proposed[c] = tuple(row[f"q{i}"])
+        if with_distinct and row[f"d{i}"] <= collect_limit // 4:
+            ready.append(c)
+        else:
+            proposed[c] = tuple(row[f"q{i}"])
 
     check, narrow = proposed, []
     for _ in range(max_rounds):
