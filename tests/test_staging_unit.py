@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from lendlens.plans.staging import LOANS_COLUMNS, stage_loans, staging_rejects
 
