@@ -15,10 +15,16 @@ numbers come out of a range-bucketed plan:
    that table has at most (#partition values x #buckets) rows, is checked
    against a size limit and gives each bucket its offset inside its
    partition and the partition size;
-4. a window partitioned by (partition keys, bucket, sub-bucket) numbers the
-   rows inside each bucket; offset + local number is the global position.
+4. a bucket whose rows all fall in one tile takes that tile from the pinned
+   table (broadcast lookup, no shuffle); only rows of buckets on a tile edge
+   get a piece index and are numbered by a window partitioned by (partition
+   keys, bucket, piece): offset + local number is the global position.
 
-Order is ascending with NULLs last and NaN above every number (the SQL
+PERCENT_RANK needs no row order at all when the (partition, value) count
+table is small enough to pin or store: rank = rows with a smaller key + 1.
+
+All passes of all specs are batched (GROUPING SETS, one sketch pass, one
+sample).  Order is ascending with NULLs last and NaN above every number (the SQL
 default of the analysed pipeline).  The tie-break column fixes the order of
 equal keys for NTILE / ROW_NUMBER; PERCENT_RANK lets ties share a rank.
 """
