@@ -56,7 +56,12 @@ def month_year_date(c, strict: bool = True) -> Column:
     a short year read as written (``Dec-15`` -> year 15), as SQL ``strptime``
     with ``%b-%Y`` does.  Strict mode raises on unparsable text."""
     c = F.trim(_c(c))
-    return F.to_date(c, "MMM-y") if strict else F.try_to_date(c, "MMM-y")
+    parsed = F.try_to_date(c, "MMM-y")
+    if not strict:
+        return parsed
+    # raise whatever the session's ANSI setting (to_date only raises under ANSI)
+    bad = F.raise_error(F.concat(F.lit("unparsable month-year text: "), c)).cast("date")
+    return F.when(c.isNotNull() & parsed.isNull(), bad).otherwise(parsed)
 
 
 def calendar_months(start, end) -> Column:

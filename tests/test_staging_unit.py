@@ -116,3 +116,13 @@ def test_strict_dates_raise(spark):
         stage_loans(raw).collect()
     lenient = stage_loans(raw, strict_dates=False).collect()
     assert lenient[0]["issue_date"] is None
+
+
+def test_strict_dates_raise_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        raw = spark.createDataFrame([row(1, issue="Foo-2015")], ", ".join(f"{c} string" for c in RAW_COLS))
+        with pytest.raises(Exception):
+            stage_loans(raw).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
