@@ -51,7 +51,7 @@ def heatmap_long(seg_risk: DataFrame) -> DataFrame:
     over the volume-filtered segments (suppressed segments are absent)."""
     return seg_risk.groupBy("grade", "income_decile").agg(
         (F.sum(F.col("n_loans") * F.col("default_rate")) / F.sum("n_loans")).alias("default_rate"),
-        (F.sum("defaulted_amount") / F.sum("disbursed")).alias("bad_share"),
+        F.try_divide(F.sum("defaulted_amount"), F.sum("disbursed")).alias("bad_share"),
     )
 
 
