@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lendlens.session import materialize
@@ -10,6 +12,7 @@ from lendlens.plans.staging import stage_loans
 from lendlens.plans.features import loan_features
 
 _BOOKS: dict = {}
+_LOCK = threading.Lock()
 
 
 class Book:
@@ -28,19 +31,22 @@ class Book:
         self.loans = materialize(stage_loans(self.raw), "loans")
         self.features = materialize(loan_features(self.loans), "loan_features")
         self.cache: dict = {}
+        self._lock = threading.Lock()
 
     def models(self, gbt_iter: int = 400, **kw):
         """Trained models and test scores for these settings (fitted once)."""
         from lendlens.plans.model import train_and_score
         key = ("models", gbt_iter, tuple(sorted(kw.items())))
-        if key not in self.cache:
-            self.cache[key] = train_and_score(self.features, gbt_iter=gbt_iter, **kw)
-        return self.cache[key]
+        with self._lock:
+            if key not in self.cache:
+                self.cache[key] = train_and_score(self.features, gbt_iter=gbt_iter, **kw)
+            return self.cache[key]
 
 
 def book(spark: SparkSession, sf_dir: str) -> Book:
     """Book over the fixture view of the driver tables in ``sf_dir`` (memoised)."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _BOOKS:
-        _BOOKS[key] = Book(spark, raw_loans(spark, sf_dir))
-    return _BOOKS[key]
+    with _LOCK:                      # concurrent callers share one build
+        if key not in _BOOKS:
+            _BOOKS[key] = Book(spark, raw_loans(spark, sf_dir))
+        return _BOOKS[key]
