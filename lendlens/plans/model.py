@@ -82,7 +82,7 @@ def _fit_gbt(train: DataFrame, max_iter: int, seed: int, early_stopping: bool):
                         maxBins=255, minInstancesPerNode=20, seed=seed, subsamplingRate=1.0)
     if not early_stopping:
         return gbt.fit(train), max_iter
-    h = F.abs(F.xxhash64(F.col("loan_key"), F.lit(seed))) % 10
+    h = F.pmod(F.xxhash64(F.col("loan_key"), F.lit(seed)), F.lit(10))
     fit_part, hold = train.filter(h != 0), train.filter(h == 0)
     full = gbt.fit(fit_part)
     rounds = _best_rounds(full, hold)
@@ -115,7 +115,7 @@ def train_and_score(features: DataFrame, gbt_iter: int = 400, folds: int = 3, se
 
     # 3-fold isotonic calibration: fold k fits trees on the other folds and the
     # isotonic map on fold k; the test score is the mean of the fold scores.
-    fold = F.abs(F.xxhash64(F.col("loan_key"), F.lit(seed + 1))) % folds
+    fold = F.pmod(F.xxhash64(F.col("loan_key"), F.lit(seed + 1)), F.lit(folds))
     scored = lr_scores
     rounds = []
     for k in range(folds):
