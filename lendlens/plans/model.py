@@ -36,9 +36,15 @@ class ModelResult:
     gbt_rounds: list          # rounds chosen per fold
 
 
+def _numeric_inputs(med: dict) -> list[str]:
+    """Numeric inputs with a training median; an all-missing column is dropped
+    (as a median imputer does), so the assembler never sees a NULL."""
+    return [c for c in policy.NUMERIC if med.get(c) is not None]
+
+
 def _standardise(df: DataFrame, med: dict, stats: dict) -> DataFrame:
     cols = {}
-    for c in policy.NUMERIC:
+    for c in _numeric_inputs(med):
         x = F.coalesce(F.col(c).cast("double"), F.lit(med[c])) if med[c] is not None else F.col(c).cast("double")
         x = F.when(F.isnan(x), F.lit(med[c])).otherwise(x) if med[c] is not None else x
         sd = stats["std"][c] or 1.0          # a constant column scales by 1
@@ -48,13 +54,13 @@ def _standardise(df: DataFrame, med: dict, stats: dict) -> DataFrame:
     return df.withColumns(cols)
 
 
-def _encoder_stages():
+def _encoder_stages(numeric: list[str] = policy.NUMERIC):
     idx = StringIndexer(inputCols=[f"c_{c}" for c in policy.CATEGORICAL],
                         outputCols=[f"i_{c}" for c in policy.CATEGORICAL],
                         handleInvalid="keep", stringOrderType="alphabetAsc")
     ohe = OneHotEncoder(inputCols=[f"i_{c}" for c in policy.CATEGORICAL],
                         outputCols=[f"o_{c}" for c in policy.CATEGORICAL], dropLast=True)
-    vec = VectorAssembler(inputCols=[f"z_{c}" for c in policy.NUMERIC] + [f"o_{c}" for c in policy.CATEGORICAL],
+    vec = VectorAssembler(inputCols=[f"z_{c}" for c in numeric] + [f"o_{c}" for c in policy.CATEGORICAL],
                           outputCol="x")
     return [idx, ohe, vec]
 
@@ -98,7 +104,7 @@ def train_and_score(features: DataFrame, gbt_iter: int = 400, folds: int = 3, se
     med = prep.medians(train)
     stats = prep.scale_stats(train, med)
 
-    enc = Pipeline(stages=_encoder_stages()).fit(_standardise(train, med, stats))
+    enc = Pipeline(stages=_encoder_stages(_numeric_inputs(med))).fit(_standardise(train, med, stats))
 
     def design(df):
         return enc.transform(_standardise(df, med, stats)).withColumn(
