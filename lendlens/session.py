@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -55,6 +57,8 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
         conf = tempfile.mkdtemp(prefix="lendlens-ckpt-")
+        # a private folder of this process (local master only): removed at exit
+        atexit.register(shutil.rmtree, conf, True)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
 
