@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 # Largest small side pinned as a literal relation and broadcast.
 BROADCAST_ROW_LIMIT = 200_000
 # Larger lookup tables up to this many rows are written to the shared folder,
-# counted there and still broadcast (a few tens of MB for narrow rows).
-STORED_ROW_LIMIT = 5_000_000
+# counted there and still broadcast (about 40 MB for the narrow count rows).
+STORED_ROW_LIMIT = 1_000_000
 
 
 def local_table(spark, rows: list, schema) -> DataFrame:
