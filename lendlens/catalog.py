@@ -19,6 +19,7 @@ from lendlens.functions.numeric import gate_snap
 from lendlens.operators.metrics import score_metrics
 from lendlens.plans import cutoff, export, loss, policy, prep, reports, segments, vintage
 from lendlens.plans.book import book
+from lendlens.plans.risk_layer import risk_layer
 from lendlens.plans.staging import staging_rejects, staging_sanity
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -477,6 +478,22 @@ def q_model_cutoff_table(spark, sf_dir):
     return cutoff.cutoff_table(b.models(MODEL_ROUNDS).scores, loss.grade_loss(b.features))
 
 
+# ---------------------------------------------------------------- one-scan risk layer
+@register("risk_layer_segments", "SELECT * FROM seg", {**_SEG_ROUND, "lift_vs_book": 9})
+def q_risk_layer_segments(spark, sf_dir):
+    return risk_layer(_feat(spark, sf_dir))["segment_risk"]
+
+
+@register("risk_layer_grades", "SELECT * FROM grades", _GRADE_ROUND)
+def q_risk_layer_grades(spark, sf_dir):
+    return risk_layer(_feat(spark, sf_dir))["grade_loss"]
+
+
+@register("risk_layer_curves", "SELECT * FROM curves", {"cum_default_rate": 9}, dates=("vintage_quarter",))
+def q_risk_layer_curves(spark, sf_dir):
+    return risk_layer(_feat(spark, sf_dir))["vintage_curves"]
+
+
 def queries() -> dict[str, Builder]:
     return {name: q.run for name, q in REGISTRY.items()}
 

@@ -22,7 +22,8 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendlens.plans import cutoff, export, loss, segments, vintage
+from lendlens.plans import cutoff, export, loss
+from lendlens.plans.risk_layer import risk_layer
 from lendlens.plans.features import loan_features
 from lendlens.plans.model import train_and_score
 from lendlens.plans.staging import stage_loans, staging_rejects, staging_sanity
@@ -40,9 +41,9 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, out: str, min_loans: in
     raw = _land(raw, os.path.join(out, "loans_raw"))
     loans = _land(stage_loans(raw), os.path.join(out, "loans"))
     features = _land(loan_features(loans), os.path.join(out, "loan_features"))
-    seg = segments.segment_risk(features, min_loans)
-    grades = loss.grade_loss(features)
-    curves = vintage.vintage_curves(features, max_mob)
+    # segments, grade loss and vintage curves from one scan of the features
+    layer = risk_layer(features, min_loans, max_mob)
+    seg, grades, curves = layer["segment_risk"], layer["grade_loss"], layer["vintage_curves"]
     seg_el = loss.segment_expected_loss(seg, grades)
     export.export_star(os.path.join(out, "processed"), features, seg, curves, grades, seg_el)
     return {"raw": raw, "loans": loans, "features": features, "segment_risk": seg, "grade_loss": grades,
