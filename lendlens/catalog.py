@@ -389,6 +389,12 @@ def q_portfolio_kpis_sliced(spark, sf_dir):
     return reports.portfolio_kpis(_feat(spark, sf_dir), **_SLICE)
 
 
+@register("portfolio_kpis_empty_slice", _KPI + " WHERE year(issue_date) = 2050", _KPI_ROUND)
+def q_portfolio_kpis_empty_slice(spark, sf_dir):
+    """A selection without loans gives blank (NULL) rates, not an error."""
+    return reports.portfolio_kpis(_feat(spark, sf_dir), vintage_year=2050)
+
+
 @register("default_by_grade", "SELECT grade, COUNT(*) AS n_loans, SUM(is_default) / COUNT(*) AS default_rate "
           "FROM features GROUP BY grade", {"default_rate": 9})
 def q_default_by_grade(spark, sf_dir):
