@@ -25,6 +25,8 @@ from lendlens.plans.staging import staging_rejects, staging_sanity
 Builder = Callable[[SparkSession, str], DataFrame]
 
 TEXT = "text"      # rounding marker: emit a DATE column as ISO text
+DOUBLE = "double"  # marker: emit a nullable INTEGER column as DOUBLE (pandas
+                   # turns it into float64 from Spark, nullable Int32 from DuckDB)
 
 
 @dataclass
@@ -38,7 +40,8 @@ class Query:
         df = self.build(spark, sf_dir)
         out = {}
         for c, d in self.rounding.items():
-            out[c] = F.col(c).cast("string") if d == TEXT else gate_snap(c, d)
+            out[c] = (F.col(c).cast("string") if d == TEXT else F.col(c).cast("double") if d == DOUBLE
+                      else gate_snap(c, d))
         return df.withColumns(out) if out else df
 
 
@@ -46,11 +49,15 @@ REGISTRY: dict[str, Query] = {}
 
 
 def register(name: str, sql_select: str | None, rounding: dict | None = None,
-             extra_ctes: list | None = None, oracle: bool = True, dates: tuple = ()):
-    """Add a query.  ``dates`` lists DATE outputs, emitted as ISO text on both sides."""
+             extra_ctes: list | None = None, oracle: bool = True, dates: tuple = (), nullable_ints: tuple = ()):
+    """Add a query.  ``dates`` lists DATE outputs, emitted as ISO text on both
+    sides; ``nullable_ints`` lists INTEGER outputs that may hold NULL, emitted
+    as DOUBLE on both sides."""
     rounding = dict(rounding or {})
     for c in dates:
         rounding[c] = TEXT
+    for c in nullable_ints:
+        rounding[c] = DOUBLE
 
     def deco(fn: Builder) -> Builder:
         sql = O.with_ctes(sql_select, extra_ctes or [], rounding) if (oracle and sql_select) else None
@@ -64,7 +71,8 @@ def _feat(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- staging
-@register("staging_loans", "SELECT * FROM loans", dates=("issue_date", "last_pymnt_date"))
+@register("staging_loans", "SELECT * FROM loans", dates=("issue_date", "last_pymnt_date"),
+          nullable_ints=("term_months", "emp_length_yrs"))
 def q_staging_loans(spark, sf_dir):
     return book(spark, sf_dir).loans
 
@@ -232,7 +240,7 @@ FACT_COLUMNS = export.FACT_COLUMNS
 
 
 @register("fact_loans", f"SELECT {', '.join(FACT_COLUMNS)} FROM features", {"loan_to_income": 6},
-          dates=("vintage_quarter", "issue_date"))
+          dates=("vintage_quarter", "issue_date"), nullable_ints=("term_months",))
 def q_fact_loans(spark, sf_dir):
     return export.fact_loans(_feat(spark, sf_dir))
 

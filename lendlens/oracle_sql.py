@@ -122,8 +122,13 @@ def with_ctes(select: str, extra: list[tuple[str, str]] = (), rounding: dict | N
     if not rounding:
         return f"WITH {body}\n{select}"
     sel = f"WITH {body},\n__q AS ({select})\n"
-    repl = ", ".join((f"CAST({c} AS VARCHAR)" if d == "text" else gate_snap_sql(c, d)) + f" AS {c}"
-                     for c, d in rounding.items())
+    def conv(c, d):
+        if d == "text":
+            return f"CAST({c} AS VARCHAR)"
+        if d == "double":
+            return f"CAST({c} AS DOUBLE)"
+        return gate_snap_sql(c, d)
+    repl = ", ".join(f"{conv(c, d)} AS {c}" for c, d in rounding.items())
     return sel + f"SELECT * REPLACE ({repl}) FROM __q"
 
 
