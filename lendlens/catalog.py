@@ -466,7 +466,9 @@ for _col, _name in (("int_rate", "density_rate"), ("fico", "density_fico"), ("dt
     REGISTRY[_name].rounding = {"x": 6, "density": 9}
 
 
-@register("sample_loans", None)
+@register("sample_loans", """
+SELECT loan_id, is_default, int_rate, fico, dti, loan_to_income FROM features
+ORDER BY md5(loan_id || '42'), loan_id LIMIT 150000""", {"loan_to_income": 6})
 def q_sample_loans(spark, sf_dir):
     return reports.sample_loans(_feat(spark, sf_dir))
 

@@ -190,21 +190,23 @@ def sample_loans(features: DataFrame, n: int = 150_000, seed: int = 42,
                  cols=("is_default", "int_rate", "fico", "dti", "loan_to_income")) -> DataFrame:
     """A fixed-size pseudo-random sample, repeatable for a seed.
 
-    The sample is the ``n`` rows with the smallest ``xxhash64(loan_id, seed)``.
-    A plain ``orderBy().limit(n)`` ships every task's top ``n`` to one task;
-    here an approximate quantile of the hash gives a threshold, an exact
-    count checks that at least ``n`` rows fall below it (else the threshold
-    is raised), and only those rows reach the final top-n.
+    The sample is the ``n`` rows with the smallest ``md5(loan_id || seed)``
+    (ties by ``loan_id``) -- a digest SQL engines compute identically.  A
+    plain ``orderBy().limit(n)`` ships every task's top ``n`` to one task;
+    here an approximate quantile of the digest's 60-bit prefix gives a
+    threshold, an exact count checks that at least ``n`` rows fall at or
+    below it (else it is raised), and only those rows reach the final top-n.
     """
-    key = F.xxhash64(F.col("loan_id"), F.lit(seed))
-    keyed = features.select("loan_id", *cols, key.alias("__k"))
+    digest = F.md5(F.concat(F.col("loan_id"), F.lit(str(seed))))
+    keyed = features.select("loan_id", *cols, digest.alias("__k"),
+                            F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("__p"))
     total = features.count()
     if total > 4 * n:
         frac = n / total
         for margin in (0.01, 0.05, 0.25):
             p = min(1.0, frac * (1 + margin) + 2e-4)
-            t = keyed.agg(F.percentile_approx("__k", p, 10_000)).first()[0]
-            if keyed.filter(F.col("__k") <= t).count() >= n:
-                keyed = keyed.filter(F.col("__k") <= F.lit(t))
+            t = keyed.agg(F.percentile_approx("__p", p, 10_000)).first()[0]
+            if keyed.filter(F.col("__p") <= t).count() >= n:
+                keyed = keyed.filter(F.col("__p") <= F.lit(t))
                 break
-    return keyed.orderBy("__k", "loan_id").limit(n).drop("__k")
+    return keyed.orderBy("__k", "loan_id").limit(n).drop("__k", "__p")
