@@ -63,6 +63,11 @@ class RankSpec:
     parts: tuple[str, ...] = ()
 
 
+def _unique(names) -> list[str]:
+    """Column names in first-seen order, each once."""
+    return list(dict.fromkeys(names))
+
+
 def default_buckets(spark) -> int:
     sp = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(256, min(8192, 8 * sp))
@@ -236,7 +241,7 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
     prs = [x for x in specs if x.kind == "percent_rank"]
     if prs:
         # counts per (partition, key value) of every PERCENT_RANK spec in one scan
-        narrow = df.select(*{p for x in prs for p in x.parts},
+        narrow = df.select(*_unique(p for x in prs for p in x.parts),
                            *[F.col(x.key).cast("double").alias(f"__v_{x.name}") for x in prs])
         cnt = [F.count(F.lit(1)).alias("_cnt")]
         tables = pinned_grouping_sets(narrow, [list(x.parts) + [f"__v_{x.name}"] for x in prs], cnt, small_limit)
@@ -262,7 +267,7 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
                      F.count(valid).alias(f"_v{i}"),
                      F.count(F.when(F.isnan(k), 1)).alias(f"_nan{i}")]
         stats = df.agg(*aggs).first().asDict()
-        narrow = df.select(*{p for x in bucketed for p in x.parts}, *{x.key for x in bucketed}, tie)
+        narrow = df.select(*_unique([p for x in bucketed for p in x.parts] + [x.key for x in bucketed] + [tie]))
         hot_by_spec = {}
         for i, s in enumerate(bucketed):
             splits, nb, hot, target = _bucket_plan(stats, i, B, stats["_n"])
