@@ -73,11 +73,13 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True, help="output folder on shared storage")
     ap.add_argument("--gbt-iter", type=int, default=400)
     ap.add_argument("--partitions", type=int, default=None, help="spread a single gzip split")
+    ap.add_argument("--min-loans", type=int, default=200, help="volume floor of the segment table")
+    ap.add_argument("--max-mob", type=int, default=60, help="last month on book of the vintage curves")
     a = ap.parse_args(argv)
     from lendlens.session import get_spark
     spark = get_spark()
     t = time.time()
-    w = build_warehouse(spark, read_raw_csv(spark, a.raw, a.partitions), a.out)
+    w = build_warehouse(spark, read_raw_csv(spark, a.raw, a.partitions), a.out, a.min_loans, a.max_mob)
     w["sanity"].show()
     m = train_models(w["features"], a.out, a.gbt_iter)
     m["metrics"].show()
