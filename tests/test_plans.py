@@ -36,3 +36,18 @@ def test_slicers_reach_the_scan(spark):
     assert "EqualTo(term_months,36)" in pushed
     assert "GreaterThanOrEqual(issue_date,1998-01-01)" in pushed
     assert "LessThan(vintage_quarter,1999-01-01)" in pushed
+
+
+def test_exported_fact_prunes_partitions(spark, tmp_path):
+    """The fact export is partitioned by issue quarter: a year slicer on the
+    exported table becomes a partition filter (whole folders skipped)."""
+    from lendlens.plans import export
+    f = book(spark, SF001).features
+    path = str(tmp_path / "fact")
+    export.write_parquet(export.fact_loans(f), path, ("vintage_quarter",))
+    fact = spark.read.parquet(path)
+    text = _explain(spark, reports.portfolio_kpis(fact.withColumn("actual_total_pymnt", fact.loan_amnt)
+                                                  .withColumn("actual_recoveries", fact.loan_amnt * 0),
+                                                  vintage_year=1998))
+    part = " ".join(re.findall(r"PartitionFilters: \[(.*)\]", text))
+    assert "vintage_quarter" in part and "1998-01-01" in part
