@@ -81,6 +81,7 @@ def main(argv=None) -> None:
     t = time.time()
     w = build_warehouse(spark, read_raw_csv(spark, a.raw, a.partitions), a.out, a.min_loans, a.max_mob)
     w["sanity"].show()
+    w["rejects"].show()
     m = train_models(w["features"], a.out, a.gbt_iter)
     m["metrics"].show()
     cutoff_economics(spark, a.out, w["grade_loss"]).orderBy("pd_cutoff").show(60)
