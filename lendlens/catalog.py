@@ -446,7 +446,8 @@ def _density_sql(col: str) -> str:
     return f"""
 WITH st AS (SELECT is_default AS cls, COUNT(*) AS n, stddev_samp({col}) * pow(COUNT(*), -0.2) AS h,
               MIN({col}) AS lo, MAX({col}) AS hi FROM features WHERE {col} IS NOT NULL GROUP BY is_default),
-gr AS (SELECT cls, k, (lo - 3 * h) + k * (((hi + 3 * h) - (lo - 3 * h)) / 199.0) AS x, h, n
+gr AS (SELECT cls, k, CASE WHEN k = 199 THEN hi + 3 * h
+                           ELSE (lo - 3 * h) + k * (((hi + 3 * h) - (lo - 3 * h)) / 199.0) END AS x, h, n
        FROM st, range(200) t(k)),
 dv AS (SELECT is_default AS cls, {col} AS v, COUNT(*) AS c FROM features WHERE {col} IS NOT NULL GROUP BY 1, 2)
 SELECT gr.cls AS is_default, gr.k AS grid_index, any_value(gr.x) AS x,

@@ -159,7 +159,9 @@ def class_density(features: DataFrame, col: str, by: str = "is_default", gridsiz
         h = r["sd"] * r["n"] ** (-1.0 / 5.0)
         a, b = r["lo"] - cut * h, r["hi"] + cut * h
         step = (b - a) / (gridsize - 1)
-        grids[r[by]] = (h, r["n"], [a + k * step for k in range(gridsize)])
+        grid = [a + k * step for k in range(gridsize)]
+        grid[-1] = b                       # as linspace: the last point is the upper end
+        grids[r[by]] = (h, r["n"], grid)
     distinct = valid.groupBy(by, x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
 
     def partial(batches):
