@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlens.functions.cleaning import calendar_months
-from lendlens.operators.joins import pinned_grouping_sets
+from lendlens.operators.joins import STORED_ROW_LIMIT, pinned_grouping_sets
 from lendlens.plans.segments import SEGMENT_KEYS
 
 
@@ -37,9 +37,12 @@ def risk_layer(features: DataFrame, min_loans: int = 200, max_mob: int = 60) ->
         F.sum(F.when(d, F.col("__loss")).otherwise(F.lit(0.0))).alias("net_loss"),
         F.sum(F.when(d, F.col("__loss"))).alias("__loss_def"),
     ]
-    seg, grade, cohort, timing = pinned_grouping_sets(
+    tables = pinned_grouping_sets(
         rows, [list(SEGMENT_KEYS), ["grade"], ["vintage_quarter"], ["vintage_quarter", "mob"]], aggs,
-        limit=1_000_000)
+        stored_limit=STORED_ROW_LIMIT)
+    if tables is None:
+        raise ValueError("risk layer larger than the stored lookup limit; use the per-table functions")
+    seg, grade, cohort, timing = tables
 
     book = Window.partitionBy()
     seg = seg.withColumn("__book_rate", F.sum("n_defaults").over(book).cast("double")
