@@ -43,3 +43,20 @@ def test_sample_is_top_n_by_hash(spark):
     ref = [r["loan_id"] for r in f.select("loan_id", F.md5(F.concat("loan_id", F.lit("42"))).alias("k"))
            .orderBy("k", "loan_id").limit(n).collect()]
     assert got == ref
+
+
+def test_isotonic_on_aggregates_equals_raw(spark):
+    """Fitting isotonic regression on (score, weight, mean label) per distinct
+    score gives the same map as fitting on the raw rows."""
+    import random
+    from pyspark.ml.regression import IsotonicRegression
+    rnd = random.Random(3)
+    rows = [(float(rnd.randint(0, 30)) / 30, float(rnd.random() < 0.3 + 0.01 * i % 7)) for i in range(600)]
+    raw = spark.createDataFrame(rows, "s double, y double")
+    agg = raw.groupBy("s").agg(F.count(F.lit(1)).cast("double").alias("w"), F.avg("y").alias("y"))
+    m1 = IsotonicRegression(featuresCol="s", labelCol="y").fit(raw)
+    m2 = IsotonicRegression(featuresCol="s", labelCol="y", weightCol="w").fit(agg)
+    grid = spark.createDataFrame([(i / 60,) for i in range(-3, 64)], "s double")
+    p1 = [r["prediction"] for r in m1.transform(grid).orderBy("s").collect()]
+    p2 = [r["prediction"] for r in m2.transform(grid).orderBy("s").collect()]
+    assert all(abs(a - b) < 1e-12 for a, b in zip(p1, p2))
