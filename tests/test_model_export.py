@@ -60,3 +60,19 @@ def test_isotonic_on_aggregates_equals_raw(spark):
     p1 = [r["prediction"] for r in m1.transform(grid).orderBy("s").collect()]
     p2 = [r["prediction"] for r in m2.transform(grid).orderBy("s").collect()]
     assert all(abs(a - b) < 1e-12 for a, b in zip(p1, p2))
+
+
+def test_best_rounds_patience():
+    from lendlens.plans.model import _best_rounds
+
+    class Fake:
+        def __init__(self, losses):
+            self.losses = losses
+
+        def evaluateEachIteration(self, _):
+            return self.losses
+
+    assert _best_rounds(Fake([5, 4, 3, 3.5, 3.6, 2.9, 3.0])) == 6          # later improvement kept
+    flat = [1.0, 0.9] + [0.95] * 10 + [0.1]                                  # 10 rounds without gain stop
+    assert _best_rounds(Fake(flat)) == 2
+    assert _best_rounds(Fake([3.0])) == 1
