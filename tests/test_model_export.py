@@ -72,7 +72,7 @@ def test_best_rounds_patience():
         def evaluateEachIteration(self, _):
             return self.losses
 
-    assert _best_rounds(Fake([5, 4, 3, 3.5, 3.6, 2.9, 3.0])) == 6          # later improvement kept
+    assert _best_rounds(Fake([5, 4, 3, 3.5, 3.6, 2.9, 3.0]), None) == 6          # later improvement kept
     flat = [1.0, 0.9] + [0.95] * 10 + [0.1]                                  # 10 rounds without gain stop
-    assert _best_rounds(Fake(flat)) == 2
-    assert _best_rounds(Fake([3.0])) == 1
+    assert _best_rounds(Fake(flat), None) == 2
+    assert _best_rounds(Fake([3.0]), None) == 1
