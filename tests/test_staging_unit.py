@@ -116,6 +116,8 @@ def test_strict_dates_raise(spark):
         stage_loans(raw).collect()
     lenient = stage_loans(raw, strict_dates=False).collect()
     assert lenient[0]["issue_date"] is None
+    r = staging_rejects(raw).first()
+    assert r["unparsable_issue_month"] == 1 and r["kept"] == 1
 
 
 def test_strict_dates_raise_without_ansi(spark):
