@@ -121,3 +121,10 @@ def test_key_that_is_also_a_partition_or_tie(spark):
     assert Counter((r["g"], r["x"], r["p"]) for r in ours.collect()) == \
         Counter((r["g"], r["x"], r["p"]) for r in native.collect())
     assert Counter((r["g"], r["t"]) for r in ours.collect()) == Counter((r["g"], r["t"]) for r in native.collect())
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], "loan_id string, grade string, x double")
+    out = add_ranks(df, [RankSpec("t", "x", "ntile", tiles=10), RankSpec("p", "x", "percent_rank", parts=("grade",))],
+                    tie="loan_id")
+    assert out.count() == 0 and out.columns == ["loan_id", "grade", "x", "t", "p"]

@@ -29,3 +29,10 @@ def test_matches_percentile(spark, q):
 def test_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "a double")
     assert exact_quantiles(df, ["a"]) == {"a": None}
+
+
+def test_single_value_and_single_row(spark):
+    df = spark.createDataFrame([(7.0,)] * 50 + [(None,)] * 3, "a double")
+    assert exact_quantiles(df, ["a"], 0.5) == {"a": 7.0}
+    one = spark.createDataFrame([(3.5,)], "a double")
+    assert exact_quantiles(one, ["a"], 0.8) == {"a": 3.5}
