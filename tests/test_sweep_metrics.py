@@ -73,3 +73,10 @@ def test_cutoff_table_fills_missing_lgd(spark):
         assert g["default_rate"] == pytest.approx(sum(r[2] for r in ok) / len(ok), rel=1e-12)
         assert g["disbursed_share"] == pytest.approx(amt / total_amt, rel=1e-12)
         assert g["loss_per_100cr_inr"] == pytest.approx(el / amt * 100, rel=1e-9)
+
+
+def test_cutoff_table_on_empty_scores(spark):
+    from lendlens.plans.cutoff import cutoff_table
+    scores = spark.createDataFrame([], "loan_amnt double, grade string, is_default int, pd_hat double")
+    grades = spark.createDataFrame([("A", 0.3)], "grade string, lgd double")
+    assert cutoff_table(scores, grades).count() == 0
