@@ -148,11 +148,11 @@ def train_and_score(features: DataFrame, gbt_iter: int = 400, folds: int = 3, se
         col = "p_logistic" if name == "logistic_baseline" else "p_gradient_boosting"
         auc = exact_auc(scored, col, "y")
         brier = scored.agg(F.avg((F.col(col) - F.col("y")) ** 2)).first()[0]
-        mets.append((name, auc, 2 * auc - 1, brier))
+        mets.append((name, auc, None if auc is None else 2 * auc - 1, brier))
     # Strictly greater AUC wins, first model on a tie, start from 0
     best, best_auc = None, 0.0
     for name, auc, _, _ in mets:
-        if auc > best_auc:
+        if auc is not None and auc > best_auc:
             best, best_auc = name, auc
     metrics = spark.createDataFrame([(n, a, g, b, n == best) for n, a, g, b in mets],
                                     "model string, auc double, gini double, brier double, is_champion boolean")

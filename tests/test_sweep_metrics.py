@@ -80,3 +80,10 @@ def test_cutoff_table_on_empty_scores(spark):
     scores = spark.createDataFrame([], "loan_amnt double, grade string, is_default int, pd_hat double")
     grades = spark.createDataFrame([("A", 0.3)], "grade string, lgd double")
     assert cutoff_table(scores, grades).count() == 0
+
+
+def test_auc_undefined_for_one_class(spark):
+    from lendlens.operators.metrics import score_metrics
+    df = spark.createDataFrame([(0.1, 0), (0.4, 0)], "s double, y int")
+    r = score_metrics(df, "s", "y").first()
+    assert r["auc"] is None and r["gini"] is None and r["n"] == 2
