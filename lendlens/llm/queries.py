@@ -11,9 +11,14 @@ from lendlens.llm.common import table
 from lendlens.llm.decontaminate import find_contamination
 from lendlens.llm.exact_dedup import exact_dedup
 from lendlens.llm.jaccard_join import jaccard_components
+from lendlens.llm.katz import score_texts
 from lendlens.llm.sharding import shard_documents
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 24)
 
@@ -35,6 +40,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_sharding": op3_sharding,
     "op5_decontamination": op5_decontamination,
     "op6_jaccard_join": op6_jaccard_join,
