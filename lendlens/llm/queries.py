@@ -11,6 +11,7 @@ from lendlens.llm.common import table
 from lendlens.llm.decontaminate import find_contamination
 from lendlens.llm.exact_dedup import exact_dedup
 from lendlens.llm.jaccard_join import jaccard_components
+from lendlens.llm.language_id import identify
 from lendlens.llm.katz import score_texts
 from lendlens.llm.sharding import shard_documents
 
@@ -23,6 +24,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 24)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -42,6 +47,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_scoring": op2_lm_scoring,
     "op3_sharding": op3_sharding,
+    "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
