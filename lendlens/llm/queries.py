@@ -13,6 +13,7 @@ from lendlens.llm.exact_dedup import exact_dedup
 from lendlens.llm.jaccard_join import jaccard_components
 from lendlens.llm.language_id import identify
 from lendlens.llm.katz import score_texts
+from lendlens.llm.packing import pack
 from lendlens.llm.sharding import shard_documents
 
 
@@ -44,6 +45,15 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_scoring": op2_lm_scoring,
     "op3_sharding": op3_sharding,
@@ -51,4 +61,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_packing": op8_packing,
 }
