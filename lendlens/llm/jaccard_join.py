@@ -8,8 +8,8 @@ link when 100 * |A & B| >= percent * |A | B|.
 2. Every set lists its shingles in one global order and puts its prefix
    (n - ceil(t * n) + 1 shingles) into an inverted index; linked sets share a
    prefix shingle.  The order is "weight, then hash".  The weight of a shingle
-   is what the tasks counted of it beyond one per task, for the ``heavy``
-   most frequent shingles, else 0.  Any order gives the same links; this one
+   is its count over all documents, as far as it repeats among a few thousand
+   neighbours, for the ``heavy`` most frequent shingles, else 0.  Any order gives the same links; this one
    keeps boilerplate out of prefixes, and its table has a fixed bound.
 3. Index lists are sorted by set size; for a set only the block of lengths
    that can still link is visited, and the positions left after the shared
@@ -47,7 +47,8 @@ from lendlens.llm import bytetext as B
 from lendlens.llm.common import column, materialize, small_enough
 from lendlens.llm.components import components
 
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 21
+COUNTED = 2_000_000        # shingles counted together
 U64 = np.uint64
 
 
@@ -91,13 +92,23 @@ def distinct_sets(column_: pa.Array, words: int):
 def heavy_shingles(docs: DataFrame, words: int, heavy: int) -> tuple[np.ndarray, np.ndarray]:
     """At most ``heavy`` frequent shingles (sorted) and their weights; only the order of prefixes depends on it."""
     def count(batches):
+        seen, waiting = [], 0
+
+        def flush():
+            values, n = np.unique(np.concatenate(seen), return_counts=True)
+            more = n > 3
+            return pa.RecordBatch.from_arrays([pa.array(values[more].view(np.int64)), pa.array(n[more].astype(np.int64))],
+                                              names=["shingle", "n"])
+
         for batch in batches:
-            seen = [s for _, _, s, _ in distinct_sets(batch.column(0), words)]
-            if seen:
-                values, n = np.unique(np.concatenate(seen), return_counts=True)
-                more = n > 3
-                yield pa.RecordBatch.from_arrays([pa.array(values[more].view(np.int64)), pa.array(n[more].astype(np.int64))],
-                                                 names=["shingle", "n"])
+            for _, _, sh, _ in distinct_sets(batch.column(0), words):
+                seen.append(sh)
+                waiting += len(sh)
+                if waiting >= COUNTED:
+                    yield flush()
+                    seen, waiting = [], 0
+        if seen:
+            yield flush()
 
     found = (docs.select(column(docs, "text", "string").alias("text")).mapInArrow(count, "shingle bigint, n bigint")
              .groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= 16)
@@ -238,7 +249,7 @@ def join_blocks(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, perce
     indexed = np.flatnonzero((pos < keep[owner]) & (freq[code] > 1))
     lists = indexed[np.argsort(code[indexed], kind="stable")]       # within a list: by size
     begin = np.searchsorted(code[lists], np.arange(len(freq) + 1))
-    full = [frozenset(code[e - k:e].tolist()) for e, k in zip(ends.tolist(), n.tolist())]
+    marked = np.zeros(len(freq), bool)
     spot = np.empty(len(flat), np.int64)
     spot[lists] = np.arange(len(lists))
     label = np.arange(len(n))
@@ -257,15 +268,18 @@ def join_blocks(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, perce
             most = 1 + np.minimum(n[x] - pos[e] - 1, n[y] - pos[entries] - 1)
             near.append(y[(label[y] != label[x]) & (side[y] != side[x] if side[x] >= 0 else True)
                           & (100 * most >= percent * (n[x] + n[y] - most))])
+        mine = code[ends[x] - n[x]:ends[x]]
+        marked[mine] = True
         for y in np.unique(np.concatenate(near)).tolist() if near else ():
             if label[y] == label[x]:                                     # answered through a linked set meanwhile
                 continue
-            both = len(full[x] & full[y])
+            both = np.count_nonzero(marked[code[ends[y] - n[y]:ends[y]]])
             if 100 * both >= percent * (n[x] + n[y] - both):
                 keep_label, drop = (label[x], label[y]) if len(members[label[x]]) >= len(members[label[y]]) else (label[y], label[x])
                 moved = members.pop(drop)
                 label[moved] = keep_label
                 members[keep_label] += moved
+        marked[mine] = False
     root = np.zeros(len(n), np.int64)
     for group in members.values():
         root[group] = ids[group].min()
@@ -294,13 +308,14 @@ def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, b
     held = docs.select(column(docs, "doc_id", "long").alias("_doc"), text.alias("text"), F.xxhash64(text).alias("_own")).join(
         holders, F.col("_doc").eqNullSafe(F.col("_holder")) & (F.col("_own") == F.col("_key")))
     sets = materialize(held.select("family", "block", "blocks", "set_id", "text").mapInArrow(
-        rebuild, "family bigint, block int, blocks int, set_id bigint, shingles binary").dropDuplicates(["set_id"]), "jaccard-sets")
+        rebuild, "family bigint, block int, blocks int, set_id bigint, shingles binary"), "jaccard-sets")
 
     # block b of a family goes to the tasks (b, other) and (other, b)
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = sets.withColumn("other", others).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("set_id")             # repeated rows hold the same set
         low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
         side = np.full(len(pdf), -1) if low == high else (pdf["block"] == high).to_numpy().astype(int)
         a, b = join_blocks(pdf["set_id"].to_numpy(), [np.frombuffer(s, U64) for s in pdf["shingles"]], side, percent)
@@ -310,7 +325,7 @@ def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, b
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, heavy: int = 1_000_000,
-                       long_list: int = 64, block_sets: int = 20_000, bucket_mb: int = 16,
+                       long_list: int = 64, block_sets: int = 10_000, bucket_mb: int = 16,
                        hot_entries: int = 200_000) -> DataFrame:
     """doc_id, n_shingles, set_id, component_id (smallest linked doc_id): one row per document."""
     order = docs.sparkSession.sparkContext.broadcast(heavy_shingles(docs, words, heavy))
