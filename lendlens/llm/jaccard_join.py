@@ -13,12 +13,14 @@ link when 100 * |A & B| >= percent * |A | B|.
    keeps boilerplate out of prefixes, and its table has a fixed bound.
 3. Index lists are sorted by set size; for a set only the block of lengths
    that can still link is visited, and the positions left after the shared
-   one must suffice (length and position skipping).  Entries that remain
-   together are joined into *families* by a forest of at most one edge per
-   entry, never by all pairs.  Lists longer than ``long_list`` are chained
-   through neighbours in length, which can only make a family larger.  A list
-   expected to exceed ``hot_entries`` is dealt to several tasks; each sends on
-   one entry per set size, and these are chained in a second, small round.
+   one must suffice (length and position skipping).  Entries that survive
+   meet again with a parity bitmap of their set, whose differing bits bound
+   the overlap from above.  What survives is joined into *families* by a
+   forest of at most one edge per entry and task, never by all pairs.  Lists
+   longer than ``DENSE_LIST`` are chained through neighbours in length, which
+   can only make a family larger; a list longer than ``hot_entries`` is dealt
+   to several tasks, each sends on one entry per set size, and these are
+   chained in a small round.
 4. Inside a family the exact join runs in tasks over blocks of at most
    ``block_sets`` sets: every task takes one pair of blocks.  There sets are
    ordered by their frequency in the family, lists are skipped by length and
@@ -48,6 +50,8 @@ from lendlens.llm.common import column, materialize, small_enough
 from lendlens.llm.components import components
 
 BATCH_BYTES = 1 << 21
+BITS = 512                 # parity bitmap of a set: bit b tells whether oddly many shingles fall on b
+DENSE_LIST = 4096          # lists up to this length are compared pair by pair in memory
 COUNTED = 2_000_000        # shingles counted together
 U64 = np.uint64
 
@@ -126,7 +130,7 @@ def _weights(sh: np.ndarray, values: np.ndarray, counts: np.ndarray) -> np.ndarr
 
 
 def prefix_table(docs: DataFrame, words: int, percent: int, order) -> DataFrame:
-    """doc_id, text_key, set_id, n, prefix (64-bit shingles in the global order, as bytes)."""
+    """doc_id, text_key, set_id, n, prefix (64-bit shingles in the global order, as bytes), bits (parity bitmap)."""
 
     def build(batches):
         for batch in batches:
@@ -141,14 +145,17 @@ def prefix_table(docs: DataFrame, words: int, percent: int, order) -> DataFrame:
                 rank = np.lexsort((sh, _weights(sh, *order.value), of))
                 ranked = sh[rank]
                 keep = n - -(-percent * n // 100) + 1
+                code = of * BITS + (B.mix(sh ^ U64(0x2545F4914F6CDD1D)) % U64(BITS)).astype(np.int64)
+                parity = np.packbits((np.bincount(code, minlength=rows * BITS) & 1).astype(np.uint8).reshape(rows, BITS), axis=1)
                 prefixes = [ranked[e - k:e - k + p].tobytes() if k else b"" for e, k, p in zip(ends.tolist(), n.tolist(), keep.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, rows), batch.column(2).slice(lo, rows), pa.array(np.where(n > 0, ids.view(np.int64), 0)), pa.array(n.astype(np.int64)),
-                     pa.array(prefixes, pa.binary())], names=["doc_id", "text_key", "set_id", "n", "prefix"])
+                     pa.array(prefixes, pa.binary()), pa.array([b.tobytes() for b in parity], pa.binary())],
+                    names=["doc_id", "text_key", "set_id", "n", "prefix", "bits"])
 
     text = column(docs, "text", "string")
     rows = docs.select(column(docs, "doc_id", "long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
-    return rows.mapInArrow(build, "doc_id bigint, text_key bigint, set_id bigint, n bigint, prefix binary")
+    return rows.mapInArrow(build, "doc_id bigint, text_key bigint, set_id bigint, n bigint, prefix binary, bits binary")
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,8 +177,8 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[child], nodes[label[child]]
 
 
-def family_edges(sets: DataFrame, percent: int, buckets: int, long_list: int, order, hot_entries: int) -> DataFrame:
-    """Forest edges (a, b) between sets that share an index list and survive length and position skipping."""
+def live_entries(sets: DataFrame, percent: int, buckets: int, long_list: int, order, hot_entries: int) -> DataFrame:
+    """Index entries (sh, set_id, n, pos) that some other entry of their list survives with, by length and position."""
     def scatter(batches):
         for batch in batches:
             size = np.array([len(p) // 8 for p in batch.column("prefix").to_pylist()], np.int64)
@@ -193,18 +200,15 @@ def family_edges(sets: DataFrame, percent: int, buckets: int, long_list: int, or
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         sh, ids, n, pos = (np.frombuffer(b"".join(pdf[c]), t) for c, t in (("sh", U64), ("ids", np.int64), ("n", np.int32), ("pos", np.int32)))
-        hot = _weights(sh, *order.value) >= hot_entries
-        spots = pd.DataFrame({"sh": sh[hot].view(np.int64), "n": n[hot], "a": ids[hot]}).drop_duplicates(["sh", "n"])
+        hot = _weights(sh, *order.value) >= hot_entries        # its list is spread: every entry goes on
         _, flat, size = np.unique(sh, return_inverse=True, return_counts=True)
-        live = size[flat] > 1
-        flat, ids, n, pos = flat[live], ids[live], n[live].astype(np.int64), pos[live].astype(np.int64)
+        some = hot | (size[flat] > 1)
+        sh, flat, ids, n, pos, hot = sh[some], flat[some], ids[some], n[some].astype(np.int64), pos[some].astype(np.int64), hot[some]
         rank = np.lexsort((ids, n, flat))
-        flat, ids, n, pos = flat[rank], ids[rank], n[rank], pos[rank]
+        sh, flat, ids, n, pos, hot = sh[rank], flat[rank], ids[rank], n[rank], pos[rank], hot[rank]
         long = size[flat] > long_list
-        a, b = [], []
-        for step in range(1, long_list):
-            if step >= len(ids):
-                break
+        live = hot.copy()
+        for step in range(1, min(long_list, len(ids))):
             same = flat[step:] == flat[:-step]
             if step > 1:
                 same &= ~long[step:]
@@ -212,23 +216,86 @@ def family_edges(sets: DataFrame, percent: int, buckets: int, long_list: int, or
             if not len(i):
                 break
             j = i + step
-            fits = 100 * n[i] >= percent * n[j]
             most = 1 + np.minimum(n[i] - pos[i] - 1, n[j] - pos[j] - 1)
-            fits &= long[i] | (100 * most >= percent * (n[i] + n[j] - most))
-            a.append(ids[i[fits]])
-            b.append(ids[j[fits]])
+            fits = (100 * n[i] >= percent * n[j]) & (long[i] | (100 * most >= percent * (n[i] + n[j] - most)))
+            live[i[fits]] = live[j[fits]] = True
+        return pd.DataFrame({"sh": sh[live].view(np.int64), "set_id": ids[live], "n": n[live], "pos": pos[live]})
+
+    blobs = sets.mapInArrow(scatter, "bucket int, sh binary, ids binary, n binary, pos binary")
+    return blobs.groupBy("bucket").applyInPandas(gather, "sh bigint, set_id bigint, n bigint, pos bigint")
+
+
+def _surviving(n, pos, bits, i, j, percent):
+    """Which pairs (i, j) may still link: lengths, positions left after the shared shingle, parity bitmaps."""
+    most = 1 + np.minimum(n[i] - pos[i] - 1, n[j] - pos[j] - 1)
+    ok = (100 * n[i] >= percent * n[j]) & (100 * most >= percent * (n[i] + n[j] - most))
+    i, j = i[ok], j[ok]
+    # shingles in one of the two sets only are at least the differing parity bits
+    differ = np.bitwise_count(bits[i] ^ bits[j]).sum(1).astype(np.int64)
+    both = (n[i] + n[j] - differ) // 2
+    ok = 100 * both >= percent * (n[i] + n[j] - both)
+    return i[ok], j[ok]
+
+
+def list_forest(n: np.ndarray, pos: np.ndarray, bits: np.ndarray, ids: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Forest of the surviving pairs of one index list, entries sorted by length; very long lists are chained by length."""
+    m = len(n)
+    if m > DENSE_LIST:
+        fits = np.flatnonzero(100 * n[:-1] >= percent * n[1:])
+        return _forest(ids[fits], ids[fits + 1])
+    a, b = [], []
+    reach = np.searchsorted(n, 100 * n // percent, "right")           # length skipping: last partner of each entry
+    for lo in range(0, m, 256):
+        i, j = np.meshgrid(np.arange(lo, min(lo + 256, m)), np.arange(lo, int(reach[min(lo + 256, m) - 1])), indexing="ij")
+        ok = (j > i) & (j < reach[i])
+        i, j = _surviving(n, pos, bits, i[ok], j[ok], percent)
+        a.append(ids[i])
+        b.append(ids[j])
+    return _forest(np.concatenate(a), np.concatenate(b))
+
+
+def family_edges(live: DataFrame, sets: DataFrame, percent: int, buckets: int, hot_entries: int) -> DataFrame:
+    """Forest edges (a, b) of the pairs that share a list and survive length, position and bitmap skipping."""
+    hot = live.groupBy("sh").agg(F.count(F.lit(1)).alias("entries")).filter(F.col("entries") > hot_entries)
+    hot = materialize(hot.select("sh", F.ceil(F.col("entries") / hot_entries).cast("int").alias("parts")), "jaccard-hot-lists")
+    dealt = (live.join(small_enough(hot, 100_000), "sh", "left").join(sets.select("set_id", "bits"), "set_id")
+             .withColumn("bucket", F.pmod(F.xxhash64("sh", F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("set_id"), F.col("parts")))), F.lit(buckets)).cast("int"))
+             .withColumn("spread", F.col("parts").isNotNull()))
+
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["sh", "n", "set_id"])
+        sh, n, pos, ids = (pdf[c].to_numpy() for c in ("sh", "n", "pos", "set_id"))
+        bits = np.frombuffer(b"".join(pdf["bits"]), U64).reshape(len(pdf), BITS // 64)
+        _, begin, size = np.unique(sh, return_index=True, return_counts=True)
+        flat = np.repeat(np.arange(len(begin)), size)
+        a, b = [], []
+        short = size[flat] <= 16
+        for step in range(1, 16):                                      # all short lists at once
+            i = np.flatnonzero((flat[step:] == flat[:-step]) & short[step:])
+            if not len(i):
+                break
+            i, j = _surviving(n, pos, bits, i, i + step, percent)
+            a.append(ids[i])
+            b.append(ids[j])
+        for k in np.flatnonzero(size > 16).tolist():
+            at = slice(begin[k], begin[k] + size[k])
+            x, y = list_forest(n[at], pos[at], bits[at], ids[at], percent)
+            a.append(x)
+            b.append(y)
         a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
         x, y = _forest(a, b) if len(a) else (a, b)
-        edges = pd.DataFrame({"a": x, "b": y})
-        return pd.concat([edges, spots])[["a", "b", "sh", "n"]].astype("Int64") if len(spots) else edges.assign(sh=None, n=None)
+        spots = pdf[pdf["spread"]].drop_duplicates(["sh", "n"])
+        return pd.DataFrame({"a": np.concatenate([x, spots["set_id"]]), "b": np.concatenate([y, np.zeros(len(spots), np.int64)]),
+                             "sh": pd.array([None] * len(x) + spots["sh"].tolist(), "Int64"),
+                             "n": pd.array([None] * len(x) + spots["n"].tolist(), "Int64")})
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("n")
         fits = 100 * pdf["n"].to_numpy()[:-1] >= percent * pdf["n"].to_numpy()[1:]
         return pd.DataFrame({"a": pdf["a"].to_numpy()[1:][fits], "b": pdf["a"].to_numpy()[:-1][fits]})
 
-    blobs = sets.mapInArrow(scatter, "bucket int, sh binary, ids binary, n binary, pos binary")
-    found = materialize(blobs.groupBy("bucket").applyInPandas(gather, "a bigint, b bigint, sh bigint, n bigint"), "jaccard-lists")
+    found = dealt.groupBy("bucket").applyInPandas(gather, "a bigint, b bigint, sh bigint, n bigint")
+    found = materialize(found, "jaccard-lists")
     across = found.filter("sh IS NOT NULL").groupBy("sh").applyInPandas(chain, "a bigint, b bigint")
     return found.filter("sh IS NULL").select("a", "b").unionByName(across).distinct()
 
@@ -331,9 +398,11 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, heavy
     order = docs.sparkSession.sparkContext.broadcast(heavy_shingles(docs, words, heavy))
     rows = materialize(prefix_table(docs, words, percent, order), "jaccard-prefixes")
     sets = rows.filter("n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    codes = rows.groupBy("set_id").agg(F.first("bits").alias("bits"))
     total = rows.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     buckets = max(32, int(total) // (bucket_mb << 20))
-    edges = materialize(family_edges(sets, percent, buckets, long_list, order, hot_entries), "jaccard-family-edges")
+    live = materialize(live_entries(sets, percent, buckets, long_list, order, hot_entries), "jaccard-live")
+    edges = materialize(family_edges(live, codes, percent, buckets, hot_entries), "jaccard-family-edges")
     families = components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("family"))
     families = materialize(families, "jaccard-families")
     members = (rows.select("doc_id", "text_key", "set_id").join(families, "set_id").groupBy("set_id", "family")
