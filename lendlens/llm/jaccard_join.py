@@ -21,14 +21,17 @@ link when 100 * |A & B| >= percent * |A | B|.
    can only make a family larger; a list longer than ``hot_entries`` is dealt
    to several tasks, each sends on one entry per set size, and these are
    chained in a small round.
-4. Inside a family the exact join runs in tasks over blocks of at most
-   ``block_sets`` sets: every task takes one pair of blocks.  There sets are
-   ordered by their frequency in the family, lists are skipped by length and
-   position, and a set's answers are derived from those already known: a
+4. Families above ``block_bytes`` are split again by whole prefixes: common
+   shingles lie in both prefixes or behind one of them, so a pair must share
+   a good part of its prefixes.
+5. Inside a family the exact join runs in tasks over blocks of about
+   ``block_bytes`` of sets: every task takes one pair of blocks.  There sets
+   are ordered by their frequency in the family, lists are skipped by length
+   and position, and a set's answers are derived from those already known: a
    candidate in the component of the set at hand is skipped, since the link
    relation's closure is asked for; everything else is compared in full.
    Tasks return a forest, so output is linear in the sets.
-5. Forests of several blocks meet in connected components by alternating
+6. Forests of several blocks meet in connected components by alternating
    large-star / small-star rounds.
 
 Defined cases: texts of fewer words than a shingle are one shingle; NULL and
@@ -354,10 +357,69 @@ def join_blocks(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, perce
     return ids[child], root[child]
 
 
-def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, block_sets: int) -> DataFrame:
-    """Exact links inside families as forest edges (a, b). ``members``: family, set_id and the row (doc_id, text_key) of one holder."""
-    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("sets"))
-    blocks = members.join(sizes, "family").withColumn("blocks", F.ceil(F.col("sets") / block_sets).cast("int"))
+def prefix_forest(ids: np.ndarray, n: np.ndarray, prefixes: list[np.ndarray], side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Forest of the pairs whose prefixes share enough: common shingles are in both prefixes or behind one of them."""
+    by_size = np.argsort(n, kind="stable")
+    ids, n, side = ids[by_size], n[by_size], side[by_size]
+    size = np.array([len(prefixes[k]) for k in by_size.tolist()], np.int64)
+    owner = np.repeat(np.arange(len(n)), size)
+    _, code = np.unique(np.concatenate([prefixes[k] for k in by_size.tolist()]), return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    begin = np.searchsorted(code[order], np.arange(code.max() + 2))
+    spot = np.empty(len(code), np.int64)
+    spot[order] = np.arange(len(order))
+    ends = np.cumsum(size)
+    a, b = [], []
+    for x in range(len(n)):
+        mine = np.arange(ends[x] - size[x], ends[x])
+        lists = [owner[order[begin[c]:e]] for c, e in zip(code[mine].tolist(), spot[mine].tolist()) if e > begin[c]]
+        if not lists:
+            continue
+        y, both = np.unique(np.concatenate(lists), return_counts=True)
+        most = both + np.maximum(n[x] - size[x], n[y] - size[y])
+        fits = (100 * n[y] >= percent * n[x]) & (100 * most >= percent * (n[x] + n[y] - most))
+        if side[x] >= 0:
+            fits &= side[y] != side[x]
+        a.append(np.full(int(fits.sum()), ids[x]))
+        b.append(ids[y[fits]])
+        if sum(map(len, a)) > 1_000_000:                     # keep a forest only
+            x_, y_ = _forest(np.concatenate(a), np.concatenate(b))
+            a, b = [x_], [y_]
+    return _forest(np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _block_pairs(sets: DataFrame) -> DataFrame:
+    """Block b of a family goes to the tasks (b, other) and (other, b)."""
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return sets.withColumn("other", others).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+
+
+def refine(families: DataFrame, sets: DataFrame, percent: int, block_bytes: int) -> DataFrame:
+    """Split families of more than ``block_bytes`` by what their sets' whole prefixes share; the others stay."""
+    sized = families.join(sets, "set_id")
+    total = materialize(sized.groupBy("family").agg(F.sum("n").alias("size")).filter(F.col("size") * 8 > block_bytes), "jaccard-large")
+    if total.isEmpty():
+        return families
+    large = sized.join(F.broadcast(total) if total.limit(100_001).count() <= 100_000 else total, "family")
+    large = large.withColumn("blocks", F.ceil(F.col("size") * 8 / (5 * block_bytes)).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
+        side = np.full(len(pdf), -1) if low == high else (pdf["block"] == high).to_numpy().astype(int)
+        a, b = prefix_forest(pdf["set_id"].to_numpy(), pdf["n"].to_numpy(), [np.frombuffer(s, U64) for s in pdf["prefix"]], side, percent)
+        return pd.DataFrame({"a": a, "b": b})
+
+    edges = materialize(_block_pairs(large.select("family", "set_id", "n", "prefix", "block", "blocks"))
+                        .groupBy("family", "low", "high").applyInPandas(join, "a bigint, b bigint"), "jaccard-refined")
+    parts = components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("family"))
+    return families.join(total.select("family"), "family", "left_anti").select("set_id", "family").unionByName(parts)
+
+
+def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, block_bytes: int) -> DataFrame:
+    """Exact links inside families as forest edges (a, b). ``members``: family, set_id, n and the row (doc_id, text_key) of one holder."""
+    sizes = members.groupBy("family").agg(F.sum("n").alias("size"))
+    blocks = members.join(sizes, "family").withColumn("blocks", F.ceil(F.col("size") * 8 / block_bytes).cast("int"))
     blocks = materialize(blocks.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")), "jaccard-blocks")
 
     def rebuild(batches):
@@ -377,10 +439,6 @@ def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, b
     sets = materialize(held.select("family", "block", "blocks", "set_id", "text").mapInArrow(
         rebuild, "family bigint, block int, blocks int, set_id bigint, shingles binary"), "jaccard-sets")
 
-    # block b of a family goes to the tasks (b, other) and (other, b)
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = sets.withColumn("other", others).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("set_id")             # repeated rows hold the same set
         low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
@@ -388,11 +446,11 @@ def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, b
         a, b = join_blocks(pdf["set_id"].to_numpy(), [np.frombuffer(s, U64) for s in pdf["shingles"]], side, percent)
         return pd.DataFrame({"a": a, "b": b})
 
-    return dealt.groupBy("family", "low", "high").applyInPandas(join, "a bigint, b bigint")
+    return _block_pairs(sets).groupBy("family", "low", "high").applyInPandas(join, "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, heavy: int = 1_000_000,
-                       long_list: int = 64, block_sets: int = 10_000, bucket_mb: int = 16,
+                       long_list: int = 64, block_bytes: int = 1 << 24, bucket_mb: int = 16,
                        hot_entries: int = 200_000) -> DataFrame:
     """doc_id, n_shingles, set_id, component_id (smallest linked doc_id): one row per document."""
     order = docs.sparkSession.sparkContext.broadcast(heavy_shingles(docs, words, heavy))
@@ -404,10 +462,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, heavy
     live = materialize(live_entries(sets, percent, buckets, long_list, order, hot_entries), "jaccard-live")
     edges = materialize(family_edges(live, codes, percent, buckets, hot_entries), "jaccard-family-edges")
     families = components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("family"))
-    families = materialize(families, "jaccard-families")
-    members = (rows.select("doc_id", "text_key", "set_id").join(families, "set_id").groupBy("set_id", "family")
-               .agg(F.min(F.struct("doc_id", "text_key")).alias("holder")).select("set_id", "family", "holder.*"))
-    forest = materialize(link_forest(members, docs, words, percent, block_sets), "jaccard-links")
+    families = materialize(refine(materialize(families, "jaccard-families"), sets, percent, block_bytes), "jaccard-families")
+    members = (rows.select("doc_id", "text_key", "set_id", "n").join(families, "set_id").groupBy("set_id", "family", "n")
+               .agg(F.min(F.struct("doc_id", "text_key")).alias("holder")).select("set_id", "family", "n", "holder.*"))
+    forest = materialize(link_forest(members, docs, words, percent, block_bytes), "jaccard-links")
     linked = components(forest).select(F.col("node").alias("set_id"), F.col("component"))
     linked = materialize(linked, "jaccard-components")
     # empty sets stay alone: each row is its own class
