@@ -3,17 +3,58 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; stages are
 written as Parquet and the next one reads that table.  All but the last
 return the columns of ``documents``.
+
+1. language id: a network trained on the given rows labels them; rows it
+   rejects (``und``: no letter in the text) go.
+2. line dedup: repeated multi-line chunks leave the texts, no rows go.
+3. near duplicates: of every component of linked texts the smallest doc_id stays.
+4. decontamination: rows that hold a window of a ``benchmark`` text go.
+5. packing: the rest as pieces in sequences of at most 4096 tokens.
 """
 
 from __future__ import annotations
 
-STAGES = []
+from lendlens.llm.common import materialize, table
+from lendlens.llm.decontaminate import drop_contaminated
+from lendlens.llm.jaccard_join import keep_one_per_group
+from lendlens.llm.language_id import UNDEFINED, predict, train
+from lendlens.llm.line_dedup import dedup_lines
+from lendlens.llm.packing import pack
+from lendlens.llm.queries import tokenizer_file
+from lendlens.llm.shipping import ship
+
+
+def language_stage(spark, docs, sf_dir):
+    ship(spark)
+    labelled = predict(docs, train(docs), docs.columns)
+    return labelled.filter(labelled["lang_pred"] != UNDEFINED).select(docs.columns)
+
+
+def line_stage(spark, docs, sf_dir):
+    ship(spark)
+    return dedup_lines(docs).select(docs.columns)
+
+
+def near_duplicate_stage(spark, docs, sf_dir):
+    ship(spark)
+    return keep_one_per_group(docs)
+
+
+def decontamination_stage(spark, docs, sf_dir):
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark, docs, sf_dir):
+    ship(spark)
+    return pack(docs, tokenizer_file())
+
+
+STAGES = [("language id", language_stage), ("line dedup", line_stage), ("near duplicates", near_duplicate_stage),
+          ("decontamination", decontamination_stage), ("packing", packing_stage)]
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    from lendlens.llm.common import materialize, table
-
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")

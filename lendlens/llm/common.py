@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from lendlens.llm.shipping import ship
 from lendlens.session import materialize
 
-__all__ = ["materialize", "table", "column", "slots", "lower_ascii", "small_enough"]
+__all__ = ["materialize", "table", "column", "slots", "pinned", "lower_ascii", "small_enough"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,17 @@ def column(df: DataFrame, name: str, kind: str) -> Column:
     return df[name].cast(kind) if name in df.columns else F.lit(None).cast(kind)
 
 
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` plus ``columns``, evaluated once per row.
+
+    The optimizer merges neighbouring projections and repeats an expression for
+    every use, inside lambdas even for every element; a one-row ``explode``
+    between them keeps each value computed once.
+    """
+    held = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_pinned")
+    return df.select("*", held).select(*[F.col(c) for c in df.columns if c not in columns], *[F.col("_pinned")[n].alias(n) for n in columns])
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower-case A-Z only, as every token contract of this package asks."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.llm import bytetext as B
-from lendlens.llm.common import column, materialize
+from lendlens.llm.common import column, materialize, small_enough
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 22
@@ -209,5 +209,5 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that hold a test window."""
     found = find_contamination(docs, benchmark, window).filter(F.size("hit_words") > 0)
-    hit = materialize(found.select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
+    hit = small_enough(materialize(found.select(F.col("doc_id").alias("_hit")).distinct(), "contaminated"), 500_000)
     return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(docs.columns)

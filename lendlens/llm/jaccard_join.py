@@ -476,3 +476,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, heavy
     return labelled.join(smallest, "label", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "set_id",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with the smallest doc_id of every link component; repeated rows (same doc_id and text) stay once."""
+    found = jaccard_components(docs, words, percent).filter("NOT (doc_id <=> component_id)")
+    gone = small_enough(materialize(found.select(F.col("doc_id").alias("_gone")).distinct(), "near-duplicates"), 500_000)
+    doc_id, text = column(docs, "doc_id", "long"), column(docs, "text", "string")
+    kept = docs.withColumn("_doc", doc_id).withColumn("_key", F.xxhash64(text)).join(gone, F.col("_doc") == F.col("_gone"), "left_anti")
+    twice = docs.groupBy(doc_id.alias("_doc"), F.xxhash64(text).alias("_key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not twice.isEmpty():
+        kept = kept.dropDuplicates(["_doc", "_key"])
+    return kept.select(docs.columns)

@@ -50,7 +50,7 @@ from lendlens.llm.common import column, materialize
 U64 = np.uint64
 END, START = U64(0x1F3A5B7C9D2E4F61), U64(0xA2B4C6D8E0F13579)
 K = 5
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_500_000
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -322,7 +322,7 @@ def _contexts(blob: bytes) -> int:
     return int.from_bytes(blob[-8:], "little")
 
 
-def score_texts(docs: DataFrame, keep_out: int = 2, modulus: int = 7, bucket_tokens: int = 1_000_000, hot: int = 500_000) -> DataFrame:
+def score_texts(docs: DataFrame, keep_out: int = 2, modulus: int = 7, bucket_tokens: int = 750_000, hot: int = 500_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document."""
     spark = docs.sparkSession
     slots = max(32, docs.rdd.getNumPartitions())
