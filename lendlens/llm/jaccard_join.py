@@ -272,7 +272,12 @@ def family_edges(live: DataFrame, sets: DataFrame, percent: int, buckets: int, h
         _, begin, size = np.unique(sh, return_index=True, return_counts=True)
         flat = np.repeat(np.arange(len(begin)), size)
         a, b = [], []
-        short = size[flat] <= 16
+        spread = pdf["spread"].to_numpy()                               # part of a dealt list: chained, see ``chain``
+        i = np.flatnonzero(spread[1:] & (flat[1:] == flat[:-1]))
+        i = i[100 * n[i] >= percent * n[i + 1]]
+        a.append(ids[i])
+        b.append(ids[i + 1])
+        short = (size[flat] <= 16) & ~spread
         for step in range(1, 16):                                      # all short lists at once
             i = np.flatnonzero((flat[step:] == flat[:-step]) & short[step:])
             if not len(i):
@@ -280,7 +285,7 @@ def family_edges(live: DataFrame, sets: DataFrame, percent: int, buckets: int, h
             i, j = _surviving(n, pos, bits, i, i + step, percent)
             a.append(ids[i])
             b.append(ids[j])
-        for k in np.flatnonzero(size > 16).tolist():
+        for k in np.flatnonzero((size > 16) & ~spread[begin]).tolist():
             at = slice(begin[k], begin[k] + size[k])
             x, y = list_forest(n[at], pos[at], bits[at], ids[at], percent)
             a.append(x)
