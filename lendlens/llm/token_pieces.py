@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lendlens.llm.common import column
 
 END_ID = 2
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 _LATIN = "".join(chr(c) for c in range(0xC0, 0x180) if chr(c).isalpha() and len(chr(c).lower()) == 1
                  and unicodedata.is_normalized("NFC", chr(c)) and c not in (0x130, 0x149, 0x17F))
 _PLAIN = re.compile(f"[\x20-\x7e\n\r\t{_LATIN}]*")
@@ -36,6 +36,9 @@ class Coder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.final = np.zeros(max(vocabulary.values()) + 1, bool)        # ids that end a part
+        self.final[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -49,8 +52,14 @@ class Coder:
             self.parts.clear()
         split = [_PARTS.findall(w) for w in words]
         new = list({p for row in split for p in row if p not in self.parts})
-        for part, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.parts[part] = np.array(got.ids, "<u4").tobytes()
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.final[ids]) + 1
+        if len(ends) == len(new):                                        # one end per part: cut there
+            raw, ends = ids.tobytes(), [0, *(4 * ends).tolist()]
+            self.parts.update((part, raw[ends[k]:ends[k + 1]]) for k, part in enumerate(new))
+        else:
+            for part, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                self.parts[part] = np.array(got.ids, "<u4").tobytes()
         for word, row in zip(words, split):
             self.words[word] = b"".join([self.parts[p] for p in row])
 
