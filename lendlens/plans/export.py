@@ -6,7 +6,6 @@ import os
 
 from pyspark.sql import DataFrame
 
-from lendlens.operators.joins import pin_small
 
 # The loan-level fact table's columns.
 FACT_COLUMNS = ("loan_id", "is_default", "loan_amnt", "term_months", "int_rate", "grade", "sub_grade",
@@ -26,12 +25,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple = ()) -> None:
     w.parquet(path)
 
 
-def write_small_csv(df: DataFrame, path: str, limit: int = 1_000_000) -> None:
-    """One CSV file with header for a table of checked small size."""
-    small = pin_small(df, limit)
-    if small is None:
-        raise ValueError(f"{path}: more than {limit} rows, write Parquet instead")
-    small.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_small_csv(df: DataFrame, path: str) -> None:
+    """One CSV file with header, written by one task without passing the driver."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def export_star(out_dir: str, features: DataFrame, seg_risk: DataFrame, curves: DataFrame,
@@ -78,7 +74,7 @@ def read_scores(spark, path: str) -> DataFrame:
 
 def write_cutoff_csv(table: DataFrame, path: str) -> None:
     """The cutoff table (tens of rows) as one CSV file with header."""
-    write_small_csv(table.orderBy("pd_cutoff"), path)
+    write_small_csv(table.coalesce(1).sortWithinPartitions("pd_cutoff"), path)
 
 
 def read_cutoff_csv(spark, path: str) -> DataFrame:
