@@ -8,31 +8,37 @@ Every public function maps a DataFrame to a DataFrame.  Layout:
                  threshold sweep, guarded small-side joins, exact quantiles)
 * ``plans``     the composite jobs: staging, features, segments, vintage,
                  loss, policy, modelling, cutoff economics, reports, exports
-* ``streaming`` nothing: the analysed pipeline is batch only
 
 The names below are the public API.
 """
 
+from importlib import import_module
+
 __version__ = "0.1.0"
 
-from lendlens.operators.ordering import RankSpec, add_ranks
-from lendlens.operators.quantile import exact_quantiles
-from lendlens.operators.sweep import sweep_below
-from lendlens.plans.cutoff import book_baseline, cutoff_marginal, cutoff_table
-from lendlens.plans.export import export_star
-from lendlens.plans.features import loan_features
-from lendlens.plans.loss import grade_loss, segment_expected_loss
-from lendlens.plans.model import train_and_score
-from lendlens.plans.policy import oot_split, policy_summary
-from lendlens.plans.segments import segment_risk, top_segments
-from lendlens.plans.staging import stage_loans, staging_rejects, staging_sanity
-from lendlens.plans.vintage import vintage_curves
-from lendlens.session import get_spark
-from lendlens.sources.raw import read_raw_csv
-
-__all__ = [
-    "RankSpec", "add_ranks", "exact_quantiles", "sweep_below", "book_baseline", "cutoff_marginal",
-    "cutoff_table", "export_star", "loan_features", "grade_loss", "segment_expected_loss",
-    "train_and_score", "oot_split", "policy_summary", "segment_risk", "top_segments", "stage_loans",
-    "staging_rejects", "staging_sanity", "vintage_curves", "get_spark", "read_raw_csv",
-]
+# module -> public names; loaded on first use, so that a Python worker that imports one module does not load them all
+_PUBLIC = {
+    "operators.ordering": ("RankSpec", "add_ranks"),
+    "operators.quantile": ("exact_quantiles",),
+    "operators.sweep": ("sweep_below",),
+    "plans.cutoff": ("book_baseline", "cutoff_marginal", "cutoff_table"),
+    "plans.export": ("export_star",),
+    "plans.features": ("loan_features",),
+    "plans.loss": ("grade_loss", "segment_expected_loss"),
+    "plans.model": ("train_and_score",),
+    "plans.policy": ("oot_split", "policy_summary"),
+    "plans.segments": ("segment_risk", "top_segments"),
+    "plans.staging": ("stage_loans", "staging_rejects", "staging_sanity"),
+    "plans.vintage": ("vintage_curves",),
+    "session": ("get_spark",),
+    "sources.raw": ("read_raw_csv",),
+}
+
+__all__ = [name for names in _PUBLIC.values() for name in names]
+
+
+def __getattr__(name: str):
+    for module, names in _PUBLIC.items():
+        if name in names:
+            return getattr(import_module(f"lendlens.{module}"), name)
+    raise AttributeError(f"module 'lendlens' has no attribute {name!r}")
