@@ -1,9 +1,9 @@
 """Token ids of whole texts by a public tokenizer file, cut into pieces no longer than a sequence.
 
 The tokenizer splits at white space before anything else, so ids are looked
-up per white-space word in a bounded cache of each Python worker; a new word
-is split by the tokenizer's own pattern, and only unseen parts are encoded by
-the library.  Texts with any character outside plain ASCII and Latin letters
+up per white-space word in a bounded cache of each Python worker; the new words
+of a group of texts are split by the tokenizer's own pattern, and only unseen
+parts are encoded by the library.  Texts with any character outside plain ASCII and Latin letters
 (where normalisation could reach across a word, or differ) and texts holding a
 special token are encoded whole by the library.
 """
@@ -13,6 +13,8 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,8 @@ from pyspark.sql import functions as F
 from lendlens.llm.common import column
 
 END_ID = 2
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_500_000
+GROUP_CHARS = 30_000
 _LATIN = "".join(chr(c) for c in range(0xC0, 0x180) if chr(c).isalpha() and len(chr(c).lower()) == 1
                  and unicodedata.is_normalized("NFC", chr(c)) and c not in (0x130, 0x149, 0x17F))
 _PLAIN = re.compile(f"[\x20-\x7e\n\r\t{_LATIN}]*")
@@ -39,42 +42,44 @@ class Coder:
         vocabulary = self.tokenizer.get_vocab()
         self.final = np.zeros(max(vocabulary.values()) + 1, bool)        # ids that end a part
         self.final[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}                               # ids of words and of their parts
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: list[str]) -> None:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
-        split = [_PARTS.findall(w) for w in words]
-        new = list({p for row in split for p in row if p not in self.parts})
+    def encode_parts(self, new: list[str]) -> None:
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.final[ids]) + 1
         if len(ends) == len(new):                                        # one end per part: cut there
-            raw, ends = ids.tobytes(), [0, *(4 * ends).tolist()]
-            self.parts.update((part, raw[ends[k]:ends[k + 1]]) for k, part in enumerate(new))
+            raw, ends = ids.tobytes(), (4 * ends).tolist()
+            self.known.update(zip(new, map(raw.__getitem__, map(slice, [0, *ends], ends))))
         else:
             for part, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.parts[part] = np.array(got.ids, "<u4").tobytes()
-        for word, row in zip(words, split):
-            self.words[word] = b"".join([self.parts[p] for p in row])
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian 32-bit ids of ``text``."""
-        if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
-            return self.whole(text)
-        words = text.lower().split()
-        new = {w for w in words if w not in self.words}
+                self.known[part] = np.array(got.ids, "<u4").tobytes()
+
+    def learn(self, words: set[str]) -> None:
+        """Adds the ids of unseen words; a word of one part is that part."""
+        rows = [(w, _PARTS.findall(w)) for w in words]
+        rows = [(w, row) for w, row in rows if row[0] != w]
+        parts = words.difference([w for w, _ in rows])
+        parts.update(chain.from_iterable([row for _, row in rows]))
+        new = list(parts.difference(self.known))
         if new:
-            self.learn(list(new))
-            missing = [w for w in words if w not in self.words]     # the cache was emptied for the new words
-            if missing:
-                return self.whole(text)
-        return b"".join(map(self.words.__getitem__, words))
+            self.encode_parts(new)
+        known = self.known
+        known.update([(w, b"".join(map(known.__getitem__, row))) for w, row in rows])
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text; unseen words of all the texts are learnt together."""
+        split = [t.lower().split() if _PLAIN.fullmatch(t) and not any(s in t for s in self.special) else None for t in texts]
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        seen = set(chain.from_iterable([words for words in split if words]))
+        new = seen.difference(self.known)
+        if new:
+            self.learn(new)
+        for text, words in zip(texts, split):
+            yield self.whole(text) if words is None else b"".join(map(self.known.__getitem__, words))
 
 
 def coder(path: str) -> Coder:
@@ -83,6 +88,19 @@ def coder(path: str) -> Coder:
     return _CODERS[path]
 
 
+def text_groups(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
+    """(doc_id, text) rows of a batch in groups of about GROUP_CHARS characters; a longer text is a group of its own."""
+    rows, chars = [], 0
+    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        rows.append((doc_id, text.as_py() or ""))
+        chars += len(rows[-1][1])
+        if chars >= GROUP_CHARS:
+            yield rows
+            rows, chars = [], 0
+    if rows:
+        yield rows
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens.  All but a document's last piece are full."""
     def cut(batches):
@@ -92,16 +110,17 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
             doc, start, length, crc, total = [], [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = code.ids(text.as_py() or "") + end
-                n = len(ids) // 4
-                for s in range(0, n, capacity):
-                    part = ids[4 * s:4 * (s + capacity)]
-                    doc.append(doc_id)
-                    start.append(s)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    total.append(n)
+            for rows in text_groups(batch):
+                for doc_id, ids in zip([r[0] for r in rows], code.ids([r[1] for r in rows])):
+                    ids += end
+                    n = len(ids) // 4
+                    for s in range(0, n, capacity):
+                        part = ids[4 * s:4 * (s + capacity)]
+                        doc.append(doc_id)
+                        start.append(s)
+                        length.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
+                        total.append(n)
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (doc, start, length, crc, total)],
                                              names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
