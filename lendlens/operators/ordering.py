@@ -12,9 +12,10 @@ numbers come out of a range-bucketed plan:
    split further on the tie-break column, with boundaries from a bounded
    sample; no group of equal keys ends up in one task;
 3. one aggregate pass counts rows per (partition keys, bucket, sub-bucket);
-   that table has at most (#partition values x #buckets) rows, is checked
-   against a size limit and gives each bucket its offset inside its
-   partition and the partition size;
+   that table has at most (#partition values x #buckets) rows and gives each
+   bucket its offset inside its partition and the partition size; within the
+   size limit it is pinned and broadcast, beyond it stored and joined by
+   shuffle (AQE splits skewed sides);
 4. a bucket whose rows all fall in one tile takes that tile from the pinned
    table (broadcast lookup, no shuffle); only rows of buckets on a tile edge
    get a piece index and are numbered by a window partitioned by (partition
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlens.operators.joins import STORED_ROW_LIMIT, join_small, pin_small, pinned_grouping_sets
+from lendlens.session import materialize
 
 # Rows sampled at most to place sub-bucket boundaries of hot keys.
 HOT_SAMPLE_ROWS = 200_000
@@ -255,7 +257,7 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
                 by_value[x.name] = _rank_by_value(t.withColumnRenamed(f"__v_{x.name}", "__v"), x)
     bucketed = [x for x in specs if x.name not in by_value]
 
-    plans = {}
+    plans, small = {}, True
     if bucketed:
         probs = [i / B for i in range(1, B)]
         acc = max(10_000, 20 * B)
@@ -283,11 +285,13 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
         sets = [list(s.parts) + [f"__b{i}", f"__s{i}"] for i, s in enumerate(bucketed)]
         counts = pinned_grouping_sets(narrow, sets, [F.count(F.lit(1)).alias("_cnt")], small_limit)
         if counts is None:
-            raise ValueError(f"more than {small_limit} (partition, bucket) cells; "
-                             "use fewer buckets or a coarser partition")
+            # more cells than may be broadcast: one stored table per spec, joined by shuffle
+            small = False
+            counts = [materialize(narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")), "rank_cells")
+                      for keys in sets]
         for i, s in enumerate(bucketed):
-            offs = pin_small(_offsets(counts[i], s, i, f"__b{i}", f"__s{i}"), small_limit)
-            plans[i] = tuple(plans[i]) + (offs,)
+            offs = _offsets(counts[i], s, i, f"__b{i}", f"__s{i}")
+            plans[i] = tuple(plans[i]) + (pin_small(offs, small_limit) if small else materialize(offs, "rank_offsets"),)
 
     out = df
     helpers = []
@@ -300,7 +304,7 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
         """Piece index (hot buckets split on the tie-break) and the piece lookup."""
         _, _, _, bounds, offs = plans[i]
         frame = frame.withColumn(f"__s{i}", _sub_col(f"__b{i}", tie, bounds))
-        return join_small(frame, offs, list(s.parts) + [f"__b{i}", f"__s{i}"], limit=small_limit, pinned=True)
+        return join_small(frame, offs, list(s.parts) + [f"__b{i}", f"__s{i}"], limit=small_limit, pinned=small)
 
     def piece_cols(i):
         return [f"__s{i}", f"__off{i}", f"__npart{i}", f"__kbase{i}", f"__const{i}"]
@@ -314,8 +318,8 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
             c = f"__const{i}"
             whole = plans[i][4].groupBy(*s.parts, f"__b{i}").agg(
                 F.when((F.min(c) == F.max(c)) & (F.count(c) == F.count(F.lit(1))), F.min(c)).alias(f"__bconst{i}"))
-            out = join_small(out, pin_small(whole, small_limit), list(s.parts) + [f"__b{i}"],
-                             limit=small_limit, pinned=True)
+            out = join_small(out, pin_small(whole, small_limit) if small else whole, list(s.parts) + [f"__b{i}"],
+                             limit=small_limit, pinned=small)
             helpers.append(f"__bconst{i}")
             need = need | F.col(f"__bconst{i}").isNull()
         fixed = out.filter(~need).withColumns({s.name: F.col(f"__bconst{i}") for i, s in positional})

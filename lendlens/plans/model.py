@@ -25,6 +25,8 @@ from lendlens.plans import policy, prep
 from lendlens.session import materialize
 
 MISSING = prep.MISSING_LEVEL
+# Boosting rounds fitted before the hold-out loss is first read.
+FIRST_ROUNDS = 25
 
 
 @dataclass
@@ -69,8 +71,8 @@ def _p1(col: str = "probability") -> F.Column:
     return vector_to_array(F.col(col))[1]
 
 
-def _best_rounds(model, holdout: DataFrame, patience: int = 10) -> int:
-    """Rounds with the lowest hold-out log-loss, stopping after ``patience`` without gain."""
+def _best_rounds(model, holdout: DataFrame, patience: int = 10) -> tuple[int, bool]:
+    """Rounds with the lowest hold-out log-loss, and whether ``patience`` rounds without gain followed."""
     losses = model.evaluateEachIteration(holdout)
     best, best_i, since = float("inf"), 0, 0
     for i, v in enumerate(losses):
@@ -79,8 +81,8 @@ def _best_rounds(model, holdout: DataFrame, patience: int = 10) -> int:
         else:
             since += 1
             if since >= patience:
-                break
-    return best_i + 1
+                return best_i + 1, True
+    return best_i + 1, False
 
 
 def _fit_gbt(train: DataFrame, max_iter: int, seed: int, early_stopping: bool):
@@ -90,21 +92,28 @@ def _fit_gbt(train: DataFrame, max_iter: int, seed: int, early_stopping: bool):
         return gbt.fit(train), max_iter
     h = F.pmod(F.xxhash64(F.col("loan_key"), F.lit(seed)), F.lit(10))
     fit_part, hold = train.filter(h != 0), train.filter(h == 0)
-    full = gbt.fit(fit_part)
-    rounds = _best_rounds(full, hold)
-    return gbt.copy().setMaxIter(rounds).fit(fit_part), rounds
+    # rounds are a prefix of a longer run with the same seed: double them until patience runs out
+    tried = min(FIRST_ROUNDS, max_iter)
+    while True:
+        model = gbt.copy().setMaxIter(tried).fit(fit_part)
+        rounds, settled = _best_rounds(model, hold)
+        if settled or tried == max_iter:
+            break
+        tried = min(max_iter, 2 * tried)
+    return (model if rounds == tried else gbt.copy().setMaxIter(rounds).fit(fit_part)), rounds
 
 
 def train_and_score(features: DataFrame, gbt_iter: int = 400, folds: int = 3, seed: int = 42,
                     lr_iter: int = 2000, early_stopping: bool = True) -> ModelResult:
-    mf = features.select(*policy.NUMERIC, *policy.CATEGORICAL, policy.TARGET, policy.SPLIT_DATE,
-                         "loan_id")
-    rows = policy.passing(mf)
+    rows = policy.passing(policy.model_frame(features, keep=("loan_id",)))
     train, test, cut = policy.oot_split(rows)
     med = prep.medians(train)
     stats = prep.scale_stats(train, med)
 
-    enc = Pipeline(stages=_encoder_stages(_numeric_inputs(med))).fit(_standardise(train, med, stats))
+    stages = _encoder_stages(_numeric_inputs(med))
+    # the columns the assembler really takes, without their z_ / o_ prefix
+    policy.check_inputs(c[2:] for c in stages[-1].getInputCols())
+    enc = Pipeline(stages=stages).fit(_standardise(train, med, stats))
 
     def design(df):
         return enc.transform(_standardise(df, med, stats)).withColumn(

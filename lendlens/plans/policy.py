@@ -29,12 +29,26 @@ TINY_INCOME = 200_000 / 83
 MAX_LOAN_TO_TINY_INCOME = 0.8
 
 
-def model_frame(features: DataFrame) -> DataFrame:
-    """The pruned model table; fails if an outcome column is an input."""
-    leaked = set(OUTCOME_COLUMNS) & set(NUMERIC + CATEGORICAL)
+# Columns known only after the loan was made (exact names, name prefixes).
+AFTER_ORIGINATION = OUTCOME_COLUMNS + (
+    "total_pymnt", "total_rec_prncp", "total_rec_int", "recoveries", "collection_recovery_fee", "out_prncp",
+    "out_prncp_inv", "last_pymnt_d", "last_pymnt_amnt", "next_pymnt_d", "last_fico_range_high",
+    "last_fico_range_low", "debt_settlement_flag")
+AFTER_ORIGINATION_PREFIXES = ("settlement_", "hardship_")
+
+
+def check_inputs(inputs) -> None:
+    """Fails if a model input is the target, the split date or known only after the loan was made."""
+    leaked = [c for c in inputs if c in AFTER_ORIGINATION or c in (TARGET, SPLIT_DATE)
+              or c.startswith(AFTER_ORIGINATION_PREFIXES)]
     if leaked:
         raise ValueError(f"outcome columns among model inputs: {sorted(leaked)}")
-    return features.select(*NUMERIC, *CATEGORICAL, TARGET, SPLIT_DATE)
+
+
+def model_frame(features: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The pruned model table (and ``keep``); fails if an outcome column is an input."""
+    check_inputs(NUMERIC + CATEGORICAL)
+    return features.select(*NUMERIC, *CATEGORICAL, TARGET, SPLIT_DATE, *keep)
 
 
 def declined(df: DataFrame | None = None) -> F.Column:

@@ -198,8 +198,9 @@ def sample_loans(features: DataFrame, n: int = 150_000, seed: int = 42,
     here an approximate quantile of the digest's 60-bit prefix gives a
     threshold, an exact count checks that at least ``n`` rows fall at or
     below it (else it is raised), and only those rows reach the final top-n.
+    A NULL id is digested as the empty text, so it is placed alike at every size.
     """
-    digest = F.md5(F.concat(F.col("loan_id"), F.lit(str(seed))))
+    digest = F.md5(F.concat(F.coalesce(F.col("loan_id"), F.lit("")), F.lit(str(seed))))
     keyed = features.select("loan_id", *cols, digest.alias("__k"),
                             F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("__p"))
     total = features.count()

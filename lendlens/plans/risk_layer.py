@@ -15,11 +15,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlens.functions.cleaning import calendar_months
-from lendlens.operators.joins import STORED_ROW_LIMIT, pinned_grouping_sets
+from lendlens.operators.joins import BROADCAST_ROW_LIMIT, STORED_ROW_LIMIT, pinned_grouping_sets
+from lendlens.plans import loss as loss_tables
+from lendlens.plans import segments, vintage
 from lendlens.plans.segments import SEGMENT_KEYS
 
 
-def risk_layer(features: DataFrame, min_loans: int = 200, max_mob: int = 60) -> dict[str, DataFrame]:
+def risk_layer(features: DataFrame, min_loans: int = 200, max_mob: int = 60, limit: int = BROADCAST_ROW_LIMIT,
+               stored_limit: int = STORED_ROW_LIMIT) -> dict[str, DataFrame]:
+    """The four tables by name; with more groups than ``stored_limit`` each comes from its own scan."""
     d = F.col("is_default") == 1
     loss = F.col("loan_amnt") - F.col("actual_total_pymnt") - F.col("actual_recoveries")
     mob = F.greatest(F.lit(1).cast("bigint"), calendar_months("issue_date", "last_pymnt_date"))
@@ -39,9 +43,10 @@ def risk_layer(features: DataFrame, min_loans: int = 200, max_mob: int = 60) ->
     ]
     tables = pinned_grouping_sets(
         rows, [list(SEGMENT_KEYS), ["grade"], ["vintage_quarter"], ["vintage_quarter", "mob"]], aggs,
-        stored_limit=STORED_ROW_LIMIT)
+        limit, stored_limit)
     if tables is None:
-        raise ValueError("risk layer larger than the stored lookup limit; use the per-table functions")
+        return {"segment_risk": segments.segment_risk(features, min_loans), "grade_loss": loss_tables.grade_loss(features),
+                "cohort_sizes": vintage.cohort_sizes(features), "vintage_curves": vintage.vintage_curves(features, max_mob)}
     seg, grade, cohort, timing = tables
 
     book = Window.partitionBy()

@@ -55,6 +55,18 @@ def test_ntile_and_percent_rank_match_native(spark, buckets):
     assert rn == list(range(1, df.count() + 1))
 
 
+def test_more_cells_than_may_be_broadcast(spark):
+    """Above the size limit the offsets are stored and joined by shuffle; the numbers stay those of the native window."""
+    df = _data(spark)
+    ours = add_ranks(df, [RankSpec("t7", "x", "ntile", tiles=7, parts=("grade",)), RankSpec("pr", "x", "percent_rank")],
+                     tie="loan_id", buckets=16, small_limit=20, stored_limit=20)
+    key = F.col("x").asc_nulls_last()
+    native = df.select("loan_id", "grade", "x",
+                       F.ntile(7).over(W.partitionBy("grade").orderBy(key, F.col("loan_id"))).cast("bigint").alias("t7"),
+                       F.percent_rank().over(W.orderBy(key)).alias("pr"))
+    assert sorted(map(repr, ours.collect())) == sorted(map(repr, native.collect()))
+
+
 def test_ntile_sizes_differ_by_at_most_one(spark):
     df = _data(spark, n=1234, seed=3)
     out = add_ranks(df, [RankSpec("t", "x", "ntile", tiles=10)], tie="loan_id", buckets=8)

@@ -61,6 +61,16 @@ def test_blacklist_guard(monkeypatch, feats):
     monkeypatch.setattr(policy, "NUMERIC", policy.NUMERIC + ["actual_recoveries"])
     with pytest.raises(ValueError):
         policy.model_frame(feats)
+    for leak in ("hardship_type", "last_fico_range_low", policy.TARGET):
+        with pytest.raises(ValueError):
+            policy.check_inputs(["fico", leak])
+
+
+def test_training_refuses_a_leaked_input(monkeypatch, feats):
+    from lendlens.plans import model
+    monkeypatch.setattr(policy, "NUMERIC", policy.NUMERIC + ["actual_total_pymnt"])
+    with pytest.raises(ValueError):
+        model.train_and_score(feats, gbt_iter=1)
 
 
 def test_out_of_time_split(feats):

@@ -24,9 +24,10 @@ def _same(a, b, keys):
                 assert v == w, (k, c)
 
 
-def test_risk_layer_matches(spark):
+@pytest.mark.parametrize("limits", [{}, {"limit": 5, "stored_limit": 5}])
+def test_risk_layer_matches(spark, limits):
     f = book(spark, SF001).features
-    r = risk_layer(f, min_loans=20)
+    r = risk_layer(f, min_loans=20, **limits)
     _same(r["segment_risk"], segments.segment_risk(f, 20), ["grade", "purpose", "income_decile"])
     _same(r["grade_loss"], loss.grade_loss(f), ["grade"])
     _same(r["cohort_sizes"], vintage.cohort_sizes(f), ["vintage_quarter"])
