@@ -71,9 +71,8 @@ def _p1(col: str = "probability") -> F.Column:
     return vector_to_array(F.col(col))[1]
 
 
-def _best_rounds(model, holdout: DataFrame, patience: int = 10) -> tuple[int, bool]:
-    """Rounds with the lowest hold-out log-loss, and whether ``patience`` rounds without gain followed."""
-    losses = model.evaluateEachIteration(holdout)
+def _stopping(losses, patience: int = 10) -> tuple[int, bool]:
+    """Rounds with the lowest loss, and whether ``patience`` rounds without gain followed."""
     best, best_i, since = float("inf"), 0, 0
     for i, v in enumerate(losses):
         if v < best - 1e-12:
@@ -85,6 +84,11 @@ def _best_rounds(model, holdout: DataFrame, patience: int = 10) -> tuple[int, bo
     return best_i + 1, False
 
 
+def _best_rounds(model, holdout: DataFrame, patience: int = 10) -> int:
+    """Rounds with the lowest hold-out log-loss, stopping after ``patience`` without gain."""
+    return _stopping(model.evaluateEachIteration(holdout), patience)[0]
+
+
 def _fit_gbt(train: DataFrame, max_iter: int, seed: int, early_stopping: bool):
     gbt = GBTClassifier(featuresCol="x", labelCol="y", maxIter=max_iter, stepSize=0.08, maxDepth=6,
                         maxBins=255, minInstancesPerNode=20, seed=seed, subsamplingRate=1.0)
@@ -96,7 +100,7 @@ def _fit_gbt(train: DataFrame, max_iter: int, seed: int, early_stopping: bool):
     tried = min(FIRST_ROUNDS, max_iter)
     while True:
         model = gbt.copy().setMaxIter(tried).fit(fit_part)
-        rounds, settled = _best_rounds(model, hold)
+        rounds, settled = _stopping(model.evaluateEachIteration(hold))
         if settled or tried == max_iter:
             break
         tried = min(max_iter, 2 * tried)
