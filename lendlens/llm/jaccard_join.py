@@ -455,7 +455,7 @@ def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, b
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, heavy: int = 1_000_000,
-                       long_list: int = 64, block_bytes: int = 1 << 24, bucket_mb: int = 16,
+                       long_list: int = 64, block_bytes: int = 1 << 23, bucket_mb: int = 16,
                        hot_entries: int = 200_000) -> DataFrame:
     """doc_id, n_shingles, set_id, component_id (smallest linked doc_id): one row per document."""
     order = docs.sparkSession.sparkContext.broadcast(heavy_shingles(docs, words, heavy))
