@@ -314,19 +314,21 @@ def join_blocks(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, perce
     by_size = np.argsort(n, kind="stable")
     n, ids, side = n[by_size], ids[by_size], side[by_size]
     flat = np.concatenate([sets[k] for k in by_size.tolist()])
-    owner = np.repeat(np.arange(len(n)), n)
+    owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
     _, code, freq = np.unique(flat, return_inverse=True, return_counts=True)
-    rank = np.lexsort((code, freq[code], owner))
-    code = code[rank]
+    total = len(flat)
+    del flat
+    code, freq = code.astype(np.int32), freq.astype(np.int32)       # a block holds far fewer than 2^31 shingles
+    code = code[np.lexsort((code, freq[code], owner))]
     ends = np.cumsum(n)
     keep = n - -(-percent * n // 100) + 1
-    pos = np.arange(len(flat)) - np.repeat(ends - n, n)
+    pos = np.arange(total, dtype=np.int32) - np.repeat((ends - n).astype(np.int32), n)
     indexed = np.flatnonzero((pos < keep[owner]) & (freq[code] > 1))
     lists = indexed[np.argsort(code[indexed], kind="stable")]       # within a list: by size
-    begin = np.searchsorted(code[lists], np.arange(len(freq) + 1))
+    begin = np.searchsorted(code[lists], np.arange(len(freq) + 1, dtype=np.int32))
     marked = np.zeros(len(freq), bool)
-    spot = np.empty(len(flat), np.int64)
-    spot[lists] = np.arange(len(lists))
+    spot = np.empty(total, np.int32)
+    spot[lists] = np.arange(len(lists), dtype=np.int32)
     label = np.arange(len(n))
     members = {k: [k] for k in range(len(n))}
 
