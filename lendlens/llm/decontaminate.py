@@ -187,7 +187,7 @@ def test_chunks(benchmark: DataFrame, window: int, chunk_bytes: int):
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, proximity: int = 0,
                        chunk_bytes: int = 1 << 25) -> DataFrame:
-    """doc_id, n_words, hit_words (positions), items (sorted distinct ids as text): one row per document."""
+    """doc_id, text_key (hash of the text), n_words, hit_words (positions), items (sorted distinct ids as text): one row per document."""
     chunks = []
     for tests in test_chunks(benchmark, window, chunk_bytes):
         index = materialize(index_blocks(docs, tests), "positional-index")
@@ -203,11 +203,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         for c, extra in (("hit_words", "_hits"), ("items", "_items")):
             found = found.withColumn(c, F.when(F.col(extra).isNull(), F.col(c)).otherwise(
                 F.array_sort(F.array_distinct(F.concat(c, extra)))))
-    return found.select("doc_id", "n_words", "hit_words", "items")
+    return found.select("doc_id", "text_key", "n_words", "hit_words", "items")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the rows that hold a test window."""
+    """``docs`` without the rows that hold a test window; a row is its doc_id (may be NULL or repeated) and text."""
     found = find_contamination(docs, benchmark, window).filter(F.size("hit_words") > 0)
-    hit = small_enough(materialize(found.select(F.col("doc_id").alias("_hit")).distinct(), "contaminated"), 500_000)
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(docs.columns)
+    hit = found.select(F.col("doc_id").alias("_hit"), F.col("text_key").alias("_hit_key")).distinct()
+    hit = small_enough(materialize(hit, "contaminated"), 500_000)
+    rows = docs.withColumn("_doc", column(docs, "doc_id", "long")).withColumn("_key", F.xxhash64(column(docs, "text", "string")))
+    return rows.join(hit, F.col("_doc").eqNullSafe(F.col("_hit")) & (F.col("_key") == F.col("_hit_key")), "left_anti").select(docs.columns)

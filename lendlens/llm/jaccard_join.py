@@ -456,10 +456,10 @@ def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, b
     return _block_pairs(sets).groupBy("family", "low", "high").applyInPandas(join, "a bigint, b bigint")
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, heavy: int = 1_000_000,
-                       long_list: int = 64, block_bytes: int = 1 << 23, bucket_mb: int = 16,
-                       hot_entries: int = 200_000) -> DataFrame:
-    """doc_id, n_shingles, set_id, component_id (smallest linked doc_id): one row per document."""
+def linked_rows(docs: DataFrame, words: int = 5, percent: int = 80, heavy: int = 1_000_000,
+                long_list: int = 64, block_bytes: int = 1 << 23, bucket_mb: int = 16,
+                hot_entries: int = 200_000) -> DataFrame:
+    """doc_id, text_key, set_id, n, label (one value per link component, NULL for empty sets): one stored row per document."""
     order = docs.sparkSession.sparkContext.broadcast(heavy_shingles(docs, words, heavy))
     rows = materialize(prefix_table(docs, words, percent, order), "jaccard-prefixes")
     sets = rows.filter("n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
@@ -476,9 +476,14 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, heavy
     linked = components(forest).select(F.col("node").alias("set_id"), F.col("component"))
     linked = materialize(linked, "jaccard-components")
     # empty sets stay alone: each row is its own class
-    labelled = rows.select("doc_id", "set_id", "n").join(linked, "set_id", "left").withColumn(
+    labelled = rows.select("doc_id", "text_key", "set_id", "n").join(linked, "set_id", "left").withColumn(
         "label", F.when(F.col("n") > 0, F.coalesce("component", "set_id")))
-    labelled = materialize(labelled, "jaccard-labels")
+    return materialize(labelled, "jaccard-labels")
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, **options: int) -> DataFrame:
+    """doc_id, n_shingles, set_id, component_id (smallest linked doc_id): one row per document."""
+    labelled = linked_rows(docs, words, percent, **options)
     smallest = materialize(labelled.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id")), "jaccard-smallest")
     return labelled.join(smallest, "label", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "set_id",
@@ -486,11 +491,19 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, heavy
 
 
 def keep_one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with the smallest doc_id of every link component; repeated rows (same doc_id and text) stay once."""
-    found = jaccard_components(docs, words, percent).filter("NOT (doc_id <=> component_id)")
-    gone = small_enough(materialize(found.select(F.col("doc_id").alias("_gone")).distinct(), "near-duplicates"), 500_000)
+    """``docs`` with one row of every link component: the smallest doc_id (NULL last), then the smallest text hash.
+
+    Rows are told apart by (doc_id, text), so NULL and repeated ids take part like any other; repeated rows stay once.
+    """
+    rows = linked_rows(docs, words, percent).filter("n > 0").select("label", F.struct(
+        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc"), F.col("text_key").alias("key")).alias("at"))
+    first = materialize(rows.groupBy("label").agg(F.min("at").alias("first")), "jaccard-first")
+    found = rows.join(first, "label").filter(~F.col("at").eqNullSafe(F.col("first")))
+    found = found.select(F.col("at.doc").alias("_gone"), F.col("at.key").alias("_gone_key")).distinct()
+    gone = small_enough(materialize(found, "near-duplicates"), 500_000)
     doc_id, text = column(docs, "doc_id", "long"), column(docs, "text", "string")
-    kept = docs.withColumn("_doc", doc_id).withColumn("_key", F.xxhash64(text)).join(gone, F.col("_doc") == F.col("_gone"), "left_anti")
+    kept = docs.withColumn("_doc", doc_id).withColumn("_key", F.xxhash64(text)).join(
+        gone, F.col("_doc").eqNullSafe(F.col("_gone")) & (F.col("_key") == F.col("_gone_key")), "left_anti")
     twice = docs.groupBy(doc_id.alias("_doc"), F.xxhash64(text).alias("_key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not twice.isEmpty():
         kept = kept.dropDuplicates(["_doc", "_key"])
