@@ -4,8 +4,10 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; stages are
 written as Parquet and the next one reads that table.  All but the last
 return the columns of ``documents``.
 
-1. language id: a network trained on the given rows labels them; rows it
-   rejects (``und``: no letter in the text) go.
+1. language id: a network trained on the given rows labels them.  Rows without
+   a letter go, and rows whose predicted language is not in ``LANGUAGES`` or
+   whose score is below ``LEAST_SCORE``.  Without any labelled training row
+   there is no prediction; then all texts with a letter stay.
 2. line dedup: repeated multi-line chunks leave the texts, no rows go.
 3. near duplicates: of every component of linked texts the smallest doc_id stays.
 4. decontamination: rows that hold a window of a ``benchmark`` text go.
@@ -14,7 +16,7 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
-from lendlens.llm.common import materialize, table
+from lendlens.llm.common import column, materialize, table
 from lendlens.llm.decontaminate import drop_contaminated
 from lendlens.llm.jaccard_join import keep_one_per_group
 from lendlens.llm.language_id import UNDEFINED, predict, train
@@ -24,10 +26,22 @@ from lendlens.llm.queries import tokenizer_file
 from lendlens.llm.shipping import ship
 
 
-def language_stage(spark, docs, sf_dir):
+#: Languages of the corpus that stay; None: every language the network learnt.
+LANGUAGES = ("de", "en", "es", "fr")
+#: Least mean probability of the predicted language: it must outweigh all others together.
+LEAST_SCORE = 0.5
+
+
+def language_stage(spark, docs, sf_dir, languages=LANGUAGES, least_score=LEAST_SCORE):
     ship(spark)
-    labelled = predict(docs, train(docs), docs.columns)
-    return labelled.filter(labelled["lang_pred"] != UNDEFINED).select(docs.columns)
+    network = train(docs)
+    if network is None:
+        return docs.filter(column(docs, "text", "string").rlike("\\p{L}"))
+    labelled = predict(docs, network, docs.columns)
+    fits = (labelled["lang_pred"] != UNDEFINED) & (labelled["score"] >= least_score)
+    if languages is not None:
+        fits &= labelled["lang_pred"].isin(*languages)
+    return labelled.filter(fits).select(docs.columns)
 
 
 def line_stage(spark, docs, sf_dir):
