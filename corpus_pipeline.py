@@ -8,8 +8,8 @@ return the columns of ``documents``.
    a letter go, and rows whose predicted language is not in ``LANGUAGES`` or
    whose score is below ``LEAST_SCORE``.  Without any labelled training row
    there is no prediction; then all texts with a letter stay.
-2. line dedup: repeated multi-line chunks leave the texts, no rows go.
-3. near duplicates: of every component of linked texts the smallest doc_id stays.
+2. line dedup: repeated runs of lines leave the texts, no rows go.
+3. near duplicates: of every component of linked texts the row of the smallest doc_id stays.
 4. decontamination: rows that hold a window of a ``benchmark`` text go.
 5. packing: the rest as pieces in sequences of at most 4096 tokens.
 """
