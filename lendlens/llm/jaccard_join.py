@@ -1,4 +1,4 @@
-"""N-gram Jaccard self-join with set-relation skipping, reduced to link components.
+"""N-gram Jaccard self-join with set-relation skipping, with link counts and link components.
 
 A document's set is its distinct word shingles (64-bit hashes).  Two sets
 link when 100 * |A & B| >= percent * |A | B|.
@@ -25,12 +25,12 @@ link when 100 * |A & B| >= percent * |A | B|.
    shingles lie in both prefixes or behind one of them, so a pair must share
    a good part of its prefixes.
 5. Inside a family the exact join runs in tasks over blocks of about
-   ``block_bytes`` of sets: every task takes one pair of blocks.  There sets
-   are ordered by their frequency in the family, lists are skipped by length
-   and position, and a set's answers are derived from those already known: a
-   candidate in the component of the set at hand is skipped, since the link
-   relation's closure is asked for; everything else is compared in full.
-   Tasks return a forest, so output is linear in the sets.
+   ``block_bytes`` of sets: every task takes one pair of blocks.  A set's
+   answers (its overlaps with every set of the block) are derived from the
+   answers of the most similar set done before, reading only the lists of
+   shingles in which the two differ.  Every link is found; tasks return the
+   number of links of each set, copies included, and a forest, so output is
+   linear in the sets.
 6. Forests of several blocks meet in connected components by alternating
    large-star / small-star rounds.
 
@@ -308,60 +308,68 @@ def family_edges(live: DataFrame, sets: DataFrame, percent: int, buckets: int, h
     return found.filter("sh IS NULL").select("a", "b").unionByName(across).distinct()
 
 
-def join_blocks(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Forest of the links among ``sets``; ``side`` 0 / 1 asks for links across the two sides only, all -1 for all."""
+def join_blocks(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: int, copies: np.ndarray):
+    """All links among ``sets``, as (forest child, its root, links per set in the order of ``ids``).
+
+    ``side`` 0 / 1 asks for links across the two sides only, all -1 for all.  A linked set counts ``copies`` times.
+    A set's answers are its overlaps with every set of the block.  They are derived from those of the set done
+    before, chosen as the most similar one left: only lists of shingles that one of the two holds alone are read.
+    """
+    m = len(sets)
     n = np.array([len(s) for s in sets], np.int64)
-    by_size = np.argsort(n, kind="stable")
-    n, ids, side = n[by_size], ids[by_size], side[by_size]
-    flat = np.concatenate([sets[k] for k in by_size.tolist()])
-    owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
-    _, code, freq = np.unique(flat, return_inverse=True, return_counts=True)
-    total = len(flat)
-    del flat
-    code, freq = code.astype(np.int32), freq.astype(np.int32)       # a block holds far fewer than 2^31 shingles
-    code = code[np.lexsort((code, freq[code], owner))]
+    copies = np.asarray(copies, np.int64)
+    _, code, freq = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    code = code.astype(np.int32)                                    # a block holds far fewer than 2^31 shingles
+    owner = np.repeat(np.arange(m, dtype=np.int32), n)
+    lists = owner[np.argsort(code, kind="stable")]
+    begin = np.concatenate([[0], np.cumsum(freq)])
     ends = np.cumsum(n)
-    keep = n - -(-percent * n // 100) + 1
-    pos = np.arange(total, dtype=np.int32) - np.repeat((ends - n).astype(np.int32), n)
-    indexed = np.flatnonzero((pos < keep[owner]) & (freq[code] > 1))
-    lists = indexed[np.argsort(code[indexed], kind="stable")]       # within a list: by size
-    begin = np.searchsorted(code[lists], np.arange(len(freq) + 1, dtype=np.int32))
     marked = np.zeros(len(freq), bool)
-    spot = np.empty(total, np.int32)
-    spot[lists] = np.arange(len(lists), dtype=np.int32)
-    label = np.arange(len(n))
-    members = {k: [k] for k in range(len(n))}
 
-    own = np.split(indexed, np.searchsorted(owner[indexed], np.arange(1, len(n))))
-    for x in range(len(n)):
-        near = []
-        for e in own[x].tolist():
-            entries = lists[begin[code[e]]:spot[e]]                     # smaller sets, and equal sizes before x
-            first = np.searchsorted(n[owner[entries]], -(-percent * n[x] // 100))   # length skipping: a block of the list
-            entries = entries[first:]
-            if not len(entries):
-                continue
-            y = owner[entries]
-            most = 1 + np.minimum(n[x] - pos[e] - 1, n[y] - pos[entries] - 1)
-            near.append(y[(label[y] != label[x]) & (side[y] != side[x] if side[x] >= 0 else True)
-                          & (100 * most >= percent * (n[x] + n[y] - most))])
+    def overlaps(codes: np.ndarray) -> np.ndarray:
+        parts = [lists[s:e] for s, e in zip(begin[codes].tolist(), begin[codes + 1].tolist())]
+        return np.bincount(np.concatenate(parts), minlength=m) if parts else np.zeros(m, np.int64)
+
+    def without(some: np.ndarray, others: np.ndarray) -> np.ndarray:
+        marked[others] = True
+        left = some[~marked[some]]
+        marked[others] = False
+        return left
+
+    label = np.arange(m)
+    links = np.zeros(m, np.int64)
+    todo = side <= 0                                                # links across: asked from side 0, told to both
+    waiting = iter(np.argsort(n, kind="stable").tolist())
+    x, both, last = None, None, None
+    for _ in range(int(todo.sum())):
+        if x is None:
+            x = next(k for k in waiting if todo[k])
         mine = code[ends[x] - n[x]:ends[x]]
-        marked[mine] = True
-        for y in np.unique(np.concatenate(near)).tolist() if near else ():
-            if label[y] == label[x]:                                     # answered through a linked set meanwhile
-                continue
-            both = np.count_nonzero(marked[code[ends[y] - n[y]:ends[y]]])
-            if 100 * both >= percent * (n[x] + n[y] - both):
-                keep_label, drop = (label[x], label[y]) if len(members[label[x]]) >= len(members[label[y]]) else (label[y], label[x])
-                moved = members.pop(drop)
-                label[moved] = keep_label
-                members[keep_label] += moved
-        marked[mine] = False
-    root = np.zeros(len(n), np.int64)
-    for group in members.values():
-        root[group] = ids[group].min()
+        if last is not None:
+            less, more = without(last, mine), without(mine, last)
+        if last is None or freq[less].sum() + freq[more].sum() >= freq[mine].sum():
+            both = overlaps(mine)
+        else:
+            both = both - overlaps(less) + overlaps(more)
+        last = mine
+        todo[x] = False
+        linked = (both > 0) & (100 * both >= percent * (n[x] + n - both))
+        linked[x] = False
+        if side[x] >= 0:
+            linked &= side != side[x]
+            links[linked] += copies[x]
+        links[x] += copies[linked].sum()
+        joined = np.unique(label[linked])
+        joined = joined[joined != label[x]]
+        if len(joined):
+            label[np.isin(label, joined)] = label[x]
+        near = np.flatnonzero(todo & (both > 0))
+        x = int(near[np.argmax(both[near] / (n[x] + n[near] - both[near]))]) if len(near) else None
+    low = np.full(m, np.iinfo(np.int64).max)
+    np.minimum.at(low, label, ids)
+    root = low[label]
     child = root != ids
-    return ids[child], root[child]
+    return ids[child], root[child], links
 
 
 def prefix_forest(ids: np.ndarray, n: np.ndarray, prefixes: list[np.ndarray], side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -424,7 +432,10 @@ def refine(families: DataFrame, sets: DataFrame, percent: int, block_bytes: int)
 
 
 def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, block_bytes: int) -> DataFrame:
-    """Exact links inside families as forest edges (a, b). ``members``: family, set_id, n and the row (doc_id, text_key) of one holder."""
+    """Exact links inside families: forest edges (a, b) and, with NULL b, shares of the links of set a.
+
+    ``members``: family, set_id, n, copies and the row (doc_id, text_key) of one holder.
+    """
     sizes = members.groupBy("family").agg(F.sum("n").alias("size"))
     blocks = members.join(sizes, "family").withColumn("blocks", F.ceil(F.col("size") * 8 / block_bytes).cast("int"))
     blocks = materialize(blocks.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")), "jaccard-blocks")
@@ -434,32 +445,35 @@ def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, b
             for lo, rows, sh, of in distinct_sets(batch.column("text"), words):
                 ends = np.searchsorted(of, np.arange(rows + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(lo, rows) for c in ("family", "block", "blocks", "set_id")]
+                    [batch.column(c).slice(lo, rows) for c in ("family", "block", "blocks", "set_id", "copies")]
                     + [pa.array([sh[ends[k]:ends[k + 1]].tobytes() for k in range(rows)], pa.binary())],
-                    names=["family", "block", "blocks", "set_id", "shingles"])
+                    names=["family", "block", "blocks", "set_id", "copies", "shingles"])
 
-    holders = small_enough(blocks.select("family", "block", "blocks", "set_id", F.col("doc_id").alias("_holder"),
+    holders = small_enough(blocks.select("family", "block", "blocks", "set_id", "copies", F.col("doc_id").alias("_holder"),
                                          F.col("text_key").alias("_key")), 2_000_000)
     text = column(docs, "text", "string")
     held = docs.select(column(docs, "doc_id", "long").alias("_doc"), text.alias("text"), F.xxhash64(text).alias("_own")).join(
         holders, F.col("_doc").eqNullSafe(F.col("_holder")) & (F.col("_own") == F.col("_key")))
-    sets = materialize(held.select("family", "block", "blocks", "set_id", "text").mapInArrow(
-        rebuild, "family bigint, block int, blocks int, set_id bigint, shingles binary"), "jaccard-sets")
+    sets = materialize(held.select("family", "block", "blocks", "set_id", "copies", "text").mapInArrow(
+        rebuild, "family bigint, block int, blocks int, set_id bigint, copies bigint, shingles binary"), "jaccard-sets")
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("set_id")             # repeated rows hold the same set
         low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
         side = np.full(len(pdf), -1) if low == high else (pdf["block"] == high).to_numpy().astype(int)
-        a, b = join_blocks(pdf["set_id"].to_numpy(), [np.frombuffer(s, U64) for s in pdf["shingles"]], side, percent)
-        return pd.DataFrame({"a": a, "b": b})
+        ids = pdf["set_id"].to_numpy()
+        a, b, links = join_blocks(ids, [np.frombuffer(s, U64) for s in pdf["shingles"]], side, percent, pdf["copies"].to_numpy())
+        some = links > 0
+        return pd.DataFrame({"a": np.concatenate([a, ids[some]]), "b": pd.array(b.tolist() + [None] * int(some.sum()), "Int64"),
+                             "links": pd.array([None] * len(a) + links[some].tolist(), "Int64")})
 
-    return _block_pairs(sets).groupBy("family", "low", "high").applyInPandas(join, "a bigint, b bigint")
+    return _block_pairs(sets).groupBy("family", "low", "high").applyInPandas(join, "a bigint, b bigint, links bigint")
 
 
 def linked_rows(docs: DataFrame, words: int = 5, percent: int = 80, heavy: int = 1_000_000,
                 long_list: int = 64, block_bytes: int = 1 << 23, bucket_mb: int = 16,
                 hot_entries: int = 200_000) -> DataFrame:
-    """doc_id, text_key, set_id, n, label (one value per link component, NULL for empty sets): one stored row per document."""
+    """doc_id, text_key, set_id, n, n_links, label (one value per link component, NULL for empty sets): one stored row per document."""
     order = docs.sparkSession.sparkContext.broadcast(heavy_shingles(docs, words, heavy))
     rows = materialize(prefix_table(docs, words, percent, order), "jaccard-prefixes")
     sets = rows.filter("n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
@@ -471,23 +485,28 @@ def linked_rows(docs: DataFrame, words: int = 5, percent: int = 80, heavy: int =
     families = components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("family"))
     families = materialize(refine(materialize(families, "jaccard-families"), sets, percent, block_bytes), "jaccard-families")
     members = (rows.select("doc_id", "text_key", "set_id", "n").join(families, "set_id").groupBy("set_id", "family", "n")
-               .agg(F.min(F.struct("doc_id", "text_key")).alias("holder")).select("set_id", "family", "n", "holder.*"))
+               .agg(F.min(F.struct("doc_id", "text_key")).alias("holder"), F.count(F.lit(1)).alias("copies"))
+               .select("set_id", "family", "n", "copies", "holder.*"))
     forest = materialize(link_forest(members, docs, words, percent, block_bytes), "jaccard-links")
-    linked = components(forest).select(F.col("node").alias("set_id"), F.col("component"))
-    linked = materialize(linked, "jaccard-components")
+    linked = materialize(components(forest.filter("b IS NOT NULL").select("a", "b")), "jaccard-components")
+    counted = forest.filter("links IS NOT NULL").groupBy(F.col("a").alias("set_id")).agg(F.sum("links").alias("links"))
+    answers = (rows.filter("n > 0").groupBy("set_id").agg(F.count(F.lit(1)).alias("copies"))
+               .join(linked.withColumnRenamed("node", "set_id"), "set_id", "left").join(counted, "set_id", "left"))
     # empty sets stay alone: each row is its own class
-    labelled = rows.select("doc_id", "text_key", "set_id", "n").join(linked, "set_id", "left").withColumn(
-        "label", F.when(F.col("n") > 0, F.coalesce("component", "set_id")))
+    labelled = rows.select("doc_id", "text_key", "set_id", "n").join(materialize(answers, "jaccard-answers"), "set_id", "left").select(
+        "doc_id", "text_key", "set_id", "n",
+        F.when(F.col("n") > 0, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(F.lit(0)).cast("long").alias("n_links"),
+        F.when(F.col("n") > 0, F.coalesce("component", "set_id")).alias("label"))
     return materialize(labelled, "jaccard-labels")
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, **options: int) -> DataFrame:
-    """doc_id, n_shingles, set_id, component_id (smallest linked doc_id): one row per document."""
+    """doc_id, n_shingles, set_id, component_id (smallest linked doc_id), n_links (other rows it links to): one row per document."""
     labelled = linked_rows(docs, words, percent, **options)
     smallest = materialize(labelled.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id")), "jaccard-smallest")
     return labelled.join(smallest, "label", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "set_id",
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "n_links")
 
 
 def keep_one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

@@ -47,7 +47,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
