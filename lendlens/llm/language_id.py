@@ -9,9 +9,8 @@ positions (ASCII letters and bytes of non-ASCII characters), whole text.
 Training reads a bounded sample of labelled rows: of every language at most
 ``per_language`` documents (smallest hash of id and text) and ``pieces``
 segments of each.  The bound is a parameter and fits the model only; every
-document is predicted over its whole text.  At most ``max_languages``
-languages, the most frequent, can be learned: the output layer is a dense
-table.  lang, source and doc_id never enter a prediction.
+document is predicted over its whole text.  Every label of the training
+rows is learned, the output layer has a column for each.  lang, source and doc_id never enter a prediction.
 
 Defined cases: NULL text, or text without any letter, is ``und`` with score 0;
 with no labelled training row every text is ``und``; NULL and empty labels
@@ -154,38 +153,39 @@ class Network:
         return self
 
 
-def training_rows(docs: DataFrame, hold_out: int, modulus: int, per_language: int, pieces: int, max_languages: int):
+def training_rows(docs: DataFrame, hold_out: int, modulus: int, per_language: int, pieces: int):
     """(languages, segment texts, labels): a bounded, repeatable sample of the labelled training rows."""
     doc_id, text, lang = column(docs, "doc_id", "long"), column(docs, "text", "string"), column(docs, "lang", "string")
     rest = F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
     rows = docs.select(lang.alias("lang"), text.alias("text"), rest.alias("rest"), F.xxhash64(doc_id, text).alias("h")).filter(
         (F.col("rest") != hold_out) & (F.col("lang") != "") & F.col("text").rlike("\\p{L}"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     languages = sorted(r["lang"] for r in counts)
     if not languages:
         return [], [], []
     # a threshold on the hash keeps about twice the sample of each language; the exact cut follows below
     scale = 1 << 20
-    below = F.lit(-1)
-    for r in counts:
-        below = F.when(F.col("lang") == r["lang"], F.lit(min(scale, 2 * scale * per_language // r["n"] + 64))).otherwise(below)
+    below = docs.sparkSession.createDataFrame(pa.table({
+        "lang": pa.array([r["lang"] for r in counts], pa.string()),
+        "below": pa.array([min(scale, 2 * scale * per_language // r["n"] + 64) for r in counts], pa.int64())}))
     at = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)),
                      lambda k: F.substring(F.col("text"), (F.pmod(F.xxhash64("h", k), F.greatest(F.length("text") - SEGMENT, F.lit(1))) + 1).cast("int"), F.lit(SEGMENT)))
-    near = rows.filter(F.pmod("h", F.lit(scale)) < below).select("lang", "h", at.alias("segments"))
+    near = rows.join(F.broadcast(below), "lang").filter(F.pmod("h", F.lit(scale)) < F.col("below")).select("lang", "h", at.alias("segments"))
     texts, labels = [], []
     got = sorted({(r["lang"], r["h"], tuple(r["segments"])) for r in near.limit(4 * per_language * len(languages)).collect()})
     taken: dict[str, int] = {}
+    index = {lang: k for k, lang in enumerate(languages)}
     for lang, _, segments in got:
         taken[lang] = taken.get(lang, 0) + 1
         if taken[lang] <= per_language:
             texts += segments
-            labels += [languages.index(lang)] * len(segments)
+            labels += [index[lang]] * len(segments)
     return languages, texts, labels
 
 
 def train(docs: DataFrame, hold_out: int = 0, modulus: int = 5, per_language: int = 400, pieces: int = 4,
-          max_languages: int = 64, steps: int = 400) -> Network | None:
-    languages, texts, labels = training_rows(docs, hold_out, modulus, per_language, pieces, max_languages)
+          steps: int = 400) -> Network | None:
+    languages, texts, labels = training_rows(docs, hold_out, modulus, per_language, pieces)
     if not languages or not texts:
         return None
     raw = [np.frombuffer(t.encode()[:SEGMENT].ljust(SEGMENT, b" "), np.uint8) for t in texts]
@@ -195,6 +195,7 @@ def train(docs: DataFrame, hold_out: int = 0, modulus: int = 5, per_language: in
 def pooled(network: Network, data: np.ndarray, offsets: np.ndarray, width: int = 2048) -> np.ndarray:
     """Mean language probabilities over the letter positions of each text (rows of zeros without letters)."""
     sizes = np.diff(offsets)
+    width = max(16, min(width, width * 64 // len(network.languages)))          # many languages: fewer segments at once
     segments = -(-sizes // SEGMENT)
     owner = np.repeat(np.arange(len(sizes)), segments)
     start = offsets[:-1][owner] + SEGMENT * (np.arange(len(owner)) - np.repeat(np.cumsum(segments) - segments, segments))
