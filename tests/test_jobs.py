@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from lendlens import jobs
 from lendlens.plans import export
 from lendlens.sources.fixture import raw_loans

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from lendlens.plans import export, loss, segments, vintage
 from lendlens.plans.book import book
 

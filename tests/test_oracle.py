@@ -5,7 +5,7 @@ import sys
 
 import pytest
 
-from conftest import ROOT, SF001
+from paths import ROOT, SF001
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as E  # noqa: E402

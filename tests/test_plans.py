@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SF001
+from paths import SF001
 from lendlens.plans import cutoff, loss, reports
 from lendlens.plans.book import book
 from lendlens.plans.features import loan_features

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from lendlens.plans import cutoff, loss, policy, segments, vintage
 from lendlens.plans.book import book
 

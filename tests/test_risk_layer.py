@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF001
+from paths import SF001
 from lendlens.plans import loss, segments, vintage
 from lendlens.plans.book import book
 from lendlens.plans.risk_layer import risk_layer
