@@ -209,7 +209,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that hold a test window; a row is its doc_id (may be NULL or repeated) and text."""
     found = find_contamination(docs, benchmark, window).filter(F.size("hit_words") > 0)
-    hit = found.select(F.col("doc_id").alias("_hit"), F.col("text_key").alias("_hit_key")).distinct()
+    hit = found.select(F.col("doc_id").alias("hit_doc"), F.col("text_key").alias("hit_key")).distinct()
     hit = small_enough(materialize(hit, "contaminated"), 500_000)
-    rows = docs.withColumn("_doc", column(docs, "doc_id", "long")).withColumn("_key", F.xxhash64(column(docs, "text", "string")))
-    return rows.join(hit, F.col("_doc").eqNullSafe(F.col("_hit")) & (F.col("_key") == F.col("_hit_key")), "left_anti").select(docs.columns)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), column(docs, "doc_id", "long").alias("doc"),
+                       F.xxhash64(column(docs, "text", "string")).alias("key"))
+    clean = rows.join(hit, F.col("doc").eqNullSafe(F.col("hit_doc")) & (F.col("key") == F.col("hit_key")), "left_anti")
+    return clean.select("row.*")

@@ -67,7 +67,8 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, words: int) -> tuple[np.nda
     n = len(hashes)
     rolled = np.zeros(n, U64)
     for k in range(words):
-        rolled[:n - k] = B.mix(rolled[:n - k] * U64(0x100000001B3) + hashes[k:]) if n > k else rolled[:0]
+        m = max(n - k, 0)
+        rolled[:m] = B.mix(rolled[:m] * U64(0x100000001B3) + hashes[k:k + m])
     whole = np.arange(n) + words <= ends[rows]
     out, of = rolled[whole], rows[whole]
     short = np.flatnonzero((counts > 0) & (counts < words))
@@ -512,18 +513,27 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, **opt
 def keep_one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of every link component: the smallest doc_id (NULL last), then the smallest text hash.
 
-    Rows are told apart by (doc_id, text), so NULL and repeated ids take part like any other; repeated rows stay once.
+    Rows are told apart by (doc_id, text), so NULL and repeated ids take part like any other.  Of rows
+    repeated in both the one with the smallest JSON of all columns stays.  Rows without a word have an
+    empty set, link with nothing and all stay.  Columns of any name are kept as they are.
     """
     rows = linked_rows(docs, words, percent).filter("n > 0").select("label", F.struct(
         F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc"), F.col("text_key").alias("key")).alias("at"))
     first = materialize(rows.groupBy("label").agg(F.min("at").alias("first")), "jaccard-first")
     found = rows.join(first, "label").filter(~F.col("at").eqNullSafe(F.col("first")))
-    found = found.select(F.col("at.doc").alias("_gone"), F.col("at.key").alias("_gone_key")).distinct()
+    found = found.select(F.col("at.doc").alias("gone_doc"), F.col("at.key").alias("gone_key")).distinct()
     gone = small_enough(materialize(found, "near-duplicates"), 500_000)
-    doc_id, text = column(docs, "doc_id", "long"), column(docs, "text", "string")
-    kept = docs.withColumn("_doc", doc_id).withColumn("_key", F.xxhash64(text)).join(
-        gone, F.col("_doc").eqNullSafe(F.col("_gone")) & (F.col("_key") == F.col("_gone_key")), "left_anti")
-    twice = docs.groupBy(doc_id.alias("_doc"), F.xxhash64(text).alias("_key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    text = column(docs, "text", "string")
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), column(docs, "doc_id", "long").alias("doc"),
+                       F.xxhash64(text).alias("key"), F.coalesce(text.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)).alias("linked"))
+    same = lambda doc, key: F.col("doc").eqNullSafe(F.col(doc)) & (F.col("key") == F.col(key))
+    kept = held.join(gone, same("gone_doc", "gone_key"), "left_anti")
+    twice = held.filter("linked").groupBy("doc", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    twice = materialize(twice.select(F.col("doc").alias("twice_doc"), F.col("key").alias("twice_key")), "near-repeated")
     if not twice.isEmpty():
-        kept = kept.dropDuplicates(["_doc", "_key"])
-    return kept.select(docs.columns)
+        twice = small_enough(twice, 500_000)
+        repeated = kept.filter("linked").join(twice, same("twice_doc", "twice_key"), "left_semi")
+        single = repeated.groupBy("doc", "key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+        others = kept.filter("NOT linked").unionByName(kept.filter("linked").join(twice, same("twice_doc", "twice_key"), "left_anti"))
+        kept = others.select("row").unionByName(single.select("row"))
+    return kept.select("row.*")

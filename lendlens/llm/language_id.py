@@ -21,10 +21,13 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lendlens.llm import bytetext as B
 from lendlens.llm.common import column
@@ -171,15 +174,14 @@ def training_rows(docs: DataFrame, hold_out: int, modulus: int, per_language: in
     at = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)),
                      lambda k: F.substring(F.col("text"), (F.pmod(F.xxhash64("h", k), F.greatest(F.length("text") - SEGMENT, F.lit(1))) + 1).cast("int"), F.lit(SEGMENT)))
     near = rows.join(F.broadcast(below), "lang").filter(F.pmod("h", F.lit(scale)) < F.col("below")).select("lang", "h", at.alias("segments"))
+    # repeated rows count once; the rank cuts every language at its own size
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    sample = near.groupBy("lang", "h").agg(F.min("segments").alias("segments")).withColumn("rank", rank).filter(F.col("rank") <= per_language)
     texts, labels = [], []
-    got = sorted({(r["lang"], r["h"], tuple(r["segments"])) for r in near.limit(4 * per_language * len(languages)).collect()})
-    taken: dict[str, int] = {}
     index = {lang: k for k, lang in enumerate(languages)}
-    for lang, _, segments in got:
-        taken[lang] = taken.get(lang, 0) + 1
-        if taken[lang] <= per_language:
-            texts += segments
-            labels += [index[lang]] * len(segments)
+    for r in sample.orderBy("lang", "h").collect():
+        texts += r["segments"]
+        labels += [index[r["lang"]]] * len(r["segments"])
     return languages, texts, labels
 
 
@@ -214,18 +216,13 @@ def pooled(network: Network, data: np.ndarray, offsets: np.ndarray, width: int =
     return sums / np.maximum(letters, 1)[:, None]
 
 
-def predict(docs: DataFrame, network: Network | None, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with lang_pred and score."""
-    text = column(docs, "text", "string")
-    rows = docs.select(*keep, F.when(text.rlike("\\p{L}"), text).alias("_text"))
-    if network is None:
-        return rows.select(*keep, F.lit(UNDEFINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+def predicted(docs: DataFrame, network: Network) -> DataFrame:
+    """(row: the columns of ``docs`` as a struct, lang_pred, score); only the texts leave the JVM, once."""
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
-    def label(batches):
+    def label(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         net = shared.value
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+        for texts in columns:
             data, offsets = B.texts_of(texts)
             names, scores = [], []
             for lo, hi in B.split_rows(offsets, 1 << 22):
@@ -234,13 +231,20 @@ def predict(docs: DataFrame, network: Network | None, keep: list[str]) -> DataFr
                 some = part.sum(1) > 0
                 names += [net.languages[k] if s else UNDEFINED for k, s in zip(top.tolist(), some.tolist())]
                 scores.append(np.where(some, np.minimum(part.max(1), 1.0), 0.0))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in range(batch.num_columns - 1)]
-                + [pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else np.zeros(0))],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"])
+            yield pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else np.zeros(0))], ["lang_pred", "score"])
 
-    schema = rows.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(label, schema)
+    told = F.arrow_udf(label, "lang_pred string, score double").asNondeterministic()
+    text = column(docs, "text", "string")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), told(F.when(text.rlike("\\p{L}"), text)).alias("told"))
+    return rows.select("row", "told.lang_pred", "told.score")
+
+
+def predict(docs: DataFrame, network: Network | None, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of ``docs`` with lang_pred and score."""
+    if network is None:
+        return docs.select(*keep, F.lit(UNDEFINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    return predicted(docs, network).select(*[F.col("row")[c].alias(c) for c in keep], "lang_pred", "score")
 
 
 def identify(docs: DataFrame, hold_out: int = 0, modulus: int = 5) -> DataFrame:

@@ -21,7 +21,8 @@ rank first; blank lines inside a removed run go with it, those at its edges
 stay; a run may overlap its own earlier place (of a, a, a the first line
 stays); the first place of a line never goes; other columns are kept as they
 are, ``n_chars`` (where present) is recounted; ``n_removed_chunks`` counts the
-removed stretches of neighbouring lines.
+removed stretches of neighbouring lines; a caller's column named like one of
+the three counts is kept and that count left out.
 """
 
 from __future__ import annotations
@@ -35,10 +36,11 @@ CLASS = ["sha", "bytes"]
 
 
 def with_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` plus _doc, _key (row identity) and _lines."""
+    """Rows (_row: the caller's columns, _text, _doc and _key: row identity, _lines)."""
     text = column(docs, "text", "string")
-    rows = docs.withColumn("_doc", column(docs, "doc_id", "long")).withColumn("_key", F.xxhash64(text))
-    return pinned(rows, _lines=F.split(F.coalesce(text, F.lit("")), "\n"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), text.alias("_text"),
+                       column(docs, "doc_id", "long").alias("_doc"), F.xxhash64(text).alias("_key"))
+    return pinned(rows, _lines=F.split(F.coalesce("_text", F.lit("")), "\n"))
 
 
 def _body(lo: Column, hi: Column) -> Column:
@@ -114,11 +116,12 @@ def dedup_lines(docs: DataFrame, words: int = 50) -> DataFrame:
     gone = F.array_distinct(F.flatten(F.transform("_gone", lambda g: F.sequence(g["lo"], g["hi"]))))
     joined = pinned(joined, _gone=F.coalesce(gone, F.array().cast("array<int>")))
     joined = pinned(joined, _kept=F.when(F.size("_gone") > 0, F.array_except(everything, "_gone")))
-    text = column(docs, "text", "string")
+    text = F.col("_text")
     clean = F.when(F.col("_kept").isNull(), text).otherwise(F.array_join(F.transform("_kept", lambda k: F.get("_lines", k)), "\n"))
-    out = {"text": clean, "n_lines": F.when(text.isNull(), F.lit(0)).otherwise(F.size("_lines")).cast("long"),
-           "n_removed_lines": F.size("_gone").cast("long"),
-           "n_removed_chunks": F.size(F.array_except("_gone", F.transform("_gone", lambda k: k + 1))).cast("long")}
+    own = {c: F.col("_row")[c] for c in docs.columns}
+    own["text"] = clean
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length(clean).cast(docs.schema["n_chars"].dataType))
-    return joined.withColumns(out).select(*docs.columns, *[c for c in ("n_lines", "n_removed_lines", "n_removed_chunks") if c not in docs.columns])
+        own["n_chars"] = F.when(F.col("_kept").isNull(), own["n_chars"]).otherwise(F.length(clean).cast(docs.schema["n_chars"].dataType))
+    told = {"n_lines": F.when(text.isNull(), F.lit(0)).otherwise(F.size("_lines")).cast("long"), "n_removed_lines": F.size("_gone").cast("long"),
+            "n_removed_chunks": F.size(F.array_except("_gone", F.transform("_gone", lambda k: k + 1))).cast("long")}
+    return joined.select(*[v.alias(c) for c, v in own.items()], *[v.alias(c) for c, v in told.items() if c not in docs.columns])

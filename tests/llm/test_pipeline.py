@@ -27,34 +27,27 @@ def spark_hash(data, seed=42):
     return signed(xxhash.xxh64_intdigest(raw, seed % (1 << 64)))
 
 
-def chunks(text):
-    """(lines, is long, body) of each content-defined chunk."""
-    lines = text.split("\n")
-    hashes = [spark_hash(x) for x in lines]
-    long = [len(x) >= 99 and len(re.split("[\x20\t]+", x)) >= 50 for x in lines]
-    out, start = [], 0
-    for i in range(1, len(lines) + 1):
-        rolled = i >= 2 and spark_hash(hashes[i - 2], spark_hash(hashes[i - 1])) % 4 == 0
-        if i == len(lines) or rolled or long[i - 1] or long[i]:
-            out.append((i - start, i - start == 1 and long[i - 1], "\n".join(lines[start:i])))
-            start = i
-    return out
-
-
-def brute_lines(rows):
-    """(doc_id, text) with every repeated chunk removed but its first."""
-    places = collections.defaultdict(list)
-    cut = [chunks(t or "") for _, t in rows]
-    for (doc, text), found in zip(rows, cut):
-        for no, (n, long, body) in enumerate(found):
-            if n > 1 or long:
-                places[body].append((doc is not None, doc or 0, spark_hash(text or ""), no))
-    out = []
-    for (doc, text), found in zip(rows, cut):
-        kept = [body for no, (n, long, body) in enumerate(found)
-                if not (n > 1 or long) or min(places[body]) == (doc is not None, doc or 0, spark_hash(text or ""), no)]
-        out.append((doc, text if len(kept) == len(found) else "\n".join(kept)))
-    return out
+def brute_lines(rows, words=50):
+    """(doc_id, text) without the lines of runs of ``words`` words that occur at an earlier place: every pair of equal lines is followed to its end."""
+    ident = lambda row: (row[0] is not None, row[0] or 0, spark_hash(row[1] or ""))
+    texts = {ident(r): (r[1] or "").split("\n") for r in rows}
+    count = {i: [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines] for i, lines in texts.items()}
+    places, gone = collections.defaultdict(list), collections.defaultdict(set)
+    for i in sorted(texts):
+        for k, line in enumerate(texts[i]):
+            if count[i][k]:
+                places[line].append((i, k))
+    for held in places.values():
+        for n, (i, at) in enumerate(held):
+            for j, to in held[n + 1:]:
+                size = 0
+                while at + size < len(texts[i]) and to + size < len(texts[j]) and texts[i][at + size] == texts[j][to + size]:
+                    size += 1
+                while not count[j][to + size - 1]:
+                    size -= 1
+                if sum(count[j][to:to + size]) >= words:
+                    gone[j].update(range(to, to + size))
+    return [(r[0], r[1] if not gone[ident(r)] else "\n".join(x for k, x in enumerate(texts[ident(r)]) if k not in gone[ident(r)])) for r in rows]
 
 
 def brute_contaminated(rows, tests, size=10):
@@ -109,7 +102,8 @@ def test_stages_against_brute_force(spark, folder):
             assert sum(a != b for a, b in zip(before, want)) > 0
         elif name == "near duplicates":
             stays = {(i, c) for i, _, c in brute_components([(i, t or "") for i, t in before])}
-            want = list({(i, t) for i, t in before if i is None or (i, i) in stays})
+            want = [(i, t) for i, t in before if not (t or "").split()]           # empty sets link with nothing and stay
+            want += list({(i, t) for i, t in before if (t or "").split() and (i is None or (i, i) in stays)})
             assert len(want) < len(before)
         elif name == "decontamination":
             bad = brute_contaminated(before, tests)

@@ -1,7 +1,9 @@
 """Stages that drop rows drop exactly the rows they found, also with NULL and repeated doc_ids."""
 
+import corpus_pipeline
 from lendlens.llm.decontaminate import drop_contaminated
-from lendlens.llm.jaccard_join import keep_one_per_group
+from lendlens.llm.jaccard_join import jaccard_components, keep_one_per_group
+from lendlens.llm.line_dedup import dedup_lines
 
 SCHEMA = "doc_id long, text string"
 
@@ -31,3 +33,35 @@ def test_one_per_group_by_row(spark):
     assert (False, 1, near) in got and len(got) == len(alone) + 3
     assert all((i is None, i or 0, t or "") in got for i, t in alone)
     assert sum(t.startswith("b0") for _, _, t in got) == sum(t.startswith("c0") for _, _, t in got) == 1
+
+
+def test_short_slices(spark):
+    """Tables of one to six words in all, and short texts behind a batch-filling one."""
+    for n in range(7):
+        rows = [(1, " ".join(f"w{i}" for i in range(n)))]
+        got = jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()
+        assert [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got] == [(1, 0 if n == 0 else max(1, n - 4), 1)]
+    rows = [(1, " ".join(f"v{i % 9973}" for i in range(400_000))), (2, "two words"), (3, "two words")]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()}
+    assert got == {1: 1, 2: 2, 3: 2}
+
+
+def test_rows_without_words_all_stay(spark):
+    rows = [(None, ""), (None, ""), (None, None), (None, None), (5, " "), (5, " "), (6, "one text"), (6, "one text")]
+    got = texts(keep_one_per_group(spark.createDataFrame(rows, SCHEMA)))
+    assert got == sorted((i is None, i or 0, t or "") for i, t in rows[:-1])
+
+
+def test_clashing_names(spark):
+    """A caller's columns named like inner ones come back as they were."""
+    names = ["_doc", "_key", "_text", "_lines", "_gone", "_row", "row", "doc", "key", "linked", "told", "lang_pred", "label", "n_lines", "slot"]
+    schema = SCHEMA + ", lang string, source string, " + ", ".join(f"{c} string" for c in names)
+    same = "\n".join(f"line {i} of eight words in every such line" for i in range(9))
+    rows = [(i, t, "en", "s", *[f"{c}{i}" for c in names]) for i, t in enumerate([same, "start\n" + same, "a text of its own", "", None])]
+    docs = spark.createDataFrame(rows, schema)
+    bench = spark.createDataFrame([("q", "nothing of these ten words is found in any text")], "item_id string, text string")
+    for stage in (lambda d: corpus_pipeline.language_stage(spark, d, "", None, 0.0), dedup_lines, keep_one_per_group, lambda d: drop_contaminated(d, bench)):
+        got = stage(docs).select(docs.columns).collect()
+        assert len(got) >= 3
+        for r in got:
+            assert [r[c] for c in names] == [f"{c}{r['doc_id']}" for c in names]
