@@ -19,7 +19,7 @@ from __future__ import annotations
 from lendlens.llm.common import column, materialize, table
 from lendlens.llm.decontaminate import drop_contaminated
 from lendlens.llm.jaccard_join import keep_one_per_group
-from lendlens.llm.language_id import UNDEFINED, predict, train
+from lendlens.llm.language_id import UNDEFINED, predicted, train
 from lendlens.llm.line_dedup import dedup_lines
 from lendlens.llm.packing import pack
 from lendlens.llm.queries import tokenizer_file
@@ -37,11 +37,11 @@ def language_stage(spark, docs, sf_dir, languages=LANGUAGES, least_score=LEAST_S
     network = train(docs)
     if network is None:
         return docs.filter(column(docs, "text", "string").rlike("\\p{L}"))
-    labelled = predict(docs, network, docs.columns)
+    labelled = predicted(docs, network)
     fits = (labelled["lang_pred"] != UNDEFINED) & (labelled["score"] >= least_score)
     if languages is not None:
         fits &= labelled["lang_pred"].isin(*languages)
-    return labelled.filter(fits).select(docs.columns)
+    return labelled.filter(fits).select("row.*")
 
 
 def line_stage(spark, docs, sf_dir):
