@@ -1,4 +1,4 @@
-"""Contract queries op1 ... op10 and their DuckDB texts where SQL can express them."""
+"""Contract queries op1 ... op13 and their DuckDB texts where SQL can express them."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from lendlens.llm.jaccard_join import jaccard_components
 from lendlens.llm.language_id import identify
 from lendlens.llm.katz import score_texts
 from lendlens.llm.line_dedup import dedup_lines
+from lendlens.llm.mixing import mix
 from lendlens.llm.packing import pack
 from lendlens.llm.pii import BASE, find_pii, span_text
 from lendlens.llm.sharding import shard_documents
@@ -80,6 +81,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_lm_scoring": op2_lm_scoring,
@@ -91,4 +96,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_formatting": op10_chat_formatting,
+    "op13_mixing": op13_mixing,
 }
