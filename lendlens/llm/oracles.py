@@ -12,3 +12,64 @@ w AS (
          count(*) OVER (PARTITION BY text_sha256) AS group_size
   FROM d)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w"""
+
+
+ORACLES["op12_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+f AS (
+  SELECT doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER same, doc_id IS NULL AND min(doc_id) OVER same IS NOT NULL) AS e
+  FROM d WINDOW same AS (PARTITION BY t)),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS bad FROM labels GROUP BY doc_id),
+g AS (
+  SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask, count(*) AS n,
+         count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+letters(name, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT p.name || q.name || r.name || s.name || t.name AS filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+  FROM letters p, letters q, letters r, letters s, letters t
+  WHERE p.bit | q.bit | r.bit | s.bit | t.bit = 31),
+steps AS (
+  SELECT filter_order, k AS step, bits[k] AS bit, list_sum(bits[1:k]) AS after, list_sum(bits[1:k]) - bits[k] AS before
+  FROM orders, range(1, 6) x(k)),
+counted AS (
+  SELECT part, filter_order, step, bit,
+         sum(n) FILTER (WHERE mask & after = 0) AS kept, sum(n) FILTER (WHERE mask & before = 0 AND mask & bit > 0) AS removed,
+         sum(n) FILTER (WHERE mask & before > 0 AND mask & bit > 0) AS redundant, sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+         sum(good) FILTER (WHERE mask & before = 0 AND mask & bit > 0) AS good_lost,
+         sum(bad) FILTER (WHERE mask & before = 0 AND mask & bit > 0) AS toxic_lost
+  FROM g, steps GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM counted"""
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS s FROM pieces WHERE len(w) > 0),
+f AS (
+  SELECT lang, array_to_string(w[s:s + k - 1], ' ') AS phrase, k, count(*) AS a
+  FROM places, range(1, 6) x(k) WHERE s + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT p.lang, p.phrase, p.a, totals.n, x.cut, l.a AS l, r.a AS r, 1000 * p.a::HUGEINT * totals.n // (l.a::HUGEINT * r.a) AS score
+  FROM f p JOIN totals USING (lang), range(1, 5) x(cut), f l, f r
+  WHERE x.cut < p.k AND l.lang = p.lang AND r.lang = p.lang
+    AND l.phrase = array_to_string(string_split(p.phrase, ' ')[1:x.cut], ' ')
+    AND r.phrase = array_to_string(string_split(p.phrase, ' ')[x.cut + 1:], ' ')),
+worst AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (
+  SELECT * FROM worst p WHERE NOT EXISTS (
+    SELECT 1 FROM f q WHERE q.lang = p.lang AND q.a >= p.a AND len(q.phrase) > len(p.phrase) AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000"""

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.llm.chat import format_trees, linear_nodes, read_back
+from lendlens.llm.collocations import collocations
 from lendlens.llm.common import table
 from lendlens.llm.decontaminate import find_contamination
 from lendlens.llm.exact_dedup import exact_dedup
+from lendlens.llm.filter_audit import audit
 from lendlens.llm.jaccard_join import jaccard_components
 from lendlens.llm.language_id import identify
 from lendlens.llm.katz import score_texts
@@ -81,6 +83,14 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -96,5 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_collocations": op11_collocations,
+    "op12_filter_audit": op12_filter_audit,
     "op13_mixing": op13_mixing,
 }
