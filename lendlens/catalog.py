@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from lendlens import oracle_sql as O
 from lendlens.functions.numeric import gate_snap
+from lendlens.operators.boosting import Binning, boosted_score, fit_boosting, root_splits
+from lendlens.operators.isotonic import fit_isotonic
+from lendlens.operators.logit import fit_logit, logit_gradient
 from lendlens.operators.metrics import score_metrics
 from lendlens.plans import cutoff, export, loss, policy, prep, reports, segments, vintage
 from lendlens.plans.book import book
@@ -175,13 +178,12 @@ def q_defaults_by_mob(spark, sf_dir):
 
 @register("vintage_curves", "SELECT * FROM curves", {"cum_default_rate": 9}, dates=("vintage_quarter",))
 def q_vintage_curves(spark, sf_dir):
-    return vintage.vintage_curves(_feat(spark, sf_dir))
+    return reports.in_order(vintage.vintage_curves(_feat(spark, sf_dir)), "vintage_curves")
 
 
 @register("vintage_by_year", """
-SELECT yr, mob, AVG(cum_default_rate) AS cum_dr
-FROM (SELECT CAST(year(vintage_quarter) AS INTEGER) AS yr, * FROM curves) WHERE mob <= 48
-GROUP BY yr, mob
+SELECT CAST(strftime(vintage_quarter, '%Y') AS INTEGER) AS yr, mob, SUM(cum_default_rate) / COUNT(*) AS cum_dr
+FROM curves GROUP BY ALL HAVING mob < 49
 """, {"cum_dr": 9})
 def q_vintage_by_year(spark, sf_dir):
     return vintage.vintage_by_year(vintage.vintage_curves(_feat(spark, sf_dir)))
@@ -221,20 +223,28 @@ _GRADE_ROUND = {"pd_observed": 9, "disbursed": 2, "net_loss": 2, "lgd": 9, "loss
 
 @register("grade_loss", "SELECT * FROM grades", _GRADE_ROUND)
 def q_grade_loss(spark, sf_dir):
-    return loss.grade_loss(_feat(spark, sf_dir))
+    return reports.in_order(loss.grade_loss(_feat(spark, sf_dir)), "grade_loss")
 
 
-@register("segment_expected_loss", """
+_EL_SQL = """
 SELECT grade, purpose, income_decile, n_loans, disbursed, pd, lgd,
   el_rate * disbursed AS expected_loss, el_rate, avg_rate / 100 - el_rate AS approx_margin
 FROM (SELECT seg.*, default_rate AS pd, lgd, default_rate * lgd AS el_rate
       FROM seg JOIN (SELECT grade, lgd FROM grades) USING (grade))
-""", {"disbursed": 2, "pd": 9, "lgd": 9, "expected_loss": 2, "el_rate": 9, "approx_margin": 9})
-def q_segment_expected_loss(spark, sf_dir):
+"""
+_EL_ROUND = {"disbursed": 2, "pd": 9, "lgd": 9, "expected_loss": 2, "el_rate": 9, "approx_margin": 9}
+
+
+def _expected_loss(spark, sf_dir):
     f = _feat(spark, sf_dir)
     return loss.segment_expected_loss(segments.segment_risk(f), loss.grade_loss(f))
 
 
+@register("segment_expected_loss", _EL_SQL, _EL_ROUND)
+def q_segment_expected_loss(spark, sf_dir):
+    return reports.in_order(_expected_loss(spark, sf_dir), "segment_expected_loss")
+
+
 # ---------------------------------------------------------------- exports
 FACT_COLUMNS = export.FACT_COLUMNS
 
@@ -356,15 +366,16 @@ def q_grade_overview(spark, sf_dir):
 
 
 @register("verification_profile", """
-SELECT verification_status, COUNT(*) AS n, AVG(is_default) * 100 AS default_pct,
-  AVG(annual_inc) AS avg_income, AVG(dti) AS avg_dti, AVG(int_rate) AS avg_rate
-FROM features GROUP BY 1""", {"default_pct": 9, "avg_income": 4, "avg_dti": 8, "avg_rate": 8})
+SELECT verification_status, n, 100 * defaults / n AS default_pct, income / n AS avg_income,
+  debt / with_debt AS avg_dti, rate / with_rate AS avg_rate
+FROM (SELECT verification_status, CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(is_default) AS DOUBLE) AS defaults, SUM(annual_inc) AS income,
+        SUM(dti) AS debt, COUNT(dti) AS with_debt, SUM(int_rate) AS rate, COUNT(int_rate) AS with_rate FROM features GROUP BY ALL)""", {"default_pct": 9, "avg_income": 4, "avg_dti": 8, "avg_rate": 8})
 def q_verification_profile(spark, sf_dir):
     return reports.verification_profile(_feat(spark, sf_dir))
 
 
-_HEAT = """SELECT grade, income_decile, SUM(n_loans * default_rate) / SUM(n_loans) AS default_rate,
-  SUM(defaulted_amount) / SUM(disbursed) AS bad_share FROM seg GROUP BY grade, income_decile"""
+_HEAT = """SELECT grade, income_decile, CAST(SUM(n_defaults) AS DOUBLE) / SUM(n_loans) AS default_rate,
+  SUM(defaulted_amount) / SUM(disbursed) AS bad_share FROM (FROM seg_all WHERE n_loans >= 200) GROUP BY ALL"""
 
 
 @register("heatmap_long", _HEAT, {"default_rate": 9, "bad_share": 9})
@@ -482,6 +493,74 @@ def q_sample_loans_500(spark, sf_dir):
     return reports.sample_loans(_feat(spark, sf_dir), n=500)
 
 
+# ---------------------------------------------------------------- model parts with an exact counterpart in SQL
+@register("isotonic_fixture", """
+SELECT MIN(x) AS lo, MAX(x) AS hi, SUM(w) AS weight, SUM(t) / SUM(w) AS value FROM ic JOIN iv USING (i) GROUP BY round(value, 12)""",
+          {"value": 9}, extra_ctes=O.SCORE_CTES + O.ISOTONIC_CTES)
+def q_isotonic_fixture(spark, sf_dir):
+    """M8: the calibration map of the fixture score."""
+    return fit_isotonic(cutoff.deterministic_scores(_feat(spark, sf_dir)), "pd_hat", "is_default")
+
+
+def _train(spark, sf_dir):
+    return policy.oot_split(policy.passing(_feat(spark, sf_dir)))[0]
+
+
+_LOGIT_NAMES = ["intercept", *O.LOGIT_INPUTS]
+
+
+def _logit_rows(spark, sf_dir):
+    known = [F.col(c).isNotNull() for c in O.LOGIT_INPUTS]
+    x = F.array(*[(F.col(c) - m) / s for c, (m, s) in O.LOGIT_INPUTS.items()])
+    return _train(spark, sf_dir).filter(known[0] & known[1]).select(x.alias("x"), F.col("is_default").alias("y"))
+
+
+@register("logit_coefficients", f"""
+SELECT '{_LOGIT_NAMES[0]}' AS input, b0 AS coefficient FROM nw{O.NEWTON_STEPS} UNION ALL SELECT '{_LOGIT_NAMES[1]}', b1 FROM nw{O.NEWTON_STEPS}
+UNION ALL SELECT '{_LOGIT_NAMES[2]}', b2 FROM nw{O.NEWTON_STEPS}""", {"coefficient": 8}, extra_ctes=O.MODEL_CTES + O.newton_ctes())
+def q_logit_coefficients(spark, sf_dir):
+    """M6: penalised logistic fit of the training loans on two inputs."""
+    model = fit_logit(_logit_rows(spark, sf_dir), "x", "y")
+    return spark.createDataFrame(list(zip(_LOGIT_NAMES, map(float, model.coefficients))), "input string, coefficient double")
+
+
+@register("logit_gradient", f"""
+SELECT '{_LOGIT_NAMES[0]}' AS input, abs(g0) < 1e-6 AS optimal FROM ng{O.NEWTON_STEPS - 1}
+UNION ALL SELECT '{_LOGIT_NAMES[1]}', abs(g1) < 1e-6 FROM ng{O.NEWTON_STEPS - 1}
+UNION ALL SELECT '{_LOGIT_NAMES[2]}', abs(g2) < 1e-6 FROM ng{O.NEWTON_STEPS - 1}""", extra_ctes=O.MODEL_CTES + O.newton_ctes())
+def q_logit_gradient(spark, sf_dir):
+    """M6: the penalised gradient vanishes at the fit (both engines at their own coefficients)."""
+    rows = _logit_rows(spark, sf_dir)
+    gradient = logit_gradient(rows, "x", "y", fit_logit(rows, "x", "y"))
+    return spark.createDataFrame([(n, bool(abs(g) < 1e-6)) for n, g in zip(_LOGIT_NAMES, gradient)], "input string, optimal boolean")
+
+
+_GBT_NAMES = [*O.GBT_EDGES, *O.GBT_LEVELS]
+
+
+@register("gbt_first_split", "SELECT CASE k " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(_GBT_NAMES, 1)) + """ END AS input,
+  CAST(b AS BIGINT) AS bin, m = 1 AS missing_left, gain, CAST(nl AS BIGINT) AS n_left, CAST(nr AS BIGINT) AS n_right
+FROM (SELECT *, MAX(gain) OVER (PARTITION BY k) AS top FROM cand0) WHERE gain >= top * (1 - 1e-10)
+QUALIFY row_number() OVER (PARTITION BY k ORDER BY b, m) = 1""", {"gain": 6}, extra_ctes=O.MODEL_CTES + O.boosting_ctes())
+def q_gbt_first_split(spark, sf_dir):
+    """M7: the best split of every input over the training loans."""
+    found = root_splits(_train(spark, sf_dir), Binning(O.GBT_EDGES, O.GBT_LEVELS), "is_default")
+    rows = [(c, s.at, s.missing_left, s.gain, int(s.left[2]), int(s.right[2])) for c, s in zip(_GBT_NAMES, found) if s]
+    return spark.createDataFrame(rows, "input string, bin bigint, missing_left boolean, gain double, n_left bigint, n_right bigint")
+
+
+@register("gbt_leaf_values", """
+SELECT COUNT(*) AS n_loans, -0.08 * SUM(g) / SUM(h) AS value FROM (
+  SELECT g, h, node, CASE WHEN node = chosen THEN CASE WHEN category = 1 THEN bins[k] <> b WHEN bins[k] = 255 THEN m = 1 ELSE bins[k] <= b END END AS side
+  FROM node1, (SELECT * EXCLUDE (node), node AS chosen FROM split1 ORDER BY gain DESC, node LIMIT 1))
+GROUP BY node, side""", {"value": 8}, extra_ctes=O.MODEL_CTES + O.boosting_ctes())
+def q_gbt_leaf_values(spark, sf_dir):
+    """M7, M9: leaves of one round with three leaves, as the training loans are scored by it."""
+    train = _train(spark, sf_dir)
+    model = fit_boosting(train, Binning(O.GBT_EDGES, O.GBT_LEVELS), "is_default", rounds=1, leaves=3, depth=2, patience=None)[0]
+    return train.groupBy((boosted_score(model) - F.lit(model.start)).alias("value")).agg(F.count(F.lit(1)).alias("n_loans"))
+
+
 # ---------------------------------------------------------------- models (rows-only checks)
 
 @register("model_metrics", None)
@@ -516,6 +595,9 @@ def q_risk_layer_curves(spark, sf_dir):
     return risk_layer(_feat(spark, sf_dir))["vintage_curves"]
 
 
+from lendlens import catalog_io  # noqa: E402, F401 (registers the source and sink queries)
+
+
 def queries() -> dict[str, Builder]:
     return {name: q.run for name, q in REGISTRY.items()}
 

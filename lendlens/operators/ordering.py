@@ -39,14 +39,16 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendlens.operators.joins import STORED_ROW_LIMIT, join_small, pin_small, pinned_grouping_sets
 from lendlens.session import materialize
 
 # Rows sampled at most to place sub-bucket boundaries of hot keys.
 HOT_SAMPLE_ROWS = 200_000
-MAX_SUB_BUCKETS = 4096
 SAMPLES_PER_PIECE = 32
+# Cuts of a hot bucket are searched in two levels of at most about this many.
+CUT_STEP = 64
 # Fewer buckets than this many rows each are not worth their bookkeeping.
 MIN_BUCKET_ROWS = 2_000
 
@@ -149,7 +151,7 @@ def _sub_bounds(df: DataFrame, tie: str, hot_by_spec: dict, seed: int = 17) -> d
         bounds[bcol] = {}
         for b, est in hot.items():
             ties = sorted(set(per.get(b, [])))
-            want = min(MAX_SUB_BUCKETS, max(2, math.ceil(est / target)), max(1, len(ties)))
+            want = min(max(2, math.ceil(est / target)), max(1, len(ties)))
             cut = sorted({ties[(j * len(ties)) // want] for j in range(1, want)}) if want > 1 else []
             if cut:
                 bounds[bcol][b] = cut
@@ -157,17 +159,57 @@ def _sub_bounds(df: DataFrame, tie: str, hot_by_spec: dict, seed: int = 17) -> d
 
 
 def _sub_col(bcol: str, tie: str, bounds: dict) -> F.Column:
+    """Number of cuts of the row's bucket below its tie-break: every CUT_STEP-th cut first, then the cuts of that step."""
     if not bounds:
         return F.lit(0)
-    entries = []
-    for b, cut in bounds.items():
-        entries += [F.lit(b), F.array(*[F.lit(x) for x in cut])]
-    m = F.create_map(*entries)
-    arr = F.try_element_at(m, F.col(bcol))
+
+    def lookup(pick) -> F.Column:
+        entries = []
+        for b, cut in bounds.items():
+            entries += [F.lit(b), F.array(*[F.lit(x) for x in pick(cut)])]
+        return F.try_element_at(F.create_map(*entries), F.col(bcol))
+
     t = F.col(tie)
+    below = lambda arr: F.size(F.filter(arr, lambda x: x < t))
+    every = lookup(lambda cut: cut)
+    steps = F.greatest(below(lookup(lambda cut: cut[::CUT_STEP])) - 1, F.lit(0)) * CUT_STEP
+    place = steps + below(F.slice(every, steps + 1, CUT_STEP))
     # NULL tie-breaks sort last, so they go to the last piece of their bucket.
-    return F.coalesce(F.when(t.isNull(), F.size(arr)).otherwise(F.size(F.filter(arr, lambda x: x < t))),
-                      F.lit(0))
+    return F.coalesce(F.when(t.isNull(), F.size(every)).otherwise(place), F.lit(0))
+
+
+def exact_as_double(df: DataFrame, key: str) -> bool:
+    """Do distinct values of the key stay distinct (and in order) as doubles?"""
+    return isinstance(df.schema[key].dataType, (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType))
+
+
+def _rank_by_range(df: DataFrame, spec: RankSpec, tie: str, range_rows: int) -> DataFrame:
+    """Append one ranking of a key of any ordered type (BIGINT, DECIMAL, text, dates).
+
+    Rows are range-partitioned and written in the native order of (partition
+    keys, key, tie-break), so equal keys spread over files by their tie-break.  A row's place is the
+    count of its partition's rows in earlier files plus its index in its own file; no window sees the rows.
+    """
+    ranges = max(1, -(-df.count() // range_rows))
+    keys = [*[F.col(p).asc_nulls_last() for p in spec.parts], F.col(spec.key).asc_nulls_last(), F.col(tie).asc_nulls_last()]
+    sorted_ = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).withColumn("__file", F.spark_partition_id())
+    rows = materialize(sorted_, "rank_ranges").select("*", F.col("_metadata.row_index").alias("__at"))
+    group = [*spec.parts, "__file"]
+    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__from"))
+    whole = Window.partitionBy(*spec.parts)
+    before = F.sum("__n").over(whole.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*group, "__from", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__n").over(whole).alias("__total"))
+    placed = join_small(rows, offsets, group).withColumn("__place", F.col("__before") + F.col("__at") - F.col("__from") + 1)
+    if spec.kind == "percent_rank":
+        by = [*spec.parts, spec.key]
+        first = placed.groupBy(*by).agg(F.min("__place").alias("__first"))
+        placed = join_small(placed, first, by)
+        value = F.when(F.col("__total") > 1, (F.col("__first") - 1).cast("double") / (F.col("__total") - 1).cast("double")).otherwise(F.lit(0.0))
+    elif spec.kind == "ntile":
+        value = _ntile_sql("__place", "__total", spec.tiles)
+    else:
+        value = F.col("__place").cast("bigint")
+    return placed.select(*df.columns, value.alias(spec.name))
 
 
 def _ntile_sql(r: str, n: str, k: int) -> F.Column:
@@ -217,7 +259,7 @@ def _rank_by_value(pinned: DataFrame, spec: RankSpec) -> DataFrame:
 
 
 def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | None = None,
-              small_limit: int = 200_000, stored_limit: int = STORED_ROW_LIMIT) -> DataFrame:
+              small_limit: int = 200_000, stored_limit: int = STORED_ROW_LIMIT, range_rows: int = 1_000_000) -> DataFrame:
     """Append the ranking columns in ``specs`` to ``df``.
 
     * PERCENT_RANK: from the (partition, value) count table when it holds at
@@ -229,6 +271,9 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
       table, and only rows of the buckets that straddle a tile edge (at most
       k - 1 per partition) are shuffled and numbered by a window.
 
+    Keys that a double cannot hold exactly (BIGINT, DECIMAL, text, dates) are
+    ranked in their own order from a sorted write (``_rank_by_range``).
+
     Before the final plan ``df`` is scanned for quantiles, counts and (with
     hot keys) a bounded sample, each pass reading only key, tie-break and
     partition columns: pass a materialised table.  The final plan scans it
@@ -236,6 +281,12 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
     """
     if not specs:
         return df
+    native = [x for x in specs if not exact_as_double(df, x.key)]
+    if native:
+        out = add_ranks(df, [x for x in specs if x not in native], tie, buckets, small_limit, stored_limit)
+        for x in native:
+            out = _rank_by_range(out, x, tie, range_rows)
+        return out.select(*df.columns, *[x.name for x in specs])
     spark = df.sparkSession
     B = buckets or default_buckets(spark)
 

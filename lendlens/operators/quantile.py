@@ -1,15 +1,21 @@
-"""Exact interpolated quantiles of many columns without a one-task value map.
+"""Exact interpolated quantiles of many columns by radix selection.
 
 ``percentile`` / ``median`` are exact but merge every distinct value of a
-column in one task, which fails for continuous columns at scale.  Here:
+column in one task, which fails for continuous columns at scale.  Here an
+order statistic is found digit by digit:
 
-* a pass of ``percentile_approx`` brackets the wanted order statistics;
-* a pass of exact counts gives the rank offset of the bracket and checks
-  that the bracket does hold them (else it is widened);
-* rounds repeat inside the bracket until it holds at most ``collect_limit``
-  distinct values, which are then fetched as (value, count) pairs.
+* the first pass counts all columns by (column, magnitude bucket); the bucket
+  is a rising function of the value (64 a factor of e, by sign), so running
+  counts inside the cluster give the bucket of every wanted rank,
+* each further pass looks only at values of those buckets, cut in ``buckets``
+  equal widths between the least and greatest value they really hold,
+* a bucket whose least and greatest value agree is an answer.
+
+A double has 52 bits of mantissa: with 2^16 widths a pass three passes after the
+first always end it, whatever the data; most columns end after one or two.  Every pass
+is one aggregate over all columns with partial aggregation; only the buckets
+that hold a wanted rank (two a column and quantile) reach the driver.
 
-All columns advance together: every pass is one aggregate over the frame.
 The answer is linear interpolation between the two order statistics around
 ``q * (n - 1)`` (NULL and NaN ignored), i.e. SQL ``quantile_cont``.
 """
@@ -18,145 +24,81 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlens.functions.cleaning import nan_to_null
 
-
-def _in(v: F.Column, lo, hi) -> F.Column:
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (v >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (v <= F.lit(hi))
-    return cond & v.isNotNull()
-
-
-def _accuracy(rows: int, collect_limit: int) -> int:
-    """Sketch accuracy that brackets ``rows`` down to about ``collect_limit`` rows."""
-    return int(min(100_000, max(1_000, 8 * rows / max(1, collect_limit))))
-
-
-def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, collect_limit: int = 2_000,
-                    accuracy: int = 1_000, max_rounds: int = 12) -> dict[str, float | None]:
-    vals = {c: nan_to_null(c) for c in cols}
-    st = {c: {"lo": None, "hi": None, "below": 0, "cnt": None} for c in cols}
-    # pass 1: sizes and a first (coarse, cheap) bracket for every column; with
-    # one or two columns a distinct estimate is cheap and lets a low-cardinality
-    # column (dates, codes) skip straight to the fetch
-    d0 = 2.0 / accuracy
-    with_distinct = len(cols) <= 2
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count(vals[c]).alias(f"n{i}"),
-                 F.percentile_approx(vals[c], [max(0.0, q - d0), min(1.0, q + d0)], accuracy).alias(f"q{i}")]
-        if with_distinct:
-            aggs.append(F.approx_count_distinct(vals[c]).alias(f"d{i}"))
-    row = df.agg(*aggs).first()
-    result: dict[str, float | None] = {}
-    ready, proposed = [], {}
+PER_E, OFFSET, INFINITE = 64, 50_000, 100_000
+
+
+def _magnitude(v: Column) -> Column:
+    """Bucket of a double: rising with the value, one for zero, one for each infinity."""
+    size = F.abs(v)
+    level = F.when(size == float("inf"), F.lit(INFINITE).cast("bigint")).otherwise(F.floor(F.log(size) * PER_E) + OFFSET)
+    return F.when(v == 0, F.lit(0).cast("bigint")).when(v > 0, level).otherwise(-level)
+
+
+def _hits(sums: DataFrame, group: str, wanted: Column) -> list:
+    """Buckets of each group that hold a wanted rank: (group, total, before, lo, hi, at: the ranks)."""
+    whole = Window.partitionBy(group)
+    running = sums.withColumns({"total": F.sum("n").over(whole),
+                                "upto": F.sum("n").over(whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))})
+    inside = F.filter(F.array_distinct(wanted), lambda k: (k >= F.col("upto") - F.col("n")) & (k < F.col("upto")))
+    found = running.withColumn("at", inside).filter(F.size("at") > 0)
+    return found.select(group, "total", (F.col("upto") - F.col("n")).alias("before"), "lo", "hi", "at").collect()
+
+
+def _counted(entries: DataFrame, group: str) -> DataFrame:
+    return entries.groupBy(group, "bucket").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+
+
+def quantile_table(df: DataFrame, cols: list[str], qs: list[float], buckets: int = 1 << 16) -> dict[str, list[float] | None]:
+    """Column -> its quantiles ``qs``, or None for a column without values."""
+    values = [nan_to_null(c) for c in cols]
+    entry = F.array(*[F.struct(F.lit(i).alias("col"), v.alias("v")) for i, v in enumerate(values)])
+    entries = df.select(F.explode(entry).alias("e")).select("e.col", "e.v").filter("v IS NOT NULL").withColumn("bucket", _magnitude(F.col("v")))
+    first = [F.floor(F.lit(float(q)) * (F.col("total") - 1)) for q in qs]
+    wanted = F.array(*first, *[F.least(k + 1, F.col("total") - 1) for k in first])
+    total, known, open_ = {}, {}, []
+
+    def sort_out(hits, columns):
+        for h in hits:
+            col = columns(h)
+            if h["lo"] == h["hi"]:
+                known.update({(col, k): h["lo"] for k in ranks(h)})
+            else:
+                open_.append((col, h["lo"], h["hi"], base(h) + h["before"], ranks(h)))
+
+    ranks, base = lambda h: list(h["at"]), lambda h: 0                                   # noqa: E731
+    hits = _hits(_counted(entries, "col"), "col", wanted)
+    total = {h["col"]: h["total"] for h in hits}
+    sort_out(hits, lambda h: h["col"])
+    while open_:
+        targets, open_ = open_, []
+        inside = []
+        for t, (col, lo, hi, _, _) in enumerate(targets):
+            v = values[col]
+            place = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * buckets), F.lit(buckets - 1))
+            inside.append(F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), F.struct(F.lit(t).alias("target"), v.alias("v"), place.alias("bucket"))))
+        entries = df.select(F.explode(F.array_compact(F.array(*inside))).alias("e")).select("e.*")
+        at = F.element_at(F.array(*[F.array(*[F.lit(k - before).cast("bigint") for k in ks]) for _, _, _, before, ks in targets]), F.col("target") + 1)
+        ranks = lambda h: [k + targets[h["target"]][3] for k in h["at"]]                  # noqa: E731
+        base = lambda h: targets[h["target"]][3]                                          # noqa: E731
+        sort_out(_hits(_counted(entries, "target"), "target", at), lambda h: targets[h["target"]][0])
+    out = {}
     for i, c in enumerate(cols):
-        n = row[f"n{i}"]
-        if n == 0:
-            result[c] = None
-            continue
-        pos = q * (n - 1)
-        k0 = int(math.floor(pos))
-        st[c].update(n=n, k0=k0, k1=min(k0 + 1, n - 1), frac=pos - k0, cnt=n, acc=accuracy)
-        if with_distinct and row[f"d{i}"] <= collect_limit // 4:
-            ready.append(c)
-        else:
-            proposed[c] = tuple(row[f"q{i}"])
-
-    check, narrow = proposed, []
-    for _ in range(max_rounds):
-        if check:
-            # exact counts of the proposed brackets (one pass for all columns)
-            aggs = []
-            for i, c in enumerate(check):
-                lo, hi = check[c]
-                s, v = st[c], vals[c]
-                base = _in(v, s["lo"], s["hi"])
-                aggs += [F.count(F.when(base & (v < F.lit(lo)), 1)).alias(f"b{i}"),
-                         F.count(F.when(base & _in(v, lo, hi), 1)).alias(f"c{i}")]
-            row = df.agg(*aggs).first()
-            for i, c in enumerate(check):
-                s = st[c]
-                below, cnt = s["below"] + row[f"b{i}"], row[f"c{i}"]
-                lo, hi = check[c]
-                if below <= s["k0"] and s["k1"] < below + cnt:
-                    stuck = (lo, hi) == (s["lo"], s["hi"])
-                    s.update(lo=lo, hi=hi, below=below, cnt=cnt, acc=_accuracy(cnt, collect_limit))
-                    if lo == hi:                      # one value holds both order statistics
-                        result[c] = lo
-                    elif cnt <= collect_limit or stuck:
-                        ready.append(c)               # few rows, or a few heavy values
-                    else:
-                        narrow.append(c)
-                else:
-                    s["acc"] *= 10          # the approximate bracket missed: refine harder
-                    narrow.append(c)
-            check = {}
-        if ready:
-            narrow += _finish(df, vals, st, ready, result, collect_limit)
-            ready = []
-        if narrow:
-            # new brackets inside the current ones (one pass for all columns)
-            aggs = []
-            for i, c in enumerate(narrow):
-                s, v = st[c], vals[c]
-                r0 = (s["k0"] - s["below"]) / s["cnt"] - 2.0 / s["acc"]
-                r1 = (s["k1"] - s["below"] + 1) / s["cnt"] + 2.0 / s["acc"]
-                aggs.append(F.percentile_approx(F.when(_in(v, s["lo"], s["hi"]), v),
-                                                [max(0.0, r0), min(1.0, r1)], s["acc"]).alias(f"q{i}"))
-            row = df.agg(*aggs).first()
-            check = {c: tuple(row[f"q{i}"]) for i, c in enumerate(narrow)}
-            narrow = []
-        if not check:
-            break
-    if check:
-        raise RuntimeError(f"quantile brackets did not converge for {sorted(check)}")
-    return result
-
-
-def _finish(df, vals, st, ready, result, limit) -> list:
-    """Fetch (value, count) pairs inside each ready bracket and read the answer.
-
-    Returns the columns whose bracket still held too many values."""
-    # one scan: rows inside some bracket emit their in-bracket (column, value) pairs
-    inside = [_in(vals[c], st[c]["lo"], st[c]["hi"]) for c in ready]
-    any_in = inside[0]
-    for cond in inside[1:]:
-        any_in = any_in | cond
-    arr = F.array(*[F.when(cond, F.struct(F.lit(c).alias("col"), vals[c].alias("v")))
-                    for c, cond in zip(ready, inside)])
-    pairs_df = (df.filter(any_in).select(F.explode(arr).alias("p")).filter(F.col("p").isNotNull())
-                .select("p.col", "p.v").groupBy("col", "v").agg(F.count(F.lit(1)).alias("n")))
-    cap = limit * len(ready) + 1
-    rows = pairs_df.limit(cap).collect()
-    if len(rows) >= cap:
-        # truncated: fetch with a cap per column instead
-        from pyspark.sql import Window
-        rk = F.row_number().over(Window.partitionBy("col").orderBy("v"))
-        rows = pairs_df.withColumn("rk", rk).filter(F.col("rk") <= limit + 1).collect()
-    per: dict[str, list] = {}
-    overflow = []
-    for r in rows:
-        per.setdefault(r["col"], []).append((r["v"], r["n"]))
-    for c in ready:
-        s = st[c]
-        pairs = sorted(per.get(c, []))
-        if len(pairs) > limit:                 # distinct estimate was low: narrow again
-            overflow.append(c)
-            continue
-        seen, v0, v1 = s["below"], None, None
-        for v, n in pairs:
-            if v0 is None and s["k0"] < seen + n:
-                v0 = v
-            if s["k1"] < seen + n:
-                v1 = v
-                break
-            seen += n
-        result[c] = v0 if s["frac"] == 0 or v1 == v0 else v0 + (v1 - v0) * s["frac"]
-    return overflow
+        out[c] = None
+        if i in total:
+            out[c] = []
+            for q in qs:
+                pos = q * (total[i] - 1)
+                k = int(math.floor(pos))
+                v0, v1 = known[i, k], known[i, min(k + 1, total[i] - 1)]
+                out[c].append(v0 if pos == k or v0 == v1 else v0 + (v1 - v0) * (pos - k))
+    return out
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, buckets: int = 1 << 16) -> dict[str, float | None]:
+    """Column -> its quantile ``q``."""
+    return {c: None if v is None else v[0] for c, v in quantile_table(df, cols, [q], buckets).items()}

@@ -202,3 +202,88 @@ SCORE_CTES = [
         SUM(CASE WHEN is_default = 1 THEN loan_amnt * lgd ELSE 0 END) / SUM(loan_amnt) * 100 AS loss_per_100cr_inr
       FROM grid JOIN scf ON scf.pd_hat < grid.cutoff GROUP BY i"""),
 ]
+
+
+# ---------------------------------------------------------------- models
+# Pooled scores: the largest over earlier starts of the smallest mean over later ends.
+ISOTONIC_CTES = [
+    ("ip", """SELECT pd_hat AS x, CAST(COUNT(*) AS DOUBLE) AS w, CAST(SUM(is_default) AS DOUBLE) AS t, row_number() OVER (ORDER BY pd_hat) AS i
+              FROM sc WHERE pd_hat IS NOT NULL GROUP BY pd_hat"""),
+    ("ic", "SELECT *, SUM(w) OVER (ORDER BY i) AS cw, SUM(t) OVER (ORDER BY i) AS ct FROM ip"),
+    ("im", """SELECT a.i AS a, b.i AS b, (b.ct - a.ct + a.t) / (b.cw - a.cw + a.w) AS mean FROM ic a JOIN ic b ON a.i <= b.i"""),
+    ("il", "SELECT a, b, MIN(mean) OVER (PARTITION BY a ORDER BY b DESC ROWS UNBOUNDED PRECEDING) AS least FROM im"),
+    ("iv", "SELECT b AS i, MAX(least) AS value FROM il GROUP BY b"),
+]
+
+# Fixed values of the model queries: centre and width of the two logistic inputs, Newton steps in SQL.
+LOGIT_INPUTS = {"fico": (700.0, 50.0), "int_rate": (12.0, 5.0)}
+NEWTON_STEPS = 9
+
+
+def newton_ctes() -> list[tuple[str, str]]:
+    """Newton steps of the penalised logistic fit (ridge 1, free intercept) by Cramer's rule on 3 x 3 sums."""
+    (c1, (m1, s1)), (c2, (m2, s2)) = LOGIT_INPUTS.items()
+    out = [("lrows", f"SELECT ({c1} - {m1}) / {s1} AS u, ({c2} - {m2}) / {s2} AS v, CAST(is_default AS DOUBLE) AS y, COUNT(*) AS n "
+                     f"FROM train WHERE {c1} IS NOT NULL AND {c2} IS NOT NULL GROUP BY ALL"),
+           ("nw0", "SELECT CAST(0 AS DOUBLE) AS b0, CAST(0 AS DOUBLE) AS b1, CAST(0 AS DOUBLE) AS b2")]
+    det = "({0} * ({4} * {8} - {5} * {7}) - {1} * ({3} * {8} - {5} * {6}) + {2} * ({3} * {7} - {4} * {6}))".format
+    h = ["a00", "a01", "a02", "a01", "a11", "a12", "a02", "a12", "a22"]
+
+    def column(k: int) -> str:
+        return det(*[f"g{i // 3}" if i % 3 == k else h[i] for i in range(9)])
+
+    for k in range(NEWTON_STEPS):
+        out.append((f"ng{k}", f"""SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(b2) AS b2,
+  SUM(n * (p - y)) AS g0, SUM(n * (p - y) * u) + any_value(b1) AS g1, SUM(n * (p - y) * v) + any_value(b2) AS g2,
+  SUM(n * q) AS a00, SUM(n * q * u) AS a01, SUM(n * q * v) AS a02, SUM(n * q * u * u) + 1 AS a11, SUM(n * q * u * v) AS a12,
+  SUM(n * q * v * v) + 1 AS a22
+FROM (SELECT *, p * (1 - p) AS q FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * u + b2 * v))) AS p FROM lrows, nw{k}))"""))
+        out.append((f"nw{k + 1}", f"SELECT b0 - {column(0)} / {det(*h)} AS b0, b1 - {column(1)} / {det(*h)} AS b1, "
+                                  f"b2 - {column(2)} / {det(*h)} AS b2 FROM ng{k}"))
+    return out
+
+
+# Fixed values of the boosting queries: edges of the numeric inputs, levels of the category.
+GBT_EDGES = {
+    "int_rate": [7.0, 9.0, 11.0, 13.0, 15.0, 17.0, 19.0],
+    "fico": [640.0, 660.0, 680.0, 700.0, 720.0, 740.0, 760.0, 780.0, 800.0, 820.0],
+    "dti": [5.0, 10.0, 20.0, 30.0, 40.0, 50.0],
+    "loan_to_income": [0.05, 0.1, 0.2, 0.3, 0.5, 0.8, 1.2],
+    "emp_length_yrs": [1.0, 3.0, 5.0, 6.0, 7.0, 9.0],
+}
+GBT_LEVELS = {"grade": list("ABCDEFG")}
+
+
+def boosting_ctes() -> list[tuple[str, str]]:
+    """Histograms and best splits of the root and of its two children, at the start score."""
+    bins = ["CASE WHEN {0} IS NULL THEN 255 ELSE {1} END".format(c, " + ".join(f"CAST({c} > {e} AS INTEGER)" for e in edges))
+            for c, edges in GBT_EDGES.items()]
+    bins += ["CASE {0} {1} ELSE 255 END".format(c, " ".join(f"WHEN '{x}' THEN {i}" for i, x in enumerate(levels))) for c, levels in GBT_LEVELS.items()]
+    choices, k = [], 0
+    for k, edges in enumerate(GBT_EDGES.values(), 1):
+        choices += [(k, b, m, 0) for b in range(len(edges) + 1) for m in (0, 1)]
+    for k, levels in enumerate(GBT_LEVELS.values(), k + 1):
+        choices += [(k, b, 0, 1) for b in range(len(levels))]
+    out = [
+        ("gx", "SELECT CAST(is_default AS DOUBLE) AS y, [" + ", ".join(bins) + "] AS bins FROM train"),
+        ("gp", "SELECT AVG(y) AS p FROM gx"),
+        ("node0", "SELECT 0 AS node, bins, p - y AS g, p * (1 - p) AS h FROM gx, gp"),
+        ("choices", "SELECT * FROM (VALUES " + ", ".join(map(str, choices)) + ") c(k, b, m, category)"),
+    ]
+    left = "CASE WHEN category = 1 THEN bin <> b WHEN bin = 255 THEN m = 1 ELSE bin <= b END"
+    for r in (0, 1):
+        out += [
+            (f"hist{r}", f"SELECT node, k, bins[k] AS bin, SUM(g) AS g, SUM(h) AS h, COUNT(*) AS n FROM node{r}, range(1, {k + 1}) t(k) GROUP BY ALL"),
+            (f"cand{r}", f"""SELECT node, k, b, m, category, gl * gl / hl + gr * gr / hr - g * g / h AS gain, nl, nr FROM (
+  SELECT node, k, b, m, category, SUM(g) AS g, SUM(h) AS h, SUM(g) FILTER (WHERE {left}) AS gl, SUM(h) FILTER (WHERE {left}) AS hl,
+    SUM(n) FILTER (WHERE {left}) AS nl, SUM(g) FILTER (WHERE NOT ({left})) AS gr, SUM(h) FILTER (WHERE NOT ({left})) AS hr,
+    SUM(n) FILTER (WHERE NOT ({left})) AS nr, SUM(n) FILTER (WHERE bin = 255) AS missing
+  FROM hist{r} JOIN choices USING (k) GROUP BY node, k, b, m, category)
+WHERE nl >= 20 AND nr >= 20 AND hl >= 0.001 AND hr >= 0.001 AND (m = 0 OR missing > 0)"""),
+            (f"split{r}", f"""SELECT * FROM (SELECT *, MAX(gain) OVER (PARTITION BY node) AS top FROM cand{r}) WHERE gain >= top * (1 - 1e-10)
+QUALIFY row_number() OVER (PARTITION BY node ORDER BY k, b, m) = 1"""),
+        ]
+        if r == 0:
+            side = left.replace("bin ", "bins[k] ")
+            out.append(("node1", f"SELECT CASE WHEN {side} THEN 1 ELSE 2 END AS node, bins, g, h FROM node0, (SELECT * EXCLUDE (node) FROM split0)"))
+    return out

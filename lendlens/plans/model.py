@@ -3,9 +3,13 @@
 Preparation is fitted on the training rows only: exact medians fill gaps,
 numeric columns are standardised with the population std, categorical
 columns are one-hot encoded with every level kept and unseen levels mapped
-to all zeros.  Two models: an L2 logistic regression and gradient-boosted
-trees calibrated by isotonic regression over three folds.  Only metrics
-and the scored test table leave Spark; no step collects loan rows.
+to all zeros.  Two models: an L2 logistic regression (Newton steps,
+``operators/logit.py``) and histogram gradient boosting (leaf-wise trees on
+binned inputs, the three folds fitted in the same passes,
+``operators/boosting.py``) calibrated by isotonic regression
+(``operators/isotonic.py``) over three folds.  ``learner="ml"`` fits the trees and the
+calibration with ``pyspark.ml`` instead.  Only metrics and the scored test
+table leave Spark; no step collects loan rows.
 """
 
 from __future__ import annotations
@@ -13,13 +17,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendlens.operators.boosting import Binning, boosted_score, fit_boosting, numeric_edges
+from lendlens.operators.isotonic import fit_isotonic, isotonic_value
+from lendlens.operators.logit import fit_logit, logit_probability
 from lendlens.operators.metrics import exact_auc
 from lendlens.plans import policy, prep
 from lendlens.session import materialize
@@ -107,35 +114,44 @@ def _fit_gbt(train: DataFrame, max_iter: int, seed: int, early_stopping: bool):
     return (model if rounds == tried else gbt.copy().setMaxIter(rounds).fit(fit_part)), rounds
 
 
-def train_and_score(features: DataFrame, gbt_iter: int = 400, folds: int = 3, seed: int = 42,
-                    lr_iter: int = 2000, early_stopping: bool = True) -> ModelResult:
-    rows = policy.passing(policy.model_frame(features, keep=("loan_id",)))
-    train, test, cut = policy.oot_split(rows)
+def design_tables(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame, Binning]:
+    """Stored training design, test design (x array, y, loan_key, z_ and c_ inputs) and the bins of the training inputs."""
     med = prep.medians(train)
     stats = prep.scale_stats(train, med)
-
     stages = _encoder_stages(_numeric_inputs(med))
     # the columns the assembler really takes, without their z_ / o_ prefix
     policy.check_inputs(c[2:] for c in stages[-1].getInputCols())
     enc = Pipeline(stages=stages).fit(_standardise(train, med, stats))
+    numeric = [f"z_{c}" for c in _numeric_inputs(med)]
+    coded = [f"c_{c}" for c in policy.CATEGORICAL]
 
     def design(df):
-        return enc.transform(_standardise(df, med, stats)).withColumn(
-            "y", F.col(policy.TARGET).cast("double")).withColumn("loan_key", F.col("loan_id"))
+        return enc.transform(_standardise(df, med, stats)).withColumns(
+            {"x": vector_to_array("x"), "y": F.col(policy.TARGET).cast("double"), "loan_key": F.col("loan_id")})
 
-    tr = materialize(design(train).select("loan_key", "x", "y"), "design_train")
-    te = design(test)
-    n_train = tr.count()
+    tr = materialize(design(train).select("loan_key", "x", "y", *numeric, *coded), "design_train")
+    binning = Binning(numeric_edges(tr, numeric), dict(zip(coded, (list(x) for x in enc.stages[0].labelsArray))))
+    return tr, design(test), binning
 
-    lr = LogisticRegression(featuresCol="x", labelCol="y", regParam=1.0 / max(1, n_train),
-                            elasticNetParam=0.0, standardization=False, maxIter=lr_iter, tol=1e-8)
-    lr_scores = lr.fit(tr).transform(te).withColumn("p_logistic", _p1())
-    lr_scores = lr_scores.drop("rawPrediction", "probability", "prediction")
 
-    # 3-fold isotonic calibration: fold k fits trees on the other folds and the
-    # isotonic map on fold k; the test score is the mean of the fold scores.
+def _calibrated_boosting(tr: DataFrame, scored: DataFrame, binning: Binning, gbt_iter: int, folds: int, seed: int, early_stopping: bool):
+    """``scored`` plus p_gbt0, p_gbt1 ...: fold k's trees never saw the rows its isotonic map is fitted on."""
+    fold = F.pmod(F.xxhash64(F.col("loan_key"), F.lit(seed + 1)), F.lit(folds))
+    held = F.pmod(F.xxhash64(F.col("loan_key"), F.lit(seed)), F.lit(10)) == 0
+    models = fit_boosting(tr, binning, "y", rounds=gbt_iter, fold=fold, folds=folds, held=held, patience=10 if early_stopping else None)
+    for k, model in enumerate(models):
+        chance = 1 / (1 + F.exp(-boosted_score(model)))
+        blocks = fit_isotonic(tr.filter(fold == k).select(chance.alias("s"), "y"), "s", "y")
+        scored = scored.withColumn("s", chance)
+        scored = scored.withColumn(f"p_gbt{k}", isotonic_value(blocks, "s")).drop("s")
+    return scored, [len(m.trees) for m in models]
+
+
+def _calibrated_ml(tr: DataFrame, scored: DataFrame, gbt_iter: int, folds: int, seed: int, early_stopping: bool):
+    """The same with ``pyspark.ml`` learners."""
     fold = F.pmod(F.xxhash64(F.col("loan_key"), F.lit(seed + 1)), F.lit(folds))
-    scored = lr_scores
+    tr = materialize(tr.withColumn("x", array_to_vector("x")), "design_vectors")
+    scored = scored.withColumn("x", array_to_vector("x"))
     rounds = []
     for k in range(folds):
         fit_rows, cal_rows = tr.filter(fold != k), tr.filter(fold == k)
@@ -150,25 +166,45 @@ def train_and_score(features: DataFrame, gbt_iter: int = 400, folds: int = 3, se
         raw = gbt_model.transform(scored).withColumn("s", _p1()).drop("rawPrediction", "probability",
                                                                            "prediction")
         scored = iso.transform(raw).withColumnRenamed("p", f"p_gbt{k}").drop("s")
+    return scored, rounds
+
+
+def metrics_report(scored: DataFrame, models: dict[str, str], label: str = "y") -> tuple[DataFrame, str | None]:
+    """(model, auc, gini, brier, is_champion) of score columns and the champion's name.
+
+    The champion has the strictly greater AUC: the first model on a tie, none without a positive AUC.  Rows without a
+    score are left out of its model's metrics.
+    """
+    mets, best, best_auc = [], None, 0.0
+    for name, col in models.items():
+        known = scored.filter(F.col(col).isNotNull())
+        auc = exact_auc(known, col, label)
+        brier = known.agg(F.avg((F.col(col) - F.col(label)) ** 2)).first()[0]
+        mets.append((name, auc, None if auc is None else 2 * auc - 1, brier))
+        if auc is not None and auc > best_auc:
+            best, best_auc = name, auc
+    report = scored.sparkSession.createDataFrame([(n, a, g, b, n == best) for n, a, g, b in mets],
+                                                 "model string, auc double, gini double, brier double, is_champion boolean")
+    return report, best
+
+
+def train_and_score(features: DataFrame, gbt_iter: int = 400, folds: int = 3, seed: int = 42,
+                    lr_iter: int = 2000, early_stopping: bool = True, learner: str = "histogram") -> ModelResult:
+    rows = policy.passing(policy.model_frame(features, keep=("loan_id",)))
+    train, test, cut = policy.oot_split(rows)
+    tr, te, binning = design_tables(train, test)
+    n_train = tr.count()
+    scored = te.withColumn("p_logistic", logit_probability(fit_logit(tr, "x", "y", ridge=1.0, max_steps=lr_iter), "x"))
+    if learner == "histogram":
+        scored, rounds = _calibrated_boosting(tr, scored, binning, gbt_iter, folds, seed, early_stopping)
+    else:
+        scored, rounds = _calibrated_ml(tr, scored, gbt_iter, folds, seed, early_stopping)
     scored = scored.withColumn("p_gradient_boosting",
                                sum(F.col(f"p_gbt{k}") for k in range(folds)) / float(folds))
     scored = materialize(scored.select("loan_amnt", "int_rate", "grade", "purpose", policy.TARGET, "y",
                                        "p_logistic", "p_gradient_boosting"), "test_scores")
 
-    spark = features.sparkSession
-    mets = []
-    for name in ("logistic_baseline", "gradient_boosting"):
-        col = "p_logistic" if name == "logistic_baseline" else "p_gradient_boosting"
-        auc = exact_auc(scored, col, "y")
-        brier = scored.agg(F.avg((F.col(col) - F.col("y")) ** 2)).first()[0]
-        mets.append((name, auc, None if auc is None else 2 * auc - 1, brier))
-    # Strictly greater AUC wins, first model on a tie, start from 0
-    best, best_auc = None, 0.0
-    for name, auc, _, _ in mets:
-        if auc is not None and auc > best_auc:
-            best, best_auc = name, auc
-    metrics = spark.createDataFrame([(n, a, g, b, n == best) for n, a, g, b in mets],
-                                    "model string, auc double, gini double, brier double, is_champion boolean")
+    metrics, best = metrics_report(scored, {"logistic_baseline": "p_logistic", "gradient_boosting": "p_gradient_boosting"})
     champ = "p_logistic" if best == "logistic_baseline" else "p_gradient_boosting"
     scores = scored.select("loan_amnt", "int_rate", "grade", "purpose", policy.TARGET,
                            F.col(champ).alias("pd_hat"))

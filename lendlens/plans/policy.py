@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lendlens.functions.cleaning import nan_to_null
 from lendlens.operators.quantile import exact_quantiles
+from lendlens.plans.lineage import ancestors
 from lendlens.plans.staging import OUTCOME_COLUMNS
 
 # Model inputs (22 numeric, 5 categorical), target, split date.
@@ -45,9 +46,20 @@ def check_inputs(inputs) -> None:
         raise ValueError(f"outcome columns among model inputs: {sorted(leaked)}")
 
 
+def check_lineage(features: DataFrame, inputs) -> None:
+    """Fails if an input is computed from the target or from a column known only after the loan was made."""
+    known = ancestors(features)
+    late = lambda c: c in AFTER_ORIGINATION or c == TARGET or c.startswith(AFTER_ORIGINATION_PREFIXES)
+    leaked = {c: sorted(filter(late, known.get(c, ()))) for c in inputs}
+    leaked = {c: found for c, found in leaked.items() if found}
+    if leaked:
+        raise ValueError(f"model inputs computed from outcome columns: {leaked}")
+
+
 def model_frame(features: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The pruned model table (and ``keep``); fails if an outcome column is an input."""
+    """The pruned model table (and ``keep``); fails if an input is an outcome column or computed from one."""
     check_inputs(NUMERIC + CATEGORICAL)
+    check_lineage(features, NUMERIC + CATEGORICAL)
     return features.select(*NUMERIC, *CATEGORICAL, TARGET, SPLIT_DATE, *keep)
 
 
@@ -83,7 +95,7 @@ def passing(df: DataFrame) -> DataFrame:
 
 def oot_cutoff_days(df: DataFrame, q: float = 0.8) -> float | None:
     """Exact linear-interpolated quantile of the issue date, in days since 1970
-    (bracketed order statistics: no task holds all distinct dates)."""
+    (radix selection: no task holds all distinct dates)."""
     days = df.select(F.unix_date(SPLIT_DATE).cast("double").alias("__days"))
     return exact_quantiles(days, ["__days"], q)["__days"]
 

@@ -17,8 +17,8 @@ MISSING_LEVEL = "__missing__"
 def medians(train: DataFrame, cols: list[str] = NUMERIC) -> dict[str, float]:
     """M3: exact (interpolated) median per column, NaN treated as missing.
 
-    Bracketed order statistics (``exact_quantiles``): every pass is one
-    aggregate over all columns, and no task holds a column's distinct values.
+    Radix selection (``exact_quantiles``): every pass is one aggregate over
+    all columns, and no task holds a column's distinct values.
     """
     return exact_quantiles(train, list(cols), 0.5)
 

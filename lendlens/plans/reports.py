@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from lendlens.functions.numeric import round_half_away
 from lendlens.operators.joins import pin_small
+from lendlens.plans.export import REPORT_ORDER
+from lendlens.sources.ordered import sort_keys
 
 # Exchange rate and unit of the dashboard's money measures.
 INR_PER_USD = 83
@@ -23,6 +25,11 @@ def _r(c: F.Column, digits: int, rounded: bool) -> F.Column:
     return round_half_away(c, digits) if rounded else c
 
 
+def in_order(table: DataFrame, name: str) -> DataFrame:
+    """O3: one of the stored report tables in its report order."""
+    return table.orderBy(*sort_keys(REPORT_ORDER[name]))
+
+
 def grade_overview(features: DataFrame, rounded: bool = False) -> DataFrame:
     """Loans, default %, mean rate / fico / dti and disbursed (bn) by grade."""
     return features.groupBy("grade").agg(
@@ -32,7 +39,7 @@ def grade_overview(features: DataFrame, rounded: bool = False) -> DataFrame:
         _r(F.avg("fico"), 0, rounded).alias("avg_fico"),
         _r(F.avg("dti"), 1, rounded).alias("avg_dti"),
         _r(F.sum("loan_amnt") / 1e9, 2, rounded).alias("disbursed_bn_usd"),
-    )
+    ).orderBy(*sort_keys(["grade"]))
 
 
 def verification_profile(features: DataFrame, rounded: bool = False) -> DataFrame:
@@ -43,7 +50,7 @@ def verification_profile(features: DataFrame, rounded: bool = False) -> DataFram
         _r(F.avg("annual_inc"), 0, rounded).alias("avg_income"),
         _r(F.avg("dti"), 1, rounded).alias("avg_dti"),
         _r(F.avg("int_rate"), 1, rounded).alias("avg_rate"),
-    )
+    ).orderBy(*sort_keys(["-default_pct", "verification_status"]))
 
 
 def heatmap_long(seg_risk: DataFrame) -> DataFrame:
@@ -52,7 +59,7 @@ def heatmap_long(seg_risk: DataFrame) -> DataFrame:
     return seg_risk.groupBy("grade", "income_decile").agg(
         (F.sum(F.col("n_loans") * F.col("default_rate")) / F.sum("n_loans")).alias("default_rate"),
         F.try_divide(F.sum("defaulted_amount"), F.sum("disbursed")).alias("bad_share"),
-    )
+    ).orderBy(*sort_keys(["grade", "income_decile"]))
 
 
 def heatmap_pivot(seg_risk: DataFrame, deciles: int = 10) -> DataFrame:
@@ -60,7 +67,7 @@ def heatmap_pivot(seg_risk: DataFrame, deciles: int = 10) -> DataFrame:
     longf = heatmap_long(seg_risk)
     wide = longf.groupBy("grade").pivot("income_decile", list(range(1, deciles + 1))).agg(
         F.first("default_rate"))
-    return wide.select("grade", *[F.col(str(i)).alias(f"d{i}") for i in range(1, deciles + 1)])
+    return wide.select("grade", *[F.col(str(i)).alias(f"d{i}") for i in range(1, deciles + 1)]).orderBy(*sort_keys(["grade"]))
 
 
 def sliced(features: DataFrame, term_months: int | None = None, grades=None, purposes=None,

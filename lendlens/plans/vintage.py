@@ -59,7 +59,7 @@ def vintage_by_year(curves: DataFrame, year_from: int | None = None, year_to: in
         c = c.filter(F.col("yr") >= year_from)
     if year_to is not None:
         c = c.filter(F.col("yr") <= year_to)
-    return c.groupBy("yr", "mob").agg(F.avg("cum_default_rate").alias("cum_dr"))
+    return c.groupBy("yr", "mob").agg(F.avg("cum_default_rate").alias("cum_dr")).orderBy("yr", "mob")
 
 
 def vintage_at_mob(curves: DataFrame, mob: int = 36) -> DataFrame:

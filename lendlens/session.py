@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,32 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whatever file system its path names; False when there was none."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True))
+
+
+# folders written by ``materialize`` inside open ``scratch`` blocks, innermost last
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate tables written inside the block are removed at its end, also after a failure.
+
+    For jobs that write their results: a DataFrame that still reads an
+    intermediate table must be written before the block ends.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            remove_folder(spark, path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
@@ -71,5 +98,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -21,12 +21,18 @@ def test_pipeline_from_csv(spark, tmp_path):
     direct = raw_loans(spark, SF001)
     assert w["loans"].count() == jobs.stage_loans(direct).count()
     assert spark.read.parquet(os.path.join(out, "processed", "segment_risk.parquet")).count() == w["segment_risk"].count()
+    for name, schema in jobs.SCHEMAS.items():
+        assert spark.table(f"{schema}.{name}").count() > 0
+    assert w["quarantine"].filter("fatal").count() > 0
     m = jobs.train_models(w["features"], out, gbt_iter=3)
     assert m["metrics"].count() == 2
     t = jobs.cutoff_economics(spark, out, w["grade_loss"])
     back = export.read_cutoff_csv(spark, os.path.join(out, "reports", "cutoff_table.csv"))
     assert back.count() == t.count() > 0
     assert back.filter(F.col("approval_rate") > 1).count() == 0
+    few = jobs.build_warehouse(spark, raw, str(tmp_path / "book2"), min_loans=40)           # the names now stand for the second book
+    assert 0 < spark.table("features.segment_risk").count() == few["segment_risk"].count()
+    assert spark.read.parquet(os.path.join(out, "processed", "segment_risk.parquet")).count() > few["segment_risk"].count()
 
 
 def test_save_table(spark, tmp_path):
