@@ -27,7 +27,7 @@ the phrases of one word less that they were paired from, so cuts need no search.
 A phrase inside a longer one of the same count has a phrase of one word more around it
 with that count, so only the next level is looked at to drop it.
 The first ``top`` of a language are taken within hashed parts of its
-phrases first.
+phrases first, in rounds, so no task orders more than ``part`` of them.
 
 Defined cases: NULL and empty texts have no words; NULL language is ``und``
 (together with a language of that name); repeated rows count each; ties of
@@ -149,6 +149,12 @@ def word_blocks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(build, BLOCKS)
 
 
+def dealt(df: DataFrame, key: str, groups: int) -> DataFrame:
+    """``df`` dealt by ``key`` over enough partitions for its number of groups: a task's share does not grow with the input."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-groups // 4)), key)
+
+
 def groups(to: np.ndarray):
     """(bucket, ascending positions) for each bucket met."""
     order = np.argsort(to, kind="stable")
@@ -203,7 +209,7 @@ def count_words(blocks: DataFrame, least: int, buckets: int) -> DataFrame:
             {c: "Int64" for c in ("id", "a", "left", "right")})
 
     asked = blocks.select("block", "lengths", "words", "counts").mapInPandas(ask, "bucket int, block string, places binary, lengths binary, words binary, counts binary")
-    return asked.groupBy("bucket").applyInPandas(answer, COUNTED)
+    return dealt(asked, "bucket", buckets).groupBy("bucket").applyInPandas(answer, COUNTED)
 
 
 def local_pairs(seq: np.ndarray, tiles: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -257,7 +263,7 @@ def count_pairs(level: DataFrame, least: int, buckets: int, tiles: int) -> DataF
         return pd.concat([asked.astype(kinds), told.astype(kinds)])
 
     asked = level.select("block", "seq").mapInPandas(ask, "bucket int, block string, places binary, tiles binary, cells binary, counts binary")
-    return asked.groupBy("bucket").applyInPandas(answer, COUNTED)
+    return dealt(asked, "bucket", buckets).groupBy("bucket").applyInPandas(answer, COUNTED)
 
 
 def next_level(blocks: DataFrame, counted: DataFrame, tiles: int | None) -> DataFrame:
@@ -282,8 +288,10 @@ def next_level(blocks: DataFrame, counted: DataFrame, tiles: int | None) -> Data
         pairs = int(((seq[:-1] >= 0) & (seq[1:] >= 0)).sum())
         return pd.DataFrame({"block": [left["block"].iloc[0]], "pairs": [pairs], "seq": [pack(seq)]}) if pairs else none
 
-    told = counted.filter("block IS NOT NULL").select("block", "answer")
-    return blocks.select("block", "pairs", "seq").groupBy("block").cogroup(told.groupBy("block")).applyInPandas(apply, "block string, pairs bigint, seq binary")
+    held = blocks.select("block", "pairs", "seq")
+    n = held.count()
+    told = dealt(counted.filter("block IS NOT NULL").select("block", "answer"), "block", n)
+    return dealt(held, "block", n).groupBy("block").cogroup(told.groupBy("block")).applyInPandas(apply, "block string, pairs bigint, seq binary")
 
 
 def phrase_levels(docs: DataFrame, least: int, most_words: int = MOST_WORDS) -> tuple[DataFrame, list[DataFrame]]:
@@ -333,8 +341,15 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, most_words:
     scored = kept.join(totals, F.col("lang") == F.col("_lang")).withColumn("best", F.expr(SCORED))
     scored = materialize(scored.select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score"), "phrase-scores")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    parts = max(1, -(-scored.count() // part))
-    first = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
-    first = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
+    most = lambda df: df.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
+    held, rounds = most(scored), 0
+    while held > part:                     # the first of each part of a language, until the rest of a language is one part
+        parts, rounds = -(-held // part), rounds + 1
+        place = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+        scored = scored.withColumn("part", F.pmod(F.xxhash64("phrase", F.lit(rounds)), F.lit(parts))).withColumn("place", place)
+        scored = materialize(scored.filter(F.col("place") <= top).drop("part", "place"), "phrase-first")
+        held, before = most(scored), held
+        if held == before:                 # parts smaller than the top: one more could not shorten it
+            break
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
-    return first.withColumn("rank", rank).filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return scored.withColumn("rank", rank).filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

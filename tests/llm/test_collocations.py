@@ -56,7 +56,7 @@ def test_brute_force(spark, rows):
     docs = spark.createDataFrame([(*r, 1, "s") for r in rows], "lang string, text string, id int, word string").repartition(4)
     want = brute(rows, 5, 40)
     assert max(len(w[2].split(" ")) for w in want) == 5 and len({w[0] for w in want}) >= 5
-    assert got(C.collocations(docs, 5, 40, part=20)) == want
+    assert got(C.collocations(docs, 5, 40, part=60)) == want
 
 
 def test_dense_tiles_and_blocks(spark):
