@@ -472,7 +472,7 @@ def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, b
 
 
 def linked_rows(docs: DataFrame, words: int = 5, percent: int = 80, heavy: int = 1_000_000,
-                long_list: int = 64, block_bytes: int = 1 << 23, bucket_mb: int = 16,
+                long_list: int = 64, block_bytes: int = 1 << 23, bucket_mb: int = 8,
                 hot_entries: int = 200_000) -> DataFrame:
     """doc_id, text_key, set_id, n, n_links, label (one value per link component, NULL for empty sets): one stored row per document."""
     order = docs.sparkSession.sparkContext.broadcast(heavy_shingles(docs, words, heavy))
