@@ -48,18 +48,25 @@ def slots(df: DataFrame, group: str, order: list[str], rows_per_piece: int = 20_
     numbered inside (group, piece) and shifted by the counts of the earlier
     pieces.  The number of pieces follows the row count, so a piece stays
     near ``rows_per_piece`` rows whatever share of the table one group holds.
-    ``df`` must be a stored table: it is read twice.
+    Rows equal in the ordering columns fall into one piece; a piece of many times that size is
+    dealt further by the rows' places in the stored files.
+    ``df`` must be a stored table: it is read several times.
     """
     pieces = max(least, -(-df.count() // rows_per_piece))
-    cut = df.withColumn("_piece", F.pmod(F.xxhash64(*order), F.lit(pieces)).cast("int"))
+    place = F.xxhash64(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    cut = df.select("*", F.pmod(F.xxhash64(*order), F.lit(pieces)).cast("int").alias("_piece"), place.alias("_place"))
     counts = cut.groupBy(group, "_piece").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col(group).alias("_g"), F.col("_piece").alias("_p"),
+    big = materialize(counts.filter(F.col("_n") > 4 * rows_per_piece).select(
+        F.col(group).alias("_bg"), F.col("_piece").alias("_bp"), F.ceil(F.col("_n") / rows_per_piece).alias("_parts")), "slot-big-pieces")
+    cut = cut.join(F.broadcast(big), F.col(group).eqNullSafe(F.col("_bg")) & (F.col("_piece") == F.col("_bp")), "left")     # at most rows / (4 * rows_per_piece)
+    cut = cut.withColumn("_part", F.when(F.col("_parts").isNotNull(), F.pmod("_place", F.col("_parts"))).otherwise(F.lit(0)).cast("int")).drop("_bg", "_bp", "_parts")
+    counts = cut.groupBy(group, "_piece", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(group).orderBy("_piece", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col(group).alias("_g"), F.col("_piece").alias("_p"), F.col("_part").alias("_q"),
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy(group, "_piece").orderBy(*order))
-    ranked = cut.withColumn("_i", inside)
-    joined = ranked.join(starts, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_piece") == F.col("_p")), "left")
-    return joined.withColumn("slot", (F.col("_start") + F.col("_i") - 1).cast("long")).drop("_piece", "_i", "_g", "_p", "_start")
+    ranked = cut.withColumn("_i", F.row_number().over(Window.partitionBy(group, "_piece", "_part").orderBy(*order)))
+    joined = ranked.join(starts, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_piece") == F.col("_p")) & (F.col("_part") == F.col("_q")), "left")
+    return joined.withColumn("slot", (F.col("_start") + F.col("_i") - 1).cast("long")).drop("_piece", "_part", "_place", "_i", "_g", "_p", "_q", "_start")
 
 
 def small_enough(df: DataFrame, max_rows: int) -> DataFrame:
