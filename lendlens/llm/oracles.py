@@ -73,3 +73,59 @@ kept AS (
     SELECT 1 FROM f q WHERE q.lang = p.lang AND q.a >= p.a AND len(q.phrase) > len(p.phrase) AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ')))
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
 FROM kept QUALIFY rank <= 2000"""
+
+ORACLES["op5_decontamination"] = r"""
+WITH fold AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS up, 'abcdefghijklmnopqrstuvwxyz' AS low),
+docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents, fold),
+items AS (
+  SELECT item_id, w, least(10, len(w)) AS n
+  FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark, fold)
+  WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS body
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM items)),
+places AS (
+  SELECT row, n, s, array_to_string(w[s:s + n - 1], ' ') AS body
+  FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM docs, (SELECT DISTINCT n FROM windows))),
+found AS MATERIALIZED (SELECT row, s, n, item_id FROM places JOIN windows USING (n, body)),
+hit AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(s, s + n)) AS place FROM found) GROUP BY row),
+told AS (SELECT row, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT row, item_id FROM found) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN told USING (row)"""
+
+ORACLES["op6_jaccard_join"] = r"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT row, array_to_string(w[s:s + 4], ' ') AS x
+  FROM (SELECT row, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT row, count(*) AS n FROM shingles GROUP BY row),
+shared AS (SELECT a.row AS a, b.row AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.x = b.x AND a.row <> b.row GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes m ON m.row = a JOIN sizes n ON n.row = b WHERE 100 * common >= 80 * (m.n + n.n - common)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least_id AS (SELECT a AS row, min(doc_id) AS other FROM reach JOIN docs ON docs.row = reach.b GROUP BY a),
+degree AS (SELECT a AS row, count(*) AS k FROM links GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, other) AS component_id, coalesce(k, 0)::BIGINT AS n_links
+FROM docs LEFT JOIN sizes USING (row) LEFT JOIN least_id USING (row) LEFT JOIN degree USING (row)"""
+
+ORACLES["op10_chat_formatting"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+marked AS (
+  SELECT *, length('<|turn|><|text|><|end|>') + length(replace(replace(role, '\', '\\'), '<|', '<\|'))
+            + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS chars
+  FROM turns),
+told AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS everything,
+         coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS learnt, sum(chars) AS formatted_chars
+  FROM marked GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(everything) AS turns_sha256, length(learnt)::BIGINT AS loss_chars, sha256(learnt) AS loss_sha256,
+       formatted_chars::BIGINT AS formatted_chars
+FROM told"""
