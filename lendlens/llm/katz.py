@@ -1,30 +1,30 @@
-"""Language-model scoring: a word bigram Katz model with Good-Turing discounts, counted and evaluated by Spark.
+"""Language-model scoring: a word n-gram Katz model with Good-Turing discounts, counted and evaluated by Spark.
 
 Model.  Tokens are lower-case words and one end token per text; a text starts
-from a start state.  p(w | h) = d(c) c(h, w) / c(h) for seen pairs and
-alpha(h) p(w) otherwise; p(w) = d'(c) c(w) / N for known words, and what the
-discounts leave belongs to the one unknown word.  d(r), d'(r) are Katz's
-Good-Turing discounts for r <= ``k`` and 1 above; where counts of counts
-cannot give a discount in (0, 1], k is lowered.  A context (or the unigram
-level) to which no mass would be left gets one more count in its denominator.
-alpha(h) = (1 - seen mass) / (1 - sum of p(w) over words seen after h), so
+from a start state.  With a context h of up to ``order`` - 1 tokens and h' the
+same without its first,
+  p(w | h) = d(c) c(h, w) / c(h) for n-grams seen in training, alpha(h) p(w | h') otherwise,
+down to p(w) = d(c) c(w) / N for known words, and what the
+discounts leave there belongs to the one unknown word.  A context that training never saw
+passes on to h' as it is.  d(r) are Katz's Good-Turing discounts of the level for r <= ``K`` and 1 above;
+where counts of counts cannot give a discount in (0, 1], K is lowered.  A context (or the
+unigram level) to which no mass would be left gets one more count in its denominator.
+alpha(h) = (1 - seen mass) / (1 - sum of p(w | h') over words seen after h), so
 every context sums to one exactly.
 
-Jobs.  Texts become *blocks*: a local vocabulary (64-bit word hashes) and
-local ids, in a table bucketed by block, so that later rounds meet it
-without shuffling it.  Blocks ask for counts in packed form:
-  1. every block sends its words and counts to buckets by word; a bucket adds
-     up and answers each block in the order of its question,
-  2. every block sends its distinct pairs, grouped by context, with p(w)'s
-     count; a bucket adds up pair counts, answers, and reports per context
-     the count classes, totals and the sum of p(w) over its followers,
-  3. the reports of a context meet at the context's word bucket, which
-     answers each block with alpha and denominator,
-  4. each block evaluates its texts token by token from the three answers.
-A frequent context is dealt over several pair buckets (one per ``hot`` of its
-count); its reports are sums and meet again in 3.  Steps 1-3 are stored as
-partitioned tables of the n-gram model.  The driver sees only counts of
-counts.
+Jobs.  Texts become *blocks*: a local vocabulary (64-bit word hashes) and local ids.
+A level turns the ids of neighbours into n-grams of one word more: an
+n-gram is the pair (id of its first n - 1 words, id of its last n - 1), both
+seen in training.  Every block sends its distinct pairs, grouped by context,
+with their own and the shorter n-gram's counts to buckets by context; a bucket adds
+up, numbers the pairs that training saw and answers in the order of the question:
+counts, ids, and per context the sums that discounts and back-off need, as
+integers (followers by count class, total, followers by the class of the shorter n-gram).  A
+frequent context is dealt over several buckets (one per ``hot`` of its count, the text start
+too); its sums meet in a table of at most 200,000 rows.  Answers join the blocks in a table bucketed by
+block, so a level moves its questions and answers only.  Last, each block evaluates its texts
+from the unigrams up to the full order.  Levels are stored as partitioned tables.
+The driver sees counts of counts and the sums of frequent contexts.
 
 Defined cases: NULL and empty texts are one end token; a NULL doc_id hashes as
 the empty text; repeated rows count and are scored row by row; with no
@@ -45,12 +45,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.llm import bytetext as B
+from lendlens.llm import memory  # noqa: F401 (workers give freed memory back)
 from lendlens.llm.common import column, materialize
 
 U64 = np.uint64
 END, START = U64(0x1F3A5B7C9D2E4F61), U64(0xA2B4C6D8E0F13579)
 K = 5
-BLOCK_TOKENS = 1_500_000
+ORDER = 3
+BLOCK_TOKENS = 1_000_000
+START_ID = 0                       # ids of words and n-grams begin at 1
+SUMS = 2 * K + 3                   # per context: n_1 .. n_K, counts above K, total; m_1 .. m_K, shorter counts above K
+BLOCKS = ("block string, n_tokens bigint, n_train bigint, doc_ids binary, train binary, counts binary, local binary, vocabulary binary, "
+          "seen binary")
+STATE = BLOCKS + ", levels array<binary>"
+ANSWER = "kind int, block string, bucket int, answer binary, context bigint, sums array<bigint>, classes array<bigint>"
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -63,6 +71,25 @@ def unpack(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(pa.decompress(b[8:], n, codec="zstd", asbytes=True) if n else b"", kind)
 
 
+def pack_many(arrays: list[np.ndarray]) -> bytes:
+    """Integer arrays one after the other, each in the narrowest type that holds it."""
+    out = []
+    for a in arrays:
+        kind = np.result_type(np.min_scalar_type(a.min()), np.min_scalar_type(a.max())) if len(a) else np.dtype(np.uint8)
+        raw = pack(a.astype(kind))
+        out.append(kind.char.encode() + len(raw).to_bytes(8, "little") + raw)
+    return b"".join(out)
+
+
+def unpack_many(b: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(b):
+        n = int.from_bytes(b[at + 1:at + 9], "little")
+        out.append(unpack(b[at + 9:at + 9 + n], np.dtype(chr(b[at]))).astype(np.int64))
+        at += 9 + n
+    return out
+
+
 def token_blocks(docs: DataFrame, keep_out: int, modulus: int) -> DataFrame:
     """Blocks of about BLOCK_TOKENS tokens: doc ids, training flags, token counts, packed local ids, vocabulary and counts."""
     def build(batches):
@@ -84,11 +111,13 @@ def token_blocks(docs: DataFrame, keep_out: int, modulus: int) -> DataFrame:
             seen[len(known)] = train.sum()
             block = f"{part}-{number}"
             number += 1
+            known_ids = [ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64)]
+            blobs = [pack_many(known_ids), pack(train.astype(np.uint8)), pack_many([counts]), pack(local.astype(np.int32)), pack(vocabulary),
+                     pack(seen.astype(np.int64))]
             return pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([train], pa.list_(pa.bool_())),
-                 pa.array([counts], pa.list_(pa.int64())), pa.array([pack(local.astype(np.int32))], pa.binary()),
-                 pa.array([pack(vocabulary)], pa.binary()), pa.array([pack(seen.astype(np.int64))], pa.binary())],
-                names=["block", "doc_ids", "train", "counts", "local", "vocabulary", "seen"])
+                [pa.array([block]), pa.array([len(local) + len(train)], pa.int64()), pa.array([int(train.sum())], pa.int64()),
+                 *[pa.array([b], pa.binary()) for b in blobs]],
+                names=["block", "n_tokens", "n_train", "doc_ids", "train", "counts", "local", "vocabulary", "seen"])
 
         waiting = 0
         for batch in batches:
@@ -107,8 +136,7 @@ def token_blocks(docs: DataFrame, keep_out: int, modulus: int) -> DataFrame:
     doc_id = column(docs, "doc_id", "long")
     rest = F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
     rows = docs.select(doc_id.alias("doc_id"), (rest != keep_out).alias("train"), column(docs, "text", "string").alias("text"))
-    return rows.mapInArrow(build, "block string, doc_ids array<bigint>, train array<boolean>, counts array<bigint>, "
-                                  "local binary, vocabulary binary, seen binary")
+    return rows.mapInArrow(build, BLOCKS)
 
 
 def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> str:
@@ -135,6 +163,15 @@ def _classes(counts: np.ndarray) -> list[int]:
     return n + [int((counts > 0).sum()), int(counts[counts > K].sum())]
 
 
+def _numbered(total: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
+    """Ids of the entries with a count, small for frequent ones; -1 for the others."""
+    seen = np.flatnonzero(total > 0)
+    seen = seen[np.argsort(-total[seen], kind="stable")]
+    ids = np.full(len(total), -1, np.int64)
+    ids[seen] = 1 + np.arange(len(seen), dtype=np.int64) * buckets + bucket
+    return ids
+
+
 class Discounts:
     """Katz's Good-Turing discounts from n_1 .. n_{k+1}."""
 
@@ -168,7 +205,7 @@ class Unigram:
 
 
 def word_counts(blocks: DataFrame, buckets: int) -> DataFrame:
-    """Rows (bucket, block, answer): total counts for each block; block NULL holds the bucket's table and its classes."""
+    """ANSWER rows of the unigrams: kind 0 answers a block (counts and ids), kind 2 holds a bucket's classes."""
     def ask(batches):
         for batch in batches:
             for r in range(batch.num_rows):
@@ -176,194 +213,231 @@ def word_counts(blocks: DataFrame, buckets: int) -> DataFrame:
                 got = _groups(word_bucket(words, buckets))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([u for u, _ in got], pa.int32()), pa.array([batch.column(0)[r].as_py()] * len(got)),
-                     pa.array([words[g].tobytes() for _, g in got], pa.binary()), pa.array([pack(seen[g]) for _, g in got], pa.binary())],
+                     pa.array([words[g].tobytes() for _, g in got], pa.binary()), pa.array([pack_many([seen[g]]) for _, g in got], pa.binary())],
                     names=["bucket", "block", "words", "seen"])
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
         words = [np.frombuffer(w, U64) for w in pdf["words"]]
-        seen = np.concatenate([unpack(s, np.int64) for s in pdf["seen"]])
         known, back = np.unique(np.concatenate(words), return_inverse=True)
-        total = np.bincount(back, weights=seen, minlength=len(known)).astype(np.int64)
-        cuts = np.cumsum([len(w) for w in words])[:-1]
-        rows = [(b, pack(t), None) for b, t in zip(pdf["block"], np.split(total[back], cuts))]
-        out = pd.DataFrame(rows + [(None, pack(np.concatenate([known.view(np.int64), total])), _classes(total))],
-                           columns=["block", "answer", "classes"])
-        return out.assign(bucket=pdf["bucket"].iloc[0])[["bucket", "block", "answer", "classes"]]
+        total = np.zeros(len(known), np.int64)
+        np.add.at(total, back, np.concatenate([unpack_many(s)[0] for s in pdf["seen"]]))
+        bucket, cuts = int(pdf["bucket"].iloc[0]), np.cumsum([len(w) for w in words])[:-1]
+        ids = _numbered(total, bucket, buckets)
+        rows = [(0, b, bucket, pack_many([total[g], ids[g]]), None, None, None) for b, g in zip(pdf["block"], np.split(back, cuts))]
+        return pd.DataFrame(rows + [(2, None, bucket, None, None, None, _classes(total))],
+                            columns=["kind", "block", "bucket", "answer", "context", "sums", "classes"]).astype({"context": "Int64"})
 
     asked = blocks.select("block", "vocabulary", "seen").mapInArrow(ask, "bucket int, block string, words binary, seen binary")
-    return asked.groupBy("bucket").applyInPandas(answer, "bucket int, block string, answer binary, classes array<bigint>")
-
-
-def _scatter(words: np.ndarray, buckets: int, answers: pd.DataFrame, kind) -> np.ndarray:
-    """Answers of the word buckets, put back in the order of the local vocabulary."""
-    places = dict(_groups(word_bucket(words, buckets)))
-    out = None
-    for bucket, answer in zip(answers["bucket"], answers["answer"]):
-        values = unpack(answer, kind).reshape(-1, len(places[bucket])) if kind is np.float64 else unpack(answer, kind)[None, :]
-        if out is None:
-            out = np.zeros((values.shape[0], len(words)), kind)
-        out[:, places[bucket]] = values
-    return out
-
-
-def block_pairs(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct pair codes, index of each token's pair, training flags per token, words, tokens per text with the end)."""
-    words = unpack(row["vocabulary"], U64)
-    local = unpack(row["local"], np.int32).astype(np.int64)
-    counts = np.asarray(row["counts"], np.int64)
-    train = np.asarray(row["train"], bool)
-    width = len(words)
-    ends = np.cumsum(counts + 1)
-    target = np.full(int(ends[-1]) if len(ends) else 0, width - 2, np.int64)
-    inner = np.ones(len(target), bool)
-    inner[ends - 1] = False
-    target[inner] = local
-    context = np.concatenate([[0], target[:-1]]) if len(target) else target
-    context[ends - counts - 1] = width - 1
-    pairs, back = np.unique(context * width + target, return_inverse=True)
-    return pairs, back, np.repeat(train, counts + 1), words, counts + 1
-
-
-def _pair_bucket(context: np.ndarray, target: np.ndarray, context_count: np.ndarray, buckets: int, hot: int) -> np.ndarray:
-    spread = (1 + context_count // hot).astype(U64)
-    return (((context >> U64(32)) + B.mix(target) % spread) % U64(buckets)).astype(np.int64)
-
-
-def pair_counts(table: DataFrame, unigrams: DataFrame, model: Unigram, word_buckets: int, buckets: int, hot: int) -> DataFrame:
-    """Rows (kind, block, bucket, answer, classes): kind 0 answers a block, 1 reports contexts to a word bucket, 2 counts classes."""
-    def ask(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        row = left.iloc[0]
-        pairs, back, train, words, _ = block_pairs(row)
-        c1 = _scatter(words, word_buckets, right, np.int64)[0]
-        seen = np.bincount(back[train], minlength=len(pairs)).astype(np.int64)
-        h, w = pairs // len(words), pairs % len(words)
-        to = _pair_bucket(words[h], words[w], c1[h], buckets, hot)
-        rows = []
-        for bucket, g in _groups(to):
-            hs, runs = np.unique(h[g], return_counts=True)     # codes ascend, so contexts are contiguous
-            rows.append((bucket, row["block"], words[hs].tobytes(), pack(runs.astype(np.int32)), words[w[g]].tobytes(), pack(c1[w[g]]), pack(seen[g])))
-        return pd.DataFrame(rows, columns=["bucket", "block", "contexts", "runs", "targets", "c1", "seen"])
+    return asked.groupBy("bucket").applyInPandas(answer, ANSWER)
+
+
+class Block:
+    """The texts of a block as one sequence: start, words, end of each text."""
+
+    def __init__(self, row):
+        words = unpack(row["vocabulary"], U64)
+        counts = unpack_many(row["counts"])[0]
+        sizes = counts + 2
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        inner = np.ones(int(ends[-1]) if len(ends) else 0, bool)
+        inner[starts] = inner[ends - 1] = False
+        self.word = np.empty(len(inner), np.int64)                  # local words; the vocabulary ends with END, START
+        self.word[inner] = unpack(row["local"], np.int32)
+        self.word[starts], self.word[ends - 1] = len(words) - 1, len(words) - 2
+        self.offset = np.arange(len(inner)) - np.repeat(starts, sizes)
+        self.train = np.repeat(unpack(row["train"], np.uint8).astype(bool), sizes)
+        self.words, self.sizes = words, sizes
+        self.levels = [unpack_many(b) for b in row["levels"]] if row["levels"] is not None else []
+
+    def grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(id or -1, count) at every position of the n-gram of ``size`` words that ends there."""
+        count, ids = self.levels[0]
+        c, g = count[self.word], ids[self.word]
+        for k in range(2, size + 1):
+            pairs = Pairs(g, c, self, k)
+            count, ids = self.levels[k - 1][:2]
+            c, g = np.zeros(len(g), np.int64), np.full(len(g), -1, np.int64)
+            c[pairs.at[pairs.asked]], g[pairs.at[pairs.asked]] = count[pairs.back], ids[pairs.back]
+        return g, c
+
+
+class Pairs:
+    """Distinct n-grams of ``size`` words as pairs of neighbouring shorter ones, and all contexts met."""
+
+    def __init__(self, g: np.ndarray, c: np.ndarray, block: Block, size: int):
+        at = np.flatnonzero(block.offset >= size - 1)
+        self.at = at = at[g[at - 1] >= 0]                           # positions whose context was seen
+        self.context, self.of = np.unique(g[at - 1], return_inverse=True)
+        self.context_count = np.zeros(len(self.context), np.int64)
+        self.context_count[self.of] = c[at - 1]
+        self.asked = np.flatnonzero(g[at] >= 0)                     # positions (in ``at``) whose shorter n-gram was seen too
+        right, ro = np.unique(g[at[self.asked]], return_inverse=True)
+        code, self.back = np.unique(self.of[self.asked] * max(len(right), 1) + ro, return_inverse=True)
+        self.left, self.right = code // max(len(right), 1), right[code % max(len(right), 1)] if len(right) else right
+        self.low = np.zeros(len(code), np.int64)
+        self.low[self.back] = c[at[self.asked]]
+        self.seen = np.bincount(self.back[block.train[at[self.asked]]], minlength=len(code)).astype(np.int64)
+
+    def dealt(self, buckets: int, hot: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(bucket, pairs, contexts) of every bucket asked; a frequent context is asked in several."""
+        base, spread = B.mix(self.context.astype(U64)), (1 + self.context_count // hot).astype(U64)
+        to = ((base[self.left] + B.mix(self.right.astype(U64)) % spread[self.left]) % U64(buckets)).astype(np.int64)
+        calm = np.flatnonzero(spread == 1)
+        alone = dict(_groups((base[calm] % U64(buckets)).astype(np.int64)))
+        pairs = dict(_groups(to))
+        none = np.zeros(0, np.int64)
+        return [(u, pairs.get(u, none), np.union1d(self.left[pairs.get(u, none)], calm[alone.get(u, none)])) for u in sorted({*pairs, *alone})]
+
+
+def ngram_counts(state: DataFrame, size: int, buckets: int, hot: int) -> DataFrame:
+    """ANSWER rows of the n-grams of ``size`` words: 0 answers a block, 1 reports a frequent context, 2 counts classes."""
+    def ask(pdfs):
+        for pdf in pdfs:
+            for row in pdf.to_dict("records"):
+                block = Block(row)
+                pairs = Pairs(*block.grams(size - 1), block, size)
+                out = []
+                for u, mine, contexts in pairs.dealt(buckets, hot):
+                    runs = np.bincount(np.searchsorted(contexts, pairs.left[mine]), minlength=len(contexts))
+                    out.append((u, row["block"], pack_many([np.diff(pairs.context[contexts], prepend=0), runs, (pairs.context_count[contexts] >= hot).astype(np.int64),
+                                                            pairs.right[mine], pairs.low[mine], pairs.seen[mine]])))
+                yield pd.DataFrame(out, columns=["bucket", "block", "question"])
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        context = np.concatenate([np.repeat(np.frombuffer(c, U64), unpack(r, np.int32)) for c, r in zip(pdf["contexts"], pdf["runs"])])
-        targets = [np.frombuffer(t, U64) for t in pdf["targets"]]
-        c1 = np.concatenate([unpack(c, np.int64) for c in pdf["c1"]])
-        seen = np.concatenate([unpack(s, np.int64) for s in pdf["seen"]])
-        code = B.mix(context * U64(0x9E3779B97F4A7C15) + B.mix(np.concatenate(targets)))
-        _, first, back = np.unique(code, return_index=True, return_inverse=True)
-        total = np.bincount(back, weights=seen, minlength=len(first)).astype(np.int64)
-        cuts = np.cumsum([len(t) for t in targets])[:-1]
+        pdf = pdf.sort_values("block")
+        asked = [unpack_many(q) for q in pdf["question"]]
+        contexts = [np.cumsum(a[0]) for a in asked]
+        context, of = np.unique(np.concatenate(contexts), return_inverse=True)
+        ofs = np.split(of, np.cumsum([len(c) for c in contexts])[:-1])
+        left = np.concatenate([np.repeat(o, a[1]) for o, a in zip(ofs, asked)])
+        right, ro = np.unique(np.concatenate([a[3] for a in asked]), return_inverse=True)
+        code, back = np.unique(left * max(len(right), 1) + ro, return_inverse=True)
+        total, low = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
+        np.add.at(total, back, np.concatenate([a[5] for a in asked]))
+        low[back] = np.concatenate([a[4] for a in asked])
         bucket = int(pdf["bucket"].iloc[0])
-        rows = [(0, b, bucket, pack(t.astype(np.int64)), None) for b, t in zip(pdf["block"], np.split(total[back], cuts))]
+        ids = _numbered(total, bucket, buckets)
         live = total > 0
-        c, h, p = total[live], context[first][live], model.p(c1[first][live])
-        hs, of = np.unique(h, return_inverse=True)
-        report = np.zeros((K + 3, len(hs)))                    # n_1 .. n_k, rest above k, total, sum of p(w)
-        for r in range(1, K + 1):
-            report[r - 1] = np.bincount(of[c == r], minlength=len(hs))
-        report[K] = np.bincount(of, weights=np.where(c > K, c, 0), minlength=len(hs))
-        report[K + 1] = np.bincount(of, weights=c, minlength=len(hs))
-        report[K + 2] = np.bincount(of, weights=p, minlength=len(hs))
-        for u, g in _groups(word_bucket(hs, word_buckets)):
-            rows.append((1, None, u, hs[g].tobytes() + pack(report[:, g]) + len(g).to_bytes(8, "little"), None))
-        rows.append((2, None, bucket, None, _classes(total)))
-        return pd.DataFrame(rows, columns=["kind", "block", "bucket", "answer", "classes"])
-
-    asked = table.groupBy("block").cogroup(unigrams.filter("block IS NOT NULL").select("block", "bucket", "answer").groupBy("block")).applyInPandas(
-        ask, "bucket int, block string, contexts binary, runs binary, targets binary, c1 binary, seen binary")
-    return asked.groupBy("bucket").applyInPandas(answer, "kind int, block string, bucket int, answer binary, classes array<bigint>")
-
-
-def backoff_weights(table: DataFrame, reports: DataFrame, pair: Discounts, word_buckets: int) -> DataFrame:
-    """Rows (bucket, block, answer): alpha and denominator of each block's words."""
-    def ask(batches):
-        for batch in batches:
-            for r in range(batch.num_rows):
-                words = unpack(batch.column(1)[r].as_py(), U64)
-                got = _groups(word_bucket(words, word_buckets))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([u for u, _ in got], pa.int32()), pa.array([batch.column(0)[r].as_py()] * len(got)),
-                     pa.array([words[g].tobytes() for _, g in got], pa.binary())], names=["bucket", "block", "words"])
-
-    def answer(asked: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        if not len(asked):
-            return pd.DataFrame(columns=["bucket", "block", "answer"])
-        names, reports_ = [], []
-        for blob in told["answer"]:
-            n = _contexts(blob)
-            names.append(np.frombuffer(blob[:8 * n], U64))
-            reports_.append(unpack(blob[8 * n:-8], np.float64).reshape(K + 3, n))
-        h, of = np.unique(np.concatenate(names) if names else np.zeros(0, U64), return_inverse=True)
-        sums = np.zeros((K + 3, len(h)))
-        if names:
-            flat = np.concatenate(reports_, axis=1)
-            for k in range(K + 3):
-                sums[k] = np.bincount(of, weights=flat[k], minlength=len(h))
-        kept = (np.arange(1, K + 1) * pair.d[1:] @ sums[:K]) + sums[K]
-        below = np.where(sums[K + 1] - kept > 1e-9 * sums[K + 1], sums[K + 1], sums[K + 1] + 1)
-        alpha = (1 - kept / below) / (1 - sums[K + 2])
-        rows = []
-        for block, blob in zip(asked["block"], asked["words"]):
-            words = np.frombuffer(blob, U64)
-            at = np.minimum(np.searchsorted(h, words), max(len(h) - 1, 0))
-            hit = h[at] == words if len(h) else np.zeros(len(words), bool)
-            out = np.stack([np.where(hit, alpha[at], 1.0) if len(h) else np.ones(len(words)),
-                            np.where(hit, below[at], 1.0) if len(h) else np.ones(len(words))])
-            rows.append((int(asked["bucket"].iloc[0]), block, pack(out)))
-        return pd.DataFrame(rows, columns=["bucket", "block", "answer"])
-
-    asked = table.select("block", "vocabulary").mapInArrow(ask, "bucket int, block string, words binary")
-    return asked.groupBy("bucket").cogroup(reports.select("bucket", "answer").groupBy("bucket")).applyInPandas(
-        answer, "bucket int, block string, answer binary")
-
-
-def _contexts(blob: bytes) -> int:
-    """Number of contexts at the front of a report (names first, then the packed sums, then this number)."""
-    return int.from_bytes(blob[-8:], "little")
-
-
-def score_texts(docs: DataFrame, keep_out: int = 2, modulus: int = 7, bucket_tokens: int = 750_000, hot: int = 500_000) -> DataFrame:
+        h, c, m = code[live] // max(len(right), 1), total[live], low[live]
+        sums = np.zeros((SUMS, len(context)), np.int64)
+        for first, values in ((0, c), (K + 2, m)):
+            np.add.at(sums, (first + np.minimum(values, K + 1) - 1, h), np.where(values > K, values, 1))
+        np.add.at(sums[K + 1], h, c)
+        rows, at = [], 0
+        hot_ones = np.zeros(len(context), bool)
+        for block, a, o in zip(pdf["block"], asked, ofs):
+            mine = back[at:at + len(a[3])]
+            at += len(a[3])
+            hot_ones[o[a[2] > 0]] = True
+            rows.append((0, block, bucket, pack_many([total[mine], ids[mine], sums[:, o[a[2] == 0]].ravel()]), None, None, None))
+        rows += [(1, None, bucket, None, int(context[k]), sums[:, k].tolist(), None) for k in np.flatnonzero(hot_ones).tolist()]
+        rows.append((2, None, bucket, None, None, None, _classes(total)))
+        return pd.DataFrame(rows, columns=["kind", "block", "bucket", "answer", "context", "sums", "classes"]).astype({"context": "Int64"})
+
+    asked = state.mapInPandas(ask, "bucket int, block string, question binary")
+    return asked.groupBy("bucket").applyInPandas(answer, ANSWER)
+
+
+def with_level(state: DataFrame, answers: DataFrame, size: int, buckets: int, hot: int, starts: int, hot_sums: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """``state`` with the level of ``size`` words: counts and ids of the block's n-grams, sums of its contexts."""
+    def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        row = left.iloc[0].to_dict()
+        block = Block(row)
+        told = {b: unpack_many(a) for b, a in zip(right["bucket"], right["answer"])}
+        if size == 1:
+            count, ids = np.zeros(len(block.words), np.int64), np.full(len(block.words), -1, np.int64)
+            for u, places in _groups(word_bucket(block.words, buckets)):
+                count[places], ids[places] = told[u]
+            count[-1], ids[-1] = starts, START_ID
+            level = [count, ids]
+        else:
+            pairs = Pairs(*block.grams(size - 1), block, size)
+            count, ids = np.zeros(len(pairs.left), np.int64), np.full(len(pairs.left), -1, np.int64)
+            sums = np.zeros((SUMS, len(pairs.context)), np.int64)
+            frequent = pairs.context_count >= hot
+            for u, mine, contexts in pairs.dealt(buckets, hot):
+                count[mine], ids[mine], flat = told[u]
+                calm = contexts[~frequent[contexts]]
+                sums[:, calm] = flat.reshape(SUMS, len(calm))
+            sums[:, frequent] = hot_sums[1][:, np.searchsorted(hot_sums[0], pairs.context[frequent])]
+            level = [count, ids, sums.ravel()]
+        row["levels"] = [*(row["levels"] if row["levels"] is not None else []), pack_many(level)]
+        return pd.DataFrame({k: [v] for k, v in row.items()})
+
+    return state.groupBy("block").cogroup(answers.filter("kind = 0").select("block", "bucket", "answer").groupBy("block")).applyInPandas(add, STATE)
+
+
+def log_probabilities(block: Block, model: Unigram, discounts: list[Discounts]) -> np.ndarray:
+    """log10 p(token | what precedes it) at every position, from the unigrams up (``discounts``: one a level, the unigrams' first)."""
+    g, c = block.grams(1)
+    p, below = model.p(c), np.full(len(c), float(model.below))
+    for size in range(2, len(discounts) + 1):
+        d, lower = discounts[size - 1], discounts[size - 2]
+        pairs = Pairs(g, c, block, size)
+        count, ids, sums = block.levels[size - 1]
+        sums = sums.reshape(SUMS, len(pairs.context))
+        r, total = np.arange(1, K + 1), sums[K + 1]
+        kept = (r * d.d[1:]) @ sums[:K] + sums[K]
+        shorter = (r * lower.d[1:]) @ sums[K + 2:2 * K + 2] + sums[2 * K + 2]
+        under = np.where(total - kept > 1e-9 * total, total, total + 1).astype(float)
+        at, of = pairs.at, pairs.of
+        own = np.zeros(len(at), np.int64)
+        own[pairs.asked] = count[pairs.back]
+        alpha = (1 - kept / under)[of] / (1 - shorter[of] / below[at])
+        p[at] = np.where(own > 0, d.discounted(own) / under[of], alpha * p[at])
+        below[at] = under[of]
+        c, g = np.zeros(len(g), np.int64), np.full(len(g), -1, np.int64)
+        c[at[pairs.asked]], g[at[pairs.asked]] = count[pairs.back], ids[pairs.back]
+    return np.log10(p)
+
+
+def score_texts(docs: DataFrame, keep_out: int = 2, modulus: int = 7, order: int = ORDER, bucket_tokens: int = 750_000, hot: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document."""
-    spark = docs.sparkSession
+    spark, tables = docs.sparkSession, []
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        tables.append(bucketed(df, name, "block", slots))
+        return spark.table(tables[-1])
+
     slots = max(32, docs.rdd.getNumPartitions())
-    name = bucketed(token_blocks(docs, keep_out, modulus), "lm_blocks", "block", slots)
-    table = spark.table(name)
-    tokens = table.select(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x + 1))).first()[0] or 0
-    word_buckets = max(16, tokens // (4 * bucket_tokens))
-    pair_buckets = max(32, tokens // bucket_tokens)
-    unigrams = materialize(word_counts(table, word_buckets), "lm-words")
-    classes = lambda df: [int(x or 0) for x in df.select(*[F.sum(F.col("classes")[i]) for i in range(K + 3)]).first()]
-    n = classes(unigrams.filter("block IS NULL"))
-    model = Unigram(n[:K + 1], n[K + 1], n[K + 2])
-    pairs = materialize(pair_counts(table, unigrams, model, word_buckets, pair_buckets, hot), "lm-pairs")
-    discounts = Discounts(classes(pairs.filter("kind = 2"))[:K + 1])
-    weights = materialize(backoff_weights(table, pairs.filter("kind = 1"), discounts, word_buckets), "lm-weights")
-
-    def evaluate(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        row = left.iloc[0]
-        pairs_, back, train, words, counts = block_pairs(row)
-        of = {k: right[right["kind"] == k] for k in (0, 1, 2)}
-        c1 = _scatter(words, word_buckets, of[0], np.int64)[0]
-        alpha, below = _scatter(words, word_buckets, of[2], np.float64)
-        h, w = pairs_ // len(words), pairs_ % len(words)
-        places = dict(_groups(_pair_bucket(words[h], words[w], c1[h], pair_buckets, hot)))
-        c2 = np.zeros(len(pairs_), np.int64)
-        for bucket, answer in zip(of[1]["bucket"], of[1]["answer"]):
-            c2[places[bucket]] = unpack(answer, np.int64)
-        p = np.where(c2 > 0, discounts.discounted(c2) / below[h], alpha[h] * model.p(c1[w]))
-        logs = np.log10(p)[back]
-        base = (np.log10(c1 + 1.0) - np.log10(model.tokens + model.types + 1.0))[w][back]
-        texts = np.repeat(np.arange(len(counts)), counts)
-        add = lambda v: np.bincount(texts, weights=v, minlength=len(counts))
-        return pd.DataFrame({"doc_id": pd.array(list(row["doc_ids"]), "Int64"), "held_out": ~np.asarray(row["train"], bool), "n_tokens": counts,
-                             "n_known": add((c1[w] > 0)[back]).astype(np.int64), "train_tokens": model.tokens,
-                             "base_score": add(base), "score": add(logs)})
-
-    answers = (unigrams.filter("block IS NOT NULL").select("block", "bucket", "answer", F.lit(0).alias("kind"))
-               .unionByName(pairs.filter("kind = 0").select("block", "bucket", "answer", F.lit(1).alias("kind")))
-               .unionByName(weights.select("block", "bucket", "answer", F.lit(2).alias("kind"))))
-    scored = table.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        evaluate, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
-    scored = materialize(scored, "lm-scores")
-    spark.sql(f"DROP TABLE {name}")
-    return scored
+    try:
+        first = token_blocks(docs, keep_out, modulus)
+        state = stored(first.select("*", F.lit(None).cast("array<binary>").alias("levels")), "lm_blocks")
+        tokens, starts = state.select(F.sum("n_tokens"), F.sum("n_train")).first()
+        tokens, starts = tokens or 0, starts or 0
+        hot = hot or max(500_000, tokens // 200_000)                # so that at most 200,000 contexts are frequent
+        word_buckets, buckets = max(16, tokens // (4 * bucket_tokens)), max(32, tokens // bucket_tokens)
+        classes = lambda df: [int(x or 0) for x in df.filter("kind = 2").select(*[F.sum(F.col("classes")[i]) for i in range(K + 3)]).first()]
+        answers = materialize(word_counts(state, word_buckets), "lm-words")
+        n = classes(answers)
+        model = Unigram(n[:K + 1], n[K + 1], n[K + 2])
+        discounts = [model.discounts]
+        state = stored(with_level(state, answers, 1, word_buckets, hot, starts, (np.zeros(0), np.zeros((SUMS, 0)))), "lm_level_1")
+        for size in range(2, order + 1):
+            answers = materialize(ngram_counts(state, size, buckets, hot), f"lm-level-{size}")
+            discounts.append(Discounts(classes(answers)[:K + 1]))
+            frequent = answers.filter("kind = 1").groupBy("context").agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(SUMS)]).toPandas().sort_values("context")
+            hot_sums = frequent["context"].to_numpy(np.int64), frequent.drop(columns="context").to_numpy(np.int64).T.copy()
+            state = stored(with_level(state, answers, size, buckets, hot, starts, hot_sums), f"lm_level_{size}")
+
+        def evaluate(pdfs):
+            for pdf in pdfs:
+                for row in pdf.to_dict("records"):
+                    block = Block(row)
+                    logs = log_probabilities(block, model, discounts)
+                    c = block.levels[0][0][block.word]
+                    base = np.log10(c + 1.0) - np.log10(model.tokens + model.types + 1.0)
+                    texts, inside = np.repeat(np.arange(len(block.sizes)), block.sizes), block.offset > 0
+                    add = lambda v: np.bincount(texts[inside], weights=v[inside], minlength=len(block.sizes))
+                    ids, missing = unpack_many(row["doc_ids"])
+                    yield pd.DataFrame({"doc_id": pd.arrays.IntegerArray(ids, missing.astype(bool)), "held_out": unpack(row["train"], np.uint8) == 0,
+                                        "n_tokens": block.sizes - 1, "n_known": add(c > 0).astype(np.int64), "train_tokens": model.tokens,
+                                        "base_score": add(base), "score": add(logs)})
+
+        return materialize(state.mapInPandas(evaluate, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+                                                       "base_score double, score double"), "lm-scores")
+    finally:
+        for name in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
