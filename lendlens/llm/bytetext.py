@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 21
+PIECE = 1 << 20
 U64 = np.uint64
 _rng = np.random.RandomState(20240613)
 _BYTE = _rng.randint(0, 2 ** 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)

@@ -49,13 +49,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.llm import bytetext as B
+from lendlens.llm import memory  # noqa: F401 (workers give freed memory back)
 from lendlens.llm.common import column, materialize, small_enough
 from lendlens.llm.components import components
 
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
 BITS = 512                 # parity bitmap of a set: bit b tells whether oddly many shingles fall on b
 DENSE_LIST = 4096          # lists up to this length are compared pair by pair in memory
-COUNTED = 2_000_000        # shingles counted together
+COUNTED = 1_000_000        # shingles counted together
 U64 = np.uint64
 
 
@@ -451,7 +452,7 @@ def link_forest(members: DataFrame, docs: DataFrame, words: int, percent: int, b
                     names=["family", "block", "blocks", "set_id", "copies", "shingles"])
 
     holders = small_enough(blocks.select("family", "block", "blocks", "set_id", "copies", F.col("doc_id").alias("_holder"),
-                                         F.col("text_key").alias("_key")), 2_000_000)
+                                         F.col("text_key").alias("_key")), 500_000)
     text = column(docs, "text", "string")
     held = docs.select(column(docs, "doc_id", "long").alias("_doc"), text.alias("text"), F.xxhash64(text).alias("_own")).join(
         holders, F.col("_doc").eqNullSafe(F.col("_holder")) & (F.col("_own") == F.col("_key")))
