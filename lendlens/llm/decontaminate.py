@@ -34,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.llm import bytetext as B
+from lendlens.llm import memory  # noqa: F401 (workers give freed memory back)
 from lendlens.llm.common import column, materialize, small_enough
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 22
 GAP = 64            # empty positions between two texts
+STARTS = 1 << 20    # places of rarest terms followed together
 INDEX = ("firsts", "lengths", "terms", "sizes", "positions")
 
 
@@ -61,6 +63,9 @@ class TestSet:
                 owners.setdefault(tuple(row[k:k + window]), set()).add(item)
         self.windows = [np.array(w, np.int64) for w in owners]
         self.owners = [sorted(o) for o in owners.values()]
+        sizes = np.array([len(w) for w in owners], np.int64)
+        # windows of one length as the rows of a matrix, with their numbers
+        self.by_length = [(k, np.array([self.windows[i] for i in k])) for k in (np.flatnonzero(sizes == n) for n in np.unique(sizes))]
 
 
 def index_blocks(docs: DataFrame, tests: TestSet) -> DataFrame:
@@ -126,23 +131,34 @@ def search_block(block, tests: TestSet, proximity: int = 0):
     top = int(positions.max()) + 2 if len(positions) else 1
     term_at = np.full(top + GAP, -1, np.int32)     # the lists as one positional array: a list's membership test
     term_at[positions] = np.repeat(terms, sizes)
-    out = []
-    for number, window in enumerate(tests.windows):
-        where = place[window]
-        if (where < 0).any():
-            continue
-        if proximity:
-            out += [(number, s, e) for s, e in _follow(present(window[0]), [present(w) for w in window], proximity)]
-            continue
-        by_rarity = np.argsort(sizes[where], kind="stable")
-        starts = present(window[by_rarity[0]]) - by_rarity[0]
-        starts = starts[starts >= 0]
-        for k in by_rarity[1:]:
-            if not len(starts):
-                break
-            starts = starts[term_at[np.minimum(starts + k, top)] == window[k]]
-        out += [(number, int(s), int(s) + len(window)) for s in starts]
-    return np.array(out, np.int64).reshape(-1, 3)
+    out = [np.zeros((0, 3), np.int64)]
+    if proximity:
+        for number, window in enumerate(tests.windows):
+            if (place[window] >= 0).all():
+                found = _follow(present(window[0]), [present(w) for w in window], proximity)
+                out.append(np.array([(number, s, e) for s, e in found], np.int64).reshape(-1, 3))
+        return np.concatenate(out)
+    for numbers, windows in tests.by_length:                       # all windows of a length together
+        where = place[windows]
+        known = (where >= 0).all(1)
+        numbers, windows, where = numbers[known], windows[known], where[known]
+        by_rarity = np.argsort(sizes[where], axis=1, kind="stable")
+        rows = np.arange(len(where))
+        rarest = where[rows, by_rarity[:, 0]]
+        chunk = np.cumsum(sizes[rarest]) // STARTS
+        for c in np.unique(chunk):
+            mine = np.flatnonzero(chunk == c)
+            many = sizes[rarest[mine]]
+            row = np.repeat(mine, many)
+            offset = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            starts = positions[(ends - sizes)[rarest[row]] + offset] - by_rarity[row, 0]
+            row, starts = row[starts >= 0], starts[starts >= 0]
+            for j in range(1, windows.shape[1]):                   # the next rarest term must stand at its distance
+                k = by_rarity[row, j]
+                hit = term_at[np.minimum(starts + k, top)] == windows[row, k]
+                row, starts = row[hit], starts[hit]
+            out.append(np.column_stack([numbers[row], starts, starts + windows.shape[1]]))
+    return np.concatenate(out)
 
 
 def matches(index: DataFrame, tests: TestSet, proximity: int = 0) -> DataFrame:
@@ -175,13 +191,13 @@ def matches(index: DataFrame, tests: TestSet, proximity: int = 0) -> DataFrame:
 
 
 def test_chunks(benchmark: DataFrame, window: int, chunk_bytes: int):
-    """The test table as TestSets of bounded size (repeated item ids stay in one chunk)."""
+    """The test table as TestSets of bounded size; rows of one item id may lie in several."""
     rows = benchmark.select(column(benchmark, "item_id", "string").alias("item_id"),
                             F.coalesce(column(benchmark, "text", "string"), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     parts = max(1, -(-2 * int(total) // chunk_bytes))
     for part in range(parts):
-        mine = rows.filter(F.pmod(F.xxhash64(F.coalesce("item_id", F.lit(""))), F.lit(parts)) == part) if parts > 1 else rows
+        mine = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else rows
         yield TestSet([(r["item_id"], r["text"]) for r in mine.collect()], window)
 
 
