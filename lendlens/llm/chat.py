@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lendlens.llm.common import column, materialize, pinned
+from lendlens.llm.pii import running_sums
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 
@@ -86,23 +87,25 @@ def format_trees(nodes: DataFrame, best_only: bool = True) -> DataFrame:
     nodes = materialize(nodes, "chat-nodes")
     walk = paths(nodes)
     told = nodes.select(F.col("tree_id").alias("_t"), F.col("node_id").alias("_n"), "role", "text", "score")
-    full = walk.join(told, F.col("tree_id").eqNullSafe(F.col("_t")) & (F.col("node_id") == F.col("_n")))
-    if best_only:
-        score = full.groupBy("tree_id", "leaf").agg(F.avg("score").alias("s"))
+    on = F.col("tree_id").eqNullSafe(F.col("_t")) & (F.col("node_id") == F.col("_n"))
+    if best_only:                       # ranked on keys and scores; texts join the chosen path only
+        score = walk.join(told.select("_t", "_n", "score"), on).groupBy("tree_id", "leaf").agg(F.avg("score").alias("s"))
         best = score.groupBy("tree_id").agg(F.max(F.struct("s", (-F.col("leaf")).alias("l"))).alias("b")).select(
             F.col("tree_id").alias("_bt"), (-F.col("b.l")).alias("_leaf"))
-        full = full.join(best, F.col("tree_id").eqNullSafe(F.col("_bt")) & (F.col("leaf") == F.col("_leaf")))
+        walk = walk.join(best, F.col("tree_id").eqNullSafe(F.col("_bt")) & (F.col("leaf") == F.col("_leaf")))
+    full = walk.join(told, on)
     turns = full.groupBy("tree_id", "leaf").agg(
         F.avg("score").alias("score"), F.array_sort(F.collect_list(F.struct((-F.col("up")).alias("at"), "role", "text"))).alias("turns"))
     parts = F.transform("turns", lambda t: F.struct(
         (t["role"] == "assistant").alias("learn"), F.concat(F.lit(TURN), escape(t["role"]), F.lit(TEXT)).alias("head"), escape(t["text"]).alias("body")))
     turns = pinned(turns, _parts=parts)
     turns = turns.withColumn("formatted", F.array_join(F.transform("_parts", lambda p: F.concat(p["head"], p["body"], F.lit(END))), ""))
-    spans = F.aggregate("_parts", F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out")), lambda s, p: F.struct(
-        (s["at"] + F.length(p["head"]) + F.length(p["body"]) + len(END)).alias("at"),
-        F.when(p["learn"], F.concat(s["out"], F.array(F.struct(
-            (s["at"] + F.length(p["head"])).alias("start"), (s["at"] + F.length(p["head"]) + F.length(p["body"])).alias("end"))))).otherwise(s["out"]).alias("out")))
-    return turns.withColumn("loss_spans", spans["out"]).select("tree_id", "leaf", "score", "formatted", "loss_spans")
+    sizes = F.transform("_parts", lambda p: F.length(p["head"]) + F.length(p["body"]) + len(END))
+    turns = pinned(turns, _stops=running_sums(sizes))
+    stop = lambda i: F.get("_stops", i) - len(END)
+    spans = F.array_compact(F.transform("_parts", lambda p, i: F.when(p["learn"], F.struct(
+        (stop(i) - F.length(p["body"])).alias("start"), stop(i).alias("end")))))
+    return turns.withColumn("loss_spans", spans).select("tree_id", "leaf", "score", "formatted", "loss_spans")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -118,10 +121,12 @@ def read_back(formatted: DataFrame) -> DataFrame:
     rows = rows.withColumn("turns", F.transform("_pieces", turn))
     # a piece's own range under the mask: ranges are looked up by where the piece ends
     ends = F.map_from_entries(F.transform("loss_spans", lambda s: F.struct(s["end"], s["start"])))
-    rows = pinned(rows, _ends=ends)
-    text = F.aggregate("_pieces", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), lambda s, p: F.struct(
-        (s["at"] + F.length(p) + len(TURN)).alias("at"),
-        F.when(F.map_contains_key("_ends", s["at"] + len(TURN) + F.length(p) - len(END)), F.concat(s["out"], F.array(
-            F.substring(p, F.element_at("_ends", s["at"] + len(TURN) + F.length(p) - len(END)) - s["at"] - len(TURN) + 1,
-                        s["at"] + len(TURN) + F.length(p) - len(END) - F.element_at("_ends", s["at"] + len(TURN) + F.length(p) - len(END)))))).otherwise(s["out"]).alias("out")))
-    return rows.withColumn("loss_text", F.array_join(F.transform(text["out"], unescape), "")).drop("_pieces", "_ends")
+    rows = pinned(rows, _ends=ends, _stops=running_sums(F.transform("_pieces", lambda p: F.length(p) + len(TURN))))
+    stop = lambda i: F.get("_stops", i) - len(END)
+
+    def learnt(p: Column, i: Column) -> Column:
+        start = F.element_at("_ends", stop(i))
+        return F.when(F.map_contains_key("_ends", stop(i)), F.substring(p, F.length(p) - len(END) - (stop(i) - start) + 1, stop(i) - start))
+
+    text = F.array_compact(F.transform("_pieces", learnt))
+    return rows.withColumn("loss_text", F.array_join(F.transform(text, unescape), "")).drop("_pieces", "_ends", "_stops")
