@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from lendlens.llm.shipping import ship
 from lendlens.session import materialize
 
-__all__ = ["materialize", "table", "column", "slots", "pinned", "lower_ascii", "small_enough"]
+__all__ = ["materialize", "table", "column", "slots", "pinned", "lower_ascii", "small_enough", "few_elements"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,4 +74,10 @@ def small_enough(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def few_elements(df: DataFrame, array: str, most: int) -> DataFrame:
+    """``df`` marked for broadcast when its ``array`` column holds at most ``most`` elements in all, else as it is."""
+    held = df.agg(F.sum(F.size(array).cast("long") + 1)).first()[0] or 0
+    return F.broadcast(df) if held <= most else df
+
+
 LONG, STRING, BINARY = T.LongType(), T.StringType(), T.BinaryType()

@@ -30,9 +30,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import column, materialize, pinned, small_enough
+from lendlens.llm.common import column, few_elements, materialize, pinned, small_enough
 
 CLASS = ["sha", "bytes"]
+BROADCAST_RUNS = 400_000     # runs (at most about 60 bytes each) that may be broadcast with their texts' keys
 
 
 def with_lines(docs: DataFrame) -> DataFrame:
@@ -95,7 +96,7 @@ def repeated_runs(docs: DataFrame, words: int = 50) -> DataFrame:
     classes = runs.groupBy(*CLASS).agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).filter("n > 1").drop("n")
     places = materialize(runs.join(small_enough(materialize(classes, "line-classes"), 200_000), CLASS), "line-places")
     held = places.groupBy(F.col("_doc").alias("_d"), F.col("_key").alias("_k")).agg(F.collect_set(F.struct("lo", "hi", *CLASS)).alias("_held"))
-    held = small_enough(materialize(held, "line-held"), 50_000)
+    held = few_elements(materialize(held, "line-held"), "_held", BROADCAST_RUNS)
     rows = with_lines(docs).select("_doc", "_key", "_lines").join(held, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")))
     bodies = rows.select(F.explode(F.transform("_held", lambda r: F.struct(
         r["sha"].alias("sha"), r["bytes"].alias("bytes"), _body(r["lo"], r["hi"]).alias("body")))).alias("r")).select("r.*")
@@ -110,7 +111,7 @@ def dedup_lines(docs: DataFrame, words: int = 50) -> DataFrame:
     """``docs`` with repeated runs of lines removed from ``text``, plus n_lines, n_removed_lines, n_removed_chunks."""
     removed = repeated_runs(docs, words).groupBy(F.col("_doc").alias("_d"), F.col("_key").alias("_k")).agg(
         F.collect_set(F.struct("lo", "hi")).alias("_gone"))
-    removed = small_enough(materialize(removed, "line-removed"), 200_000)
+    removed = few_elements(materialize(removed, "line-removed"), "_gone", BROADCAST_RUNS)
     joined = with_lines(docs).join(removed, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left")
     everything = F.sequence(F.lit(0), F.size("_lines") - 1)
     gone = F.array_distinct(F.flatten(F.transform("_gone", lambda g: F.sequence(g["lo"], g["hi"]))))
