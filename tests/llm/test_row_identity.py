@@ -1,8 +1,10 @@
 """Stages that drop rows drop exactly the rows they found, also with NULL and repeated doc_ids."""
 
+import numpy as np
+
 import corpus_pipeline
 from lendlens.llm.decontaminate import drop_contaminated
-from lendlens.llm.jaccard_join import jaccard_components, keep_one_per_group
+from lendlens.llm.jaccard_join import jaccard_components, keep_one_per_group, shingles
 from lendlens.llm.line_dedup import dedup_lines
 
 SCHEMA = "doc_id long, text string"
@@ -36,11 +38,10 @@ def test_one_per_group_by_row(spark):
 
 
 def test_short_slices(spark):
-    """Tables of one to six words in all, and short texts behind a batch-filling one."""
-    for n in range(7):
-        rows = [(1, " ".join(f"w{i}" for i in range(n)))]
-        got = jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()
-        assert [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got] == [(1, 0 if n == 0 else max(1, n - 4), 1)]
+    """Slices of none to six words in all, and short texts behind a batch-filling one."""
+    for counts in ([0], [1], [2], [3], [2, 1], [4], [5], [6], [1, 0, 5]):
+        got, rows = shingles(np.arange(sum(counts), dtype=np.uint64), np.array(counts), 5)
+        assert [int((rows == r).sum()) for r in range(len(counts))] == [0 if n == 0 else max(1, n - 4) for n in counts] and len(got) == len(rows)
     rows = [(1, " ".join(f"v{i % 9973}" for i in range(400_000))), (2, "two words"), (3, "two words")]
     got = {r["doc_id"]: r["component_id"] for r in jaccard_components(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()}
     assert got == {1: 1, 2: 2, 3: 2}
