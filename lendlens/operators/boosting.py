@@ -17,7 +17,7 @@ with the larger gain; a category splits off one level.
   gain = GL^2 / (HL + l2) + GR^2 / (HR + l2) - G^2 / (H + l2),  leaf value = - rate * G / (H + l2)
 
 Scores of rows are those stored with the blocks plus the trees since; they are
-stored again every ``STORE`` rounds.  Sums are added in the order of the blocks, so reruns agree.
+stored again every ``STORE`` rounds.  Sums are added in the order of the tasks' first blocks, so reruns agree.
 Folds: model k fits on the rows of the other folds, holds a part of them out (by
 hash) and stops when its loss has not fallen for ``patience`` rounds.
 
@@ -47,6 +47,7 @@ MISSING = 255                 # bin of a missing number, and of an unknown categ
 BLOCK_ROWS = 1 << 16
 STORE = 10
 LEAST_HESSIAN = 1e-3
+DRIVER_BYTES = 1 << 27        # histograms of single tasks that may meet on the driver
 
 
 @dataclass
@@ -77,7 +78,7 @@ class Binning:
         return out
 
 
-def numeric_edges(df: DataFrame, columns: list[str], bins: int = 255, accuracy: int = 10_000) -> dict[str, list[float]]:
+def numeric_edges(df: DataFrame, columns: list[str], bins: int = 255, accuracy: int = 2_000) -> dict[str, list[float]]:
     """At most ``bins`` - 1 edges a column: its approximate quantiles without the largest value (one aggregate)."""
     share = [k / bins for k in range(1, bins + 1)]
     clean = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
@@ -208,24 +209,29 @@ def _arrays(row, width: int, models: int):
             np.frombuffer(row.held, np.uint8).astype(bool), np.frombuffer(row.scores, np.float64).reshape(models, len(y)))
 
 
-def histograms(blocks: DataFrame, models: list[Boosted], stored: int, growing: dict[int, Tree], wanted: dict[int, list[int]]):
+def histograms(blocks: DataFrame, models: list[Boosted], stored: int, growing: dict[int, Tree], wanted: dict[int, list[int]],
+               tasks: int | None = None):
     """One pass: {(model, node): histogram} of the wanted nodes and {model: (held-out loss, rows)} of the scores.
 
-    ``growing``: the unfinished tree of every model still fitted; ``stored``: rounds that the blocks' scores hold.
+    ``growing``: the unfinished tree of every model still fitted; ``stored``: rounds that the blocks' scores hold;
+    ``tasks``: number of partitions of ``blocks`` if known.  The sums of few tasks are added on the driver
+    (at most ``DRIVER_BYTES``), those of many in a shuffle, in the same order.
     """
     width, count = len(models[0].binning.inputs), len(models)
 
     def add(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums, first = {}, None
         for pdf in pdfs:
             for row in pdf.itertuples():
+                first = row.block if first is None else first
                 codes, y, folds, held, scores = _arrays(row, width, count)
-                out = []
                 for k, tree in growing.items():
                     raw = scores[k] + models[k].raw(codes, stored)
                     mine = folds != k if count > 1 else np.ones(len(y), bool)
                     if held.any():
                         test = mine & held
-                        out.append((k, -1, 0, np.array([(np.logaddexp(0.0, raw[test]) - y[test] * raw[test]).sum(), test.sum()]).tobytes()))
+                        loss = np.array([(np.logaddexp(0.0, raw[test]) - y[test] * raw[test]).sum(), test.sum()])
+                        sums[k, -1] = sums.get((k, -1), 0.0) + loss[None]
                     rows = np.flatnonzero(mine & ~held)
                     c, p = codes[:, rows], 1 / (1 + np.exp(-raw[rows]))
                     leaf, g, h = leaf_of(tree, c), p - y[rows], p * (1 - p)
@@ -233,11 +239,12 @@ def histograms(blocks: DataFrame, models: list[Boosted], stored: int, growing: d
                         inside = np.flatnonzero(leaf == node)
                         if len(inside):
                             gi, hi = g[inside], h[inside]
-                            for f in range(width):
-                                code = c[f, inside]
-                                sums = np.stack([np.bincount(code, gi, BINS), np.bincount(code, hi, BINS), np.bincount(code, minlength=BINS).astype(float)], 1)
-                                out.append((k, node, f, sums.tobytes()))
-                yield pd.DataFrame([(row.block, *x) for x in out], columns=["block", "model", "node", "input", "sums"])
+                            part = np.stack([np.stack([np.bincount(code, gi, BINS), np.bincount(code, hi, BINS), np.bincount(code, minlength=BINS)], 1)
+                                             for code in c[:, inside]])
+                            sums[k, node] = sums.get((k, node), 0.0) + part
+        # one row a task, node and input, whatever the number of its blocks
+        out = [(first, k, node, f, np.ascontiguousarray(x).tobytes()) for (k, node), parts in sums.items() for f, x in enumerate(parts)]
+        yield pd.DataFrame(out, columns=["block", "model", "node", "input", "sums"])
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.sum([np.frombuffer(s) for s in pdf.sort_values("block")["sums"]], axis=0)
@@ -245,12 +252,20 @@ def histograms(blocks: DataFrame, models: list[Boosted], stored: int, growing: d
 
     parts = blocks.mapInPandas(add, "block bigint, model int, node int, input int, sums binary")
     hist, losses = {}, {}
-    for r in parts.groupBy("model", "node", "input").applyInPandas(meet, "model int, node int, input int, sums binary").collect():
-        sums = np.frombuffer(r["sums"])
-        if r["node"] < 0:
-            losses[r["model"]] = sums
+    size = (tasks or 1 << 30) * sum(len(nodes) for nodes in wanted.values()) * width * BINS * 24
+    if size <= DRIVER_BYTES:
+        met: dict[tuple, np.ndarray] = {}
+        for r in sorted(parts.collect(), key=lambda r: r["block"]):
+            at = (r["model"], r["node"], r["input"])
+            met[at] = met.get(at, 0.0) + np.frombuffer(r["sums"])
+    else:
+        met = {(r["model"], r["node"], r["input"]): np.frombuffer(r["sums"]) for r in parts.groupBy("model", "node", "input").applyInPandas(
+            meet, "model int, node int, input int, sums binary").collect()}
+    for (model, node, place), sums in met.items():
+        if node < 0:
+            losses[model] = sums
         else:
-            hist.setdefault((r["model"], r["node"]), np.zeros((width, BINS, 3)))[r["input"]] = sums.reshape(BINS, 3)
+            hist.setdefault((model, node), np.zeros((width, BINS, 3)))[place] = sums.reshape(BINS, 3)
     return hist, losses
 
 
@@ -360,16 +375,17 @@ def fit_boosting(df: DataFrame, binning: Binning, target: str, rounds: int = 400
     models = [Boosted(binning, s) for s in starts]
     blocks = materialize(blocks_of(df, binning, target, fold, apart, folds, starts), "boost-blocks")
     categories = np.array([False] * len(binning.edges) + [True] * len(binning.levels))
-    live, stored = set(range(folds)), 0
+    live, stored, tasks = set(range(folds)), 0, blocks.rdd.getNumPartitions()
     for r in range(rounds):
         if not live:
             break
         if r - stored >= STORE:
             blocks, stored = store_scores(blocks, models, stored), r
+            tasks = blocks.rdd.getNumPartitions()
         growers = {k: Grower(categories, leaves, depth, l2, least_rows, rate) for k in live}
         active, first = set(live), True
         while active:
-            hist, losses = histograms(blocks, models, stored, {k: growers[k].full for k in active}, {k: growers[k].wanted() for k in active})
+            hist, losses = histograms(blocks, models, stored, {k: growers[k].full for k in active}, {k: growers[k].wanted() for k in active}, tasks)
             if first and stop:
                 for k in sorted(live):
                     loss, n = losses.get(k, (0.0, 0))
@@ -391,7 +407,7 @@ def fit_boosting(df: DataFrame, binning: Binning, target: str, rounds: int = 400
         # a model that has stopped keeps its trees until the end: stored scores hold them
     if stop:
         if live:
-            _, losses = histograms(blocks, models, stored, {k: Tree() for k in live}, {k: [] for k in live})
+            _, losses = histograms(blocks, models, stored, {k: Tree() for k in live}, {k: [] for k in live}, tasks)
             for k in live:
                 loss, n = losses.get(k, (0.0, 0))
                 models[k].losses.append(loss / n if n else 0.0)

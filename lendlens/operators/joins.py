@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,12 @@ BROADCAST_ROW_LIMIT = 200_000
 STORED_ROW_LIMIT = 1_000_000
 
 
+def together(*calls):
+    """Results of independent Spark actions started at the same time (each a function without arguments)."""
+    with ThreadPoolExecutor(max(1, len(calls))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(c)) for c in calls]]
+
+
 def local_table(spark, rows: list, schema) -> DataFrame:
     """A literal relation (``LocalRelation``) from driver-side rows.
 

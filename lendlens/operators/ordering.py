@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendlens.operators.joins import STORED_ROW_LIMIT, join_small, pin_small, pinned_grouping_sets
+from lendlens.operators.joins import STORED_ROW_LIMIT, join_small, pin_small, pinned_grouping_sets, together
 from lendlens.session import materialize
 
 # Rows sampled at most to place sub-bucket boundaries of hot keys.
@@ -258,6 +258,39 @@ def _rank_by_value(pinned: DataFrame, spec: RankSpec) -> DataFrame:
     return pinned.select(*spec.parts, "__v", pr.alias(spec.name))
 
 
+def _value_tables(df: DataFrame, prs: list[RankSpec], small_limit: int, stored_limit: int) -> dict[str, DataFrame]:
+    """PERCENT_RANK by key value of every spec whose (partition, value) count table is small enough."""
+    if not prs:
+        return {}
+    # counts per (partition, key value) of every PERCENT_RANK spec in one scan
+    narrow = df.select(*_unique(p for x in prs for p in x.parts),
+                       *[F.col(x.key).cast("double").alias(f"__v_{x.name}") for x in prs])
+    cnt = [F.count(F.lit(1)).alias("_cnt")]
+    tables = pinned_grouping_sets(narrow, [list(x.parts) + [f"__v_{x.name}"] for x in prs], cnt, small_limit)
+    if tables is None:
+        # too big to pin together: one by one, each pinned or stored (size checked)
+        tables = [None if t is None else t[0] for t in
+                  (pinned_grouping_sets(narrow, [list(x.parts) + [f"__v_{x.name}"]], cnt, small_limit,
+                                        stored_limit) for x in prs)]
+    return {x.name: _rank_by_value(t.withColumnRenamed(f"__v_{x.name}", "__v"), x) for x, t in zip(prs, tables) if t is not None}
+
+
+def _key_stats(df: DataFrame, specs: list[RankSpec], buckets: int) -> dict:
+    """Row count and, per spec, approximate quantiles, values and NaNs of its key (one aggregate)."""
+    if not specs:
+        return {}
+    probs = [i / buckets for i in range(1, buckets)]
+    acc = max(10_000, 20 * buckets)
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, s in enumerate(specs):
+        k = F.col(s.key).cast("double")
+        valid = F.when(~F.isnan(k), k)
+        aggs += [F.percentile_approx(valid, probs, acc).alias(f"_q{i}"),
+                 F.count(valid).alias(f"_v{i}"),
+                 F.count(F.when(F.isnan(k), 1)).alias(f"_nan{i}")]
+    return df.agg(*aggs).first().asDict()
+
+
 def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | None = None,
               small_limit: int = 200_000, stored_limit: int = STORED_ROW_LIMIT, range_rows: int = 1_000_000) -> DataFrame:
     """Append the ranking columns in ``specs`` to ``df``.
@@ -290,36 +323,15 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
     spark = df.sparkSession
     B = buckets or default_buckets(spark)
 
-    by_value, bucketed = {}, []
     prs = [x for x in specs if x.kind == "percent_rank"]
-    if prs:
-        # counts per (partition, key value) of every PERCENT_RANK spec in one scan
-        narrow = df.select(*_unique(p for x in prs for p in x.parts),
-                           *[F.col(x.key).cast("double").alias(f"__v_{x.name}") for x in prs])
-        cnt = [F.count(F.lit(1)).alias("_cnt")]
-        tables = pinned_grouping_sets(narrow, [list(x.parts) + [f"__v_{x.name}"] for x in prs], cnt, small_limit)
-        if tables is None:
-            # too big to pin together: one by one, each pinned or stored (size checked)
-            tables = [None if t is None else t[0] for t in
-                      (pinned_grouping_sets(narrow, [list(x.parts) + [f"__v_{x.name}"]], cnt, small_limit,
-                                            stored_limit) for x in prs)]
-        for x, t in zip(prs, tables or [None] * len(prs)):
-            if t is not None:
-                by_value[x.name] = _rank_by_value(t.withColumnRenamed(f"__v_{x.name}", "__v"), x)
+    others = [x for x in specs if x.kind != "percent_rank"]
+    # the count tables of PERCENT_RANK and the key statistics of the rest are independent scans
+    by_value, known = together(lambda: _value_tables(df, prs, small_limit, stored_limit), lambda: _key_stats(df, others, B))
     bucketed = [x for x in specs if x.name not in by_value]
 
     plans, small = {}, True
     if bucketed:
-        probs = [i / B for i in range(1, B)]
-        acc = max(10_000, 20 * B)
-        aggs = [F.count(F.lit(1)).alias("_n")]
-        for i, s in enumerate(bucketed):
-            k = F.col(s.key).cast("double")
-            valid = F.when(~F.isnan(k), k)
-            aggs += [F.percentile_approx(valid, probs, acc).alias(f"_q{i}"),
-                     F.count(valid).alias(f"_v{i}"),
-                     F.count(F.when(F.isnan(k), 1)).alias(f"_nan{i}")]
-        stats = df.agg(*aggs).first().asDict()
+        stats = known if bucketed == others else _key_stats(df, bucketed, B)
         narrow = df.select(*_unique([p for x in bucketed for p in x.parts] + [x.key for x in bucketed] + [tie]))
         hot_by_spec = {}
         for i, s in enumerate(bucketed):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.functions.cleaning import ratio
-from lendlens.operators.joins import join_small, pinned_grouping_sets
+from lendlens.operators.joins import join_small, pinned_grouping_sets, together
 from lendlens.operators.ordering import RankSpec, add_ranks
 from lendlens.plans.staging import LOANS_COLUMNS
 
@@ -33,18 +33,24 @@ def with_ratios(loans: DataFrame) -> DataFrame:
     })
 
 
-def cohort_deviation(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+def cohort_means(src: DataFrame) -> list[DataFrame] | None:
+    """Mean dti by grade x term and mean rate by sub-grade, pinned, from one scan; None with too many cohorts."""
+    return pinned_grouping_sets(src, [["grade", "term_months"], ["sub_grade"]],
+                                [F.avg("dti").alias("__avg_dti"), F.avg("int_rate").alias("__avg_rate")])
+
+
+def cohort_deviation(df: DataFrame, source: DataFrame | None = None, sets: list[DataFrame] | None = None) -> DataFrame:
     """dti minus its grade x term mean; rate minus its sub-grade mean.
 
     Both means come from one scan (GROUPING SETS with partial aggregation),
     are pinned after a size check and joined back by broadcast, instead of
     unordered windows over a few huge partitions.  Too many cohorts: plain
     group-bys and shuffle joins.  ``source`` (default ``df``) is the table the
-    means are computed on, e.g. the stored loans under a derived plan.
+    means are computed on, e.g. the stored loans under a derived plan; ``sets``
+    the means when ``cohort_means`` already found them.
     """
     src = source if source is not None else df
-    sets = pinned_grouping_sets(src, [["grade", "term_months"], ["sub_grade"]],
-                                [F.avg("dti").alias("__avg_dti"), F.avg("int_rate").alias("__avg_rate")])
+    sets = cohort_means(src) if sets is None else sets
     if sets is None:
         gt = src.groupBy("grade", "term_months").agg(F.avg("dti").alias("__avg_dti"))
         sg = src.groupBy("sub_grade").agg(F.avg("int_rate").alias("__avg_rate"))
@@ -64,5 +70,5 @@ def loan_features(loans: DataFrame, buckets: int | None = None) -> DataFrame:
     materialised table.
     """
     base = with_ratios(loans)
-    ranked = add_ranks(base, RANKS, tie="loan_id", buckets=buckets)
-    return cohort_deviation(ranked, source=loans).select(*FEATURE_COLUMNS)
+    ranked, sets = together(lambda: add_ranks(base, RANKS, tie="loan_id", buckets=buckets), lambda: cohort_means(loans))
+    return cohort_deviation(ranked, loans, sets).select(*FEATURE_COLUMNS)
