@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest small side pinned as a literal relation and broadcast.
@@ -16,10 +16,11 @@ BROADCAST_ROW_LIMIT = 200_000
 STORED_ROW_LIMIT = 1_000_000
 
 
-def together(*calls):
+def together(spark: SparkSession, *calls):
     """Results of independent Spark actions started at the same time (each a function without arguments)."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max(1, len(calls))) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(c)) for c in calls]]
+        return [f.result() for f in [pool.submit(inherit(c)) for c in calls]]
 
 
 def local_table(spark, rows: list, schema) -> DataFrame:

@@ -326,7 +326,7 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], tie: str, buckets: int | Non
     prs = [x for x in specs if x.kind == "percent_rank"]
     others = [x for x in specs if x.kind != "percent_rank"]
     # the count tables of PERCENT_RANK and the key statistics of the rest are independent scans
-    by_value, known = together(lambda: _value_tables(df, prs, small_limit, stored_limit), lambda: _key_stats(df, others, B))
+    by_value, known = together(spark, lambda: _value_tables(df, prs, small_limit, stored_limit), lambda: _key_stats(df, others, B))
     bucketed = [x for x in specs if x.name not in by_value]
 
     plans, small = {}, True

@@ -70,5 +70,5 @@ def loan_features(loans: DataFrame, buckets: int | None = None) -> DataFrame:
     materialised table.
     """
     base = with_ratios(loans)
-    ranked, sets = together(lambda: add_ranks(base, RANKS, tie="loan_id", buckets=buckets), lambda: cohort_means(loans))
+    ranked, sets = together(loans.sparkSession, lambda: add_ranks(base, RANKS, tie="loan_id", buckets=buckets), lambda: cohort_means(loans))
     return cohort_deviation(ranked, loans, sets).select(*FEATURE_COLUMNS)
