@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from lendlens.llm.common import column, few_elements, materialize, pinned, small_enough
 
 CLASS = ["sha", "bytes"]
-BROADCAST_RUNS = 400_000     # runs (at most about 60 bytes each) that may be broadcast with their texts' keys
+BROADCAST_RUNS = 2_000_000   # runs (at most about 60 bytes each) that may be broadcast with their texts' keys
 
 
 def with_lines(docs: DataFrame) -> DataFrame:
