@@ -51,7 +51,7 @@ from lendlens.llm.common import column, materialize
 U64 = np.uint64
 END, START = U64(0x1F3A5B7C9D2E4F61), U64(0xA2B4C6D8E0F13579)
 K = 5
-ORDER = 3
+ORDER = 2
 BLOCK_TOKENS = 1_000_000
 START_ID = 0                       # ids of words and n-grams begin at 1
 SUMS = 2 * K + 3                   # per context: n_1 .. n_K, counts above K, total; m_1 .. m_K, shorter counts above K
@@ -236,7 +236,9 @@ class Block:
     """The texts of a block as one sequence: start, words, end of each text."""
 
     def __init__(self, row):
-        words = unpack(row["vocabulary"], U64)
+        self.levels = [unpack_many(b) for b in row["levels"]] if row["levels"] is not None else []
+        self.words = unpack(row["vocabulary"], U64) if row["vocabulary"] is not None else None
+        width = len(self.words) if self.words is not None else len(self.levels[0][0])
         counts = unpack_many(row["counts"])[0]
         sizes = counts + 2
         ends = np.cumsum(sizes)
@@ -245,11 +247,10 @@ class Block:
         inner[starts] = inner[ends - 1] = False
         self.word = np.empty(len(inner), np.int64)                  # local words; the vocabulary ends with END, START
         self.word[inner] = unpack(row["local"], np.int32)
-        self.word[starts], self.word[ends - 1] = len(words) - 1, len(words) - 2
+        self.word[starts], self.word[ends - 1] = width - 1, width - 2
         self.offset = np.arange(len(inner)) - np.repeat(starts, sizes)
         self.train = np.repeat(unpack(row["train"], np.uint8).astype(bool), sizes)
-        self.words, self.sizes = words, sizes
-        self.levels = [unpack_many(b) for b in row["levels"]] if row["levels"] is not None else []
+        self.sizes = sizes
 
     def grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(id or -1, count) at every position of the n-gram of ``size`` words that ends there."""
@@ -291,8 +292,8 @@ class Pairs:
         return [(u, pairs.get(u, none), np.union1d(self.left[pairs.get(u, none)], calm[alone.get(u, none)])) for u in sorted({*pairs, *alone})]
 
 
-def ngram_counts(state: DataFrame, size: int, buckets: int, hot: int) -> DataFrame:
-    """ANSWER rows of the n-grams of ``size`` words: 0 answers a block, 1 reports a frequent context, 2 counts classes."""
+def ngram_counts(state: DataFrame, size: int, buckets: int, hot: int, last: bool) -> DataFrame:
+    """ANSWER rows of the n-grams of ``size`` words: 0 answers a block, 1 reports a frequent context, 2 counts classes.  The last level needs no ids."""
     def ask(pdfs):
         for pdf in pdfs:
             for row in pdf.to_dict("records"):
@@ -318,7 +319,7 @@ def ngram_counts(state: DataFrame, size: int, buckets: int, hot: int) -> DataFra
         np.add.at(total, back, np.concatenate([a[5] for a in asked]))
         low[back] = np.concatenate([a[4] for a in asked])
         bucket = int(pdf["bucket"].iloc[0])
-        ids = _numbered(total, bucket, buckets)
+        ids = np.zeros(len(total), np.int64) if last else _numbered(total, bucket, buckets)
         live = total > 0
         h, c, m = code[live] // max(len(right), 1), total[live], low[live]
         sums = np.zeros((SUMS, len(context)), np.int64)
@@ -340,33 +341,37 @@ def ngram_counts(state: DataFrame, size: int, buckets: int, hot: int) -> DataFra
     return asked.groupBy("bucket").applyInPandas(answer, ANSWER)
 
 
-def with_level(state: DataFrame, answers: DataFrame, size: int, buckets: int, hot: int, starts: int, hot_sums: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``state`` with the level of ``size`` words: counts and ids of the block's n-grams, sums of its contexts."""
-    def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        row = left.iloc[0].to_dict()
-        block = Block(row)
-        told = {b: unpack_many(a) for b, a in zip(right["bucket"], right["answer"])}
-        if size == 1:
-            count, ids = np.zeros(len(block.words), np.int64), np.full(len(block.words), -1, np.int64)
-            for u, places in _groups(word_bucket(block.words, buckets)):
-                count[places], ids[places] = told[u]
-            count[-1], ids[-1] = starts, START_ID
-            level = [count, ids]
-        else:
-            pairs = Pairs(*block.grams(size - 1), block, size)
-            count, ids = np.zeros(len(pairs.left), np.int64), np.full(len(pairs.left), -1, np.int64)
-            sums = np.zeros((SUMS, len(pairs.context)), np.int64)
-            frequent = pairs.context_count >= hot
-            for u, mine, contexts in pairs.dealt(buckets, hot):
-                count[mine], ids[mine], flat = told[u]
-                calm = contexts[~frequent[contexts]]
-                sums[:, calm] = flat.reshape(SUMS, len(calm))
-            sums[:, frequent] = hot_sums[1][:, np.searchsorted(hot_sums[0], pairs.context[frequent])]
-            level = [count, ids, sums.ravel()]
-        row["levels"] = [*(row["levels"] if row["levels"] is not None else []), pack_many(level)]
-        return pd.DataFrame({k: [v] for k, v in row.items()})
-
-    return state.groupBy("block").cogroup(answers.filter("kind = 0").select("block", "bucket", "answer").groupBy("block")).applyInPandas(add, STATE)
+def add_level(row: dict, answers: pd.DataFrame, size: int, buckets: int, hot: int, starts: int, hot_sums: tuple[np.ndarray, np.ndarray]) -> dict:
+    """A block's row with the level of ``size`` words: counts and ids of its n-grams, sums of its contexts."""
+    block = Block(row)
+    told = {b: unpack_many(a) for b, a in zip(answers["bucket"], answers["answer"])}
+    if size == 1:
+        count, ids = np.zeros(len(block.words), np.int64), np.full(len(block.words), -1, np.int64)
+        for u, places in _groups(word_bucket(block.words, buckets)):
+            count[places], ids[places] = told[u]
+        count[-1], ids[-1] = starts, START_ID
+        level = [count, ids]
+    else:
+        pairs = Pairs(*block.grams(size - 1), block, size)
+        count, ids = np.zeros(len(pairs.left), np.int64), np.full(len(pairs.left), -1, np.int64)
+        sums = np.zeros((SUMS, len(pairs.context)), np.int64)
+        frequent = pairs.context_count >= hot
+        for u, mine, contexts in pairs.dealt(buckets, hot):
+            count[mine], ids[mine], flat = told[u]
+            calm = contexts[~frequent[contexts]]
+            sums[:, calm] = flat.reshape(SUMS, len(calm))
+        sums[:, frequent] = hot_sums[1][:, np.searchsorted(hot_sums[0], pairs.context[frequent])]
+        level = [count, ids, sums.ravel()]
+    levels = [*(row["levels"] if row["levels"] is not None else []), pack_many(level)]
+    return {**row, "vocabulary": None, "seen": None, "levels": levels}
+
+
+def told_blocks(state: DataFrame, answers: DataFrame, then, schema: str) -> DataFrame:
+    """``then`` (a block's row, its answers) for every block."""
+    def each(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return then(left.iloc[0].to_dict(), right)
+
+    return state.groupBy("block").cogroup(answers.filter("kind = 0").select("block", "bucket", "answer").groupBy("block")).applyInPandas(each, schema)
 
 
 def log_probabilities(block: Block, model: Unigram, discounts: list[Discounts]) -> np.ndarray:
@@ -396,48 +401,57 @@ def log_probabilities(block: Block, model: Unigram, discounts: list[Discounts])
 def score_texts(docs: DataFrame, keep_out: int = 2, modulus: int = 7, order: int = ORDER, bucket_tokens: int = 750_000, hot: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document."""
     spark, tables = docs.sparkSession, []
+    slots = max(32, docs.rdd.getNumPartitions())
 
     def stored(df: DataFrame, name: str) -> DataFrame:
+        """The next state as a table; the one before is dropped."""
         tables.append(bucketed(df, name, "block", slots))
+        for old in tables[:-1]:
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
         return spark.table(tables[-1])
 
-    slots = max(32, docs.rdd.getNumPartitions())
     try:
         first = token_blocks(docs, keep_out, modulus)
         state = stored(first.select("*", F.lit(None).cast("array<binary>").alias("levels")), "lm_blocks")
         tokens, starts = state.select(F.sum("n_tokens"), F.sum("n_train")).first()
         tokens, starts = tokens or 0, starts or 0
         hot = hot or max(500_000, tokens // 200_000)                # so that at most 200,000 contexts are frequent
-        word_buckets, buckets = max(16, tokens // (4 * bucket_tokens)), max(32, tokens // bucket_tokens)
         classes = lambda df: [int(x or 0) for x in df.filter("kind = 2").select(*[F.sum(F.col("classes")[i]) for i in range(K + 3)]).first()]
-        answers = materialize(word_counts(state, word_buckets), "lm-words")
-        n = classes(answers)
-        model = Unigram(n[:K + 1], n[K + 1], n[K + 2])
-        discounts = [model.discounts]
-        state = stored(with_level(state, answers, 1, word_buckets, hot, starts, (np.zeros(0), np.zeros((SUMS, 0)))), "lm_level_1")
-        for size in range(2, order + 1):
-            answers = materialize(ngram_counts(state, size, buckets, hot), f"lm-level-{size}")
-            discounts.append(Discounts(classes(answers)[:K + 1]))
+        discounts, model = [], None
+        for size in range(1, order + 1):
+            buckets = max(16, tokens // (4 * bucket_tokens)) if size == 1 else max(32, tokens // bucket_tokens)
+            counted = word_counts(state, buckets) if size == 1 else ngram_counts(state, size, buckets, hot, size == order)
+            answers = materialize(counted, f"lm-level-{size}")
+            n = classes(answers)
+            if size == 1:
+                model = Unigram(n[:K + 1], n[K + 1], n[K + 2])
+                discounts.append(model.discounts)
+            else:
+                discounts.append(Discounts(n[:K + 1]))
             frequent = answers.filter("kind = 1").groupBy("context").agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(SUMS)]).toPandas().sort_values("context")
             hot_sums = frequent["context"].to_numpy(np.int64), frequent.drop(columns="context").to_numpy(np.int64).T.copy()
-            state = stored(with_level(state, answers, size, buckets, hot, starts, hot_sums), f"lm_level_{size}")
-
-        def evaluate(pdfs):
-            for pdf in pdfs:
-                for row in pdf.to_dict("records"):
-                    block = Block(row)
-                    logs = log_probabilities(block, model, discounts)
-                    c = block.levels[0][0][block.word]
-                    base = np.log10(c + 1.0) - np.log10(model.tokens + model.types + 1.0)
-                    texts, inside = np.repeat(np.arange(len(block.sizes)), block.sizes), block.offset > 0
-                    add = lambda v: np.bincount(texts[inside], weights=v[inside], minlength=len(block.sizes))
-                    ids, missing = unpack_many(row["doc_ids"])
-                    yield pd.DataFrame({"doc_id": pd.arrays.IntegerArray(ids, missing.astype(bool)), "held_out": unpack(row["train"], np.uint8) == 0,
-                                        "n_tokens": block.sizes - 1, "n_known": add(c > 0).astype(np.int64), "train_tokens": model.tokens,
-                                        "base_score": add(base), "score": add(logs)})
-
-        return materialize(state.mapInPandas(evaluate, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
-                                                       "base_score double, score double"), "lm-scores")
+
+            def grown(row, told, size=size, buckets=buckets, hot_sums=hot_sums):
+                return add_level(row, told, size, buckets, hot, starts, hot_sums)
+
+            if size < order:
+                state = stored(told_blocks(state, answers, lambda row, told: pd.DataFrame({k: [v] for k, v in grown(row, told).items()}), STATE), f"lm_level_{size}")
+
+        def evaluate(row, told):
+            row = grown(row, told)
+            block = Block(row)
+            logs = log_probabilities(block, model, discounts)
+            c = block.levels[0][0][block.word]
+            base = np.log10(c + 1.0) - np.log10(model.tokens + model.types + 1.0)
+            texts, inside = np.repeat(np.arange(len(block.sizes)), block.sizes), block.offset > 0
+            add = lambda v: np.bincount(texts[inside], weights=v[inside], minlength=len(block.sizes))
+            ids, missing = unpack_many(row["doc_ids"])
+            return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(ids, missing.astype(bool)), "held_out": unpack(row["train"], np.uint8) == 0,
+                                 "n_tokens": block.sizes - 1, "n_known": add(c > 0).astype(np.int64), "train_tokens": model.tokens,
+                                 "base_score": add(base), "score": add(logs)})
+
+        return materialize(told_blocks(state, answers, evaluate, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+                                                                 "base_score double, score double"), "lm-scores")
     finally:
         for name in tables:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
