@@ -40,7 +40,7 @@ def test_records_of_split_files(spark, tmp_path, size):
         spark.conf.set("spark.sql.files.openCostInBytes", 0)
         df = read_csv_records(spark, str(tmp_path))
         tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
-        assert df.columns == ["id", "two\nlines", "c"] and (size > 1000 or tasks > 20)
+        assert df.columns == ["id", "two\nlines", "c"] and (size > 1000 or tasks > 10)
         got = [list(r) for r in df.collect()]
     finally:
         for c, v in keep.items():
