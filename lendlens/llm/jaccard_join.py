@@ -20,7 +20,10 @@ link when 100 * |A & B| >= percent * |A | B|.
    longer than ``DENSE_LIST`` are chained through neighbours in length, which
    can only make a family larger; a list longer than ``hot_entries`` is dealt
    to several tasks, each sends on one entry per set size, and these are
-   chained in a small round.
+   chained in a small round.  Of lists that hold the same sets only the first in
+   the global order is visited: the first common shingle of two sets decides.
+   Bitmaps grow with the set (a bit for one or two shingles), so that long
+   texts which share a phrase do not grow into one family.
 4. Families above ``block_bytes`` are split again by whole prefixes: common
    shingles lie in both prefixes or behind one of them, so a pair must share
    a good part of its prefixes.
@@ -52,9 +55,13 @@ from lendlens.llm import bytetext as B
 from lendlens.llm import memory  # noqa: F401 (workers give freed memory back)
 from lendlens.llm.common import column, materialize, small_enough
 from lendlens.llm.components import components
+from lendlens.session import remove_stored, shuffles_removed
 
 BATCH_BYTES = 1 << 20
-BITS = 512                 # parity bitmap of a set: bit b tells whether oddly many shingles fall on b
+BITS = 512                 # least parity bitmap of a set: bit b tells whether oddly many shingles fall on b
+MOST_BITS = 1 << 14        # largest parity bitmap
+PAIR_BYTES = 1 << 22       # bitmaps compared together
+REPEATED = 1_000_000       # ids of sets with copies that may be broadcast
 DENSE_LIST = 4096          # lists up to this length are compared pair by pair in memory
 COUNTED = 1_000_000        # shingles counted together
 U64 = np.uint64
@@ -134,6 +141,61 @@ def _weights(sh: np.ndarray, values: np.ndarray, counts: np.ndarray) -> np.ndarr
     return np.where(values[at] == sh, counts[at], 0)
 
 
+def bitmap_bits(n: np.ndarray) -> np.ndarray:
+    """Bits of the parity bitmap of sets of ``n`` shingles: a power of two of at least n / 2, within the bounds."""
+    bits, w = np.full(len(n), BITS, np.int64), BITS
+    while w < MOST_BITS:
+        bits[n > 2 * w] = 2 * w
+        w *= 2
+    return bits
+
+
+def bitmaps(sh: np.ndarray, of: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Parity bitmap of each set, given the shingles of all and the row of each; wider ones fold to narrower ones by XOR."""
+    bits = bitmap_bits(n)
+    ends = np.cumsum(bits)
+    code = (ends - bits)[of] + (B.mix(sh ^ U64(0x2545F4914F6CDD1D)) % bits.astype(U64)[of]).astype(np.int64)
+    raw = np.packbits((np.bincount(code, minlength=bits.sum()) & 1).astype(np.uint8)).tobytes()
+    return [raw[(e - b) // 8:e // 8] for e, b in zip(ends.tolist(), bits.tolist())]
+
+
+class Bitmaps:
+    """Parity bitmaps of index entries, those of one width as the rows of a matrix."""
+
+    def __init__(self, raw: list[bytes]):
+        self.width = np.array([len(b) for b in raw], np.int64)
+        self.place, self.rows = np.zeros(len(raw), np.int64), {}
+        for w in np.unique(self.width).tolist():
+            at = np.flatnonzero(self.width == w)
+            self.place[at] = np.arange(len(at))
+            self.rows[w] = np.frombuffer(b"".join([raw[k] for k in at.tolist()]), U64).reshape(len(at), w // 8)
+
+    def part(self, at: slice) -> "Bitmaps":
+        some = Bitmaps([])
+        some.width, some.place, some.rows = self.width[at], self.place[at], self.rows
+        return some
+
+    def _folded(self, k: np.ndarray, width: int) -> np.ndarray:
+        out = np.empty((len(k), width // 8), U64)
+        own = self.width[k]
+        for w in np.unique(own).tolist():
+            at = np.flatnonzero(own == w)
+            out[at] = np.bitwise_xor.reduce(self.rows[w][self.place[k[at]]].reshape(len(at), w // width, width // 8), axis=1)
+        return out
+
+    def differ(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Differing bits of the pairs (i, j) at the narrower of their widths: shingles in one of the two only are at least as many."""
+        width = np.minimum(self.width[i], self.width[j])
+        out = np.zeros(len(i), np.int64)
+        for w in np.unique(width).tolist():
+            pairs = np.flatnonzero(width == w)
+            step = PAIR_BYTES // w
+            for lo in range(0, len(pairs), step):
+                at = pairs[lo:lo + step]
+                out[at] = np.bitwise_count(self._folded(i[at], w) ^ self._folded(j[at], w)).sum(1)
+        return out
+
+
 def prefix_table(docs: DataFrame, words: int, percent: int, order) -> DataFrame:
     """doc_id, text_key, set_id, n, prefix (64-bit shingles in the global order, as bytes), bits (parity bitmap)."""
 
@@ -150,12 +212,10 @@ def prefix_table(docs: DataFrame, words: int, percent: int, order) -> DataFrame:
                 rank = np.lexsort((sh, _weights(sh, *order.value), of))
                 ranked = sh[rank]
                 keep = n - -(-percent * n // 100) + 1
-                code = of * BITS + (B.mix(sh ^ U64(0x2545F4914F6CDD1D)) % U64(BITS)).astype(np.int64)
-                parity = np.packbits((np.bincount(code, minlength=rows * BITS) & 1).astype(np.uint8).reshape(rows, BITS), axis=1)
                 prefixes = [ranked[e - k:e - k + p].tobytes() if k else b"" for e, k, p in zip(ends.tolist(), n.tolist(), keep.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, rows), batch.column(2).slice(lo, rows), pa.array(np.where(n > 0, ids.view(np.int64), 0)), pa.array(n.astype(np.int64)),
-                     pa.array(prefixes, pa.binary()), pa.array([b.tobytes() for b in parity], pa.binary())],
+                     pa.array(prefixes, pa.binary()), pa.array(bitmaps(sh, of, n), pa.binary())],
                     names=["doc_id", "text_key", "set_id", "n", "prefix", "bits"])
 
     text = column(docs, "text", "string")
@@ -163,6 +223,18 @@ def prefix_table(docs: DataFrame, words: int, percent: int, order) -> DataFrame:
     return rows.mapInArrow(build, "doc_id bigint, text_key bigint, set_id bigint, n bigint, prefix binary, bits binary")
 
 
+def distinct_sets_of(rows: DataFrame) -> DataFrame:
+    """set_id, n, prefix, bits of every set that is not empty; only rows with copies are shuffled while their ids can be broadcast."""
+    filled = rows.filter("n > 0").select("set_id", "n", "prefix", "bits")
+    one = lambda df: df.groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("n", "prefix", "bits")])
+    copied = filled.groupBy("set_id").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("set_id")
+    copied = materialize(copied, "jaccard-copied")
+    if copied.limit(REPEATED + 1).count() > REPEATED:
+        return one(filled)
+    copied = F.broadcast(copied)
+    return filled.join(copied, "set_id", "left_anti").unionByName(one(filled.join(copied, "set_id", "left_semi")))
+
+
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the edges: (node, smallest node of its tree) for nodes that are not the smallest."""
     nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -236,13 +308,12 @@ def _surviving(n, pos, bits, i, j, percent):
     ok = (100 * n[i] >= percent * n[j]) & (100 * most >= percent * (n[i] + n[j] - most))
     i, j = i[ok], j[ok]
     # shingles in one of the two sets only are at least the differing parity bits
-    differ = np.bitwise_count(bits[i] ^ bits[j]).sum(1).astype(np.int64)
-    both = (n[i] + n[j] - differ) // 2
+    both = (n[i] + n[j] - bits.differ(i, j)) // 2
     ok = 100 * both >= percent * (n[i] + n[j] - both)
     return i[ok], j[ok]
 
 
-def list_forest(n: np.ndarray, pos: np.ndarray, bits: np.ndarray, ids: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def list_forest(n: np.ndarray, pos: np.ndarray, bits: Bitmaps, ids: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Forest of the surviving pairs of one index list, entries sorted by length; very long lists are chained by length."""
     m = len(n)
     if m > DENSE_LIST:
@@ -259,18 +330,30 @@ def list_forest(n: np.ndarray, pos: np.ndarray, bits: np.ndarray, ids: np.ndarra
     return _forest(np.concatenate(a), np.concatenate(b))
 
 
+def first_lists(live: DataFrame) -> DataFrame:
+    """``live`` without the lists that hold the same sets as an earlier one of the global order (told by 128 bits and their number)."""
+    lists = live.groupBy("sh").agg(
+        F.count(F.lit(1)).alias("entries"), F.bit_xor(F.xxhash64("set_id")).alias("x"), F.bit_xor(F.xxhash64("set_id", F.lit("lists"))).alias("y"),
+        F.min(F.struct("set_id", "pos")).alias("first"))                # in a set shingles follow the global order
+    kept = lists.groupBy("entries", "x", "y").agg(F.min(F.struct(F.col("first.pos").alias("pos"), F.col("sh"))).alias("at"))
+    return live.join(kept.select(F.col("at.sh").alias("sh")), "sh", "left_semi")
+
+
 def family_edges(live: DataFrame, sets: DataFrame, percent: int, buckets: int, hot_entries: int) -> DataFrame:
     """Forest edges (a, b) of the pairs that share a list and survive length, position and bitmap skipping."""
-    hot = live.groupBy("sh").agg(F.count(F.lit(1)).alias("entries")).filter(F.col("entries") > hot_entries)
-    hot = materialize(hot.select("sh", F.ceil(F.col("entries") / hot_entries).cast("int").alias("parts")), "jaccard-hot-lists")
+    hot = live.groupBy("sh").agg(F.count(F.lit(1)).alias("entries")).filter(F.col("entries") > min(DENSE_LIST, hot_entries))
+    hot = materialize(hot.select("sh", F.lit(True).alias("long"), F.when(
+        F.col("entries") > hot_entries, F.ceil(F.col("entries") / hot_entries)).cast("int").alias("parts")), "jaccard-hot-lists")
+    # lists that get chained need no bitmaps
     dealt = (live.join(small_enough(hot, 100_000), "sh", "left").join(sets.select("set_id", "bits"), "set_id")
+             .withColumn("bits", F.when(F.col("long").isNull(), F.col("bits"))).drop("long")
              .withColumn("bucket", F.pmod(F.xxhash64("sh", F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("set_id"), F.col("parts")))), F.lit(buckets)).cast("int"))
              .withColumn("spread", F.col("parts").isNotNull()))
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["sh", "n", "set_id"])
         sh, n, pos, ids = (pdf[c].to_numpy() for c in ("sh", "n", "pos", "set_id"))
-        bits = np.frombuffer(b"".join(pdf["bits"]), U64).reshape(len(pdf), BITS // 64)
+        bits = Bitmaps([b or b"" for b in pdf["bits"]])
         _, begin, size = np.unique(sh, return_index=True, return_counts=True)
         flat = np.repeat(np.arange(len(begin)), size)
         a, b = [], []
@@ -289,7 +372,7 @@ def family_edges(live: DataFrame, sets: DataFrame, percent: int, buckets: int, h
             b.append(ids[j])
         for k in np.flatnonzero((size > 16) & ~spread[begin]).tolist():
             at = slice(begin[k], begin[k] + size[k])
-            x, y = list_forest(n[at], pos[at], bits[at], ids[at], percent)
+            x, y = list_forest(n[at], pos[at], bits.part(at), ids[at], percent)
             a.append(x)
             b.append(y)
         a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
@@ -476,14 +559,21 @@ def linked_rows(docs: DataFrame, words: int = 5, percent: int = 80, heavy: int =
                 long_list: int = 64, block_bytes: int = 1 << 23, bucket_mb: int = 8,
                 hot_entries: int = 200_000) -> DataFrame:
     """doc_id, text_key, set_id, n, n_links, label (one value per link component, NULL for empty sets): one stored row per document."""
+    with shuffles_removed(docs.sparkSession):
+        return _linked_rows(docs, words, percent, heavy, long_list, block_bytes, bucket_mb, hot_entries)
+
+
+def _linked_rows(docs: DataFrame, words: int, percent: int, heavy: int, long_list: int, block_bytes: int, bucket_mb: int, hot_entries: int) -> DataFrame:
     order = docs.sparkSession.sparkContext.broadcast(heavy_shingles(docs, words, heavy))
     rows = materialize(prefix_table(docs, words, percent, order), "jaccard-prefixes")
-    sets = rows.filter("n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    codes = rows.groupBy("set_id").agg(F.first("bits").alias("bits"))
+    sets = distinct_sets_of(rows)
     total = rows.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     buckets = max(32, int(total) // (bucket_mb << 20))
     live = materialize(live_entries(sets, percent, buckets, long_list, order, hot_entries), "jaccard-live")
-    edges = materialize(family_edges(live, codes, percent, buckets, hot_entries), "jaccard-family-edges")
+    lists = materialize(first_lists(live), "jaccard-first-lists")
+    edges = materialize(family_edges(lists, sets, percent, buckets, hot_entries), "jaccard-family-edges")
+    remove_stored(live)
+    remove_stored(lists)
     families = components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("family"))
     families = materialize(refine(materialize(families, "jaccard-families"), sets, percent, block_bytes), "jaccard-families")
     members = (rows.select("doc_id", "text_key", "set_id", "n").join(families, "set_id").groupBy("set_id", "family", "n")

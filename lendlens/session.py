@@ -55,6 +55,21 @@ def split_methods(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Queries run inside the block remove their shuffle files at their end, not when the driver next collects garbage.
+
+    For jobs of many steps whose DataFrames are each run once.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables.
 
