@@ -3,7 +3,9 @@
 The tokenizer splits at white space before anything else, so ids are looked
 up per white-space word in a bounded cache of each Python worker; the new words
 of a group of texts are split by the tokenizer's own pattern, and only unseen
-parts are encoded by the library.  Texts with any character outside plain ASCII and Latin letters
+parts are encoded by the library.  Workers live on beside later stages, so the
+cache is small: two halves, of which the older one goes when the newer one is
+full; words met again stay in the newer half.  Texts with any character outside plain ASCII and Latin letters
 (where normalisation could reach across a word, or differ) and texts holding a
 special token are encoded whole by the library.
 """
@@ -21,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendlens.llm import memory  # noqa: F401 (workers give freed memory back)
 from lendlens.llm.common import column
 
 END_ID = 2
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 300_000        # of both halves, about 160 bytes each
+CACHE_CHARS = 8_000_000      # of both halves
 GROUP_CHARS = 30_000
 _LATIN = "".join(chr(c) for c in range(0xC0, 0x180) if chr(c).isalpha() and len(chr(c).lower()) == 1
                  and unicodedata.is_normalized("NFC", chr(c)) and c not in (0x130, 0x149, 0x17F))
@@ -43,10 +47,25 @@ class Coder:
         self.final = np.zeros(max(vocabulary.values()) + 1, bool)        # ids that end a part
         self.final[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}                               # ids of words and of their parts
+        self.older: dict[str, bytes] = {}
+        self.chars = 0                                                  # of the words in ``known``
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def unseen(self, words: set[str]) -> set[str]:
+        """Those of ``words`` whose ids are not held; words of the older half move to the newer one."""
+        missing = words.difference(self.known)
+        new = missing.difference(self.older)
+        again = missing.difference(new)
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        self.chars += sum(map(len, missing))
+        return new
+
+    def make_room(self) -> None:
+        if 2 * len(self.known) > CACHE_WORDS or 2 * self.chars > CACHE_CHARS:
+            self.known, self.older, self.chars = {}, self.known, 0
+
     def encode_parts(self, new: list[str]) -> None:
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.final[ids]) + 1
@@ -63,7 +82,7 @@ class Coder:
         rows = [(w, row) for w, row in rows if row[0] != w]
         parts = words.difference([w for w, _ in rows])
         parts.update(chain.from_iterable([row for _, row in rows]))
-        new = list(parts.difference(self.known))
+        new = list(self.unseen(parts))
         if new:
             self.encode_parts(new)
         known = self.known
@@ -72,10 +91,8 @@ class Coder:
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text; unseen words of all the texts are learnt together."""
         split = [t.lower().split() if _PLAIN.fullmatch(t) and not any(s in t for s in self.special) else None for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        seen = set(chain.from_iterable([words for words in split if words]))
-        new = seen.difference(self.known)
+        self.make_room()
+        new = self.unseen(set(chain.from_iterable([words for words in split if words])))
         if new:
             self.learn(new)
         for text, words in zip(texts, split):
