@@ -63,6 +63,7 @@ def _simplex(pool: np.ndarray, basis: list[int], demand: np.ndarray, rounds: int
     basis turns numerically singular: any feasible basis is a valid answer.
     """
     inverse = np.linalg.inv(pool[basis].T)
+    product = np.empty_like(inverse)                         # reused: new arrays of this size cost more than the arithmetic
     x = inverse @ demand
     basis, safe = list(basis), (list(basis), x.copy(), inverse.sum(0))
     value, stalled = x.sum(), 0
@@ -81,7 +82,7 @@ def _simplex(pool: np.ndarray, basis: list[int], demand: np.ndarray, rounds: int
         x -= theta * column
         x[out] = theta
         pivot = inverse[out] / column[out]
-        inverse -= np.outer(column, pivot)
+        inverse -= np.multiply(column[:, None], pivot, out=product)
         inverse[out] = pivot
         basis[out] = enter
         stalled = 0 if x.sum() < value - 1e-9 else stalled + 1
